@@ -1,11 +1,12 @@
 """Lloyd's K-Means: one step (X4, A1, A5, P10), the fit loop (X5, K8), prediction (X6), caching.
 
 One Spark job per iteration. Every point is assigned to the current centres *and* to the previous
-ones in the same pass (no cached assignment), then a single ``groupBy(cluster_id)`` computes per
-cluster: exact coordinate sums, the count, the sum of squared distances and the number of points that
-moved. Partial aggregation runs map-side, so each task ships at most K rows to the exchange whatever
-the data size or skew; only K rows come back to the driver. The centres go out as K pairs of floats
-in the next plan, so the plan and the lineage do not grow with the number of iterations.
+ones in the same pass (no cached assignment); per cluster the job computes exact coordinate sums, the
+count, the sum of squared distances and the number of points that moved. By default each Arrow batch
+is reduced to at most K partial rows inside the task (``mapInPandas``) and one ``groupBy(cluster_id)``
+merges them, so the shuffle carries at most K rows per batch whatever the data size or skew, and
+only K rows come back to the driver. The centres go out as K pairs of floats in the next plan, so
+the plan and the lineage do not grow with the number of iterations.
 
 Exact sums: coordinates are summed as integers of 10^-scale units in ``decimal`` (see
 ``functions.geometry.micro_units``), so the centres are bit-identical for any partitioning and in any
@@ -14,7 +15,6 @@ engine that follows the same rule.
 
 from __future__ import annotations
 
-import math
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -24,32 +24,60 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from centroidal.functions.geometry import Centre, exact_sum
-from centroidal.operators.assign import X, Y, assign_nearest, nearest_struct
+from centroidal.operators.assign import (
+    PARTIALS_SCHEMA, X, Y, assign_nearest, lloyd_partials_fn, nearest_struct, with_nearest_expr,
+)
 from centroidal.operators.seed import DEFAULT_SAMPLE_TARGET, DEFAULT_SEED, hash_sample, kmeanspp, sample_fraction
 from centroidal.session import ensure_checkpoint_dir
 
 
 def lloyd_aggregate(points: DataFrame, centres: Sequence[Centre], prev_centres: Sequence[Centre] | None = None,
-                    x: str = X, y: str = Y, weight: str | None = None, method: str = "arrow",
+                    x: str = X, y: str = Y, weight: str | None = None, method: str = "partials",
                     scale: int = 6) -> DataFrame:
     """Per-cluster sums of one Lloyd step, lazily: ``cluster_id, sx, sy, n, sse, moved``.
 
-    ``sx``/``sy`` are exact sums in 10^-scale units (``decimal``), ``n`` the (weighted) count, ``sse``
-    the sum of squared distances to the centres used for the assignment, ``moved`` the (weighted)
-    number of points whose nearest centre differs between ``prev_centres`` and ``centres`` (all points
-    when there are no previous centres, V7). Empty clusters have no row.
+    ``sx``/``sy`` are exact sums in 10^-scale units (``decimal(38,0)``), ``n`` the (weighted) count,
+    ``sse`` the sum of squared distances to the centres used for the assignment, ``moved`` the
+    (weighted) number of points whose nearest centre differs between ``prev_centres`` and ``centres``
+    (all points when there are no previous centres, V7). Empty clusters have no row; rows with a
+    missing coordinate are ignored.
+
+    ``method``: ``"partials"`` (default) - ``mapInPandas`` returns K partial rows per Arrow batch and
+    one ``groupBy`` merges them; ``"arrow"`` - a vectorised UDF tags each row with its cluster and
+    Spark's partial/final ``HashAggregate`` sums; ``"expr"`` - the same with built-in expressions.
+    All three give identical results; each is one job whose shuffle carries at most K rows per task.
     """
-    a = points.withColumn("_a", nearest_struct(centres, x, y, method, prev_centres))
+    if method == "partials":
+        cols = [x, y] + ([weight] if weight else [])
+        part = points.select(*cols).mapInPandas(
+            lloyd_partials_fn(centres, prev_centres, x, y, weight, scale), PARTIALS_SCHEMA)
+        return (part.groupBy("cluster_id")
+                .agg(F.sum(F.col("sx").cast("decimal(38,0)")).alias("sx"),
+                     F.sum(F.col("sy").cast("decimal(38,0)")).alias("sy"),
+                     F.sum("n").alias("n"), F.sum("sse").alias("sse"), F.sum("moved").alias("moved")))
+    if method == "arrow":
+        a = (points.withColumn("_a", nearest_struct(centres, x, y, prev_centres))
+             .withColumn("_k", F.col("_a.cluster_id")).withColumn("_d", F.col("_a.sq_dist")))
+        if prev_centres is not None:
+            a = a.withColumn("_kp", F.col("_a.prev_cluster"))
+    elif method == "expr":
+        a = with_nearest_expr(points, centres, x, y, prefix="_c").withColumnsRenamed(
+            {"_ccluster_id": "_k", "_csq_dist": "_d"})
+        if prev_centres is not None:
+            a = with_nearest_expr(a, prev_centres, x, y, prefix="_p").withColumnRenamed("_pcluster_id", "_kp")
+    else:
+        raise ValueError(f"unknown method {method!r}; use 'partials', 'arrow' or 'expr'")
+    a = a.filter(F.col("_k").isNotNull())
     w = F.col(weight) if weight else F.lit(1)
     if prev_centres is None:
         moved = F.sum(w.cast("long"))
     else:
-        moved = F.sum(F.when(F.col("_a.cluster_id") != F.col("_a.prev_cluster"), w.cast("long")).otherwise(F.lit(0)))
-    return (a.groupBy(F.col("_a.cluster_id").alias("cluster_id"))
+        moved = F.sum(F.when(F.col("_k") != F.col("_kp"), w.cast("long")).otherwise(F.lit(0)))
+    return (a.groupBy(F.col("_k").alias("cluster_id"))
              .agg(exact_sum(x, scale, weight).alias("sx"),
                   exact_sum(y, scale, weight).alias("sy"),
                   F.sum(w.cast("long")).alias("n"),
-                  F.sum(F.col("_a.sq_dist") * w).alias("sse"),
+                  F.sum(F.col("_d") * w).alias("sse"),
                   moved.alias("moved")))
 
 
@@ -93,7 +121,7 @@ def apply_update(rows, centres: Sequence[Centre], scale: int = 6) -> StepResult:
 
 
 def lloyd_step(points: DataFrame, centres: Sequence[Centre], prev_centres: Sequence[Centre] | None = None,
-               x: str = X, y: str = Y, weight: str | None = None, method: str = "arrow",
+               x: str = X, y: str = Y, weight: str | None = None, method: str = "partials",
                scale: int = 6) -> StepResult:
     """Run one Lloyd iteration (one Spark job) and return the updated centres and counters."""
     rows = lloyd_aggregate(points, centres, prev_centres, x, y, weight, method, scale).collect()
@@ -198,8 +226,8 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
                key: str | None = None, weight: str | None = None,
                initial_centres: Sequence[Centre] | None = None, init: str = "sample",
                seed: int = DEFAULT_SEED, sample_target: int = DEFAULT_SAMPLE_TARGET,
-               method: str = "arrow", scale: int = 6, storage: str = "persist",
-               log=None) -> KMeansModel:
+               method: str = "partials", scale: int = 6, storage: str = "persist",
+               min_partitions: int | None = None, log=None) -> KMeansModel:
     """Fit K-Means with Lloyd iterations until no point moves or ``max_iter`` passes ran.
 
     ``points`` must already be cleaned (no NULL/NaN coordinates). ``key`` names a unique row key for
@@ -209,7 +237,8 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
     """
     t0 = time.perf_counter()
     cols = [c for c in (key, x, y, weight) if c]
-    pts = materialize(points.select(*cols), storage)
+    pts = spread(points.select(*cols), min_partitions)
+    pts = materialize(pts, storage)
     try:
         if weight:
             n_points = int(pts.agg(F.sum(F.col(weight).cast("long"))).first()[0] or 0)
@@ -246,7 +275,7 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
                 converged, counts = True, step.counts
                 break
         if counts is None:
-            counts = final_counts(pts, centres, x, y, weight, method)
+            counts = final_counts(pts, centres, x, y, weight)
         return KMeansModel(centres=centres, counts=counts, seeds=seeds, history=history,
                            n_points=n_points, converged=converged, load_time_sec=load_time,
                            seed_time_sec=seed_time, n_partitions=pts.rdd.getNumPartitions(), x=x, y=y)
@@ -256,11 +285,9 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
 
 
 def final_counts(points: DataFrame, centres: Sequence[Centre], x: str = X, y: str = Y,
-                 weight: str | None = None, method: str = "arrow") -> list[int]:
+                 weight: str | None = None, method: str = "partials") -> list[int]:
     """Cluster sizes of the assignment to ``centres`` (one aggregate job, K rows back)."""
-    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    rows = (assign_nearest(points, centres, x, y, method=method)
-            .groupBy("cluster_id").agg(F.sum(w).alias("n")).collect())
+    rows = lloyd_aggregate(points, centres, None, x, y, weight, method).select("cluster_id", "n").collect()
     counts = [0] * len(centres)
     for r in rows:
         if r["cluster_id"] is not None:
@@ -269,9 +296,9 @@ def final_counts(points: DataFrame, centres: Sequence[Centre], x: str = X, y: st
 
 
 def moved_points(points: DataFrame, centres: Sequence[Centre], prev_centres: Sequence[Centre],
-                 x: str = X, y: str = Y, method: str = "arrow") -> DataFrame:
+                 x: str = X, y: str = Y) -> DataFrame:
     """Rows whose nearest centre differs between two centre sets (P10), with both ids."""
-    s = nearest_struct(centres, x, y, method, prev_centres)
+    s = nearest_struct(centres, x, y, prev_centres)
     return (points.withColumn("_a", s)
             .withColumn("cluster_id", F.col("_a.cluster_id"))
             .withColumn("prev_cluster", F.col("_a.prev_cluster"))
@@ -279,5 +306,14 @@ def moved_points(points: DataFrame, centres: Sequence[Centre], prev_centres: Seq
             .filter(F.col("cluster_id") != F.col("prev_cluster")))
 
 
-def is_finite(v) -> bool:
-    return v is not None and math.isfinite(v)
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition when the input has fewer partitions than task slots.
+
+    A small input file is a single partition and would run every iteration on one core; spreading it
+    once before caching costs one shuffle. Inputs that already have enough partitions (any large
+    scan) are left as they are.
+    """
+    target = min_partitions if min_partitions is not None else df.sparkSession.sparkContext.defaultParallelism
+    if target and df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

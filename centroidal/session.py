@@ -19,6 +19,7 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -35,6 +36,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # Local mode runs every task inside the driver JVM; the 1 GiB default is too small.
+            builder = builder.config("spark.driver.memory", "8g")
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
