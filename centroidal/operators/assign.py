@@ -159,12 +159,14 @@ PARTIALS_SCHEMA = "cluster_id int, sx bigint, sy bigint, n bigint, sse double, m
 
 def lloyd_partials_fn(centres: Sequence[Centre], prev_centres: Sequence[Centre] | None, x: str = X, y: str = Y,
                       weight: str | None = None, scale: int = 6):
-    """``mapInPandas`` body of one Lloyd pass: per-cluster partial sums of each Arrow batch.
-
-    For every batch: assign to ``centres`` (and ``prev_centres``), round coordinates to 10^-scale
-    units, and return at most K rows ``cluster_id, sx, sy, n, sse, moved`` with exact int64 unit sums
-    (a batch of 10^4 points sums to far below 2^53, and unweighted ``bincount`` of integers is exact
-    there). Rows with a missing coordinate are skipped. Spark then merges the partials by cluster.
+    """``mapInPandas`` body of one Lloyd pass: per-cluster partial sums of one partition.
+
+    For every Arrow batch: assign to ``centres`` (and ``prev_centres``), round coordinates to
+    10^-scale units and add per-cluster sums into K-sized int64 accumulators (exact: a batch of 10^4
+    points sums far below 2^53, where an unweighted ``bincount`` of integers is exact, and a partition
+    would need about 10^11 points to overflow int64). After the last batch the partition yields at
+    most K rows ``cluster_id, sx, sy, n, sse, moved``; Spark merges them by cluster. Rows with a
+    missing coordinate are skipped.
     """
     cx, cy = _as_arrays(centres)
     pc = _as_arrays(prev_centres) if prev_centres is not None else None
@@ -172,6 +174,8 @@ def lloyd_partials_fn(centres: Sequence[Centre], prev_centres: Sequence[Centre]
     unit = float(10 ** scale)
 
     def partials(batches):
+        n, sx, sy, mv = (np.zeros(k, np.int64) for _ in range(4))
+        sse = np.zeros(k, np.float64)
         for pdf in batches:
             xv = pdf[x].to_numpy(dtype=np.float64, na_value=np.nan)
             yv = pdf[y].to_numpy(dtype=np.float64, na_value=np.nan)
@@ -186,22 +190,22 @@ def lloyd_partials_fn(centres: Sequence[Centre], prev_centres: Sequence[Centre]
             ux = np.floor(xv * unit + 0.5).astype(np.int64)
             uy = np.floor(yv * unit + 0.5).astype(np.int64)
             if weight is None:
-                n = np.bincount(idx, minlength=k).astype(np.int64)
-                sx = np.bincount(idx, weights=ux.astype(np.float64), minlength=k).astype(np.int64)
-                sy = np.bincount(idx, weights=uy.astype(np.float64), minlength=k).astype(np.int64)
-                sse = np.bincount(idx, weights=d, minlength=k)
-                mv = np.bincount(idx, weights=moved.astype(np.float64), minlength=k).astype(np.int64)
+                n += np.bincount(idx, minlength=k).astype(np.int64)
+                sx += np.bincount(idx, weights=ux.astype(np.float64), minlength=k).astype(np.int64)
+                sy += np.bincount(idx, weights=uy.astype(np.float64), minlength=k).astype(np.int64)
+                sse += np.bincount(idx, weights=d, minlength=k)
+                mv += np.bincount(idx, weights=moved.astype(np.float64), minlength=k).astype(np.int64)
             else:
                 w = pdf[weight].to_numpy(dtype=np.int64)
                 if not ok.all():
                     w = w[ok]
-                n, sx, sy, mv = (np.zeros(k, np.int64) for _ in range(4))
                 np.add.at(n, idx, w)
                 np.add.at(sx, idx, ux * w)
                 np.add.at(sy, idx, uy * w)
                 np.add.at(mv, idx, moved * w)
-                sse = np.bincount(idx, weights=d * w, minlength=k)
-            keep = n > 0
+                sse += np.bincount(idx, weights=d * w, minlength=k)
+        keep = n > 0
+        if keep.any():
             yield pd.DataFrame({"cluster_id": np.nonzero(keep)[0].astype(np.int32), "sx": sx[keep],
                                 "sy": sy[keep], "n": n[keep], "sse": sse[keep], "moved": mv[keep]})
     return partials

@@ -27,7 +27,9 @@ from centroidal.functions.geometry import Centre, exact_sum
 from centroidal.operators.assign import (
     PARTIALS_SCHEMA, X, Y, assign_nearest, lloyd_partials_fn, nearest_struct, with_nearest_expr,
 )
-from centroidal.operators.seed import DEFAULT_SAMPLE_TARGET, DEFAULT_SEED, hash_sample, kmeanspp, sample_fraction
+from centroidal.operators.seed import (
+    DEFAULT_SAMPLE_TARGET, DEFAULT_SEED, hash_sample, kmeanspp, kmeanspp_in_task, sample_fraction,
+)
 from centroidal.session import ensure_checkpoint_dir
 
 
@@ -199,26 +201,38 @@ class KMeansModel:
         return assign_nearest(df, self.centres, self.x, self.y, out=out, dist_col=dist_col, method=method)
 
 
+def location_key(x: str = X, y: str = Y):
+    """Text key of a location, used to sample and seed inputs that have no row key."""
+    return F.concat_ws(",", F.col(x).cast("string"), F.col(y).cast("string"))
+
+
 def choose_seeds(points: DataFrame, k: int, init: str, n_points: int, x: str, y: str, key: str | None,
                  weight: str | None, seed: int, sample_target: int) -> list[Centre]:
-    """Starting centres: ``kmeans++`` over all points (X3) or over a hash sample (X1 + X2)."""
-    base, key_col, mult = points, key, weight
-    if key_col is None:
-        # No row key: fold duplicates so a location's draw probability keeps its multiplicity.
-        mult_expr = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
-        base = points.groupBy(x, y).agg(mult_expr.cast("double").alias("_m"))
-        base = base.withColumn("_key", F.concat_ws(",", F.col(x).cast("string"), F.col(y).cast("string")))
-        key_col, mult = "_key", "_m"
+    """Starting centres: ``kmeans++`` over all points (X3, K distributed rounds) or ``sample``: K-Means++
+    in one task over a hash sample of about ``sample_target`` rows (X1 + X2, the reference's way).
+
+    Without a row key, duplicate rows cannot be told apart, so whole *locations* are sampled (hash of
+    the coordinates, fraction from an approximate distinct count) and then folded with their
+    multiplicity; each location's draw probability stays proportional to its row count.
+    """
+    mult_expr = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
     if init == "kmeans++":
-        return kmeanspp(base, k, x, y, key_col, seed, mult)
+        if key is not None:
+            return kmeanspp(points, k, x, y, key, seed, weight)
+        folded = (points.groupBy(x, y).agg(mult_expr.cast("double").alias("_m"))
+                  .withColumn("_key", location_key(x, y)))
+        return kmeanspp(folded, k, x, y, "_key", seed, "_m")
     if init == "sample":
-        fraction = sample_fraction(n_points, sample_target)
-        sample = base if fraction >= 1.0 else hash_sample(base, sample_target, key_col, seed, n_rows=n_points)
-        sample = sample.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return kmeanspp(sample, k, x, y, key_col, seed, mult)
-        finally:
-            sample.unpersist()
+        if key is not None:
+            fraction = sample_fraction(n_points, sample_target)
+            sample = points if fraction >= 1.0 else hash_sample(points, sample_target, key, seed, n_rows=n_points)
+            return kmeanspp_in_task(sample, k, x, y, key, seed, weight)
+        keyed = points.withColumn("_key", location_key(x, y))
+        n_loc = keyed.agg(F.approx_count_distinct("_key").alias("n")).first()["n"]
+        fraction = sample_fraction(max(int(n_loc), 1), sample_target)
+        sample = keyed if fraction >= 1.0 else hash_sample(keyed, sample_target, "_key", seed, n_rows=int(n_loc))
+        folded = sample.groupBy("_key", x, y).agg(mult_expr.cast("double").alias("_m"))
+        return kmeanspp_in_task(folded, k, x, y, "_key", seed, "_m")
     raise ValueError(f"unknown init {init!r}; use 'sample', 'kmeans++' or pass initial_centres")
 
 
