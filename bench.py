@@ -70,9 +70,13 @@ def main():
             "final_wcss": model.final_wcss,
         }
 
-    # Headline fits: the reference's job (K=8, sampled K-Means++, Lloyd until no point moves).
+    line_points = catalog.line_points(spark, SF_DIR)
+
+    # Headline fits: the reference's job (K=8, sampled K-Means++, Lloyd until no point moves or 20 passes).
     run_fit("fit_points_k8", points, 8, key="id")
     run_fit("fit_points_k64", points, 64, key="id")
+    run_fit("fit_line_points_k8", line_points, 8, key="id")
+    run_fit("fit_line_points_k64", line_points, 64, key="id")
     run_fit("fit_trips_k8", trips, 8)
     run_fit("fit_trips_k8_folded", fold_duplicates(trips), 8, weight="weight")
 

@@ -209,3 +209,21 @@ def lloyd_partials_fn(centres: Sequence[Centre], prev_centres: Sequence[Centre]
             yield pd.DataFrame({"cluster_id": np.nonzero(keep)[0].astype(np.int32), "sx": sx[keep],
                                 "sy": sy[keep], "n": n[keep], "sse": sse[keep], "moved": mv[keep]})
     return partials
+
+
+def register_nearest_centre(spark, centres: Sequence[Centre], name: str = "nearest_centre") -> str:
+    """Register ``name(x, y) -> int`` for SQL: the id of the nearest of ``centres`` (Arrow UDF).
+
+    Example: ``SELECT nearest_centre(pickup_longitude, pickup_latitude) AS cluster_id FROM points``.
+    The centres are bound at registration (K pairs of floats in the UDF closure).
+    """
+    cx, cy = _as_arrays(centres)
+
+    @F.pandas_udf("int")
+    def nearest_id(x: pd.Series, y: pd.Series) -> pd.Series:
+        xv, yv = x.to_numpy(dtype=np.float64, na_value=np.nan), y.to_numpy(dtype=np.float64, na_value=np.nan)
+        idx, _ = nearest_numpy(xv, yv, cx, cy)
+        return _ids(idx, np.isnan(xv) | np.isnan(yv))
+
+    spark.udf.register(name, nearest_id)
+    return name

@@ -9,6 +9,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from centroidal.session import ensure_checkpoint_dir
+
 X, Y = "pickup_longitude", "pickup_latitude"
 
 # The inclusive NYC bounding box of the reference (longitude, latitude).
@@ -17,6 +19,9 @@ LAT_RANGE = (40.0, 41.5)
 PAD_COLUMNS = 5
 # A dimension side is broadcast only when it has at most this many rows (checked, not estimated).
 BROADCAST_MAX_ROWS = 1_000_000
+# Up to this many rows a limit runs as Spark's limit / top-n (bounded per task); above it, as an
+# exact distributed rank filter.
+LOCAL_LIMIT_MAX = 1_000_000
 
 
 def select_coordinates(df: DataFrame, x: str = X, y: str = Y, keep: Iterable[str] = ()) -> DataFrame:
@@ -48,17 +53,51 @@ def clean_points(df: DataFrame, x: str = X, y: str = Y, keep: Iterable[str] = ()
     return drop_missing(bbox_filter(pts, X, Y, lon, lat))
 
 
-def limit_points(df: DataFrame, max_rows: int, order_by: Sequence[str] | None = None) -> DataFrame:
+def limit_points(df: DataFrame, max_rows: int, order_by: Sequence[str] | None = None,
+                 local_max: int = LOCAL_LIMIT_MAX) -> DataFrame:
     """Keep at most ``max_rows`` accepted rows (T2, V11); ``max_rows <= 0`` means no limit.
 
-    Apply after the filters, as the reference counts accepted rows. With ``order_by`` the choice is
-    deterministic (``TakeOrderedAndProject``: a top-n per partition, then one small merge).
+    Apply after the filters, as the reference counts accepted rows. With ``order_by`` the rows with
+    the least keys are kept (deterministic), otherwise the first rows in input order. Up to
+    ``local_max`` rows this is Spark's ``limit`` (``TakeOrderedAndProject`` with an order: a top-n per
+    task, then a merge of at most n rows per task). Larger limits use ``rank_limit``, which never
+    moves the kept rows into one partition.
     """
     if max_rows is None or max_rows <= 0:
         return df
-    if order_by:
-        return df.orderBy(*order_by).limit(max_rows)
-    return df.limit(max_rows)
+    if max_rows <= local_max:
+        return df.orderBy(*order_by).limit(max_rows) if order_by else df.limit(max_rows)
+    return rank_limit(df, max_rows, order_by)
+
+
+def rank_limit(df: DataFrame, n: int, order_by: Sequence[str] | None = None) -> DataFrame:
+    """Exact first ``n`` rows, distributed: per-partition quotas from per-partition counts.
+
+    With ``order_by`` the rows are range-partitioned and sorted within partitions, so partition order
+    is key order. The input is checkpointed to the session's reliable checkpoint folder, so the count
+    pass and the filter pass see the same rows in the same places even if executors are lost. Only
+    one count per partition reaches the driver; the quota table (one row per partition) is broadcast.
+    """
+    base = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by) if order_by else df
+    ensure_checkpoint_dir(df.sparkSession)
+    base = base.checkpoint(eager=True)
+    tagged = (base.withColumn("_pid", F.spark_partition_id())
+              .withColumn("_pos", F.monotonically_increasing_id()))
+    counts = sorted((r["_pid"], r["c"]) for r in
+                    tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("c")).collect())
+    quotas, taken = [], 0
+    for pid, c in counts:
+        if taken >= n:
+            break
+        q = min(c, n - taken)
+        quotas.append((int(pid), int(q)))
+        taken += q
+    spark = df.sparkSession
+    qdf = spark.createDataFrame(quotas, "_pid int, _quota bigint")
+    local_index = F.col("_pos") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    return (tagged.join(F.broadcast(qdf), on="_pid", how="inner")
+            .filter(local_index < F.col("_quota"))
+            .drop("_pid", "_pos", "_quota"))
 
 
 def pad_columns(df: DataFrame, n: int = PAD_COLUMNS, x: str = X, y: str = Y) -> DataFrame:

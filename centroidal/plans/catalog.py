@@ -35,6 +35,8 @@ X, Y = "pickup_longitude", "pickup_latitude"
 SEED = 42
 FIT_K = 4
 FIT_ITERS = 8
+SAMPLED_K = 8
+SEED_SAMPLE_TARGET = 10_000   # the reference's sample size for seeding
 SAMPLE_TARGET = 2000
 LIMIT_ROWS = 1000
 SSE_DIGITS = 4          # sums of squared distances
@@ -298,6 +300,20 @@ def q_kmeans_predict(spark, sf_dir):
     return model.predict(pts).select("id", "cluster_id")
 
 
+def line_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line points (from lineitem) inside the box: ``id`` (text key), coordinates."""
+    return clean_points(FX.fx_line_points(spark, sf_dir), keep=["id"])
+
+
+def q_kmeans_fit_sampled(spark, sf_dir):
+    """The job's default path on the line points: hash sample of about 10,000 rows, K-Means++ in one
+    task over the sample, then up to FIT_ITERS Lloyd iterations over all points (X1, X2, X5)."""
+    pts = line_points(spark, sf_dir)
+    model = fit_kmeans(pts, SAMPLED_K, FIT_ITERS, key="id", init="sample", seed=SEED,
+                       sample_target=SEED_SAMPLE_TARGET)
+    return model.centres_frame(spark)
+
+
 def q_kmeans_fit_folded(spark, sf_dir):
     """Weighted Lloyd on duplicate-folded trip points from the FX7 centres; equals the unfolded fit."""
     trips = zone_lookup(FX.fx_trips(spark, sf_dir), FX.fx_zones(spark))
@@ -458,6 +474,14 @@ def _oracles() -> dict[str, str]:
     o["q_lloyd_history"] = fit + " " + KS.history_select(FIT_K, FIT_ITERS, digits=SSE_DIGITS)
     o["q_kmeans_predict"] = fit + f", fin AS ({KS.assign('pts', FIT_K, last)}) SELECT id, k AS cluster_id FROM fin"
 
+    line_pts = f"SELECT id, {X}, {Y} FROM ({FX.FX_LINE_POINTS_SQL}) WHERE {box_sql()}"
+    sample = (f"SELECT * FROM lp WHERE {KS.hash_uniform_sql('id', SEED, 'sample')} < "
+              f"least(1.0::DOUBLE, {float(SEED_SAMPLE_TARGET)!r}::DOUBLE / (SELECT count(*)::DOUBLE FROM lp))")
+    sampled = ([("lp", line_pts), ("smp", sample)] + KS.kmeanspp_ctes("smp", SAMPLED_K, SEED)
+               + KS.lloyd_ctes("lp", SAMPLED_K, FIT_ITERS))
+    o["q_kmeans_fit_sampled"] = (W(sampled) + f", fin AS ({KS.assign('lp', SAMPLED_K, f'c{FIT_ITERS}')}) "
+                                 + _sizes_sql("fin", f"c{FIT_ITERS}", SAMPLED_K))
+
     trips_pts = (f"SELECT longitude AS {X}, latitude AS {Y} FROM ({TRIPS_SQL}) "
                  f"WHERE {box_sql('longitude', 'latitude')}")
     folded = ([("tp", trips_pts), ("c0", KS.wide_centres(CENTRES))] + KS.lloyd_ctes("tp", K7, FIT_ITERS))

@@ -214,3 +214,25 @@ FROM (
   FROM (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)
 )
 """
+
+
+# --- Line points: continuous coordinates with a text key (from lineitem) ----------------------------
+# lineitem is unique only on (l_orderkey, l_linenumber, l_partkey, l_suppkey), so the key is their text.
+
+def fx_line_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    key = F.concat_ws(":", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+    return li.select(
+        key.alias("id"),
+        (F.lit(-75.25) + F.col("l_extendedprice") / F.lit(50000.0)).alias(X),
+        (F.lit(39.75) + F.datediff(F.col("l_shipdate"), F.lit("1995-01-01").cast("date")) / F.lit(1200.0)).alias(Y),
+    )
+
+
+FX_LINE_POINTS_SQL = (
+    "SELECT CAST(l_orderkey AS VARCHAR) || ':' || CAST(l_linenumber AS VARCHAR) || ':' || "
+    "CAST(l_partkey AS VARCHAR) || ':' || CAST(l_suppkey AS VARCHAR) AS id, "
+    "-75.25::DOUBLE + l_extendedprice / 50000.0::DOUBLE AS pickup_longitude, "
+    "39.75::DOUBLE + date_diff('day', TIMESTAMP '1995-01-01', l_shipdate) / 1200.0::DOUBLE AS pickup_latitude "
+    "FROM lineitem"
+)

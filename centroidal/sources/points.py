@@ -16,12 +16,14 @@ from pyspark.sql import types as T
 X, Y = "pickup_longitude", "pickup_latitude"
 POINT_SCHEMA = T.StructType([T.StructField(X, T.DoubleType()), T.StructField(Y, T.DoubleType())])
 
-# The positional layout of the prepared CSV (five padding columns, then x and y) and
-# the column-name hints used to find coordinates in older trip files.
+# The positional layout of the prepared CSV (five padding columns, then x and y), and
+# the coordinate-column rule of older trip files: the first column whose lower-cased name contains
+# "lon" (or "lat"), or whose name is one of the listed names.
 DEFAULT_COL_X = 5
 DEFAULT_COL_Y = 6
-LON_HINTS = ("lon", "lng", "longitude", "pickup_longitude", "start_lon")
-LAT_HINTS = ("lat", "latitude", "pickup_latitude", "start_lat")
+LON_PART, LAT_PART = "lon", "lat"
+LON_NAMES = ("pickup_longitude", "start_lon")
+LAT_NAMES = ("pickup_latitude", "start_lat")
 
 
 def read_points(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet",
@@ -40,6 +42,11 @@ def read_points(spark: SparkSession, path: str | Sequence[str], fmt: str = "parq
     raise ValueError(f"unknown format {fmt!r}; use 'parquet' or 'csv'")
 
 
+def tag_files(df: DataFrame, col: str = "file_tag") -> DataFrame:
+    """Add the source file name of every row (S6: the per-file tag of the preparation profile)."""
+    return df.withColumn(col, F.col("_metadata.file_name"))
+
+
 def parse_point_lines(lines: DataFrame, line_col: str = "value", col_x: int = DEFAULT_COL_X,
                       col_y: int = DEFAULT_COL_Y, keep: Iterable[str] = ()) -> DataFrame:
     """Parse comma lines without quoting rules (P5): fields ``col_x`` and ``col_y`` as doubles.
@@ -77,10 +84,9 @@ def read_positional_csv(spark: SparkSession, path: str | Sequence[str], col_x: i
 
 
 def find_coordinate_columns(columns: Sequence[str]) -> tuple[str, str] | None:
-    """First column whose name contains ``lon`` / ``lat`` or is a known alias (P6); None if absent."""
-    lower = {c: c.lower() for c in columns}
-    lon = next((c for c in columns if any(h in lower[c] for h in LON_HINTS)), None)
-    lat = next((c for c in columns if any(h in lower[c] for h in LAT_HINTS) and c != lon), None)
+    """First column whose name contains ``lon`` / ``lat`` or is a listed name (P6); None if either is absent."""
+    lon = next((c for c in columns if LON_PART in c.lower() or c in LON_NAMES), None)
+    lat = next((c for c in columns if LAT_PART in c.lower() or c in LAT_NAMES), None)
     if lon is None or lat is None:
         return None
     return lon, lat
