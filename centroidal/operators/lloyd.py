@@ -2,10 +2,10 @@
 
 One Spark job per iteration. Every point is assigned to the current centres *and* to the previous
 ones in the same pass (no cached assignment); per cluster the job computes exact coordinate sums, the
-count, the sum of squared distances and the number of points that moved. By default each Arrow batch
-is reduced to at most K partial rows inside the task (``mapInPandas``) and one ``groupBy(cluster_id)``
-merges them, so the shuffle carries at most K rows per batch whatever the data size or skew, and
-only K rows come back to the driver. The centres go out as K pairs of floats in the next plan, so
+count, the sum of squared distances and the number of points that moved. By default each partition
+is reduced to at most K partial rows inside its task (``mapInPandas``); while partitions x K is small
+those rows are summed on the driver, otherwise one ``groupBy(cluster_id)`` merges them, so the
+shuffle carries at most K rows per partition whatever the data size or skew. The centres go out as K pairs of floats in the next plan, so
 the plan and the lineage do not grow with the number of iterations.
 
 Exact sums: coordinates are summed as integers of 10^-scale units in ``decimal`` (see
@@ -33,6 +33,33 @@ from centroidal.operators.seed import (
 from centroidal.session import ensure_checkpoint_dir
 
 
+# Partial rows (at most K per partition) are summed on the driver while partitions x K stays below
+# this; above it they are merged by a Spark groupBy.
+DRIVER_MERGE_MAX_ROWS = 100_000
+
+
+def lloyd_partials(points: DataFrame, centres: Sequence[Centre], prev_centres: Sequence[Centre] | None = None,
+                   x: str = X, y: str = Y, weight: str | None = None, scale: int = 6) -> DataFrame:
+    """Per-partition partial sums of one Lloyd pass: at most K rows per partition (``mapInPandas``)."""
+    cols = [x, y] + ([weight] if weight else [])
+    return points.select(*cols).mapInPandas(
+        lloyd_partials_fn(centres, prev_centres, x, y, weight, scale), PARTIALS_SCHEMA)
+
+
+def merge_partials(rows) -> list[dict]:
+    """Exact per-cluster totals of partial rows (Python integers for the unit sums)."""
+    acc: dict[int, dict] = {}
+    for r in rows:
+        a = acc.setdefault(int(r["cluster_id"]), {"cluster_id": int(r["cluster_id"]), "sx": 0, "sy": 0,
+                                                   "n": 0, "sse": 0.0, "moved": 0})
+        a["sx"] += int(r["sx"])
+        a["sy"] += int(r["sy"])
+        a["n"] += int(r["n"])
+        a["sse"] += float(r["sse"])
+        a["moved"] += int(r["moved"])
+    return list(acc.values())
+
+
 def lloyd_aggregate(points: DataFrame, centres: Sequence[Centre], prev_centres: Sequence[Centre] | None = None,
                     x: str = X, y: str = Y, weight: str | None = None, method: str = "partials",
                     scale: int = 6) -> DataFrame:
@@ -50,9 +77,7 @@ def lloyd_aggregate(points: DataFrame, centres: Sequence[Centre], prev_centres:
     All three give identical results; each is one job whose shuffle carries at most K rows per task.
     """
     if method == "partials":
-        cols = [x, y] + ([weight] if weight else [])
-        part = points.select(*cols).mapInPandas(
-            lloyd_partials_fn(centres, prev_centres, x, y, weight, scale), PARTIALS_SCHEMA)
+        part = lloyd_partials(points, centres, prev_centres, x, y, weight, scale)
         return (part.groupBy("cluster_id")
                 .agg(F.sum(F.col("sx").cast("decimal(38,0)")).alias("sx"),
                      F.sum(F.col("sy").cast("decimal(38,0)")).alias("sy"),
@@ -122,11 +147,28 @@ def apply_update(rows, centres: Sequence[Centre], scale: int = 6) -> StepResult:
     return StepResult(new, counts, moved, before, after)
 
 
+def step_rows(points: DataFrame, centres: Sequence[Centre], prev_centres: Sequence[Centre] | None = None,
+              x: str = X, y: str = Y, weight: str | None = None, method: str = "partials",
+              scale: int = 6, n_partitions: int | None = None) -> list:
+    """The per-cluster totals of one pass, computed by one Spark job.
+
+    With the ``partials`` method and at most ``DRIVER_MERGE_MAX_ROWS`` partial rows (partitions x K),
+    the partial rows are collected and summed exactly on the driver: one stage, no exchange. Larger
+    inputs merge them with a Spark ``groupBy`` (``lloyd_aggregate``), so the driver never receives
+    more than K rows from them.
+    """
+    if method == "partials":
+        parts = n_partitions if n_partitions is not None else points.rdd.getNumPartitions()
+        if parts * len(centres) <= DRIVER_MERGE_MAX_ROWS:
+            return merge_partials(lloyd_partials(points, centres, prev_centres, x, y, weight, scale).collect())
+    return lloyd_aggregate(points, centres, prev_centres, x, y, weight, method, scale).collect()
+
+
 def lloyd_step(points: DataFrame, centres: Sequence[Centre], prev_centres: Sequence[Centre] | None = None,
                x: str = X, y: str = Y, weight: str | None = None, method: str = "partials",
-               scale: int = 6) -> StepResult:
+               scale: int = 6, n_partitions: int | None = None) -> StepResult:
     """Run one Lloyd iteration (one Spark job) and return the updated centres and counters."""
-    rows = lloyd_aggregate(points, centres, prev_centres, x, y, weight, method, scale).collect()
+    rows = step_rows(points, centres, prev_centres, x, y, weight, method, scale, n_partitions)
     return apply_update(rows, centres, scale)
 
 
@@ -271,13 +313,14 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
             seeds = choose_seeds(pts, k, init, n_points, x, y, key, weight, seed, sample_target)
         seed_time = time.perf_counter() - t1
 
+        n_parts = pts.rdd.getNumPartitions()
         centres, prev = list(seeds), None
         counts: list[int] | None = None
         history: list[dict] = []
         converged = False
         for it in range(max_iter):
             ts = time.perf_counter()
-            step = lloyd_step(pts, centres, prev, x, y, weight, method, scale)
+            step = lloyd_step(pts, centres, prev, x, y, weight, method, scale, n_parts)
             elapsed = time.perf_counter() - ts
             history.append({"iteration": it, "n_moved": step.n_moved, "wcss": step.wcss_before,
                             "wcss_after": step.wcss_after, "iter_time_sec": elapsed})
@@ -289,19 +332,19 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
                 converged, counts = True, step.counts
                 break
         if counts is None:
-            counts = final_counts(pts, centres, x, y, weight)
+            counts = final_counts(pts, centres, x, y, weight, n_partitions=n_parts)
         return KMeansModel(centres=centres, counts=counts, seeds=seeds, history=history,
                            n_points=n_points, converged=converged, load_time_sec=load_time,
-                           seed_time_sec=seed_time, n_partitions=pts.rdd.getNumPartitions(), x=x, y=y)
+                           seed_time_sec=seed_time, n_partitions=n_parts, x=x, y=y)
     finally:
         if storage == "persist":
             pts.unpersist()
 
 
 def final_counts(points: DataFrame, centres: Sequence[Centre], x: str = X, y: str = Y,
-                 weight: str | None = None, method: str = "partials") -> list[int]:
-    """Cluster sizes of the assignment to ``centres`` (one aggregate job, K rows back)."""
-    rows = lloyd_aggregate(points, centres, None, x, y, weight, method).select("cluster_id", "n").collect()
+                 weight: str | None = None, method: str = "partials", n_partitions: int | None = None) -> list[int]:
+    """Cluster sizes of the assignment to ``centres`` (one aggregate job)."""
+    rows = step_rows(points, centres, None, x, y, weight, method, n_partitions=n_partitions)
     counts = [0] * len(centres)
     for r in rows:
         if r["cluster_id"] is not None:

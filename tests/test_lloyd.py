@@ -160,3 +160,11 @@ def test_assignment_of_null_coordinates_is_null(spark):
         got = {r["id"]: r["cluster_id"] for r in assign_nearest(df, [(-74.0, 40.0)], method=method).collect()}
         assert got == {0: None, 1: 0}
     assert F is not None
+
+
+def test_driver_merge_equals_spark_merge(pts, model, monkeypatch):
+    import centroidal.operators.lloyd as L
+    monkeypatch.setattr(L, "DRIVER_MERGE_MAX_ROWS", 0)
+    m = fit_kmeans(pts, 4, 30, key="id", initial_centres=model.seeds)
+    assert m.centres == model.centres and m.counts == model.counts
+    assert [h["n_moved"] for h in m.history] == [h["n_moved"] for h in model.history]
