@@ -58,10 +58,9 @@ def strong_scaling(runs: DataFrame, serial: str = SERIAL, parallel: str = PARALL
     if same_n:
         par = par.join(base.select(F.col("base_n").alias("n_points")), on="n_points", how="left_semi")
     grouped = par.groupBy("threads").agg(F.avg("elapsed_ms").alias("mean_ms"))
-    # The baseline is one row: attach it as scalar subqueries (no join, no cross product).
-    base_ms = base.select("base_ms").scalar()
-    base_n = base.select("base_n").scalar()
-    base_it = base.select("base_iterations").scalar()
+    # The baseline is one row: attach it as one scalar subquery (no join, no cross product).
+    b = base.select(F.struct("base_ms", "base_n", "base_iterations")).scalar()
+    base_ms, base_n, base_it = b["base_ms"], b["base_n"], b["base_iterations"]
     rows = grouped.select(
         threads_numeric("threads").alias("row_order"),
         F.col("threads"),

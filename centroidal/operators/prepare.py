@@ -19,8 +19,8 @@ LAT_RANGE = (40.0, 41.5)
 PAD_COLUMNS = 5
 # A dimension side is broadcast only when it has at most this many rows (checked, not estimated).
 BROADCAST_MAX_ROWS = 1_000_000
-# Up to this many rows a limit runs as Spark's limit / top-n (bounded per task); above it, as an
-# exact distributed rank filter.
+# Spark's limit / top-n sends up to n rows from every partition to one task; it is used while
+# partitions x n stays below this, above it the exact distributed rank filter is used.
 LOCAL_LIMIT_MAX = 1_000_000
 
 
@@ -58,14 +58,14 @@ def limit_points(df: DataFrame, max_rows: int, order_by: Sequence[str] | None =
     """Keep at most ``max_rows`` accepted rows (T2, V11); ``max_rows <= 0`` means no limit.
 
     Apply after the filters, as the reference counts accepted rows. With ``order_by`` the rows with
-    the least keys are kept (deterministic), otherwise the first rows in input order. Up to
-    ``local_max`` rows this is Spark's ``limit`` (``TakeOrderedAndProject`` with an order: a top-n per
-    task, then a merge of at most n rows per task). Larger limits use ``rank_limit``, which never
-    moves the kept rows into one partition.
+    the least keys are kept (deterministic), otherwise the first rows in input order. Spark's
+    ``limit`` (``TakeOrderedAndProject`` with an order) keeps up to n rows per partition and merges
+    them in one task, so it is used only while partitions x n is at most ``local_max``; otherwise
+    ``rank_limit``, which never moves the kept rows into one partition.
     """
     if max_rows is None or max_rows <= 0:
         return df
-    if max_rows <= local_max:
+    if max_rows * df.rdd.getNumPartitions() <= local_max:
         return df.orderBy(*order_by).limit(max_rows) if order_by else df.limit(max_rows)
     return rank_limit(df, max_rows, order_by)
 
@@ -107,8 +107,12 @@ def pad_columns(df: DataFrame, n: int = PAD_COLUMNS, x: str = X, y: str = Y) ->
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is at most ``max_rows``, else None; reads at most ``max_rows + 1`` rows."""
-    n = df.limit(max_rows + 1).count()
+    """Row count if it is at most ``max_rows``, else None.
+
+    A plain distributed count (partial counts per task, one small merge); a ``limit(n).count()``
+    would instead move up to n rows from every partition into one task.
+    """
+    n = df.count()
     return n if n <= max_rows else None
 
 
@@ -116,7 +120,7 @@ def zone_lookup(trips: DataFrame, zones: DataFrame, key: str = "LocationID", how
                 max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Trip zone id -> zone coordinates (J1). Unknown zones are dropped (``inner``) or kept (``left``).
 
-    The zone side is broadcast only after a bounded count proves it small; a hot zone holding a third
+    The zone side is broadcast only after a count proves it small; a hot zone holding a third
     of the trips then costs nothing extra (no shuffle of the trips at all). Beyond the bound the join
     is left to a shuffle join, where AQE's skew-join handling splits oversized partitions.
     """
