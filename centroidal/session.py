@@ -55,7 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting one only when the session names none.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; that is read and used as is. Only
-    when it is unset (a bare local session, as in tests) is a fresh local folder created.
+    a local-mode session without one (as in tests) gets a fresh local folder; on a cluster a missing
+    setting is an error, because a machine-local folder is not reliable storage there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder (HDFS/S3/GCS) for checkpoints")
         configured = tempfile.mkdtemp(prefix="centroidal-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
