@@ -74,7 +74,8 @@ def rank_limit(df: DataFrame, n: int, order_by: Sequence[str] | None = None) ->
     """Exact first ``n`` rows, distributed: per-partition quotas from per-partition counts.
 
     With ``order_by`` the rows are range-partitioned and sorted within partitions, so partition order
-    is key order. The input is checkpointed to the session's reliable checkpoint folder, so the count
+    is key order; the columns should identify rows (a unique key), which also keeps one hot key
+    value from filling a single range partition. The input is checkpointed to the session's reliable checkpoint folder, so the count
     pass and the filter pass see the same rows in the same places even if executors are lost. Only
     one count per partition reaches the driver; the quota table (one row per partition) is broadcast.
     """

@@ -146,3 +146,12 @@ def test_job_with_zone_table_and_folding(spark, tmpdir_run):
     assert m.n_points == joined.count()
     assert spark.read.parquet(f"{tmpdir_run}/out/assignments").count() == joined.count()
     assert F is not None
+
+
+def test_repartition_and_partition_profile(spark):
+    from centroidal.operators.prepare import partition_profile, repartition_points
+    pts = catalog.points(spark, SF0001)
+    r = repartition_points(pts, 5)
+    prof = partition_profile(r).collect()
+    assert len(prof) == 5 and sum(p["rows"] for p in prof) == pts.count()
+    assert repartition_points(pts, None) is pts
