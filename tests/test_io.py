@@ -4,7 +4,6 @@ import glob
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from centroidal.operators.lloyd import fit_kmeans
 from centroidal.operators.prepare import clean_points, zone_lookup, zone_unmatched
@@ -145,7 +144,6 @@ def test_job_with_zone_table_and_folding(spark, tmpdir_run):
     joined = clean_points(zone_lookup(FX.fx_trips(spark, SF0001), FX.fx_zones(spark)), "longitude", "latitude")
     assert m.n_points == joined.count()
     assert spark.read.parquet(f"{tmpdir_run}/out/assignments").count() == joined.count()
-    assert F is not None
 
 
 def test_repartition_and_partition_profile(spark):
