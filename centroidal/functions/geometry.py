@@ -68,12 +68,26 @@ def micro_units(c, scale: int = 6) -> Column:
     return F.floor(_col(c) * F.lit(float(10 ** scale)) + F.lit(0.5))
 
 
+# The unit value is split into a high part (units >> SPLIT_BITS) and a low part (the last SPLIT_BITS
+# bits, 0..65535), each summed as bigint: per-row work stays primitive long arithmetic. With
+# |coordinate| < 1e3 at 10^-6 units, the sums cannot overflow below about 10^14 rows per group.
+SPLIT_BITS = 16
+
+
 def exact_sum(c, scale: int = 6, weight=None) -> Column:
-    """Exact sum of a coordinate in 10^-scale units, as ``decimal(38,0)`` (never overflows in practice)."""
-    units = micro_units(c, scale).cast("decimal(20,0)")
+    """Exact sum of a coordinate in 10^-scale units, as ``decimal(38,0)``.
+
+    Aggregate expression: two ``bigint`` sums per row (high and low part of the unit value, times the
+    weight if given), recombined as ``high * 2^16 + low`` on the aggregated row only.
+    """
+    units = micro_units(c, scale)
+    hi = F.shiftright(units, SPLIT_BITS)
+    lo = units.bitwiseAND(F.lit((1 << SPLIT_BITS) - 1).cast("long"))
     if weight is not None:
-        units = units * _col(weight).cast("decimal(18,0)")
-    return F.sum(units)
+        w = _col(weight).cast("long")
+        hi, lo = hi * w, lo * w
+    return (F.sum(hi).cast("decimal(38,0)") * F.lit(1 << SPLIT_BITS).cast("decimal(38,0)")
+            + F.sum(lo).cast("decimal(38,0)")).cast("decimal(38,0)")
 
 
 def mean_from_exact(sum_units: Column, count: Column, scale: int = 6) -> Column:

@@ -8,9 +8,9 @@ those rows are summed on the driver, otherwise one ``groupBy(cluster_id)`` merge
 shuffle carries at most K rows per partition whatever the data size or skew. The centres go out as K pairs of floats in the next plan, so
 the plan and the lineage do not grow with the number of iterations.
 
-Exact sums: coordinates are summed as integers of 10^-scale units in ``decimal`` (see
-``functions.geometry.micro_units``), so the centres are bit-identical for any partitioning and in any
-engine that follows the same rule.
+Exact sums: coordinates are summed as integers of 10^-scale units (``functions.geometry.micro_units``)
+- int64 inside a task, ``decimal(38,0)`` or Python integers across tasks - so the centres are
+bit-identical for any partitioning and in any engine that follows the same rule.
 """
 
 from __future__ import annotations
