@@ -90,6 +90,16 @@ def exact_sum(c, scale: int = 6, weight=None) -> Column:
             + F.sum(lo).cast("decimal(38,0)")).cast("decimal(38,0)")
 
 
+def exact_mean(c, scale: int = 6) -> Column:
+    """Mean of a column from its exact 10^-scale unit sum (aggregate): partition- and engine-independent."""
+    return mean_from_exact(exact_sum(c, scale), F.count(_col(c)), scale)
+
+
+def exact_total(c, scale: int = 6) -> Column:
+    """Sum of a column at 10^-scale resolution, exactly (aggregate), as a double."""
+    return exact_sum(c, scale).cast("double") / F.lit(float(10 ** scale))
+
+
 def mean_from_exact(sum_units: Column, count: Column, scale: int = 6) -> Column:
     """Mean coordinate from an exact unit sum: ``double(sum) / double(n) / 10^scale``."""
     return sum_units.cast("double") / count.cast("double") / F.lit(float(10 ** scale))

@@ -4,6 +4,8 @@ Input: the typed run table of ``sources.history`` (``run_id, impl, K, threads, n
 h2d_ms, kmeans_ms, d2h_ms, elapsed_ms, wcss, throughput_pts_sec``). Every operator is a grouped
 aggregate or an equi-join against an aggregate of a few rows; scalars such as the baseline time are
 scalar subqueries (``DataFrame.scalar()``) evaluated by Spark, never loops over collected rows.
+Mean and total times are exact sums at microsecond resolution (``exact_mean``), so they do not depend
+on partitioning or summation order.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from centroidal.functions.geometry import exact_mean, exact_total
 from centroidal.functions.metrics import (
     amdahl_limit, amdahl_parallel_fraction, is_digits, parallel_efficiency, speedup, threads_numeric,
     throughput, weak_efficiency,
@@ -40,7 +43,7 @@ def mean_by_threads(runs: DataFrame, impl: str = PARALLEL) -> DataFrame:
     """Mean elapsed time per thread count of ``impl`` (A9): ``n_points, threads, mean_ms, n_runs``."""
     return (runs.filter(F.col("impl") == impl)
             .groupBy("n_points", "threads")
-            .agg(F.avg("elapsed_ms").alias("mean_ms"), F.count(F.lit(1)).alias("n_runs")))
+            .agg(exact_mean("elapsed_ms").alias("mean_ms"), F.count(F.lit(1)).alias("n_runs")))
 
 
 def strong_scaling(runs: DataFrame, serial: str = SERIAL, parallel: str = PARALLEL,
@@ -57,7 +60,7 @@ def strong_scaling(runs: DataFrame, serial: str = SERIAL, parallel: str = PARALL
     par = runs.filter(F.col("impl") == parallel)
     if same_n:
         par = par.join(base.select(F.col("base_n").alias("n_points")), on="n_points", how="left_semi")
-    grouped = par.groupBy("threads").agg(F.avg("elapsed_ms").alias("mean_ms"))
+    grouped = par.groupBy("threads").agg(exact_mean("elapsed_ms").alias("mean_ms"))
     # The baseline is one row: attach it as one scalar subquery (no join, no cross product).
     b = base.select(F.struct("base_ms", "base_n", "base_iterations")).scalar()
     base_ms, base_n, base_it = b["base_ms"], b["base_n"], b["base_iterations"]
@@ -120,7 +123,7 @@ def impl_speedup(runs: DataFrame, baseline_impl: str = SERIAL) -> DataFrame:
     Both sides are first reduced to one mean time per (impl, K, N); the equi-join then pairs groups,
     never individual runs. Columns: ``impl, K, n_points, baseline_ms, impl_ms, speedup``.
     """
-    means = runs.groupBy("impl", "K", "n_points").agg(F.avg("elapsed_ms").alias("mean_ms"))
+    means = runs.groupBy("impl", "K", "n_points").agg(exact_mean("elapsed_ms").alias("mean_ms"))
     base = means.filter(F.col("impl") == baseline_impl).select("K", "n_points", F.col("mean_ms").alias("baseline_ms"))
     other = means.filter(F.col("impl") != baseline_impl).withColumnRenamed("mean_ms", "impl_ms")
     return (other.join(base, on=["K", "n_points"], how="inner")
@@ -146,7 +149,7 @@ def run_summary(runs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_runs"),
         F.count_distinct("impl").alias("n_impls"),
         F.sum(F.col("n_points") * F.col("iterations")).alias("points_processed"),
-        F.sum("elapsed_ms").alias("total_elapsed_ms"))
+        exact_total("elapsed_ms").alias("total_elapsed_ms"))
 
 
 def recomputed_throughput(runs: DataFrame) -> DataFrame:

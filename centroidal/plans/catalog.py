@@ -333,8 +333,7 @@ def q_run_summary(spark, sf_dir):
     """Run count, implementations, points processed, total time."""
     runs = FX.fx_runs(spark, sf_dir)
     s = H.run_summary(runs)
-    return s.select("n_runs", "n_impls", "points_processed",
-                    _r(F.col("total_elapsed_ms"), 2).alias("total_elapsed_ms"))
+    return s.select("n_runs", "n_impls", "points_processed", "total_elapsed_ms")
 
 
 def q_best_throughput(spark, sf_dir):
@@ -407,6 +406,9 @@ def _sizes_sql(assigned: str, wide: str, k: int) -> str:
             f"LEFT JOIN (SELECT k, count(*) AS cnt FROM {assigned} GROUP BY k) AS n ON n.k = o.cluster_id")
 
 
+EXACT_MEAN_SQL = (f"sum({KS.micro('elapsed_ms')})::DOUBLE / count(elapsed_ms)::DOUBLE / 1000000.0::DOUBLE")
+
+
 def _oracles() -> dict[str, str]:
     o: dict[str, str] = {}
     c7 = [("pts", PTS_SQL), ("c0", KS.wide_centres(CENTRES))]
@@ -503,7 +505,7 @@ def _oracles() -> dict[str, str]:
     runs = f"runs AS ({FX.FX_RUNS_SQL})"
     o["q_run_summary"] = (f"WITH {runs} SELECT count(*) AS n_runs, count(DISTINCT impl) AS n_impls, "
                           f"sum(n_points * iterations)::BIGINT AS points_processed, "
-                          f"{_rs('sum(elapsed_ms)', 2)} AS total_elapsed_ms FROM runs")
+                          f"sum({KS.micro('elapsed_ms')})::DOUBLE / 1000000.0::DOUBLE AS total_elapsed_ms FROM runs")
     o["q_best_throughput"] = (f"WITH {runs} SELECT impl, count(*) AS n_runs, max(throughput_pts_sec) AS best_throughput, "
                               f"min(elapsed_ms) AS min_elapsed_ms, "
                               f"min(CASE WHEN threads = '1' THEN elapsed_ms END) AS min_single_thread_ms "
@@ -520,7 +522,7 @@ def _oracles() -> dict[str, str]:
             f"WITH {runs}, base AS (SELECT n_points AS base_n, elapsed_ms AS base_ms, iterations AS base_iterations "
             f"FROM runs WHERE impl = 'serial' ORDER BY n_points DESC, run_id LIMIT 1), "
             f"par AS (SELECT * FROM runs WHERE impl = 'openmp' {filt}), "
-            f"g AS (SELECT threads, avg(elapsed_ms) AS mean_ms FROM par GROUP BY threads), "
+            f"g AS (SELECT threads, {EXACT_MEAN_SQL} AS mean_ms FROM par GROUP BY threads), "
             f"t AS (SELECT 0 AS row_order, '1 (serial)' AS threads, base_ms AS mean_ms, 1.0::DOUBLE AS speedup, "
             f"100.0::DOUBLE AS efficiency, base_n::DOUBLE * base_iterations / (base_ms / 1000.0::DOUBLE) AS throughput "
             f"FROM base WHERE EXISTS (SELECT 1 FROM par) "
@@ -550,7 +552,7 @@ def _oracles() -> dict[str, str]:
         f"SELECT run_id, threads, n_points, elapsed_ms, "
         f"{_rs('base_ms / elapsed_ms * 100.0::DOUBLE', RATIO_DIGITS)} AS efficiency FROM par, b WHERE base_ms IS NOT NULL")
     o["q_impl_speedup"] = (
-        f"WITH {runs}, m AS (SELECT impl, K, n_points, avg(elapsed_ms) AS mean_ms FROM runs GROUP BY impl, K, n_points) "
+        f"WITH {runs}, m AS (SELECT impl, K, n_points, {EXACT_MEAN_SQL} AS mean_ms FROM runs GROUP BY impl, K, n_points) "
         f"SELECT o.impl, o.K, o.n_points, {_rs('b.mean_ms', RATIO_DIGITS)} AS baseline_ms, "
         f"{_rs('o.mean_ms', RATIO_DIGITS)} AS impl_ms, "
         f"{_rs('CASE WHEN o.mean_ms > 0 THEN b.mean_ms / o.mean_ms ELSE 0.0::DOUBLE END', RATIO_DIGITS)} AS speedup "
