@@ -15,7 +15,7 @@ import argparse
 import logging
 import sys
 
-from centroidal.operators.lloyd import fit_kmeans
+from centroidal.operators.lloyd import fit_kmeans, materialize, spread
 from centroidal.operators.prepare import clean_points, fold_duplicates, limit_points, repartition_points, zone_lookup
 from centroidal.session import get_session
 from centroidal.sinks.writers import (
@@ -49,11 +49,18 @@ def parse_args(argv=None):
     p.add_argument("--seed", type=int, default=42)
     p.add_argument("--method", default="partials", choices=["partials", "arrow", "expr"])
     p.add_argument("--fold", action="store_true", help="fold duplicate locations (exact, weighted Lloyd)")
+    p.add_argument("--storage", default="persist", choices=["persist", "checkpoint"],
+                   help="keep the cleaned points cached, or checkpointed to spark.checkpoint.dir")
+    p.add_argument("--shuffle_partitions", type=int, default=None,
+                   help="spark.sql.shuffle.partitions for this job (AQE coalesces from there); size it to the "
+                        "largest shuffle, the duplicate folding, at about 128 MB per partition")
     return p.parse_args(argv)
 
 
 def run(args, spark=None):
     spark = spark or get_session(app_name="centroidal-kmeans")
+    if args.shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
     if args.format == "positional":
         raw = read_positional_csv(spark, args.input, args.col_x, args.col_y)
         x, y = "pickup_longitude", "pickup_latitude"
@@ -68,16 +75,26 @@ def run(args, spark=None):
     pts = clean_points(raw, x, y, keep=keep)
     pts = limit_points(pts, args.max_rows, order_by=[args.key] if args.key else None)
     pts = repartition_points(pts, args.n_parts)
-    fit_input, weight = (fold_duplicates(pts), "weight") if args.fold else (pts, None)
-    model = fit_kmeans(fit_input, args.k, args.max_iter, key=None if args.fold else args.key, weight=weight,
-                       init=args.init, seed=args.seed, method=args.method, log=log.info)
-    out = args.output.rstrip("/")
-    write_assignments(model.predict(pts), f"{out}/assignments")
-    write_centroid_record(spark, model, f"{out}/centroids")
-    write_experiment_record(spark, model, f"{out}/experiments")
-    append_run_records(run_record(spark, model), f"{out}/metrics")
-    write_history(spark, model, f"{out}/history")
-    return model
+    # Cache the cleaned points once: the fit iterates over them and the final assignment reads them
+    # again, so the source is scanned and cleaned a single time.
+    pts = materialize(spread(pts), args.storage)
+    try:
+        if args.fold:
+            model = fit_kmeans(fold_duplicates(pts), args.k, args.max_iter, weight="weight", init=args.init,
+                               seed=args.seed, method=args.method, log=log.info)
+        else:
+            model = fit_kmeans(pts, args.k, args.max_iter, key=args.key, init=args.init, seed=args.seed,
+                               method=args.method, storage="none", min_partitions=0, log=log.info)
+        out = args.output.rstrip("/")
+        write_assignments(model.predict(pts), f"{out}/assignments")
+        write_centroid_record(spark, model, f"{out}/centroids")
+        write_experiment_record(spark, model, f"{out}/experiments")
+        append_run_records(run_record(spark, model), f"{out}/metrics")
+        write_history(spark, model, f"{out}/history")
+        return model
+    finally:
+        if args.storage == "persist":
+            pts.unpersist()
 
 
 def main(argv=None):
