@@ -85,8 +85,12 @@ def main():
         queries[name] = round(sec, 3)
 
     total = round(sum(queries.values()), 3)
+    head = fits["fit_line_points_k8"]
+    headline = {"fit": "fit_line_points_k8", "n_points": head["n_points"], "k": head["k"],
+                "iterations": head["iterations"], "loop_sec": head["loop_sec"],
+                "pts_per_sec_per_iter": head["pts_per_sec_per_iter"]}
     print(json.dumps({"metric": "total_query_sec", "value": total, "unit": "sec", "queries": queries,
-                      "sf": sf_of(SF_DIR), "cpus": CPUS, "fits": fits}))
+                      "sf": sf_of(SF_DIR), "cpus": CPUS, "headline": headline, "fits": fits}))
     spark.stop()
 
 
