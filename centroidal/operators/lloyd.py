@@ -286,9 +286,9 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
                min_partitions: int | None = None, log=None) -> KMeansModel:
     """Fit K-Means with Lloyd iterations until no point moves or ``max_iter`` passes ran.
 
-    ``points`` must already be cleaned (no NULL/NaN coordinates). ``key`` names a unique row key for
-    reproducible seeding; without one, seeding folds duplicate locations. ``weight`` is an optional
-    multiplicity column (duplicate folding). The final counts always come from the assignment to the
+    ``points`` must already be cleaned (rows with a NULL/NaN coordinate are ignored). ``key`` names a
+    unique row key for reproducible seeding; without one, seeding samples whole locations. ``weight``
+    is an optional integer multiplicity column (duplicate folding). The final counts always come from the assignment to the
     final centres (V10).
     """
     t0 = time.perf_counter()

@@ -31,19 +31,20 @@ def parse_run_lines(lines: DataFrame, line_col: str = "value", order_col: str |
 
     ``order_col`` (file order) becomes ``run_id``, the tie-breaker of "first run wins" rules.
     """
-    parts = F.split(F.trim(F.col(line_col)), ",", -1)
-    n = F.size(parts)
+    rid_src = [F.col(order_col).alias("_order")] if order_col else []
+    staged = lines.select(*rid_src, F.split(F.trim(F.col(line_col)), ",", -1).alias("_parts"))
+    n = F.size("_parts")
 
     def at(i: int):
-        return F.element_at(parts, i + 1)
+        return F.element_at("_parts", i + 1)
 
     long_row = n == F.lit(LONG_FIELDS)
     # Positions of elapsed/wcss/throughput depend on the layout.
     def tail(short_i: int, long_i: int):
         return F.when(long_row, at(long_i)).otherwise(at(short_i)).try_cast("double")
 
-    rid = F.col(order_col).cast("bigint") if order_col else F.lit(None).cast("bigint")
-    typed = lines.filter(n.isin(SHORT_FIELDS, LONG_FIELDS) & (at(0) != F.lit("impl"))).select(
+    rid = F.col("_order").cast("bigint") if order_col else F.lit(None).cast("bigint")
+    typed = staged.filter(n.isin(SHORT_FIELDS, LONG_FIELDS) & (at(0) != F.lit("impl"))).select(
         rid.alias("run_id"),
         at(0).alias("impl"),
         at(1).try_cast("int").alias("K"),

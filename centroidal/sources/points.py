@@ -55,15 +55,17 @@ def parse_point_lines(lines: DataFrame, line_col: str = "value", col_x: int = DE
     result with ``operators.prepare.clean_points``. Unlike ``std::stod`` a numeric prefix such as
     ``-73.9abc`` is not accepted.
     """
-    parts = F.split(F.col(line_col), ",", -1)
-    n = F.size(parts)
+    # Split once into a column; the field extractions then read that column (Catalyst keeps the split
+    # in its own projection because it is used more than once).
+    staged = lines.select(*keep, F.split(F.col(line_col), ",", -1).alias("_parts"))
+    n = F.size("_parts")
 
     def field(i: int):
-        return F.when(n > i, F.element_at(parts, i + 1))
+        return F.when(n > i, F.element_at("_parts", i + 1))
 
-    return lines.select(*keep,
-                        field(col_x).try_cast("double").alias(X),
-                        field(col_y).try_cast("double").alias(Y))
+    return staged.select(*keep,
+                         field(col_x).try_cast("double").alias(X),
+                         field(col_y).try_cast("double").alias(Y))
 
 
 def read_positional_csv(spark: SparkSession, path: str | Sequence[str], col_x: int = DEFAULT_COL_X,
