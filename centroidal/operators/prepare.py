@@ -117,6 +117,12 @@ def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
     return n if n <= max_rows else None
 
 
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when a count proves it has at most ``max_rows`` rows, else ``df`` unchanged
+    (Spark then plans a shuffle join, with AQE's skew handling)."""
+    return F.broadcast(df) if bounded_rows(df, max_rows) is not None else df
+
+
 def zone_lookup(trips: DataFrame, zones: DataFrame, key: str = "LocationID", how: str = "inner",
                 max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Trip zone id -> zone coordinates (J1). Unknown zones are dropped (``inner``) or kept (``left``).
@@ -125,17 +131,13 @@ def zone_lookup(trips: DataFrame, zones: DataFrame, key: str = "LocationID", how
     of the trips then costs nothing extra (no shuffle of the trips at all). Beyond the bound the join
     is left to a shuffle join, where AQE's skew-join handling splits oversized partitions.
     """
-    small = bounded_rows(zones, max_broadcast_rows) is not None
-    right = F.broadcast(zones) if small else zones
-    return trips.join(right, on=key, how=how)
+    return trips.join(bounded_broadcast(zones, max_broadcast_rows), on=key, how=how)
 
 
 def zone_unmatched(trips: DataFrame, zones: DataFrame, key: str = "LocationID",
                    max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Trips whose zone id has no coordinates (``left_anti``): the rows the lookup drops."""
-    small = bounded_rows(zones.select(key), max_broadcast_rows) is not None
-    right = F.broadcast(zones.select(key)) if small else zones.select(key)
-    return trips.join(right, on=key, how="left_anti")
+    return trips.join(bounded_broadcast(zones.select(key), max_broadcast_rows), on=key, how="left_anti")
 
 
 def prep_profile(df: DataFrame, tag_col: str, valid: Column) -> DataFrame:

@@ -80,7 +80,8 @@ def merged_step(spark: SparkSession, pts: DataFrame, centres, prev=None) -> Data
     """All K clusters of one step, lazily: new centre (old one when empty), count, sse, moved."""
     agg = lloyd_aggregate(pts, centres, prev)
     cen = centres_frame(spark, centres)
-    j = cen.join(F.broadcast(agg), on="cluster_id", how="left")
+    # Both sides have at most K rows (K clusters); the aggregate is joined as it is.
+    j = cen.join(agg, on="cluster_id", how="left")
     return j.select(
         "cluster_id",
         F.when(F.col("n") > 0, mean_from_exact(F.col("sx"), F.col("n"))).otherwise(F.col("cx")).alias("cx"),
