@@ -292,7 +292,11 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
     final centres (V10).
     """
     t0 = time.perf_counter()
-    cols = [c for c in (key, x, y, weight) if c]
+    # The loop needs only the coordinates (and weight); the row key is cached with them only when the
+    # distributed K-Means++ rounds will scan the points K times. Sampled seeding makes one pass over
+    # the source instead, so the cache stays at two doubles per row.
+    key_in_cache = key is not None and initial_centres is None and init == "kmeans++"
+    cols = [c for c in ((key if key_in_cache else None), x, y, weight) if c]
     pts = spread(points.select(*cols), min_partitions)
     pts = materialize(pts, storage)
     try:
@@ -310,7 +314,8 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
             if len(seeds) != k:
                 raise ValueError(f"{len(seeds)} initial centres given for K={k}")
         else:
-            seeds = choose_seeds(pts, k, init, n_points, x, y, key, weight, seed, sample_target)
+            source = pts if (key is None or key_in_cache) else points.select(*[c for c in (key, x, y, weight) if c])
+            seeds = choose_seeds(source, k, init, n_points, x, y, key, weight, seed, sample_target)
         seed_time = time.perf_counter() - t1
 
         n_parts = pts.rdd.getNumPartitions()
