@@ -37,7 +37,7 @@ openmp,8,4,36830903,3,735.58,1.3130e+03,150211466
 def runs(spark):
     import tempfile
     d = tempfile.mkdtemp(prefix="centroidal-hist-")
-    with open(os.path.join(d, "metrics.csv"), "w") as f:
+    with open(os.path.join(d, "runs.csv"), "w") as f:
         f.write(RECORDED)
     return read_run_history(spark, d).cache()
 
