@@ -243,6 +243,12 @@ class KMeansModel:
         return assign_nearest(df, self.centres, self.x, self.y, out=out, dist_col=dist_col, method=method)
 
 
+def sample_bound(target: int) -> int:
+    """Hard cap on a seeding sample of expected size ``target`` (a Binomial count): 20x the target,
+    which a correct sample exceeds with probability far below 1e-100."""
+    return max(20 * target, 1000)
+
+
 def location_key(x: str = X, y: str = Y):
     """Text key of a location, used to sample and seed inputs that have no row key."""
     return F.concat_ws(",", F.col(x).cast("string"), F.col(y).cast("string"))
@@ -268,13 +274,13 @@ def choose_seeds(points: DataFrame, k: int, init: str, n_points: int, x: str, y:
         if key is not None:
             fraction = sample_fraction(n_points, sample_target)
             sample = points if fraction >= 1.0 else hash_sample(points, sample_target, key, seed, n_rows=n_points)
-            return kmeanspp_in_task(sample, k, x, y, key, seed, weight)
+            return kmeanspp_in_task(sample, k, x, y, key, seed, weight, max_rows=sample_bound(sample_target))
         keyed = points.withColumn("_key", location_key(x, y))
         n_loc = keyed.agg(F.approx_count_distinct("_key").alias("n")).first()["n"]
         fraction = sample_fraction(max(int(n_loc), 1), sample_target)
         sample = keyed if fraction >= 1.0 else hash_sample(keyed, sample_target, "_key", seed, n_rows=int(n_loc))
         folded = sample.groupBy("_key", x, y).agg(mult_expr.cast("double").alias("_m"))
-        return kmeanspp_in_task(folded, k, x, y, "_key", seed, "_m")
+        return kmeanspp_in_task(folded, k, x, y, "_key", seed, "_m", max_rows=sample_bound(sample_target))
     raise ValueError(f"unknown init {init!r}; use 'sample', 'kmeans++' or pass initial_centres")
 
 

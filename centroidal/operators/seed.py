@@ -97,7 +97,8 @@ def kmeanspp(df: DataFrame, k: int, x: str = X, y: str = Y, key: str = "id",
 
 
 def kmeanspp_in_task(sample: DataFrame, k: int, x: str = X, y: str = Y, key: str = "id",
-                     seed: int = DEFAULT_SEED, multiplicity: str | None = None) -> list[Centre]:
+                     seed: int = DEFAULT_SEED, multiplicity: str | None = None,
+                     max_rows: int | None = None) -> list[Centre]:
     """K-Means++ over a *bounded sample* in one task: the same draws as ``kmeanspp``, in one job.
 
     Spark computes every row's K exponential numerators ``-ln(u_r)`` (the same md5 uniforms as
@@ -105,7 +106,8 @@ def kmeanspp_in_task(sample: DataFrame, k: int, x: str = X, y: str = Y, key: str
     is shuffled to a single task, which runs the K rounds with NumPy: least squared distance kept
     incrementally, key ``e_r / w``, least (key, row key) wins. The arithmetic is the same IEEE
     operations as the distributed form, so both pick the same seeds. Only for sampled input; on the
-    full data use ``kmeanspp``.
+    full data use ``kmeanspp``. ``max_rows`` is a hard bound on the rows the task accepts: it fails
+    with a clear error beyond it instead of holding an unexpectedly large input.
     """
     if k < 1:
         raise ValueError("K must be at least 1")
@@ -114,7 +116,7 @@ def kmeanspp_in_task(sample: DataFrame, k: int, x: str = X, y: str = Y, key: str
     prepared = sample.select(F.col(key).alias("_key"), F.col(x).alias("_x"), F.col(y).alias("_y"),
                              m.alias("_m"), e.alias("_e"))
     rows = (prepared.repartition(1)
-            .mapInPandas(kmeanspp_rounds_fn(k), "round int, cx double, cy double, found boolean")
+            .mapInPandas(kmeanspp_rounds_fn(k, max_rows), "round int, cx double, cy double, found boolean")
             .collect())
     rows = sorted(rows, key=lambda r: r["round"])
     centres = [(float(r["cx"]), float(r["cy"])) for r in rows if r["found"]]
@@ -125,10 +127,15 @@ def kmeanspp_in_task(sample: DataFrame, k: int, x: str = X, y: str = Y, key: str
     return centres
 
 
-def kmeanspp_rounds_fn(k: int):
+def kmeanspp_rounds_fn(k: int, max_rows: int | None = None):
     """``mapInPandas`` body: the K K-Means++ rounds over the whole (single-partition) sample."""
     def rounds(batches):
-        parts = list(batches)
+        parts, total = [], 0
+        for b in batches:
+            total += len(b)
+            if max_rows is not None and total > max_rows:
+                raise RuntimeError(f"seeding sample has more than {max_rows} rows; expected a bounded sample")
+            parts.append(b)
         if not parts:
             return
         pdf = pd.concat(parts, ignore_index=True)

@@ -166,3 +166,9 @@ def test_driver_merge_equals_spark_merge(pts, model, monkeypatch):
     m = fit_kmeans(pts, 4, 30, key="id", initial_centres=model.seeds)
     assert m.centres == model.centres and m.counts == model.counts
     assert [h["n_moved"] for h in m.history] == [h["n_moved"] for h in model.history]
+
+
+def test_in_task_seeding_refuses_an_oversized_sample(pts):
+    from centroidal.operators.seed import kmeanspp_in_task
+    with pytest.raises(Exception, match="bounded sample"):
+        kmeanspp_in_task(pts, 3, key="id", max_rows=10)
