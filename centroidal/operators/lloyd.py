@@ -294,13 +294,15 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
 
     ``points`` must already be cleaned (rows with a NULL/NaN coordinate are ignored). ``key`` names a
     unique row key for reproducible seeding; without one, seeding samples whole locations. ``weight``
-    is an optional integer multiplicity column (duplicate folding). The final counts always come from the assignment to the
-    final centres (V10).
+    is an optional integer multiplicity column (duplicate folding). The final counts always come from
+    the assignment to the final centres (V10). With ``storage="none"`` the caller keeps ``points``
+    cached (and spread) itself; nothing is repartitioned here then, since it would repeat every pass.
     """
     t0 = time.perf_counter()
     cols = [c for c in (key, x, y, weight) if c]
-    pts = spread(points.select(*cols), min_partitions)
-    pts = materialize(pts, storage)
+    pts = points.select(*cols)
+    if storage != "none":
+        pts = materialize(spread(pts, min_partitions), storage)
     try:
         if weight:
             n_points = int(pts.agg(F.sum(F.col(weight).cast("long"))).first()[0] or 0)
