@@ -249,7 +249,8 @@ def q_moved_count(spark, sf_dir):
 
 
 def q_lloyd_step(spark, sf_dir):
-    """The second Lloyd iteration from FX7 in one job: centres, counts, sse and moved per cluster."""
+    """The second Lloyd iteration from FX7: after the first update C1 (one job), the step from C1 with
+    FX7 as previous centres - new centres, counts, sse and moved per cluster - as one more job (X4)."""
     pts = points(spark, sf_dir)
     c1 = first_update(spark, sf_dir, pts)
     return merged_step(spark, pts, c1, CENTRES)
