@@ -9,9 +9,11 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Settings every run of this library relies on; applied only where the session leaves them unset.
+# Settings every run of this library relies on; applied only where the submitted configuration
+# (spark-submit, spark-defaults.conf) leaves them unset.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -33,21 +35,26 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
+    # Configuration already given by spark-submit / spark-defaults.conf (JVM system properties).
+    submitted = SparkConf()
     builder = SparkSession.builder.appName(app_name)
+    local = bool(master and master.startswith("local"))
     if master:
         builder = builder.master(master)
-        if master.startswith("local"):
+        if local and not submitted.contains("spark.driver.memory"):
             # Local mode runs every task inside the driver JVM; the 1 GiB default is too small.
             builder = builder.config("spark.driver.memory", "8g")
     for key, value in DEFAULTS.items():
-        builder = builder.config(key, value)
+        if not submitted.contains(key):
+            builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if local:
+        ensure_checkpoint_dir(spark)
     return spark
 
 
