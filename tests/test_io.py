@@ -153,3 +153,12 @@ def test_repartition_and_partition_profile(spark):
     prof = partition_profile(r).collect()
     assert len(prof) == 5 and sum(p["rows"] for p in prof) == pts.count()
     assert repartition_points(pts, None) is pts
+
+
+def test_number_formatting(spark):
+    from centroidal.functions import formatting as fmt
+    df = spark.createDataFrame([(1313.0, 2.6549, 33.2, 36830903.0, -73.9812345)], "a double, b double, c double, "
+                                                                              "d double, e double")
+    r = df.select(fmt.scientific("a").alias("s"), fmt.times("b").alias("t"), fmt.percent("c").alias("p"),
+                  fmt.thousands("d").alias("th"), fmt.fixed("e", 6).alias("f")).first()
+    assert (r["s"], r["t"], r["p"], r["th"], r["f"]) == ("1.3130e+03", "2.65x", "33.2%", "36,830,903", "-73.981235")

@@ -172,3 +172,8 @@ def test_in_task_seeding_refuses_an_oversized_sample(pts):
     from centroidal.operators.seed import kmeanspp_in_task
     with pytest.raises(Exception, match="bounded sample"):
         kmeanspp_in_task(pts, 3, key="id", max_rows=10)
+
+
+def test_checkpoint_storage_gives_the_same_fit(pts, model):
+    m = fit_kmeans(pts, 4, 30, key="id", initial_centres=model.seeds, storage="checkpoint")
+    assert m.centres == model.centres and m.counts == model.counts
