@@ -77,7 +77,10 @@ def lloyd_aggregate(points: DataFrame, centres: Sequence[Centre], prev_centres:
     All three give identical results; each is one job whose shuffle carries at most K rows per task.
     """
     if method == "partials":
+        # At most K partial rows per partition: hash them into min(K, 200) partitions (a fixed count,
+        # independent of spark.sql.shuffle.partitions and AQE) and merge each cluster in one task.
         part = lloyd_partials(points, centres, prev_centres, x, y, weight, scale)
+        part = part.repartition(max(1, min(len(centres), 200)), "cluster_id")
         return (part.groupBy("cluster_id")
                 .agg(F.sum(F.col("sx").cast("decimal(38,0)")).alias("sx"),
                      F.sum(F.col("sy").cast("decimal(38,0)")).alias("sy"),
