@@ -22,7 +22,7 @@ from centroidal.sinks.writers import (
     append_run_records, run_record, write_assignments, write_centroid_record, write_experiment_record,
     write_history,
 )
-from centroidal.sources.points import read_points, read_positional_csv
+from centroidal.sources.points import find_coordinate_columns, read_points, read_positional_csv
 from centroidal.sources.zones import read_zones
 
 log = logging.getLogger("centroidal.job")
@@ -67,6 +67,11 @@ def run(args, spark=None):
     else:
         raw = read_points(spark, args.input, args.format)
         x, y = args.x, args.y
+        if not args.zones and (x not in raw.columns or y not in raw.columns):
+            found = find_coordinate_columns(raw.columns)   # P6: older files name them differently
+            if found is None:
+                raise ValueError(f"no coordinate columns in {raw.columns}; pass --x and --y")
+            x, y = found
     if args.zones:
         zones = read_zones(spark, args.zones, "parquet" if args.zones.endswith(".parquet") else "csv")
         raw = zone_lookup(raw.withColumnRenamed("PULocationID", "LocationID"), zones)

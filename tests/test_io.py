@@ -162,3 +162,13 @@ def test_number_formatting(spark):
     r = df.select(fmt.scientific("a").alias("s"), fmt.times("b").alias("t"), fmt.percent("c").alias("p"),
                   fmt.thousands("d").alias("th"), fmt.fixed("e", 6).alias("f")).first()
     assert (r["s"], r["t"], r["p"], r["th"], r["f"]) == ("1.3130e+03", "2.65x", "33.2%", "36,830,903", "-73.981235")
+
+
+def test_job_discovers_coordinate_columns(spark, tmpdir_run):
+    from centroidal.plans.job import parse_args, run
+    src = f"{tmpdir_run}/older"
+    catalog.points(spark, SF0001).withColumnRenamed("pickup_longitude", "Start_Lon") \
+        .withColumnRenamed("pickup_latitude", "Start_Lat").write.parquet(src)
+    m = run(parse_args(["--input", src, "--format", "parquet", "--output", f"{tmpdir_run}/out", "--k", "3",
+                        "--key", "id"]), spark)
+    assert m.n_points == catalog.points(spark, SF0001).count()
