@@ -8,6 +8,7 @@ engines add in different orders); centres, counts and ids are compared exactly.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,9 @@ from centroidal.operators.seed import hash_sample, kmeanspp, weighted_draw
 from centroidal.plans import kmeans_sql as KS
 from centroidal.sources import fixtures as FX
 from centroidal.sources.history import parse_run_lines
-from centroidal.sources.points import parse_point_lines, union_point_sources
+from centroidal.sources.points import parse_point_lines, read_points, read_positional_csv, union_point_sources
+from centroidal.sinks.writers import write_assignments, write_prepared_csv
+from centroidal.session import ensure_checkpoint_dir
 
 X, Y = "pickup_longitude", "pickup_latitude"
 
@@ -175,6 +178,27 @@ TRIPS_SQL = (f"SELECT t.*, z.longitude, z.latitude FROM ({FX.FX_TRIPS_SQL}) AS t
              f"JOIN ({FX.FX_ZONES_SQL}) AS z ON t.LocationID = z.LocationID")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint directory (never a machine-local one)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_assignments_roundtrip(spark, sf_dir):
+    """Assignments to FX7 written as Parquet (K1) and read back (S2): pickup_longitude, pickup_latitude,
+    cluster_id."""
+    path = scratch_path(spark, "assignments")
+    write_assignments(assign_nearest(points(spark, sf_dir), CENTRES), path)
+    return read_points(spark, path)
+
+
+def q_prepared_roundtrip(spark, sf_dir):
+    """Cleaned points written in the padded prepared-CSV layout (K7) and read back by field position
+    (S3, header skipped): the same coordinates."""
+    path = scratch_path(spark, "prepared")
+    write_prepared_csv(points(spark, sf_dir), path)
+    return clean_points(read_positional_csv(spark, path))
+
+
 # --- distances and assignment (F1, F2, J2, T3) ------------------------------------------------------
 
 def q_sq_dist(spark, sf_dir):
@@ -439,6 +463,8 @@ def _oracles() -> dict[str, str]:
         f"LEFT JOIN ({FX.FX_ZONES_SQL}) AS z ON t.LocationID = z.LocationID) GROUP BY ROLLUP (file_tag)")
     o["q_union_files"] = (f"SELECT 'orders' AS source, {X}, {Y} FROM ({FX.FX_POINTS_SQL}) UNION ALL "
                           f"SELECT 'trips' AS source, longitude AS {X}, latitude AS {Y} FROM ({TRIPS_SQL})")
+    o["q_assignments_roundtrip"] = (W(a7) + f" SELECT {X}, {Y}, k AS cluster_id FROM a")
+    o["q_prepared_roundtrip"] = f"SELECT {X}, {Y} FROM ({PTS_SQL})"
     o["q_fold_duplicates"] = (f"SELECT longitude AS {X}, latitude AS {Y}, count(*) AS weight FROM ({TRIPS_SQL}) "
                               f"WHERE {box_sql('longitude', 'latitude')} GROUP BY 1, 2")
 
