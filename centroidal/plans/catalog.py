@@ -29,7 +29,7 @@ from centroidal.plans import kmeans_sql as KS
 from centroidal.sources import fixtures as FX
 from centroidal.sources.history import parse_run_lines
 from centroidal.sources.points import parse_point_lines, read_points, read_positional_csv, union_point_sources
-from centroidal.sinks.writers import write_assignments, write_prepared_csv
+from centroidal.sinks.writers import append_run_records, centroid_record, write_assignments, write_prepared_csv
 from centroidal.session import ensure_checkpoint_dir
 
 X, Y = "pickup_longitude", "pickup_latitude"
@@ -340,6 +340,12 @@ def q_kmeans_fit_sampled(spark, sf_dir):
     return model.centres_frame(spark)
 
 
+def q_centroid_record(spark, sf_dir):
+    """The centroid record {k, centroids: [{id, x, y, count}]} of the fit (K5), exploded back to rows."""
+    _, model = _fit(spark, sf_dir)
+    return centroid_record(spark, model).select("k", F.inline("centroids"))
+
+
 def q_kmeans_fit_folded(spark, sf_dir):
     """Weighted Lloyd on duplicate-folded trip points from the FX7 centres; equals the unfolded fit."""
     trips = zone_lookup(FX.fx_trips(spark, sf_dir), FX.fx_zones(spark))
@@ -355,6 +361,14 @@ def q_history_load(spark, sf_dir):
     return parse_run_lines(FX.fx_run_lines(spark, sf_dir), "value", "line_no")
 
 
+def q_run_records_roundtrip(spark, sf_dir):
+    """Run records appended to a typed Parquet table (K3, K4: GPU timing columns nullable) and read
+    back (S8)."""
+    path = scratch_path(spark, "runs")
+    append_run_records(FX.fx_runs(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
 def q_run_summary(spark, sf_dir):
     """Run count, implementations, points processed, total time."""
     runs = FX.fx_runs(spark, sf_dir)
@@ -502,6 +516,9 @@ def _oracles() -> dict[str, str]:
     last = f"c{FIT_ITERS}"
     o["q_kmeans_fit"] = (fit + f", fin AS ({KS.assign('pts', FIT_K, last)}) " + _sizes_sql("fin", last, FIT_K))
     o["q_lloyd_history"] = fit + " " + KS.history_select(FIT_K, FIT_ITERS, digits=SSE_DIGITS)
+    o["q_centroid_record"] = (fit + f", fin AS ({KS.assign('pts', FIT_K, last)}) SELECT {FIT_K} AS k, "
+                              f"cluster_id AS id, cx AS x, cy AS y, cnt AS count FROM ("
+                              + _sizes_sql("fin", last, FIT_K) + ")")
     o["q_kmeans_predict"] = fit + f", fin AS ({KS.assign('pts', FIT_K, last)}) SELECT id, k AS cluster_id FROM fin"
 
     line_pts = f"SELECT id, {X}, {Y} FROM ({FX.FX_LINE_POINTS_SQL}) WHERE {box_sql()}"
@@ -531,6 +548,7 @@ def _oracles() -> dict[str, str]:
         "WHERE len(p) IN (8, 11) AND p[1] <> 'impl'")
 
     runs = f"runs AS ({FX.FX_RUNS_SQL})"
+    o["q_run_records_roundtrip"] = FX.FX_RUNS_SQL
     o["q_run_summary"] = (f"WITH {runs} SELECT count(*) AS n_runs, count(DISTINCT impl) AS n_impls, "
                           f"sum(n_points * iterations)::BIGINT AS points_processed, "
                           f"sum({KS.micro('elapsed_ms')})::DOUBLE / 1000000.0::DOUBLE AS total_elapsed_ms FROM runs")
