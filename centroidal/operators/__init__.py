@@ -1,0 +1 @@
+"""DataFrame operators: preparation, assignment, seeding, Lloyd iterations, evaluation, run history."""

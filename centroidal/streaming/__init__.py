@@ -1,0 +1 @@
+"""The stateless prediction stage applied to a Structured Streaming source."""
