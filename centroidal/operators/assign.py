@@ -46,8 +46,8 @@ def nearest_numpy(x: np.ndarray, y: np.ndarray, cx: np.ndarray, cy: np.ndarray):
         dy = y - cy[k]
         d = dx * dx + dy * dy
         closer = d < best
-        best[closer] = d[closer]
-        idx[closer] = k
+        np.copyto(best, d, where=closer)
+        np.copyto(idx, k, where=closer)
     return idx, best
 
 
