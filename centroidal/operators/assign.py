@@ -187,24 +187,25 @@ def lloyd_partials_fn(centres: Sequence[Centre], prev_centres: Sequence[Centre]
             if xv.shape[0] == 0:
                 continue
             idx, d = nearest_numpy(xv, yv, cx, cy)
-            moved = np.ones(xv.shape[0], dtype=np.int64) if pc is None else \
-                (nearest_numpy(xv, yv, pc[0], pc[1])[0] != idx).astype(np.int64)
-            ux = np.floor(xv * unit + 0.5).astype(np.int64)
-            uy = np.floor(yv * unit + 0.5).astype(np.int64)
+            moved = None if pc is None else nearest_numpy(xv, yv, pc[0], pc[1])[0] != idx
+            # Integer-valued doubles (|units| < 2^53), so unweighted bincount sums below are exact.
+            ux = np.floor(xv * unit + 0.5)
+            uy = np.floor(yv * unit + 0.5)
             if weight is None:
-                n += np.bincount(idx, minlength=k).astype(np.int64)
-                sx += np.bincount(idx, weights=ux.astype(np.float64), minlength=k).astype(np.int64)
-                sy += np.bincount(idx, weights=uy.astype(np.float64), minlength=k).astype(np.int64)
+                cnt = np.bincount(idx, minlength=k).astype(np.int64)
+                n += cnt
+                sx += np.bincount(idx, weights=ux, minlength=k).astype(np.int64)
+                sy += np.bincount(idx, weights=uy, minlength=k).astype(np.int64)
                 sse += np.bincount(idx, weights=d, minlength=k)
-                mv += np.bincount(idx, weights=moved.astype(np.float64), minlength=k).astype(np.int64)
+                mv += cnt if moved is None else np.bincount(idx, weights=moved, minlength=k).astype(np.int64)
             else:
                 w = pdf[weight].to_numpy(dtype=np.int64)
                 if not ok.all():
                     w = w[ok]
                 np.add.at(n, idx, w)
-                np.add.at(sx, idx, ux * w)
-                np.add.at(sy, idx, uy * w)
-                np.add.at(mv, idx, moved * w)
+                np.add.at(sx, idx, ux.astype(np.int64) * w)
+                np.add.at(sy, idx, uy.astype(np.int64) * w)
+                np.add.at(mv, idx, w if moved is None else moved.astype(np.int64) * w)
                 sse += np.bincount(idx, weights=d * w, minlength=k)
         keep = n > 0
         if keep.any():
