@@ -3,7 +3,7 @@
 One Spark job per iteration. Every point is assigned to the current centres *and* to the previous
 ones in the same pass (no cached assignment); per cluster the job computes exact coordinate sums, the
 count, the sum of squared distances and the number of points that moved. By default each partition
-is reduced to at most K partial rows inside its task (``mapInPandas``); while partitions x K is small
+is reduced to at most K partial rows inside its task (``mapInArrow``); while partitions x K is small
 those rows are summed on the driver, otherwise one ``groupBy(cluster_id)`` merges them, so the
 shuffle carries at most K rows per partition whatever the data size or skew. The centres go out as K pairs of floats in the next plan, so
 the plan and the lineage do not grow with the number of iterations.
@@ -40,9 +40,9 @@ DRIVER_MERGE_MAX_ROWS = 100_000
 
 def lloyd_partials(points: DataFrame, centres: Sequence[Centre], prev_centres: Sequence[Centre] | None = None,
                    x: str = X, y: str = Y, weight: str | None = None, scale: int = 6) -> DataFrame:
-    """Per-partition partial sums of one Lloyd pass: at most K rows per partition (``mapInPandas``)."""
+    """Per-partition partial sums of one Lloyd pass: at most K rows per partition (``mapInArrow``)."""
     cols = [x, y] + ([weight] if weight else [])
-    return points.select(*cols).mapInPandas(
+    return points.select(*cols).mapInArrow(
         lloyd_partials_fn(centres, prev_centres, x, y, weight, scale), PARTIALS_SCHEMA)
 
 
@@ -71,8 +71,8 @@ def lloyd_aggregate(points: DataFrame, centres: Sequence[Centre], prev_centres:
     (all points when there are no previous centres, V7). Empty clusters have no row; rows with a
     missing coordinate are ignored.
 
-    ``method``: ``"partials"`` (default) - ``mapInPandas`` returns K partial rows per Arrow batch and
-    one ``groupBy`` merges them; ``"arrow"`` - a vectorised UDF tags each row with its cluster and
+    ``method``: ``"partials"`` (default) - ``mapInArrow`` returns at most K partial rows per partition
+    and one ``groupBy`` merges them; ``"arrow"`` - a vectorised UDF tags each row with its cluster and
     Spark's partial/final ``HashAggregate`` sums; ``"expr"`` - the same with built-in expressions.
     All three give identical results; each is one job whose shuffle carries at most K rows per task.
     """
