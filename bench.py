@@ -51,7 +51,9 @@ def force(df):
 
 def main():
     spark = get_session(f"local[{CPUS}]", CPUS)
-    spark.range(1000).agg(F.sum("id")).collect()  # JVM and Python worker warm-up, not timed
+    # Warm-up, not timed: the JVM, and one Python worker per task slot (Arrow batches in and out).
+    spark.range(1000).agg(F.sum("id")).collect()
+    spark.range(0, 1000, 1, CPUS).mapInArrow(lambda batches: batches, "id long").collect()
 
     queries: dict[str, float] = {}
     fits: dict[str, dict] = {}
