@@ -257,14 +257,15 @@ def location_key(x: str = X, y: str = Y):
     return F.concat_ws(",", F.col(x).cast("string"), F.col(y).cast("string"))
 
 
-def choose_seeds(points: DataFrame, k: int, init: str, n_points: int, x: str, y: str, key: str | None,
+def choose_seeds(points: DataFrame, k: int, init: str, n_rows: int, x: str, y: str, key: str | None,
                  weight: str | None, seed: int, sample_target: int) -> list[Centre]:
     """Starting centres: ``kmeans++`` over all points (X3, K distributed rounds) or ``sample``: K-Means++
     in one task over a hash sample of about ``sample_target`` rows (X1 + X2, the reference's way).
 
     Without a row key, duplicate rows cannot be told apart, so whole *locations* are sampled (hash of
     the coordinates, fraction from an approximate distinct count) and then folded with their
-    multiplicity; each location's draw probability stays proportional to its row count.
+    multiplicity; each location's draw probability stays proportional to its row count. ``n_rows`` is
+    the number of rows (the sampling units), not the weighted total.
     """
     mult_expr = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
     if init == "kmeans++":
@@ -275,8 +276,8 @@ def choose_seeds(points: DataFrame, k: int, init: str, n_points: int, x: str, y:
         return kmeanspp(folded, k, x, y, "_key", seed, "_m")
     if init == "sample":
         if key is not None:
-            fraction = sample_fraction(n_points, sample_target)
-            sample = points if fraction >= 1.0 else hash_sample(points, sample_target, key, seed, n_rows=n_points)
+            fraction = sample_fraction(n_rows, sample_target)
+            sample = points if fraction >= 1.0 else hash_sample(points, sample_target, key, seed, n_rows=n_rows)
             return kmeanspp_in_task(sample, k, x, y, key, seed, weight, max_rows=sample_bound(sample_target))
         keyed = points.withColumn("_key", location_key(x, y))
         n_loc = keyed.agg(F.approx_count_distinct("_key").alias("n")).first()["n"]
@@ -308,9 +309,10 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
         pts = materialize(spread(pts, min_partitions), storage)
     try:
         if weight:
-            n_points = int(pts.agg(F.sum(F.col(weight).cast("long"))).first()[0] or 0)
+            totals = pts.agg(F.sum(F.col(weight).cast("long")).alias("w"), F.count(F.lit(1)).alias("r")).first()
+            n_points, n_rows = int(totals["w"] or 0), int(totals["r"])
         else:
-            n_points = pts.count()
+            n_points = n_rows = pts.count()
         if n_points == 0:
             raise ValueError("no valid points to cluster")
         load_time = time.perf_counter() - t0
@@ -321,7 +323,7 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
             if len(seeds) != k:
                 raise ValueError(f"{len(seeds)} initial centres given for K={k}")
         else:
-            seeds = choose_seeds(pts, k, init, n_points, x, y, key, weight, seed, sample_target)
+            seeds = choose_seeds(pts, k, init, n_rows, x, y, key, weight, seed, sample_target)
         seed_time = time.perf_counter() - t1
 
         n_parts = pts.rdd.getNumPartitions()

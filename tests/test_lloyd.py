@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from centroidal.operators.assign import assign_nearest
 from centroidal.operators.lloyd import fit_kmeans
@@ -177,3 +178,12 @@ def test_in_task_seeding_refuses_an_oversized_sample(pts):
 def test_checkpoint_storage_gives_the_same_fit(pts, model):
     m = fit_kmeans(pts, 4, 30, key="id", initial_centres=model.seeds, storage="checkpoint")
     assert m.centres == model.centres and m.counts == model.counts
+
+
+def test_sampled_seeding_of_keyed_weighted_rows(spark):
+    # Folded rows with their own key: the sample fraction must come from the row count, not the
+    # total weight (46 rows carrying about 2,400 points at sf0.001).
+    trips = clean_points(zone_lookup(FX.fx_trips(spark, SF0001), FX.fx_zones(spark)), "longitude", "latitude")
+    folded = fold_duplicates(trips).withColumn("loc", F.concat_ws(",", X, Y))
+    m = fit_kmeans(folded, 8, 10, key="loc", weight="weight", init="sample", sample_target=100)
+    assert len(set(m.seeds)) == 8 and sum(m.counts) == trips.count()
