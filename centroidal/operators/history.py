@@ -78,7 +78,7 @@ def strong_scaling(runs: DataFrame, serial: str = SERIAL, parallel: str = PARALL
         throughput(F.col("base_n"), F.col("base_iterations"), F.col("base_ms")).alias("throughput"))
     # The reference prints nothing unless both kinds of runs exist.
     has_parallel = par.select(F.count(F.lit(1))).scalar() > 0
-    return serial_row.filter(has_parallel).unionByName(rows)
+    return serial_row.filter(has_parallel).unionByName(rows.filter(base_ms.isNotNull()))
 
 
 def amdahl(scaling: DataFrame) -> DataFrame:

@@ -110,3 +110,9 @@ def test_chart_table_has_no_n_filter(runs):
 def test_recorded_throughput_is_consistent(runs):
     for r in H.recomputed_throughput(runs).filter("impl <> 'cuda'").collect():
         assert abs(r["throughput_check"] / r["throughput_pts_sec"] - 1) < 2e-4
+
+
+def test_strong_scaling_needs_both_kinds_of_runs(runs):
+    assert H.strong_scaling(runs.filter("impl <> 'serial'")).count() == 0
+    assert H.strong_scaling(runs.filter("impl <> 'openmp'")).count() == 0
+    assert H.amdahl(H.strong_scaling(runs.filter("impl <> 'serial'"))).count() == 0
