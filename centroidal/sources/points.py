@@ -31,14 +31,19 @@ def read_points(spark: SparkSession, path: str | Sequence[str], fmt: str = "parq
     """Read a point table in ``parquet`` or ``csv`` (S1, S2, S4); any Hadoop URI works.
 
     A directory or a list of files is read as one table (S6, U1); ``_metadata.file_name`` gives the
-    per-file tag when needed. CSV gets an explicit schema (default: the two coordinates as doubles).
+    per-file tag when needed. CSV columns are found by their header names, as string columns (only
+    the header line is read up front, no type-inference pass); ``select_coordinates`` /
+    ``clean_points`` then ``try_cast`` the named columns. A ``schema``, when given, is applied by
+    position, as Spark's CSV reader does.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if fmt == "parquet":
         return spark.read.parquet(*paths)
     if fmt == "csv":
-        return (spark.read.schema(schema or POINT_SCHEMA).option("header", header)
-                .option("mode", "PERMISSIVE").csv(paths))
+        reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.csv(paths)
     raise ValueError(f"unknown format {fmt!r}; use 'parquet' or 'csv'")
 
 

@@ -172,3 +172,11 @@ def test_job_discovers_coordinate_columns(spark, tmpdir_run):
     m = run(parse_args(["--input", src, "--format", "parquet", "--output", f"{tmpdir_run}/out", "--k", "3",
                         "--key", "id"]), spark)
     assert m.n_points == catalog.points(spark, SF0001).count()
+
+
+def test_named_csv_reads_columns_by_header_name(spark, tmpdir_run):
+    p = os.path.join(tmpdir_run, "prepared.csv")
+    write(p, "col_0,col_1,col_2,col_3,col_4,pickup_longitude,pickup_latitude\n0,0,0,0,0,-73.98,40.75\n"
+             "0,0,0,0,0,-74.01,40.71\n")
+    got = sorted((r[X], r[Y]) for r in clean_points(read_points(spark, p, "csv")).collect())
+    assert got == [(-74.01, 40.71), (-73.98, 40.75)]
