@@ -17,12 +17,13 @@ ZONE_SCHEMA = T.StructType([
 
 
 def read_zones(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Read the zone table with a fixed schema; rows without a key or a coordinate are dropped."""
+    """Read the zone table by column name and type it as ``ZONE_SCHEMA``; rows without a key or a
+    coordinate (or with text that is not a number) are dropped. Other columns are ignored."""
     if fmt == "csv":
-        df = spark.read.schema(ZONE_SCHEMA).option("header", True).csv(path)
+        df = spark.read.option("header", True).csv(path)    # columns by header name, as strings
     elif fmt == "parquet":
-        df = spark.read.parquet(path).select(
-            F.col("LocationID").cast("int"), F.col("longitude").cast("double"), F.col("latitude").cast("double"))
+        df = spark.read.parquet(path)
     else:
         raise ValueError(f"unknown format {fmt!r}")
-    return df.na.drop(subset=["LocationID", "longitude", "latitude"])
+    typed = df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in ZONE_SCHEMA.fields])
+    return typed.na.drop(subset=["LocationID", "longitude", "latitude"])

@@ -180,3 +180,10 @@ def test_named_csv_reads_columns_by_header_name(spark, tmpdir_run):
              "0,0,0,0,0,-74.01,40.71\n")
     got = sorted((r[X], r[Y]) for r in clean_points(read_points(spark, p, "csv")).collect())
     assert got == [(-74.01, 40.71), (-73.98, 40.75)]
+
+
+def test_zone_reader_by_name(spark, tmpdir_run):
+    p = os.path.join(tmpdir_run, "zones2.csv")
+    write(p, "Borough,latitude,LocationID,longitude\nQueens,40.7,3,-73.8\n")
+    r = read_zones(spark, p).collect()
+    assert [(z["LocationID"], z["longitude"], z["latitude"]) for z in r] == [(3, -73.8, 40.7)]
