@@ -25,7 +25,11 @@ POINT_STREAM_SCHEMA = T.StructType([T.StructField(X, T.DoubleType()), T.StructFi
 
 def read_point_stream(spark: SparkSession, path: str, fmt: str = "parquet",
                       schema: T.StructType = POINT_STREAM_SCHEMA, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Files arriving in ``path`` as a stream of points (explicit schema, as streams require)."""
+    """Files arriving in ``path`` as a stream of points (explicit schema, as streams require).
+
+    Parquet columns are matched by name; for CSV Spark applies the schema by position, so pass one
+    that lists the file's columns in order.
+    """
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
