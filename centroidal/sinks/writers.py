@@ -24,8 +24,9 @@ def write_assignments(assigned: DataFrame, path: str, mode: str = "overwrite") -
 def write_result_rows(rows: DataFrame, path: str, decimals: int = 6, mode: str = "overwrite") -> None:
     """Result rows ``x, y, cluster, centroid_x, centroid_y`` as CSV with a header, fixed decimals.
 
-    ``%.6f`` is Java's formatter, which rounds a value lying exactly halfway in binary upwards; a C
-    stream rounds such a tie to even. The two texts can differ only on those exact ties.
+    ``%.6f`` is Java's formatter: it rounds the shortest decimal form of the double half up, where a C
+    stream rounds the exact binary value. The texts can differ when that decimal form has a 5 right
+    after the sixth decimal (e.g. ``-74.1234565``); the doubles behind them are the same.
     """
     out = rows.select(fixed("x", decimals).alias("x"), fixed("y", decimals).alias("y"),
                       F.col("cluster").cast("string").alias("cluster"),
