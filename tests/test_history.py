@@ -116,3 +116,14 @@ def test_strong_scaling_needs_both_kinds_of_runs(runs):
     assert H.strong_scaling(runs.filter("impl <> 'serial'")).count() == 0
     assert H.strong_scaling(runs.filter("impl <> 'openmp'")).count() == 0
     assert H.amdahl(H.strong_scaling(runs.filter("impl <> 'serial'"))).count() == 0
+
+
+def test_analyze_command_report(spark, runs, tmpdir_run):
+    import io
+    from centroidal.plans.analyze import analyze
+    buf = io.StringIO()
+    analyze(spark, runs, f"{tmpdir_run}/tables", out=buf)
+    text = buf.getvalue()
+    assert "Runs: 20" in text and "cuda, openmp, serial" in text
+    assert "1.94x" in text and "48.4%" in text and "75.6%" in text and "4.1x" in text
+    assert spark.read.option("header", True).csv(f"{tmpdir_run}/tables/weak_scaling").count() == 12
