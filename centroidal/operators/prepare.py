@@ -6,11 +6,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from centroidal.session import ensure_checkpoint_dir
-
 X, Y = "pickup_longitude", "pickup_latitude"
 
 # The inclusive NYC bounding box of the reference (longitude, latitude).
@@ -73,15 +72,20 @@ def limit_points(df: DataFrame, max_rows: int, order_by: Sequence[str] | None =
 def rank_limit(df: DataFrame, n: int, order_by: Sequence[str] | None = None) -> DataFrame:
     """Exact first ``n`` rows, distributed: per-partition quotas from per-partition counts.
 
-    With ``order_by`` the rows are range-partitioned and sorted within partitions, so partition order
-    is key order; the columns should identify rows (a unique key), which also keeps one hot key
-    value from filling a single range partition. The input is checkpointed to the session's reliable checkpoint folder, so the count
-    pass and the filter pass see the same rows in the same places even if executors are lost. Only
-    one count per partition reaches the driver; the quota table (one row per partition) is broadcast.
+    Pass 1 counts the rows of every partition (one number per partition reaches the driver); pass 2
+    keeps, in each partition, the rows before its quota (position from
+    ``monotonically_increasing_id``), joined to the broadcast quota table (one row per partition).
+    Without ``order_by`` "first" means input order and both passes read the same deterministic plan,
+    so nothing is materialised and a lost partition is recomputed identically. With ``order_by`` the
+    rows are range-partitioned and sorted within partitions (partition order = key order) and that
+    layout is persisted for the two passes, then released once the n kept rows are cached; the
+    columns should identify rows (a unique key), so the recomputation of a lost block is identical
+    and no hot key value fills one range partition.
     """
-    base = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by) if order_by else df
-    ensure_checkpoint_dir(df.sparkSession)
-    base = base.checkpoint(eager=True)
+    if order_by:
+        base = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).persist(StorageLevel.MEMORY_AND_DISK)
+    else:
+        base = df
     tagged = (base.withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))
     counts = sorted((r["_pid"], r["c"]) for r in
@@ -96,9 +100,15 @@ def rank_limit(df: DataFrame, n: int, order_by: Sequence[str] | None = None) ->
     spark = df.sparkSession
     qdf = spark.createDataFrame(quotas, "_pid int, _quota bigint")
     local_index = F.col("_pos") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (tagged.join(F.broadcast(qdf), on="_pid", how="inner")
-            .filter(local_index < F.col("_quota"))
-            .drop("_pid", "_pos", "_quota"))
+    result = (tagged.join(F.broadcast(qdf), on="_pid", how="inner")
+              .filter(local_index < F.col("_quota"))
+              .drop("_pid", "_pos", "_quota"))
+    if order_by:
+        # Keep the n kept rows and release the full sorted layout.
+        result = result.persist(StorageLevel.MEMORY_AND_DISK)
+        result.count()
+        base.unpersist()
+    return result
 
 
 def pad_columns(df: DataFrame, n: int = PAD_COLUMNS, x: str = X, y: str = Y) -> DataFrame:
