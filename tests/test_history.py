@@ -127,3 +127,11 @@ def test_analyze_command_report(spark, runs, tmpdir_run):
     assert "Runs: 20" in text and "cuda, openmp, serial" in text
     assert "1.94x" in text and "48.4%" in text and "75.6%" in text and "4.1x" in text
     assert spark.read.option("header", True).csv(f"{tmpdir_run}/tables/weak_scaling").count() == 12
+
+
+def test_analyze_main_on_parquet_runs(spark, runs, tmpdir_run, capsys):
+    from centroidal.plans.analyze import main
+    runs.write.parquet(f"{tmpdir_run}/runs")
+    assert main([f"{tmpdir_run}/runs", "--format", "parquet"]) == 0
+    out = capsys.readouterr().out
+    assert "STRONG SCALING" in out and "Threads" in out and "3.43x" in out
