@@ -34,7 +34,8 @@ def report_table(scaling: DataFrame) -> DataFrame:
                     thousands("throughput", 0).alias("Throughput (pts/s)")))
 
 
-def analyze(spark, runs: DataFrame, output: str | None = None, out=sys.stdout) -> dict:
+def analyze(spark, runs: DataFrame, output: str | None = None, out=None) -> dict:
+    out = out if out is not None else sys.stdout    # resolved per call, not at import
     summary = H.run_summary(runs).first()
     impls = sorted(r["impl"] for r in runs.select("impl").distinct().collect())
     print(f"Runs: {summary['n_runs']}", file=out)
