@@ -36,10 +36,10 @@ def report_table(scaling: DataFrame) -> DataFrame:
 
 def analyze(spark, runs: DataFrame, output: str | None = None, out=None) -> dict:
     out = out if out is not None else sys.stdout    # resolved per call, not at import
-    summary = H.run_summary(runs).first()
-    impls = sorted(r["impl"] for r in runs.select("impl").distinct().collect())
+    summary = runs.agg(F.count(F.lit(1)).alias("n_runs"),
+                       F.array_sort(F.collect_set("impl")).alias("impls")).first()
     print(f"Runs: {summary['n_runs']}", file=out)
-    print(f"Implementations: {', '.join(impls)}", file=out)
+    print(f"Implementations: {', '.join(summary['impls'])}", file=out)
     strong = H.strong_scaling(runs)
     table = report_table(strong)
     rows = table.collect()
