@@ -83,43 +83,68 @@ class LanguageFilters:
         with np.errstate(over="ignore"):
             return [(x * odd) >> np.uint64(64 - bits) for odd in _ODD]
 
-    def counts(self, text: bytes) -> tuple[np.ndarray, int]:
-        """Per language the n-grams of one prepared text that its filter has; and all n-grams."""
-        found, total = np.zeros(len(self.langs)), 0
-        for s in range(0, max(1, len(text) - 2), PIECE):
-            buffer = np.frombuffer(text[s:s + PIECE + max(SIZES) - 1], np.uint8)
-            for n in SIZES:
-                x = grams(buffer, n)[:PIECE]
-                total += len(x)
-                where = self._positions(x, self.bits)
-                k = 0
-                for t in self.tables:
-                    masks = t[where[0]] & t[where[1]] & t[where[2]]
-                    width = masks.dtype.itemsize * 8
-                    if width == 8:
-                        by_mask = np.bincount(masks, minlength=256)
-                        here = [by_mask[_HAS[b]].sum() for b in range(8)]
-                    else:
-                        here = [np.count_nonzero(masks & np.uint64(1 << b)) for b in range(64)]
-                    m = min(width, len(self.langs) - k)
-                    found[k:k + m] += here[:m]
-                    k += width
+    def counts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """For each prepared text the n-grams that each language's filter has, and all its n-grams."""
+        found, total = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
+        group: list[tuple[int, bytes]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            for s in range(0, max(1, len(text) - 2), PIECE):
+                piece = text[s:s + PIECE + max(SIZES) - 1]
+                group.append((i, piece))
+                size += len(piece)
+                if size >= PIECE:
+                    self._count_group(group, found, total)
+                    group, size = [], 0
+        if group:
+            self._count_group(group, found, total)
         return found, total
 
-    def predict(self, text: str | None) -> tuple[str, float, float]:
-        """Language, score (its share of all languages' corrected counts) and the share of the text's
-        n-grams that its filter knows."""
-        prepared = letters(text)
-        if not prepared:
-            return "und", 0.0, 0.0
+    def _count_group(self, group: list[tuple[int, bytes]], found: np.ndarray, total: np.ndarray) -> None:
+        """Add the counts of pieces ``(text number, bytes)``, at most PIECE n-gram starts of each."""
+        lengths = np.array([len(x) for _, x in group])
+        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        numbers = np.array([i for i, _ in group])
+        buffer = np.frombuffer(b"".join(x for _, x in group), np.uint8)
+        own = np.repeat(np.arange(len(group)), lengths)
+        for n in SIZES:
+            x = grams(buffer, n)
+            # starts whose n-gram lies in one piece, and not in the overlap that the next piece counts
+            inside = np.arange(len(x)) - starts[own[:len(x)]]
+            valid = (inside <= lengths[own[:len(x)]] - n) & (inside < PIECE)
+            x, of = x[valid], own[:len(x)][valid]
+            np.add.at(total, numbers, np.bincount(of, minlength=len(group)))
+            where = self._positions(x, self.bits)
+            k = 0
+            for t in self.tables:
+                masks = t[where[0]] & t[where[1]] & t[where[2]]
+                m = min(t.dtype.itemsize * 8, len(self.langs) - k)
+                if t.dtype == np.uint8:
+                    by_mask = np.bincount(of * 256 + masks, minlength=256 * len(group)).reshape(-1, 256)
+                    here = by_mask @ _HAS[:, :m]
+                else:
+                    here = np.stack([np.bincount(of[(masks >> np.uint64(b)) & np.uint64(1) == 1], minlength=len(group))
+                                     for b in range(m)], axis=1)
+                np.add.at(found[:, k:k + m], numbers, here)
+                k += m
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
+        """For each text its language, score (the share of all languages' corrected counts) and the share
+        of its n-grams that the language's filter knows."""
+        prepared = [letters(t) for t in texts]
         found, total = self.counts(prepared)
-        true = np.maximum(0.0, found - total * self.false_rate) / (1 - np.minimum(self.false_rate, 0.999))
-        best = int(np.argmax(true)) if true.any() else self.default
-        share = float(true[best] / true.sum()) if true.any() else 0.0
-        return self.langs[best], share, min(1.0, float(true[best]) / max(1, total))
+        true = np.maximum(0.0, found - total[:, None] * self.false_rate) / (1 - np.minimum(self.false_rate, 0.999))
+        every = true.sum(1)
+        best = np.where(every > 0, true.argmax(1), self.default)
+        top = true[np.arange(len(texts)), best]
+        share = np.divide(top, every, out=np.zeros(len(texts)), where=every > 0)
+        known = np.minimum(1.0, top / np.maximum(1, total))
+        return [(self.langs[i], float(a), float(b)) if p else ("und", 0.0, 0.0)
+                for p, i, a, b in zip(prepared, best, share, known)]
 
 
-_HAS = [np.array([m for m in range(256) if m >> b & 1]) for b in range(8)]
+#: Whether mask m has bit b, by [m, b].
+_HAS = (np.arange(256)[:, None] >> np.arange(8) & 1).astype(np.int64)
 
 
 def _gram_counts(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -180,7 +205,8 @@ def identify_languages(docs: DataFrame, model: LanguageFilters | None, id_col: s
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         m = sent.value
-        got = [m.predict(t) if m else ("und", 0.0, 0.0) for t in b.column(1).to_pylist()]
+        texts = b.column(1).to_pylist()
+        got = m.predict_all(texts) if m else [("und", 0.0, 0.0)] * len(texts)
         cols = list(zip(*got))
         return pa.RecordBatch.from_arrays([b.column(0), pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()),
                                            pa.array(cols[2], pa.float64())], names=[id_col, "lang_pred", "score", "known"])
@@ -199,10 +225,11 @@ def keep_known_languages(docs: DataFrame, model: LanguageFilters | None, text_co
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         m = sent.value
-        keep = []
-        for t in b.column(at).to_pylist():
-            lang, _, known = m.predict(t) if m else ("any" if letters(t) else "und", 0.0, 1.0)
-            keep.append(lang != "und" and known >= min_known)
+        texts = b.column(at).to_pylist()
+        if m:
+            keep = [lang != "und" and known >= min_known for lang, _, known in m.predict_all(texts)]
+        else:
+            keep = [bool(letters(t)) for t in texts]
         return b.filter(pa.array(keep))
 
     return map_batches(docs, batch, docs.schema)

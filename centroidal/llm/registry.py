@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from centroidal.llm.chat import perspectives
+from centroidal.llm.decontaminate import find_leaks, n_hit
 from centroidal.llm.frames import crc_mod, table
+from centroidal.llm.jaccard import jaccard_components
 from centroidal.llm.language import fit_languages, identify_languages, training_rows
 from centroidal.llm.licences import scan_licences
 from centroidal.llm.pages import extract_pages, fit_page_weights
@@ -45,6 +47,12 @@ FROM c GROUP BY ALL
 """
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document under word-5-gram Jaccard similarity of 0.8 or more."""
+    out = jaccard_components(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence places, labels and score of every document."""
     out = scan_licences(table(spark, sf_dir, "documents"))
@@ -64,6 +72,17 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document, with the longest verbatim match and its place."""
+    found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    f = F.col("found")
+    items = F.array_join(f["items"], ",")
+    return found.select("doc_id", f["n_words"].alias("n_words"), n_hit(f).alias("n_hit"),
+                        F.size(f["items"]).cast("long").alias("n_items"), F.sha2(items, 256).alias("items_sha256"),
+                        (F.size(f["hits"]) > 0).alias("contaminated"), f["longest"].alias("longest"),
+                        f["longest_start"].alias("longest_start"), f["longest_item"].alias("longest_item"))
+
+
 def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages")
@@ -84,5 +103,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat, op3_licences, op4_pii, op5_language, op7_main_text, op8_pieces, op10_quality)}
+QUERIES = {f.__name__: f for f in (
+    op1_chat, op2_jaccard, op3_licences, op4_pii, op5_language, op6_decontaminate, op7_main_text, op8_pieces,
+    op10_quality)}
 ORACLES = {"op1_chat": OP1_SQL}
