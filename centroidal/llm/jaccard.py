@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from centroidal.llm.components import components
-from centroidal.llm.frames import as_bytes, mix64, written
+from centroidal.llm.frames import as_bytes, fresh, mix64, written
 
 WORDS = 5
 #: Similarity as a ratio of whole numbers: 80/100.
@@ -325,15 +325,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of linked documents: the one with the least id (rows that
-    repeat it stand once). Rows whose set is empty are linked with nothing and all stay. Columns stay
-    as they are."""
-    kept = jaccard_components(docs, id_col, text_col)
-    # A row stands for its group if its id is the group's; rows without any id have none to go by, so
-    # of them the first per set digest stays.
-    chosen = kept.filter("n > 0 and id <=> component").select("id").distinct()
-    texts = F.trim(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[\x09-\x0D]", " "))
-    empty = docs.filter(texts == "")
-    full = docs.filter(texts != "").join(
-        chosen.withColumnRenamed("id", "_group_id"), F.col(f"`{id_col}`").eqNullSafe(F.col("_group_id")), "left_semi")
-    return full.dropDuplicates([id_col]).unionByName(empty)
+    """``docs`` with one row of each group of linked documents: the one with the least id, rows without
+    an id last (they go by a hash of their text). Rows that share an id but not the text are documents
+    of their own; rows that repeat both stand once. Documents with empty sets are linked with nothing
+    and stay. Columns stay as they are."""
+    key, row = fresh(docs, "group_key"), fresh(docs, "row_key")
+    of_row = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    keyed = docs.select(
+        F.struct(F.col(f"`{id_col}`").isNull().alias("missing"), F.col(f"`{id_col}`").alias("id"), of_row.alias("row")).alias(key),
+        F.col(f"`{text_col}`").alias("text"))
+    chosen = jaccard_components(keyed, key, "text").filter("id.row = component.row").select(F.col("id.row").alias(row)).distinct()
+    kept = docs.withColumn(row, of_row).join(chosen, row, "left_semi")
+    return kept.dropDuplicates([row]).select(*[F.col(f"`{c}`") for c in docs.columns])

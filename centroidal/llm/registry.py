@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from centroidal.llm.chat import perspectives
 from centroidal.llm.decontaminate import find_leaks, n_hit
+from centroidal.llm.embeddings import near_duplicates
 from centroidal.llm.frames import crc_mod, table
 from centroidal.llm.jaccard import jaccard_components
 from centroidal.llm.language import fit_languages, identify_languages, training_rows
@@ -94,6 +95,12 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"), MODEL_PATH)
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings of equal label with cosine 0.93 or more."""
+    out = near_duplicates(table(spark, sf_dir, "embeddings"))
+    return out.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; trained on the rows that are not held out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -105,5 +112,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_chat, op2_jaccard, op3_licences, op4_pii, op5_language, op6_decontaminate, op7_main_text, op8_pieces,
-    op10_quality)}
+    op9_embeddings, op10_quality)}
 ORACLES = {"op1_chat": OP1_SQL}
