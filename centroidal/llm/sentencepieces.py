@@ -252,7 +252,7 @@ class PieceTransducer:
                 out.append(p)
             elif self.byte_ids:
                 out += [self.byte_ids[b] for b in p.encode("utf-8", "replace")]
-            elif not out or out[-1] != self.unknown_id:
+            else:
                 out.append(self.unknown_id)
         return out
 
@@ -279,6 +279,8 @@ class PieceTransducer:
         known, out = self._chunks, []
         for chunk in self.chunk.findall(self.normalise(text)):
             out += known.get(chunk) or self._chunk_ids(chunk)
+        if not self.byte_ids:  # a run of unknown characters is one unknown piece
+            out = [i for k, i in enumerate(out) if i != self.unknown_id or not k or out[k - 1] != i]
         return out
 
     def decode(self, ids) -> str | None:
