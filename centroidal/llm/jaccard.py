@@ -13,9 +13,9 @@ up to collisions of 64-bit hashes.
    components, and every pair of a bucket that is not yet in one component follows (wave 2). Pairs in
    one component are known to be connected, so no group of copies is expanded into all its pairs,
    and no pair that could join two components is left out. Lengths and token positions bound the
-   overlap before a pair is emitted.
-4. A candidate must also share prefix tokens under two more global orders; only pairs that pass all
-   the filters are verified on their full sets.
+   overlap before a pair is emitted, small bitmaps of the sets after that.
+4. Full sets are fetched for the pairs left. A pair must also share prefix tokens under two more global
+   orders; only pairs that pass all the filters are verified on their full sets.
 
 Null ids: a document without id has the least id of its copies and links, null if there is none.
 Repeated rows are copies of each other. Sketch, thresholds and filters are the same at every size.
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +40,11 @@ from centroidal.llm.frames import as_bytes, fresh, mix64, written
 WORDS = 5
 #: Similarity as a ratio of whole numbers: 80/100.
 NUM, DEN = 80, 100
-CELL_BITS, SLICES = 20, 64
-GROUP_WORDS = 1_000_000
-CACHE_WORDS = 1_000_000
+CELL_BITS, SLICES = 21, 64
+#: Words hashed at a time in a task.
+GROUP_WORDS = 100_000
+#: Bits of the filter for wanted documents: 2^FILTER_BITS / 64 rows at most are broadcast.
+FILTER_BITS = 26
 #: Seeds of the token orders: the join order, then the orders that only filter.
 ORDERS = (11, 12, 13)
 
@@ -49,36 +52,83 @@ _PLACE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0
                    0xE7037ED1A0B428DB], dtype=np.uint64)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_HASHES = _WordHashes()
-
-
 def shingles(texts: list[bytes | None], k: int = WORDS) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
-    if len(_HASHES) > CACHE_WORDS:
-        _HASHES.clear()
+    """The sorted distinct shingle hashes of each text; word hashes of a group of texts are combined at
+    once."""
+    group: list[list[bytes]] = []
+    size = 0
     for text in texts:
-        words = text.lower().split() if text else ()
-        if not words:
+        group.append(text.lower().split() if text else [])
+        size += len(group[-1])
+        if size >= GROUP_WORDS:
+            yield from _group_shingles(group, size, k)
+            group, size = [], 0
+    yield from _group_shingles(group, size, k)
+
+
+def _group_shingles(group: list[list[bytes]], size: int, k: int) -> Iterator[np.ndarray]:
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(group)), dtype=np.uint64, count=size)
+    m = max(0, size - k + 1)
+    x = np.full(m, k, dtype=np.uint64)
+    for i in range(k):
+        x += h[i:i + m] * _place(i)
+    x = mix64(x)
+    at = 0
+    for words in group:
+        n = len(words)
+        if n >= k:
+            own = np.sort(x[at:at + n - k + 1])
+            first = np.empty(len(own), bool)
+            first[0] = True
+            np.not_equal(own[1:], own[:-1], out=first[1:])
+            yield own[first]
+        elif n:  # the whole sequence, told apart from longer ones by its length
+            yield mix64(sum((h[at + i:at + i + 1] * _place(i) for i in range(n)), np.full(1, n, np.uint64)))
+        else:
             yield np.zeros(0, np.uint64)
-            continue
-        h = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
-        m = max(1, len(h) - k + 1)
-        x = np.full(m, min(len(h), k), dtype=np.uint64)
-        for i in range(min(k, len(h))):
-            x += h[i:i + m] * _PLACE[i % len(_PLACE)] * np.uint64(2 * (i // len(_PLACE)) + 1)
-        yield np.unique(mix64(x))
-
-
-def digest(x: np.ndarray) -> tuple[int, int]:
-    """Two 64-bit digests of a set (signed, as Spark has them)."""
-    n = np.uint64(len(x))
-    return tuple(int(mix64(mix64(x, seed).sum(dtype=np.uint64, keepdims=True) + n, seed).view(np.int64)[0]) for seed in (1, 2))
+        at += n
+
+
+def _place(i: int) -> np.uint64:
+    """An odd factor for a word's place in its shingle."""
+    return _PLACE[i % len(_PLACE)] + np.uint64(2 * (i // len(_PLACE)))
+
+
+def digests(sets: list[np.ndarray]) -> np.ndarray:
+    """Two 64-bit digests of each set (n x 2, signed, as Spark has them)."""
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    out = np.zeros((len(sets), 2), np.uint64)
+    full = np.flatnonzero(sizes)
+    if len(full):
+        x = np.concatenate([sets[i] for i in full])
+        starts = np.cumsum(sizes[full]) - sizes[full]
+        for seed in (1, 2):
+            out[full, seed - 1] = mix64(np.add.reduceat(mix64(x, seed), starts) + sizes[full].astype(np.uint64), seed)
+    return out.view(np.int64)
+
+
+def bitmaps(sets: list[np.ndarray]) -> list[bytes]:
+    """A bit for each token's hash, at least two bits a token, so that what one set lacks of another's
+    bits bounds their overlap. A map of half the size is every two neighbouring bits joined."""
+    out = []
+    for x in sets:
+        size = max(6, int(2 * len(x) - 1).bit_length()) if len(x) else 6
+        bits = np.zeros(1 << size, np.uint8)
+        bits[mix64(x, 3) >> np.uint64(64 - size)] = 1
+        out.append(np.packbits(bits).tobytes())
+    return out
+
+
+def may_overlap(n_a: int, n_b: int, a: bytes, b: bytes) -> bool:
+    """Whether two bitmaps leave room for the overlap that the sizes require."""
+    x, y = (np.unpackbits(np.frombuffer(v, np.uint8)) for v in (a, b))
+    while len(x) != len(y):
+        if len(x) > len(y):
+            x = x.reshape(-1, 2).max(axis=1)
+        else:
+            y = y.reshape(-1, 2).max(axis=1)
+    room = min(n_a - int((x > y).sum()), n_b - int((y > x).sum()))
+    return (NUM + DEN) * room >= NUM * (n_a + n_b)
 
 
 def required(n: int | np.ndarray):
@@ -99,7 +149,7 @@ def prefix(x: np.ndarray, classes: np.ndarray, seed: int) -> np.ndarray:
 
 # --- pass 1: digests and sketch ---------------------------------------------------------------------
 
-_SIGNATURES = "id {id}, n long, s long, s2 long, slice int, counts binary"
+_SIGNATURES = "id {id}, n long, s long, s2 long, bits binary, slice int, counts binary"
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
@@ -109,24 +159,18 @@ def _signatures(docs: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELL_BITS, np.int64)
         ids = None
-        names = ["id", "n", "s", "s2", "slice", "counts"]
+        names = ["id", "n", "s", "s2", "bits", "slice", "counts"]
         for b in batches:
             ids = b.column(0).type
-            rows, pending, words = [], [], 0
-            for x in shingles(as_bytes(b.column(1))):
-                rows.append((len(x), *digest(x)))
-                pending.append(x)
-                words += len(x)
-                if words > GROUP_WORDS:
-                    cells += np.bincount(np.concatenate(pending) >> np.uint64(64 - CELL_BITS), minlength=len(cells))
-                    pending, words = [], 0
-            if pending:
-                cells += np.bincount(np.concatenate(pending) >> np.uint64(64 - CELL_BITS), minlength=len(cells))
-            cols = [pa.array(c, pa.int64()) for c in zip(*rows)]
+            sets = list(shingles(as_bytes(b.column(1))))
+            if any(map(len, sets)):
+                cells += np.bincount(np.concatenate(sets) >> np.uint64(64 - CELL_BITS), minlength=len(cells))
+            n, both = pa.array([len(x) for x in sets], pa.int64()), digests(sets)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), *cols, pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())], names=names)
+                [b.column(0), n, pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(bitmaps(sets), pa.binary()),
+                 pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names=names)
         if ids is not None:
-            none = [pa.nulls(SLICES, ids), *(pa.nulls(SLICES, pa.int64()) for _ in range(3))]
+            none = [pa.nulls(SLICES, ids), *(pa.nulls(SLICES, pa.int64()) for _ in range(3)), pa.nulls(SLICES, pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [*none, pa.array(range(SLICES), pa.int32()),
                  pa.array([zlib.compress(c.tobytes(), 1) for c in cells.reshape(SLICES, -1)], pa.binary())], names=names)
@@ -166,8 +210,9 @@ def _prefix_rows(docs: DataFrame, sent) -> DataFrame:
         classes, seen = sent.value, set()
         for b in batches:
             t, s, n, q = [], [], [], []
-            for x in shingles(as_bytes(b.column(0))):
-                if not len(x) or (d := digest(x)[0]) in seen:
+            sets = list(shingles(as_bytes(b.column(0))))
+            for x, d in zip(sets, digests(sets)[:, 0].tolist()):
+                if not len(x) or d in seen:
                     continue
                 seen.add(d)
                 p = prefix(x, classes, ORDERS[0])
@@ -187,11 +232,12 @@ def _set_rows(docs: DataFrame, sent) -> DataFrame:
         classes, seen = sent.value, set()
         for b in batches:
             rows = []
-            for x in shingles(as_bytes(b.column(0))):
-                if not len(x) or (d := digest(x)[0]) in seen:
+            sets = list(shingles(as_bytes(b.column(0))))
+            for x, d in zip(sets, digests(sets)[:, 0].tolist()):
+                if not len(x) or d in seen:
                     continue
                 seen.add(d)
-                rows.append((d, *(np.sort(prefix(x, classes, o)).tobytes() for o in ORDERS[1:]), x.tobytes()))
+                rows.append((d, *((prefix(x, classes, o) & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for o in ORDERS[1:]), x.tobytes()))
             if rows:
                 cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array(c, pa.binary()) for c in cols[1:])],
@@ -276,7 +322,7 @@ def _keep_pairs(df: DataFrame, ok) -> DataFrame:
 
 
 def _share_prefixes(a2: bytes, b2: bytes, a3: bytes, b3: bytes) -> bool:
-    return all(np.isin(_u64(x), _u64(y)).any() for x, y in ((a2, b2), (a3, b3)))
+    return all(np.isin(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)).any() for x, y in ((a2, b2), (a3, b3)))
 
 
 def _linked(a: bytes, b: bytes) -> bool:
@@ -291,6 +337,22 @@ def _verified(candidates: DataFrame, sets: DataFrame) -> DataFrame:
     return _keep_pairs(_with_sets(passed, sets, ["tokens"]), _linked).distinct()
 
 
+def _fetch_sets(rows: DataFrame, reps: DataFrame, pairs: DataFrame, sent) -> DataFrame:
+    """Full sets of the members of ``pairs``. A filter of fixed size over the documents that stand for
+    them goes first, so that only texts which may be wanted are shuffled to the exact join."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct().join(reps, "s") \
+        .select(F.col("rep").alias("want")).distinct()
+    bit = F.xxhash64("want").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    words = wanted.select(F.shiftright(bit, 6).alias("word"), F.expr("shiftleft(1L, cast({} & 63 as int))".format(
+        f"(xxhash64(want) & {(1 << FILTER_BITS) - 1})")).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    mine = f"(xxhash64(id) & {(1 << FILTER_BITS) - 1})"
+    maybe = rows.withColumn("word", F.expr(f"shiftright({mine}, 6)")).join(F.broadcast(words), "word") \
+        .filter(F.expr(f"(bits & shiftleft(1L, cast({mine} & 63 as int))) <> 0")).select("id", "text")
+    # an inner join with distinct ids: the optimizer would move a semi join below the filter
+    texts = maybe.join(wanted, F.col("id").eqNullSafe(F.col("want"))).select("text")
+    return _set_rows(texts, sent)
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n, s, component`` per document: its id, set size, set digest (copies have the same) and the
     least id that links reach (its own id for an empty set)."""
@@ -298,26 +360,29 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     signatures = written(spark, _signatures(rows), "signatures")
     sent = spark.sparkContext.broadcast(token_classes(signatures))
-    own = signatures.filter("slice is null").select("id", "n", "s", "s2")
-    reps = own.filter("n > 0").groupBy("s", "s2").agg(F.min("id").alias("rep"))
+    own = signatures.filter("slice is null").select("id", "n", "s", "s2", "bits")
+    reps = written(spark, own.filter("n > 0").groupBy("s", "s2").agg(
+        F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")), "sets")
 
     # Buckets of two sets or more: one shuffle by token serves the deduplication and the count.
     prefixes = _prefix_rows(rows.select("text"), sent).repartition("t").dropDuplicates(["t", "s"])
     buckets = prefixes.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("t"))).filter("size > 1").drop("size")
     buckets = written(spark, buckets, "buckets")
-    wanted = buckets.select("s").distinct().join(reps, "s").select(F.col("rep").alias("want")).distinct()
-    sets = written(spark, _set_rows(rows.join(wanted, F.col("id").eqNullSafe(F.col("want")), "left_semi").select("text"), sent),
-                   "sets")
 
-    hubs = written(spark, _verified(_pairs(buckets.withColumn("c", F.col("s")), hubs_only=True), sets), "hub-links")
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = written(spark, _keep_pairs(_with_sets(pairs, reps, ["n", "bits"]), may_overlap), f"{name}-pairs")
+        sets = written(spark, _fetch_sets(rows, reps, pairs, sent), f"{name}-sets")
+        return written(spark, _verified(pairs, sets), f"{name}-links")
+
+    hubs = verified(_pairs(buckets.withColumn("c", F.col("s")), hubs_only=True), "hub")
     joined = written(spark, components(hubs, "a", "b"), "hub-components")
     mixed = buckets.join(joined, F.col("s") == F.col("node"), "left").withColumn("c", F.coalesce("root", "s"))
-    rest = _verified(_pairs(mixed, hubs_only=False), sets)
+    rest = verified(_pairs(mixed, hubs_only=False), "rest")
     stars = joined.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    linked = written(spark, components(written(spark, stars.union(rest), "all-links"), "a", "b"), "components")
+    linked = written(spark, components(stars.union(rest), "a", "b"), "components")
 
     # The least document id of each set's component, back to all documents by set digest.
-    named = reps.join(linked.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
+    named = reps.select("s", "s2", "rep").join(linked.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
     least = named.groupBy("root").agg(F.min("rep").alias("component"))
     of_set = named.join(least, "root").select("s", "s2", "component")
     full = own.filter("n > 0").join(of_set, ["s", "s2"]).select("id", "n", "s", "component")
