@@ -28,20 +28,20 @@ def speedup(baseline_ms, elapsed_ms) -> Column:
 
 
 def parallel_efficiency(speedup_col, threads_col) -> Column:
-    """``speedup / threads * 100`` for numeric thread counts, else 0."""
+    """``speedup / threads * 100`` for numeric thread counts (NULL for 0 threads), else 0."""
     t = _col(threads_col)
-    return F.when(is_digits(t), _col(speedup_col) / t.try_cast("int") * F.lit(100.0)).otherwise(F.lit(0.0))
+    return F.when(is_digits(t), F.try_divide(_col(speedup_col), t.try_cast("int")) * F.lit(100.0)).otherwise(F.lit(0.0))
 
 
 def weak_efficiency(baseline_ms, elapsed_ms) -> Column:
-    """``baseline / time * 100`` (F7, weak scaling)."""
-    return _col(baseline_ms) / _col(elapsed_ms) * F.lit(100.0)
+    """``baseline / time * 100`` (F7, weak scaling); NULL for a zero time."""
+    return F.try_divide(_col(baseline_ms), _col(elapsed_ms)) * F.lit(100.0)
 
 
 def amdahl_parallel_fraction(max_speedup, max_threads) -> Column:
     """``p = (1 - 1/S) / (1 - 1/n)``, 0 when ``n <= 1`` (F8)."""
     s, n = _col(max_speedup), _col(max_threads)
-    return F.when(n > 1, (F.lit(1.0) - F.lit(1.0) / s) / (F.lit(1.0) - F.lit(1.0) / n)).otherwise(F.lit(0.0))
+    return F.when(n > 1, (F.lit(1.0) - F.try_divide(F.lit(1.0), s)) / (F.lit(1.0) - F.lit(1.0) / n)).otherwise(F.lit(0.0))
 
 
 def amdahl_limit(p) -> Column:
@@ -51,5 +51,5 @@ def amdahl_limit(p) -> Column:
 
 
 def throughput(n_points, iterations, elapsed_ms) -> Column:
-    """Points per second: ``N * iterations / (ms / 1000)``."""
-    return _col(n_points).cast("double") * _col(iterations) / (_col(elapsed_ms) / F.lit(1000.0))
+    """Points per second: ``N * iterations / (ms / 1000)``; NULL for a zero time."""
+    return F.try_divide(_col(n_points).cast("double") * _col(iterations), _col(elapsed_ms) / F.lit(1000.0))

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Sequence
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -157,7 +158,24 @@ def assign_nearest(df: DataFrame, centres: Sequence[Centre], x=X, y=Y, out: str
     return res.drop(tmp)
 
 
-PARTIALS_SCHEMA = "cluster_id int, sx bigint, sy bigint, n bigint, sse double, moved bigint"
+PARTIALS_SCHEMA = "cluster_id int, sx decimal(38,0), sy decimal(38,0), n bigint, sse double, moved bigint"
+
+
+def exact_weighted_sums(idx: np.ndarray, units: np.ndarray, weights: np.ndarray, k: int) -> list[int]:
+    """Per-cluster sums of ``units x weights`` as Python integers: the weights are taken apart into limbs
+    so small that no int64 sum over the batch can overflow."""
+    top = int(np.abs(units).max(initial=0)).bit_length()
+    bits = min(31, 62 - top - int(len(units)).bit_length())
+    if bits < 1:
+        raise OverflowError("coordinates are too large for exact sums; use a smaller scale")
+    total = [0] * k
+    for shift in range(0, 63, bits):
+        limb = (weights >> shift) & ((1 << bits) - 1)
+        if limb.any():
+            sums = np.zeros(k, np.int64)
+            np.add.at(sums, idx, units * limb)
+            total = [t + (int(s) << shift) for t, s in zip(total, sums)]
+    return total
 
 
 def lloyd_partials_fn(centres: Sequence[Centre], prev_centres: Sequence[Centre] | None, x: str = X, y: str = Y,
@@ -165,9 +183,9 @@ def lloyd_partials_fn(centres: Sequence[Centre], prev_centres: Sequence[Centre]
     """``mapInArrow`` body of one Lloyd pass: per-cluster partial sums of one partition.
 
     For every Arrow batch: assign to ``centres`` (and ``prev_centres``), round coordinates to
-    10^-scale units and add per-cluster sums into K-sized int64 accumulators (exact: a batch of 10^4
-    points sums far below 2^53, where an unweighted ``bincount`` of integers is exact, and a partition
-    would need about 10^11 points to overflow int64). After the last batch the partition yields at
+    10^-scale units and add per-cluster sums, exactly: a batch's unweighted sums stay far below 2^53,
+    where a ``bincount`` of integers is exact, weighted ones go through ``exact_weighted_sums``, and
+    batches add up in Python integers. Negative weights and a total weight beyond int64 raise. After the last batch the partition yields at
     most K rows ``cluster_id, sx, sy, n, sse, moved``; Spark merges them by cluster. Rows with a
     missing coordinate are skipped.
     """
@@ -177,7 +195,11 @@ def lloyd_partials_fn(centres: Sequence[Centre], prev_centres: Sequence[Centre]
     unit = float(10 ** scale)
 
     def partials(batches):
-        n, sx, sy, mv = (np.zeros(k, np.int64) for _ in range(4))
+        n, sx, sy, mv = ([0] * k for _ in range(4))
+
+        def add(total, values):
+            return [t + int(v) for t, v in zip(total, values)]
+
         sse = np.zeros(k, np.float64)
         for batch in batches:
             # Arrow batches straight to NumPy (NULL -> NaN), no pandas conversion.
@@ -195,25 +217,32 @@ def lloyd_partials_fn(centres: Sequence[Centre], prev_centres: Sequence[Centre]
             uy = np.floor(yv * unit + 0.5)
             if weight is None:
                 cnt = np.bincount(idx, minlength=k).astype(np.int64)
-                n += cnt
-                sx += np.bincount(idx, weights=ux, minlength=k).astype(np.int64)
-                sy += np.bincount(idx, weights=uy, minlength=k).astype(np.int64)
+                n = add(n, cnt)
+                sx = add(sx, np.bincount(idx, weights=ux, minlength=k))
+                sy = add(sy, np.bincount(idx, weights=uy, minlength=k))
                 sse += np.bincount(idx, weights=d, minlength=k)
-                mv += cnt if moved is None else np.bincount(idx, weights=moved, minlength=k).astype(np.int64)
+                mv = add(mv, cnt if moved is None else np.bincount(idx, weights=moved, minlength=k))
             else:
                 w = batch.column(weight).to_numpy(zero_copy_only=False).astype(np.int64)
                 if not ok.all():
                     w = w[ok]
-                np.add.at(n, idx, w)
-                np.add.at(sx, idx, ux.astype(np.int64) * w)
-                np.add.at(sy, idx, uy.astype(np.int64) * w)
-                np.add.at(mv, idx, w if moved is None else moved.astype(np.int64) * w)
+                if (w < 0).any():
+                    raise ValueError("weights are multiplicities and cannot be negative")
+                ones = np.ones(len(w), np.int64)
+                n = add(n, exact_weighted_sums(idx, ones, w, k))
+                sx = add(sx, exact_weighted_sums(idx, ux.astype(np.int64), w, k))
+                sy = add(sy, exact_weighted_sums(idx, uy.astype(np.int64), w, k))
+                mv = add(mv, exact_weighted_sums(idx, ones if moved is None else moved.astype(np.int64), w, k))
                 sse += np.bincount(idx, weights=d * w, minlength=k)
-        keep = n > 0
-        if keep.any():
+        kept = [i for i in range(k) if n[i] > 0]
+        if kept:
+            if max(n) >= 1 << 63:
+                raise OverflowError("total weight of a cluster exceeds int64")
+            whole = pa.decimal128(38, 0)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.nonzero(keep)[0].astype(np.int32)), pa.array(sx[keep]), pa.array(sy[keep]),
-                 pa.array(n[keep]), pa.array(sse[keep]), pa.array(mv[keep])],
+                [pa.array(kept, pa.int32()), pa.array([Decimal(sx[i]) for i in kept], whole),
+                 pa.array([Decimal(sy[i]) for i in kept], whole), pa.array([n[i] for i in kept], pa.int64()),
+                 pa.array(sse[kept]), pa.array([mv[i] for i in kept], pa.int64())],
                 names=["cluster_id", "sx", "sy", "n", "sse", "moved"])
     return partials
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from centroidal.functions.geometry import Centre
 from centroidal.operators.assign import X, Y, assign_nearest
-from centroidal.operators.prepare import bounded_broadcast
 
 
 def centres_frame(spark: SparkSession, centres: Sequence[Centre]) -> DataFrame:
@@ -46,10 +45,10 @@ def result_rows(assigned: DataFrame, centres: DataFrame, x: str = X, y: str = Y,
                 cluster_col: str = "cluster_id") -> DataFrame:
     """Each point with its cluster and that cluster's centre: ``x, y, cluster, centroid_x, centroid_y``.
 
-    ``centres`` has one row per cluster; it is broadcast after a count confirms it is small, so the
-    points are never shuffled.
+    ``centres`` has one row per cluster, built from the K centres that the driver holds; that bounds the
+    broadcast, and the points are never shuffled.
     """
     c = centres.select(F.col(cluster_col), F.col("cx").alias("centroid_x"), F.col("cy").alias("centroid_y"))
-    return (assigned.join(bounded_broadcast(c), on=cluster_col, how="inner")
+    return (assigned.join(F.broadcast(c), on=cluster_col, how="inner")
             .select(F.col(x).alias("x"), F.col(y).alias("y"), F.col(cluster_col).alias("cluster"),
                     "centroid_x", "centroid_y"))

@@ -51,15 +51,18 @@ def strong_scaling(runs: DataFrame, serial: str = SERIAL, parallel: str = PARALL
     """Strong-scaling table (H1; ``same_n=False`` gives the chart variant of H4).
 
     Baseline = serial run with the greatest N. With ``same_n`` only parallel runs at that N count (P11,
-    an equi-join on N with the one-row baseline). Per thread count: mean time, speedup = baseline /
+    an equi-join on N with the one-row baseline); the chart variant takes all N, but only numeric thread
+    counts. Per thread count: mean time, speedup = baseline /
     mean, efficiency = speedup / threads x 100, throughput = N x baseline iterations / seconds. The
     serial row comes first (U2). Columns: ``row_order, threads, mean_ms, speedup, efficiency,
     throughput``; ``row_order`` is 0 for the serial row, then the numeric thread count (T4).
     """
     base = baseline_run(runs, serial)
-    par = runs.filter(F.col("impl") == parallel)
+    every = runs.filter(F.col("impl") == parallel)
     if same_n:
-        par = par.join(base.select(F.col("base_n").alias("n_points")), on="n_points", how="left_semi")
+        par = every.join(base.select(F.col("base_n").alias("n_points")), on="n_points", how="left_semi")
+    else:
+        par = every.filter(is_digits("threads"))
     grouped = par.groupBy("threads").agg(exact_mean("elapsed_ms").alias("mean_ms"))
     # The baseline is one row: attach it as one scalar subquery (no join, no cross product).
     b = base.select(F.struct("base_ms", "base_n", "base_iterations")).scalar()
@@ -76,8 +79,8 @@ def strong_scaling(runs: DataFrame, serial: str = SERIAL, parallel: str = PARALL
         F.lit(0).alias("row_order"), F.lit(SERIAL_LABEL).alias("threads"), F.col("base_ms").alias("mean_ms"),
         F.lit(1.0).alias("speedup"), F.lit(100.0).alias("efficiency"),
         throughput(F.col("base_n"), F.col("base_iterations"), F.col("base_ms")).alias("throughput"))
-    # The reference prints nothing unless both kinds of runs exist.
-    has_parallel = par.select(F.count(F.lit(1))).scalar() > 0
+    # Nothing unless both kinds of runs exist; the serial row stands even if no parallel run has its N.
+    has_parallel = every.select(F.count(F.lit(1))).scalar() > 0
     return serial_row.filter(has_parallel).unionByName(rows.filter(base_ms.isNotNull()))
 
 

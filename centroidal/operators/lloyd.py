@@ -3,13 +3,13 @@
 One Spark job per iteration. Every point is assigned to the current centres *and* to the previous
 ones in the same pass (no cached assignment); per cluster the job computes exact coordinate sums, the
 count, the sum of squared distances and the number of points that moved. By default each partition
-is reduced to at most K partial rows inside its task (``mapInArrow``); while partitions x K is small
-those rows are summed on the driver, otherwise one ``groupBy(cluster_id)`` merges them, so the
-shuffle carries at most K rows per partition whatever the data size or skew. The centres go out as K pairs of floats in the next plan, so
-the plan and the lineage do not grow with the number of iterations.
+is reduced to at most K partial rows inside its task (``mapInArrow``) and one ``groupBy(cluster_id)``
+merges them, so the shuffle carries at most K rows per partition whatever the data size or skew. The
+centres go out as K pairs of floats in the next plan, so the plan and the lineage do not grow with
+the number of iterations.
 
 Exact sums: coordinates are summed as integers of 10^-scale units (``functions.geometry.micro_units``)
-- int64 inside a task, ``decimal(38,0)`` or Python integers across tasks - so the centres are
+- Python integers inside a task, ``decimal(38,0)`` across tasks - so the centres are
 bit-identical for any partitioning and in any engine that follows the same rule.
 """
 
@@ -28,16 +28,11 @@ from centroidal.operators.assign import (
     PARTIALS_SCHEMA, X, Y, assign_nearest, lloyd_partials_fn, nearest_struct, with_nearest_expr,
 )
 from centroidal.operators.seed import (
-    DEFAULT_SAMPLE_TARGET, DEFAULT_SEED, hash_sample, kmeanspp, kmeanspp_in_task, sample_fraction,
+    DEFAULT_SAMPLE_TARGET, DEFAULT_SEED, hash_sample, kmeanspp, sample_fraction,
 )
 from centroidal.session import ensure_checkpoint_dir
 
 
-# Partial rows (at most K per partition) are summed on the driver while partitions x K stays below
-# this; above it they are merged by a Spark groupBy.
-DRIVER_MERGE_MAX_ROWS = 100_000
-
-
 def lloyd_partials(points: DataFrame, centres: Sequence[Centre], prev_centres: Sequence[Centre] | None = None,
                    x: str = X, y: str = Y, weight: str | None = None, scale: int = 6) -> DataFrame:
     """Per-partition partial sums of one Lloyd pass: at most K rows per partition (``mapInArrow``)."""
@@ -46,20 +41,6 @@ def lloyd_partials(points: DataFrame, centres: Sequence[Centre], prev_centres: S
         lloyd_partials_fn(centres, prev_centres, x, y, weight, scale), PARTIALS_SCHEMA)
 
 
-def merge_partials(rows) -> list[dict]:
-    """Exact per-cluster totals of partial rows (Python integers for the unit sums)."""
-    acc: dict[int, dict] = {}
-    for r in rows:
-        a = acc.setdefault(int(r["cluster_id"]), {"cluster_id": int(r["cluster_id"]), "sx": 0, "sy": 0,
-                                                   "n": 0, "sse": 0.0, "moved": 0})
-        a["sx"] += int(r["sx"])
-        a["sy"] += int(r["sy"])
-        a["n"] += int(r["n"])
-        a["sse"] += float(r["sse"])
-        a["moved"] += int(r["moved"])
-    return list(acc.values())
-
-
 def lloyd_aggregate(points: DataFrame, centres: Sequence[Centre], prev_centres: Sequence[Centre] | None = None,
                     x: str = X, y: str = Y, weight: str | None = None, method: str = "partials",
                     scale: int = 6) -> DataFrame:
@@ -82,8 +63,7 @@ def lloyd_aggregate(points: DataFrame, centres: Sequence[Centre], prev_centres:
         part = lloyd_partials(points, centres, prev_centres, x, y, weight, scale)
         part = part.repartition(max(1, min(len(centres), 200)), "cluster_id")
         return (part.groupBy("cluster_id")
-                .agg(F.sum(F.col("sx").cast("decimal(38,0)")).alias("sx"),
-                     F.sum(F.col("sy").cast("decimal(38,0)")).alias("sy"),
+                .agg(F.sum("sx").alias("sx"), F.sum("sy").alias("sy"),
                      F.sum("n").alias("n"), F.sum("sse").alias("sse"), F.sum("moved").alias("moved")))
     if method == "arrow":
         a = (points.withColumn("_a", nearest_struct(centres, x, y, prev_centres))
@@ -150,28 +130,11 @@ def apply_update(rows, centres: Sequence[Centre], scale: int = 6) -> StepResult:
     return StepResult(new, counts, moved, before, after)
 
 
-def step_rows(points: DataFrame, centres: Sequence[Centre], prev_centres: Sequence[Centre] | None = None,
-              x: str = X, y: str = Y, weight: str | None = None, method: str = "partials",
-              scale: int = 6, n_partitions: int | None = None) -> list:
-    """The per-cluster totals of one pass, computed by one Spark job.
-
-    With the ``partials`` method and at most ``DRIVER_MERGE_MAX_ROWS`` partial rows (partitions x K),
-    the partial rows are collected and summed exactly on the driver: one stage, no exchange. Larger
-    inputs merge them with a Spark ``groupBy`` (``lloyd_aggregate``), so the driver never receives
-    more than K rows from them.
-    """
-    if method == "partials":
-        parts = n_partitions if n_partitions is not None else points.rdd.getNumPartitions()
-        if parts * len(centres) <= DRIVER_MERGE_MAX_ROWS:
-            return merge_partials(lloyd_partials(points, centres, prev_centres, x, y, weight, scale).collect())
-    return lloyd_aggregate(points, centres, prev_centres, x, y, weight, method, scale).collect()
-
-
 def lloyd_step(points: DataFrame, centres: Sequence[Centre], prev_centres: Sequence[Centre] | None = None,
                x: str = X, y: str = Y, weight: str | None = None, method: str = "partials",
-               scale: int = 6, n_partitions: int | None = None) -> StepResult:
-    """Run one Lloyd iteration (one Spark job) and return the updated centres and counters."""
-    rows = step_rows(points, centres, prev_centres, x, y, weight, method, scale, n_partitions)
+               scale: int = 6) -> StepResult:
+    """Run one Lloyd iteration (one Spark job; K rows come back) and return the updated centres and counters."""
+    rows = lloyd_aggregate(points, centres, prev_centres, x, y, weight, method, scale).collect()
     return apply_update(rows, centres, scale)
 
 
@@ -246,12 +209,6 @@ class KMeansModel:
         return assign_nearest(df, self.centres, self.x, self.y, out=out, dist_col=dist_col, method=method)
 
 
-def sample_bound(target: int) -> int:
-    """Hard cap on a seeding sample of expected size ``target`` (a Binomial count): 20x the target,
-    which a correct sample exceeds with probability far below 1e-100."""
-    return max(20 * target, 1000)
-
-
 def location_key(x: str = X, y: str = Y):
     """Text key of a location, used to sample and seed inputs that have no row key."""
     return F.concat_ws(",", F.col(x).cast("string"), F.col(y).cast("string"))
@@ -259,33 +216,34 @@ def location_key(x: str = X, y: str = Y):
 
 def choose_seeds(points: DataFrame, k: int, init: str, n_rows: int, x: str, y: str, key: str | None,
                  weight: str | None, seed: int, sample_target: int) -> list[Centre]:
-    """Starting centres: ``kmeans++`` over all points (X3, K distributed rounds) or ``sample``: K-Means++
-    in one task over a hash sample of about ``sample_target`` rows (X1 + X2, the reference's way).
+    """Starting centres: ``kmeans++`` over all points (X3) or ``sample``: the same K distributed rounds over
+    a cached hash sample of about ``sample_target`` rows (X1 + X2).
 
     Without a row key, duplicate rows cannot be told apart, so whole *locations* are sampled (hash of
-    the coordinates, fraction from an approximate distinct count) and then folded with their
-    multiplicity; each location's draw probability stays proportional to its row count. ``n_rows`` is
-    the number of rows (the sampling units), not the weighted total.
+    the coordinates, fraction from an approximate distinct count) and folded with their multiplicity;
+    each location's draw probability stays proportional to its row count. What the rounds read
+    repeatedly is cached, so a fold or a sample is computed once. ``n_rows`` is the number of rows (the
+    sampling units), not the weighted total.
     """
-    mult_expr = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
-    if init == "kmeans++":
-        if key is not None:
+    if init not in ("sample", "kmeans++"):
+        raise ValueError(f"unknown init {init!r}; use 'sample', 'kmeans++' or pass initial_centres")
+    if key is not None:
+        if init == "kmeans++" or sample_fraction(n_rows, sample_target) >= 1.0:
             return kmeanspp(points, k, x, y, key, seed, weight)
-        folded = (points.groupBy(x, y).agg(mult_expr.cast("double").alias("_m"))
-                  .withColumn("_key", location_key(x, y)))
-        return kmeanspp(folded, k, x, y, "_key", seed, "_m")
-    if init == "sample":
-        if key is not None:
-            fraction = sample_fraction(n_rows, sample_target)
-            sample = points if fraction >= 1.0 else hash_sample(points, sample_target, key, seed, n_rows=n_rows)
-            return kmeanspp_in_task(sample, k, x, y, key, seed, weight, max_rows=sample_bound(sample_target))
-        keyed = points.withColumn("_key", location_key(x, y))
-        n_loc = keyed.agg(F.approx_count_distinct("_key").alias("n")).first()["n"]
-        fraction = sample_fraction(max(int(n_loc), 1), sample_target)
-        sample = keyed if fraction >= 1.0 else hash_sample(keyed, sample_target, "_key", seed, n_rows=int(n_loc))
-        folded = sample.groupBy("_key", x, y).agg(mult_expr.cast("double").alias("_m"))
-        return kmeanspp_in_task(folded, k, x, y, "_key", seed, "_m", max_rows=sample_bound(sample_target))
-    raise ValueError(f"unknown init {init!r}; use 'sample', 'kmeans++' or pass initial_centres")
+        base, mult = hash_sample(points, sample_target, key, seed, n_rows=n_rows), weight
+    else:
+        key, mult = "_key", "_m"
+        base = points.withColumn("_key", location_key(x, y))
+        if init == "sample":
+            n_loc = base.agg(F.approx_count_distinct("_key").alias("n")).first()["n"]
+            base = hash_sample(base, sample_target, "_key", seed, n_rows=max(int(n_loc), 1))
+        total = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
+        base = base.groupBy("_key", x, y).agg(total.cast("double").alias("_m"))
+    base = materialize(base)
+    try:
+        return kmeanspp(base, k, x, y, key, seed, mult)
+    finally:
+        base.unpersist()
 
 
 def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X, y: str = Y,
@@ -299,14 +257,15 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
     ``points`` must already be cleaned (rows with a NULL/NaN coordinate are ignored). ``key`` names a
     unique row key for reproducible seeding; without one, seeding samples whole locations. ``weight``
     is an optional integer multiplicity column (duplicate folding). The final counts always come from
-    the assignment to the final centres (V10). With ``storage="none"`` the caller keeps ``points``
-    cached (and spread) itself; nothing is repartitioned here then, since it would repeat every pass.
+    the assignment to the final centres (V10). ``min_partitions`` repartitions the points before they
+    are cached (for a small file that would be one partition); with ``storage="none"`` the caller
+    keeps ``points`` cached itself and nothing is repartitioned.
     """
     t0 = time.perf_counter()
     cols = [c for c in (key, x, y, weight) if c]
     pts = points.select(*cols)
     if storage != "none":
-        pts = materialize(spread(pts, min_partitions), storage)
+        pts = materialize(pts.repartition(min_partitions) if min_partitions else pts, storage)
     try:
         if weight:
             totals = pts.agg(F.sum(F.col(weight).cast("long")).alias("w"), F.count(F.lit(1)).alias("r")).first()
@@ -326,26 +285,26 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
             seeds = choose_seeds(pts, k, init, n_rows, x, y, key, weight, seed, sample_target)
         seed_time = time.perf_counter() - t1
 
-        n_parts = pts.rdd.getNumPartitions()
+        n_parts = pts.rdd.getNumPartitions()  # of what the passes read: cached and counted by now
         centres, prev = list(seeds), None
         counts: list[int] | None = None
         history: list[dict] = []
         converged = False
         for it in range(max_iter):
             ts = time.perf_counter()
-            step = lloyd_step(pts, centres, prev, x, y, weight, method, scale, n_parts)
+            step = lloyd_step(pts, centres, prev, x, y, weight, method, scale)
             elapsed = time.perf_counter() - ts
             history.append({"iteration": it, "n_moved": step.n_moved, "wcss": step.wcss_before,
                             "wcss_after": step.wcss_after, "iter_time_sec": elapsed})
             if log:
-                log(f"iter {it:3d} | moved={step.n_moved:,} | WCSS={step.wcss_before:.4e} | {elapsed:.2f}s")
+                log(f"pass {it}: {step.n_moved} points changed cluster, sse {step.wcss_before:.6g}, {elapsed * 1e3:.0f} ms")
             prev, centres = centres, step.centres
             if step.n_moved == 0:
                 # Same assignment as the previous pass, hence the same exact means: counts are final.
                 converged, counts = True, step.counts
                 break
         if counts is None:
-            counts = final_counts(pts, centres, x, y, weight, n_partitions=n_parts)
+            counts = final_counts(pts, centres, x, y, weight, method, scale)
         return KMeansModel(centres=centres, counts=counts, seeds=seeds, history=history,
                            n_points=n_points, converged=converged, load_time_sec=load_time,
                            seed_time_sec=seed_time, n_partitions=n_parts, x=x, y=y)
@@ -355,9 +314,9 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
 
 
 def final_counts(points: DataFrame, centres: Sequence[Centre], x: str = X, y: str = Y,
-                 weight: str | None = None, method: str = "partials", n_partitions: int | None = None) -> list[int]:
+                 weight: str | None = None, method: str = "partials", scale: int = 6) -> list[int]:
     """Cluster sizes of the assignment to ``centres`` (one aggregate job)."""
-    rows = step_rows(points, centres, None, x, y, weight, method, n_partitions=n_partitions)
+    rows = lloyd_aggregate(points, centres, None, x, y, weight, method, scale).collect()
     counts = [0] * len(centres)
     for r in rows:
         if r["cluster_id"] is not None:
@@ -374,16 +333,3 @@ def moved_points(points: DataFrame, centres: Sequence[Centre], prev_centres: Seq
             .withColumn("prev_cluster", F.col("_a.prev_cluster"))
             .drop("_a")
             .filter(F.col("cluster_id") != F.col("prev_cluster")))
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition when the input has fewer partitions than task slots.
-
-    A small input file is a single partition and would run every iteration on one core; spreading it
-    once before caching costs one shuffle. Inputs that already have enough partitions (any large
-    scan) are left as they are.
-    """
-    target = min_partitions if min_partitions is not None else df.sparkSession.sparkContext.defaultParallelism
-    if target and df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df

@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +15,6 @@ X, Y = "pickup_longitude", "pickup_latitude"
 LON_RANGE = (-75.0, -73.0)
 LAT_RANGE = (40.0, 41.5)
 PAD_COLUMNS = 5
-# A dimension side is broadcast only when it has at most this many rows (checked, not estimated).
-BROADCAST_MAX_ROWS = 1_000_000
-# Spark's limit / top-n sends up to n rows from every partition to one task; it is used while
-# partitions x n stays below this, above it the exact distributed rank filter is used.
-LOCAL_LIMIT_MAX = 1_000_000
 
 
 def select_coordinates(df: DataFrame, x: str = X, y: str = Y, keep: Iterable[str] = ()) -> DataFrame:
@@ -52,63 +46,16 @@ def clean_points(df: DataFrame, x: str = X, y: str = Y, keep: Iterable[str] = ()
     return drop_missing(bbox_filter(pts, X, Y, lon, lat))
 
 
-def limit_points(df: DataFrame, max_rows: int, order_by: Sequence[str] | None = None,
-                 local_max: int = LOCAL_LIMIT_MAX) -> DataFrame:
+def limit_points(df: DataFrame, max_rows: int, order_by: Sequence[str] | None = None) -> DataFrame:
     """Keep at most ``max_rows`` accepted rows (T2, V11); ``max_rows <= 0`` means no limit.
 
     Apply after the filters, as the reference counts accepted rows. With ``order_by`` the rows with
-    the least keys are kept (deterministic), otherwise the first rows in input order. Spark's
-    ``limit`` (``TakeOrderedAndProject`` with an order) keeps up to n rows per partition and merges
-    them in one task, so it is used only while partitions x n is at most ``local_max``; otherwise
-    ``rank_limit``, which never moves the kept rows into one partition.
+    the least keys are kept (deterministic), otherwise any rows. This is Spark's own limit, a feature
+    for small row counts: up to n rows of each partition meet in one task.
     """
     if max_rows is None or max_rows <= 0:
         return df
-    if max_rows * df.rdd.getNumPartitions() <= local_max:
-        return df.orderBy(*order_by).limit(max_rows) if order_by else df.limit(max_rows)
-    return rank_limit(df, max_rows, order_by)
-
-
-def rank_limit(df: DataFrame, n: int, order_by: Sequence[str] | None = None) -> DataFrame:
-    """Exact first ``n`` rows, distributed: per-partition quotas from per-partition counts.
-
-    Pass 1 counts the rows of every partition (one number per partition reaches the driver); pass 2
-    keeps, in each partition, the rows before its quota (position from
-    ``monotonically_increasing_id``), joined to the broadcast quota table (one row per partition).
-    Without ``order_by`` "first" means input order and both passes read the same deterministic plan,
-    so nothing is materialised and a lost partition is recomputed identically. With ``order_by`` the
-    rows are range-partitioned and sorted within partitions (partition order = key order) and that
-    layout is persisted for the two passes, then released once the n kept rows are cached; the
-    columns should identify rows (a unique key), so the recomputation of a lost block is identical
-    and no hot key value fills one range partition.
-    """
-    if order_by:
-        base = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).persist(StorageLevel.MEMORY_AND_DISK)
-    else:
-        base = df
-    tagged = (base.withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id()))
-    counts = sorted((r["_pid"], r["c"]) for r in
-                    tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("c")).collect())
-    quotas, taken = [], 0
-    for pid, c in counts:
-        if taken >= n:
-            break
-        q = min(c, n - taken)
-        quotas.append((int(pid), int(q)))
-        taken += q
-    spark = df.sparkSession
-    qdf = spark.createDataFrame(quotas, "_pid int, _quota bigint")
-    local_index = F.col("_pos") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    result = (tagged.join(F.broadcast(qdf), on="_pid", how="inner")
-              .filter(local_index < F.col("_quota"))
-              .drop("_pid", "_pos", "_quota"))
-    if order_by:
-        # Keep the n kept rows and release the full sorted layout.
-        result = result.persist(StorageLevel.MEMORY_AND_DISK)
-        result.count()
-        base.unpersist()
-    return result
+    return df.orderBy(*order_by).limit(max_rows) if order_by else df.limit(max_rows)
 
 
 def pad_columns(df: DataFrame, n: int = PAD_COLUMNS, x: str = X, y: str = Y) -> DataFrame:
@@ -117,47 +64,48 @@ def pad_columns(df: DataFrame, n: int = PAD_COLUMNS, x: str = X, y: str = Y) ->
     return df.select(*pads, F.col(x).alias(X), F.col(y).alias(Y))
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is at most ``max_rows``, else None.
-
-    A plain distributed count (partial counts per task, one small merge); a ``limit(n).count()``
-    would instead move up to n rows from every partition into one task.
-    """
-    n = df.count()
-    return n if n <= max_rows else None
+def one_row_per_zone(zones: DataFrame, key: str = "LocationID") -> DataFrame:
+    """The zone table with one row per id: of repeated ids the row with the least values stands; rows
+    without an id go."""
+    others = [c for c in zones.columns if c != key]
+    if not others:
+        return zones.filter(F.col(key).isNotNull()).distinct()
+    # Grouped by a second form of the key too: the join then shuffles the result itself, and only a join
+    # right above its shuffles lets AQE split a hot zone.
+    return (zones.filter(F.col(key).isNotNull()).withColumn("_text", F.col(key).cast("string")).groupBy(key, "_text")
+            .agg(F.min(F.struct(*others)).alias("_zone")).select(key, *[F.col(f"_zone.{c}").alias(c) for c in others]))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when a count proves it has at most ``max_rows`` rows, else ``df`` unchanged
-    (Spark then plans a shuffle join, with AQE's skew handling)."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) is not None else df
+def _zone_key(trips: DataFrame, zones: DataFrame, key: str) -> DataFrame:
+    """Trips with the key in the zone table's type; text that is no such id becomes NULL."""
+    kind = zones.schema[key].dataType
+    return trips if trips.schema[key].dataType == kind else trips.withColumn(key, F.col(key).try_cast(kind))
 
 
-def zone_lookup(trips: DataFrame, zones: DataFrame, key: str = "LocationID", how: str = "inner",
-                max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def zone_lookup(trips: DataFrame, zones: DataFrame, key: str = "LocationID", how: str = "inner") -> DataFrame:
     """Trip zone id -> zone coordinates (J1). Unknown zones are dropped (``inner``) or kept (``left``).
 
-    The zone side is broadcast only after a count proves it small; a hot zone holding a third
-    of the trips then costs nothing extra (no shuffle of the trips at all). Beyond the bound the join
-    is left to a shuffle join, where AQE's skew-join handling splits oversized partitions.
+    A trip meets one zone row at most, as in a keyed lookup. The strategy is Spark's: a zone side under
+    the broadcast threshold is broadcast at run time, otherwise a shuffle join whose hot zones AQE's
+    skew handling splits.
     """
-    return trips.join(bounded_broadcast(zones, max_broadcast_rows), on=key, how=how)
+    return _zone_key(trips, zones, key).join(one_row_per_zone(zones, key), on=key, how=how)
 
 
-def zone_unmatched(trips: DataFrame, zones: DataFrame, key: str = "LocationID",
-                   max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def zone_unmatched(trips: DataFrame, zones: DataFrame, key: str = "LocationID") -> DataFrame:
     """Trips whose zone id has no coordinates (``left_anti``): the rows the lookup drops."""
-    return trips.join(bounded_broadcast(zones.select(key), max_broadcast_rows), on=key, how="left_anti")
+    return _zone_key(trips, zones, key).join(zones.select(key), on=key, how="left_anti")
 
 
 def prep_profile(df: DataFrame, tag_col: str, valid: Column) -> DataFrame:
-    """Raw and valid rows per input file plus the grand total.
-
-    ``rollup`` gives the per-file rows and one total row (tag NULL) from one partial/final
-    aggregation; no per-file loop on the driver.
-    """
-    return (df.rollup(tag_col)
-              .agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(valid).alias("valid_rows")))
+    """Raw and valid rows per input file plus the grand total (A7): ``is_total`` tells the total from a
+    file without a tag. One aggregation; the total adds up the per-file rows."""
+    per_tag = df.groupBy(tag_col).agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(valid).alias("valid_rows"))
+    tag_type = df.schema[tag_col].dataType
+    total = per_tag.agg(F.coalesce(F.sum("raw_rows"), F.lit(0)).alias("raw_rows"),
+                        F.coalesce(F.sum("valid_rows"), F.lit(0)).alias("valid_rows"))
+    return per_tag.withColumn("is_total", F.lit(False)).unionByName(
+        total.withColumn(tag_col, F.lit(None).cast(tag_type)).withColumn("is_total", F.lit(True)))
 
 
 def repartition_points(df: DataFrame, n_parts: int | None) -> DataFrame:

@@ -9,21 +9,14 @@ partition), so a draw is one pass with no shuffle of the data and no single-task
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from centroidal.functions.geometry import Centre, min_sq_dist
 from centroidal.functions.hashing import exponential_key, hash_uniform
 
-# The in-task seeding body below is shipped by value (no installed package needed on executors).
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 X, Y = "pickup_longitude", "pickup_latitude"
 
 # The reference seeds every draw with 42 and samples about 10,000 points.
@@ -96,77 +89,6 @@ def kmeanspp(df: DataFrame, k: int, x: str = X, y: str = Y, key: str = "id",
     return centres
 
 
-def kmeanspp_in_task(sample: DataFrame, k: int, x: str = X, y: str = Y, key: str = "id",
-                     seed: int = DEFAULT_SEED, multiplicity: str | None = None,
-                     max_rows: int | None = None) -> list[Centre]:
-    """K-Means++ over a *bounded sample* in one task: the same draws as ``kmeanspp``, in one job.
-
-    Spark computes every row's K exponential numerators ``-ln(u_r)`` (the same md5 uniforms as
-    ``kmeanspp``), then the sample - about ``sample_target`` rows by construction of the hash sample -
-    is shuffled to a single task, which runs the K rounds with NumPy: least squared distance kept
-    incrementally, key ``e_r / w``, least (key, row key) wins. The arithmetic is the same IEEE
-    operations as the distributed form, so both pick the same seeds. Only for sampled input; on the
-    full data use ``kmeanspp``. ``max_rows`` is a hard bound on the rows the task accepts: it fails
-    with a clear error beyond it instead of holding an unexpectedly large input.
-    """
-    if k < 1:
-        raise ValueError("K must be at least 1")
-    e = F.array(*[(-F.ln(hash_uniform(key, seed, f"kmeanspp:{r}"))) for r in range(k)])
-    m = F.col(multiplicity).cast("double") if multiplicity else F.lit(1.0)
-    prepared = sample.select(F.col(key).alias("_key"), F.col(x).alias("_x"), F.col(y).alias("_y"),
-                             m.alias("_m"), e.alias("_e"))
-    rows = (prepared.repartition(1)
-            .mapInPandas(kmeanspp_rounds_fn(k, max_rows), "round int, cx double, cy double, found boolean")
-            .collect())
-    rows = sorted(rows, key=lambda r: r["round"])
-    centres = [(float(r["cx"]), float(r["cy"])) for r in rows if r["found"]]
-    if len(centres) < k:
-        if not centres:
-            raise ValueError("no points to seed from")
-        raise ValueError(f"only {len(centres)} distinct points; cannot choose K={k} distinct centres")
-    return centres
-
-
-def kmeanspp_rounds_fn(k: int, max_rows: int | None = None):
-    """``mapInPandas`` body: the K K-Means++ rounds over the whole (single-partition) sample."""
-    def rounds(batches):
-        parts, total = [], 0
-        for b in batches:
-            total += len(b)
-            if max_rows is not None and total > max_rows:
-                raise RuntimeError(f"seeding sample has more than {max_rows} rows; expected a bounded sample")
-            parts.append(b)
-        if not parts:
-            return
-        pdf = pd.concat(parts, ignore_index=True)
-        xs = pdf["_x"].to_numpy(np.float64)
-        ys = pdf["_y"].to_numpy(np.float64)
-        ms = pdf["_m"].to_numpy(np.float64)
-        keys = pdf["_key"].to_numpy()
-        es = np.stack(pdf["_e"].to_numpy()) if len(pdf) else np.zeros((0, k))
-        best = np.full(xs.shape[0], np.inf)
-        out = []
-        for r in range(k):
-            if r == 0:
-                w = np.ones(xs.shape[0]) * ms
-            else:
-                cx, cy = out[-1][1], out[-1][2]
-                dx = xs - cx
-                dy = ys - cy
-                best = np.minimum(best, dx * dx + dy * dy)
-                w = best * ms
-            valid = np.nonzero(w > 0)[0]
-            if valid.shape[0] == 0:
-                break
-            draw = es[valid, r] / w[valid]
-            order = np.lexsort((keys[valid], draw))
-            i = valid[order[0]]
-            out.append((r, float(xs[i]), float(ys[i])))
-        rows = [(r, cx, cy, True) for r, cx, cy in out]
-        yield pd.DataFrame(rows, columns=["round", "cx", "cy", "found"]).astype({"round": "int32"})
-    return rounds
-
-
 def seeds_frame(spark, centres: Sequence[Centre]) -> DataFrame:
     """K seeds as ``(cluster_id int, cx double, cy double)``; K rows built on the driver."""
     rows = [(i, float(cx), float(cy)) for i, (cx, cy) in enumerate(centres)]

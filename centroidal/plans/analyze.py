@@ -34,13 +34,16 @@ def report_table(scaling: DataFrame) -> DataFrame:
                     thousands("throughput", 0).alias("Throughput (pts/s)")))
 
 
-def analyze(spark, runs: DataFrame, output: str | None = None, out=None) -> dict:
+def analyze(spark, runs: DataFrame, output: str | None = None, out=None, baseline: str = H.SERIAL,
+            compared: str = H.PARALLEL) -> dict:
+    """Print the report and return its tables; ``baseline`` and ``compared`` name the implementations of the
+    scaling tables (the job's own records are ``spark``)."""
     out = out if out is not None else sys.stdout    # resolved per call, not at import
     summary = runs.agg(F.count(F.lit(1)).alias("n_runs"),
                        F.array_sort(F.collect_set("impl")).alias("impls")).first()
     print(f"Runs: {summary['n_runs']}", file=out)
     print(f"Implementations: {', '.join(summary['impls'])}", file=out)
-    strong = H.strong_scaling(runs)
+    strong = H.strong_scaling(runs, baseline, compared)
     table = report_table(strong)
     rows = table.collect()
     if rows:
@@ -54,12 +57,12 @@ def analyze(spark, runs: DataFrame, output: str | None = None, out=None) -> dict
             if a["limit"] is not None:
                 print(f"  Maximum speedup: {a['limit']:.1f}x", file=out)
     else:
-        print("\nNo serial and parallel runs to compare.", file=out)
+        print(f"\nNo {baseline} and {compared} runs to compare.", file=out)
     tables = {
         "strong_scaling": strong,
-        "weak_scaling": H.weak_scaling(runs),
-        "chart_scaling": H.strong_scaling(runs, same_n=False),
-        "impl_speedup": H.impl_speedup(runs),
+        "weak_scaling": H.weak_scaling(runs, compared),
+        "chart_scaling": H.strong_scaling(runs, baseline, compared, same_n=False),
+        "impl_speedup": H.impl_speedup(runs, baseline),
         "best_throughput": H.best_throughput(runs),
     }
     if output:
@@ -74,10 +77,12 @@ def main(argv=None) -> int:
     p.add_argument("runs", help="run-record files or directory")
     p.add_argument("--format", default="text", choices=["text", "parquet"])
     p.add_argument("--output", default=None, help="directory for the CSV tables")
+    p.add_argument("--baseline", default=H.SERIAL, help="implementation of the baseline run")
+    p.add_argument("--compared", default=H.PARALLEL, help="implementation of the scaling runs, e.g. spark")
     args = p.parse_args(argv)
     spark = get_session(app_name="centroidal-analyze")
     runs = read_run_history(spark, args.runs) if args.format == "text" else spark.read.parquet(args.runs)
-    analyze(spark, runs, args.output)
+    analyze(spark, runs, args.output, baseline=args.baseline, compared=args.compared)
     return 0
 
 

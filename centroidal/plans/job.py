@@ -15,7 +15,7 @@ import argparse
 import logging
 import sys
 
-from centroidal.operators.lloyd import fit_kmeans, materialize, spread
+from centroidal.operators.lloyd import fit_kmeans, materialize
 from centroidal.operators.prepare import clean_points, fold_duplicates, limit_points, repartition_points, zone_lookup
 from centroidal.session import get_session
 from centroidal.sinks.writers import (
@@ -48,6 +48,7 @@ def parse_args(argv=None):
     p.add_argument("--init", default="sample", choices=["sample", "kmeans++"])
     p.add_argument("--seed", type=int, default=42)
     p.add_argument("--method", default="partials", choices=["partials", "arrow", "expr"])
+    p.add_argument("--scale", type=int, default=6, help="decimals of the exact coordinate sums")
     p.add_argument("--fold", action="store_true", help="fold duplicate locations (exact, weighted Lloyd)")
     p.add_argument("--storage", default="persist", choices=["persist", "checkpoint"],
                    help="keep the cleaned points cached, or checkpointed to spark.checkpoint.dir")
@@ -82,14 +83,14 @@ def run(args, spark=None):
     pts = repartition_points(pts, args.n_parts)
     # Cache the cleaned points once: the fit iterates over them and the final assignment reads them
     # again, so the source is scanned and cleaned a single time.
-    pts = materialize(spread(pts), args.storage)
+    pts = materialize(pts, args.storage)
     try:
         if args.fold:
             model = fit_kmeans(fold_duplicates(pts), args.k, args.max_iter, weight="weight", init=args.init,
-                               seed=args.seed, method=args.method, log=log.info)
+                               seed=args.seed, method=args.method, scale=args.scale, log=log.info)
         else:
             model = fit_kmeans(pts, args.k, args.max_iter, key=args.key, init=args.init, seed=args.seed,
-                               method=args.method, storage="none", min_partitions=0, log=log.info)
+                               method=args.method, scale=args.scale, storage="none", log=log.info)
         out = args.output.rstrip("/")
         write_assignments(model.predict(pts), f"{out}/assignments")
         write_centroid_record(spark, model, f"{out}/centroids")
@@ -102,17 +103,20 @@ def run(args, spark=None):
             pts.unpersist()
 
 
-def main(argv=None):
-    logging.basicConfig(level=logging.INFO, format="[%(asctime)s] %(levelname)s %(message)s", datefmt="%H:%M:%S")
-    args = parse_args(argv)
-    model = run(args)
-    print(f"points      : {model.n_points:,}")
-    print(f"iterations  : {model.iterations} (converged: {model.converged})")
-    print(f"loop time   : {model.total_time_sec:.2f}s  throughput: {model.throughput_pts_sec:,.0f} pts/s")
+def report(model) -> list[str]:
+    """Closing lines of a run: a summary and one line per final centre."""
+    state = "settled" if model.converged else "stopped at the pass limit"
+    lines = [f"{model.n_points} points in {model.k} clusters, {state} after {model.iterations} passes "
+             f"({model.total_time_sec:.3f} s, {model.throughput_pts_sec:.4g} points/s)"]
     if model.final_wcss is not None:
-        print(f"final WCSS  : {model.final_wcss:.4e}")
-    for i, ((cx, cy), n) in enumerate(zip(model.centres, model.counts)):
-        print(f"  cluster {i}: ({cx:.4f}, {cy:.4f}) | {n:,} points")
+        lines.append(f"sum of squared distances {model.final_wcss:.6g}")
+    lines += [f"centre {i}: x={cx:.6f} y={cy:.6f} n={n}" for i, ((cx, cy), n) in enumerate(zip(model.centres, model.counts))]
+    return lines
+
+
+def main(argv=None):
+    logging.basicConfig(level=logging.INFO, format="%(name)s %(message)s")
+    print("\n".join(report(run(parse_args(argv)))))
     return 0
 
 

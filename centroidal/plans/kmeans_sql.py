@@ -2,8 +2,7 @@
 
 Each function writes, as one SQL statement, the same arithmetic the Spark operators run: squared
 distances as ``dx*dx + dy*dy``, the first minimum as ``least`` + ``CASE``, micro-unit sums, md5
-uniforms and exponential keys. Iterations are unrolled into chained CTEs, so a fixed number of
-iterations is one statement. This is test scaffolding for ``oracle_sql()``; no Spark code uses it.
+uniforms and exponential keys. A fit is a recursive CTE that stops when no point moves. This is test scaffolding for ``oracle_sql()``; no Spark code uses it.
 """
 
 from __future__ import annotations
@@ -123,23 +122,46 @@ def lloyd_ctes(pts: str, k: int, iters: int, first: str = "c0", x: str = X, y: s
 
 
 def with_clause(ctes: list[tuple[str, str]]) -> str:
-    return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in ctes)
-
-
-def history_select(k: int, iters: int, first: str = "c0", digits: int = 4) -> str:
-    """Per-iteration ``iteration, n_moved, wcss, wcss_after``; stops after the first iteration with 0 moved."""
+    return "WITH RECURSIVE " + ",\n".join(f"{name} AS ({body})" for name, body in ctes)
+
+
+def lloyd_recursive(pts: str, k: int, first: str = "c0", max_iter: int = 100, x: str = X, y: str = Y) -> list[tuple[str, str]]:
+    """CTEs ``lloyd`` (one row a pass, until no point moves or ``max_iter`` passes ran) and ``last`` (the
+    final centres, wide). A row holds the centres after ``it`` passes and the pass's moved count, WCSS
+    before and after the update; row 0 the starting centres."""
+    ids = range(k)
+    dist_cols = [f"{dist('p.' + x, 'p.' + y, f's.x{i}', f's.y{i}')} AS d{i}" for i in ids]
+    prev_cols = [f"{dist('p.' + x, 'p.' + y, f's.px{i}', f's.py{i}')} AS e{i}" for i in ids]
+
+    def nearest(d: str) -> str:
+        least = f"least({', '.join(f'{d}{i}' for i in ids)})"
+        return "CASE " + " ".join(f"WHEN {d}{i} = {least} THEN {i}" for i in ids[:-1]) + f" ELSE {k - 1} END"
+
+    state = [f"{c}{i}" for i in ids for c in "xy"]
+    seed = ", ".join([*state, *(f"{c}{i} AS p{c}{i}" for i in ids for c in "xy")])
+    per = ", ".join(
+        f"sum(CASE WHEN k = {i} THEN {micro(x)} END) AS sx{i}, sum(CASE WHEN k = {i} THEN {micro(y)} END) AS sy{i}, "
+        f"count(CASE WHEN k = {i} THEN 1 END) AS n{i}, sum(CASE WHEN k = {i} THEN d END) AS sse{i}" for i in ids)
+    means = ", ".join(f"coalesce(s{c}{i}::DOUBLE / n{i}::DOUBLE / 1000000.0::DOUBLE, {c}{i}) AS n{c}{i}" for i in ids for c in "xy")
+    gain = " + ".join(f"coalesce(sse{i}, 0.0::DOUBLE) - n{i}::DOUBLE * ((x{i} - nx{i}) * (x{i} - nx{i}) + (y{i} - ny{i}) * (y{i} - ny{i}))"
+                      for i in ids)
+    flat = ", ".join(state)
+    body = f"""
+SELECT 0 AS it, {seed}, -1::BIGINT AS n_moved, NULL::DOUBLE AS wcss, NULL::DOUBLE AS wcss_after FROM {first}
+UNION ALL
+SELECT it + 1, {', '.join(f'n{c}{i}' for i in ids for c in 'xy')}, {flat}, moved, total, {gain} FROM (
+ SELECT *, {means} FROM (
+  SELECT it, {flat}, {per}, CAST(sum(CASE WHEN it = 0 OR k <> kp THEN 1 ELSE 0 END) AS BIGINT) AS moved, sum(d) AS total FROM (
+   SELECT *, {nearest('d')} AS k, {nearest('e')} AS kp, least({', '.join(f'd{i}' for i in ids)}) AS d FROM (
+    SELECT p.{x}, p.{y}, s.*, {', '.join(dist_cols + prev_cols)} FROM {pts} AS p, lloyd AS s
+    WHERE s.it < {max_iter} AND s.n_moved <> 0))
+  GROUP BY it, {flat}))"""
+    last = f"SELECT {flat} FROM lloyd ORDER BY it DESC LIMIT 1"
+    return [("lloyd", body), ("last", last)]
+
+
+def history_select(digits: int = 4) -> str:
+    """Per-pass ``iteration, n_moved, wcss, wcss_after`` of a ``lloyd`` CTE."""
     from centroidal.functions.numeric import round_half_up_sql
-    parts = []
-    for t in range(iters):
-        old = first if t == 0 else f"c{t}"
-        after = (f"(SELECT sum(g.sse - g.n::DOUBLE * ((o.cx - (g.sx::DOUBLE / g.n::DOUBLE / 1000000.0::DOUBLE)) * "
-                 f"(o.cx - (g.sx::DOUBLE / g.n::DOUBLE / 1000000.0::DOUBLE)) + "
-                 f"(o.cy - (g.sy::DOUBLE / g.n::DOUBLE / 1000000.0::DOUBLE)) * "
-                 f"(o.cy - (g.sy::DOUBLE / g.n::DOUBLE / 1000000.0::DOUBLE)))) "
-                 f"FROM g{t} AS g JOIN ({long_centres(old, k)}) AS o ON o.cluster_id = g.k)")
-        parts.append(f"SELECT {t}::INTEGER AS iteration, (SELECT CAST(sum(moved) AS BIGINT) FROM g{t}) AS n_moved, "
-                     f"{round_half_up_sql(f'(SELECT sum(sse) FROM g{t})', digits)} AS wcss, "
-                     f"{round_half_up_sql(after, digits)} AS wcss_after")
-    union = " UNION ALL ".join(parts)
-    return (f"SELECT * FROM ({union}) AS h WHERE iteration <= coalesce("
-            f"(SELECT min(iteration) FROM ({union}) AS h2 WHERE n_moved = 0), {iters - 1})")
+    return (f"SELECT CAST(it - 1 AS INTEGER) AS iteration, n_moved, {round_half_up_sql('wcss', digits)} AS wcss, "
+            f"{round_half_up_sql('wcss_after', digits)} AS wcss_after FROM lloyd WHERE it > 0")

@@ -5,6 +5,8 @@ the fit already holds there.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,9 +101,11 @@ def write_experiment_record(spark: SparkSession, model: KMeansModel, path: str,
 
 
 def run_record(spark: SparkSession, model: KMeansModel, impl: str = "spark", threads: str | None = None) -> DataFrame:
-    """The model's run as one row of the run table (K3 layout; GPU timing columns NULL)."""
+    """The model's run as one row of the run table (K3 layout; GPU timing columns NULL). ``run_id`` is the
+    time of writing in microseconds, so the first of several runs is the one recorded first."""
     t = threads if threads is not None else str(spark.sparkContext.defaultParallelism)
-    row = [(None, impl, model.k, t, int(model.n_points), model.iterations, None, None, None,
+    # Microseconds since the epoch: later runs have greater ids, so appended records keep their order.
+    row = [(time.time_ns() // 1000, impl, model.k, t, int(model.n_points), model.iterations, None, None, None,
             float(model.total_time_sec * 1000.0), model.final_wcss, float(model.throughput_pts_sec))]
     return spark.createDataFrame(row, "run_id bigint, impl string, K int, threads string, n_points bigint, "
                                       "iterations int, h2d_ms double, kmeans_ms double, d2h_ms double, "

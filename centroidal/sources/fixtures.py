@@ -12,6 +12,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from centroidal.sources.history import HEADER
+
 X, Y = "pickup_longitude", "pickup_latitude"
 
 
@@ -187,13 +189,13 @@ def fx_run_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat_ws(",", head, money(cents), sci, tput))
     data = o.select((F.col("o_orderkey") + 2).alias("line_no"), line.alias("value"))
     header = spark.range(1).select(F.lit(1).cast("bigint").alias("line_no"),
-                                   F.lit("impl,K,threads,n_points,iterations,elapsed_ms,wcss,throughput_pts_sec")
+                                   F.lit(HEADER)
                                    .alias("value"))
     return header.unionByName(data)
 
 
 FX_RUN_LINES_SQL = """
-SELECT 1::BIGINT AS line_no, 'impl,K,threads,n_points,iterations,elapsed_ms,wcss,throughput_pts_sec' AS value
+SELECT 1::BIGINT AS line_no, '@HEADER@' AS value
 UNION ALL
 SELECT o_orderkey + 2 AS line_no,
   CASE WHEN o_orderstatus = 'P'
@@ -213,7 +215,7 @@ FROM (
     CAST(o_custkey * 1000 + o_orderkey % 1000 AS VARCHAR) AS tput
   FROM (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)
 )
-"""
+""".replace("@HEADER@", HEADER)
 
 
 # --- Line points: continuous coordinates with a text key (from lineitem) ----------------------------

@@ -64,12 +64,20 @@ def parse_run_lines(lines: DataFrame, line_col: str = "value", order_col: str |
 def read_run_history(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Read run-record CSV files (8- and 11-field rows) into the typed run table.
 
-    ``run_id`` follows file order (``monotonically_increasing_id`` over the text scan), which is what
-    the reference's "first row wins" tie rule needs; it is an ordering key, not a dense line number.
+    ``run_id`` follows the order of the given paths, then of the file names in a folder, then of the
+    lines, which is what the reference's "first row wins" tie rule needs. A file of run records (one
+    line a run) is read as one value, so its line numbers do not depend on splits.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    lines = spark.read.text(paths).withColumn("_order", F.monotonically_increasing_id())
-    return parse_run_lines(lines, "value", "_order")
+    texts = None
+    for i, p in enumerate(paths):
+        one = spark.read.text(p, wholetext=True).select(F.lit(i).alias("given"), F.col("_metadata.file_path").alias("file"), "value")
+        texts = one if texts is None else texts.unionByName(one)
+    files = sorted((r["given"], r["file"]) for r in texts.select("given", "file").distinct().collect())
+    order = spark.createDataFrame([(g, f, i) for i, (g, f) in enumerate(files)], "given int, file string, file_no long")
+    lines = texts.join(order, ["given", "file"]).select(
+        "file_no", F.posexplode(F.split("value", "\\r?\\n")).alias("line_no", "value"))
+    return parse_run_lines(lines.select("value", (F.col("file_no") * F.lit(1 << 32) + F.col("line_no")).alias("_at")), "value", "_at")
 
 
 def run_record_lines(runs: DataFrame) -> DataFrame:

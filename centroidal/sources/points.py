@@ -16,14 +16,11 @@ from pyspark.sql import types as T
 X, Y = "pickup_longitude", "pickup_latitude"
 POINT_SCHEMA = T.StructType([T.StructField(X, T.DoubleType()), T.StructField(Y, T.DoubleType())])
 
-# The positional layout of the prepared CSV (five padding columns, then x and y), and
-# the coordinate-column rule of older trip files: the first column whose lower-cased name contains
-# "lon" (or "lat"), or whose name is one of the listed names.
+# The positional layout of the prepared CSV (five padding columns, then x and y), and the
+# words that name a coordinate column of older trip files.
 DEFAULT_COL_X = 5
 DEFAULT_COL_Y = 6
-LON_PART, LAT_PART = "lon", "lat"
-LON_NAMES = ("pickup_longitude", "start_lon")
-LAT_NAMES = ("pickup_latitude", "start_lat")
+AXIS_WORDS = {"lon": X, "lat": Y}
 
 
 def read_points(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet",
@@ -91,12 +88,14 @@ def read_positional_csv(spark: SparkSession, path: str | Sequence[str], col_x: i
 
 
 def find_coordinate_columns(columns: Sequence[str]) -> tuple[str, str] | None:
-    """First column whose name contains ``lon`` / ``lat`` or is a listed name (P6); None if either is absent."""
-    lon = next((c for c in columns if LON_PART in c.lower() or c in LON_NAMES), None)
-    lat = next((c for c in columns if LAT_PART in c.lower() or c in LAT_NAMES), None)
-    if lon is None or lat is None:
-        return None
-    return lon, lat
+    """The longitude and latitude columns by name (P6): a column belongs to the axis whose word its name
+    contains, the first in the schema wins; None if an axis has no column."""
+    axis_of: dict[str, str] = {}
+    for name in columns:
+        for word, axis in AXIS_WORDS.items():
+            if word in name.lower():
+                axis_of.setdefault(axis, name)
+    return (axis_of[X], axis_of[Y]) if len(axis_of) == len(AXIS_WORDS) else None
 
 
 def canonical_points(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame | None:
@@ -108,6 +107,38 @@ def canonical_points(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame | Non
     return df.select(*keep, F.col(lon).try_cast("double").alias(X), F.col(lat).try_cast("double").alias(Y))
 
 
+def schema_groups(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet") -> list[DataFrame]:
+    """One frame per file schema of a directory (S6): files are listed by Spark, their schemas read one by
+    one (footers or header lines only), and files of the same schema are read together. Every frame
+    has ``file_tag``, the file's name. The driver holds one entry per file, not rows."""
+    paths = [path] if isinstance(path, str) else list(path)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{fmt}").option("recursiveFileLookup", True) \
+        .load(paths).select("path").collect()
+    groups: dict[str, list[str]] = {}
+    for file in sorted(r["path"] for r in listed):
+        groups.setdefault(read_points(spark, file, fmt).schema.json(), []).append(file)
+    return [tag_files(read_points(spark, files, fmt)) for files in groups.values()]
+
+
+def read_point_directory(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet") -> tuple[DataFrame, list[str]]:
+    """Points of a directory whose files differ in column names or types (S6, P6, P7, U1): the columns are
+    found and cast per schema group. Returns ``file_tag`` and the canonical coordinates, and the
+    names of files without recognisable coordinates, which are skipped."""
+    parts, skipped = [], []
+    for group in schema_groups(spark, path, fmt):
+        canon = canonical_points(group, keep=["file_tag"])
+        if canon is None:
+            skipped += [r["file_tag"] for r in group.select("file_tag").distinct().collect()]
+        else:
+            parts.append(canon)
+    if not parts:
+        raise ValueError("no file has recognisable coordinate columns")
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out, sorted(skipped)
+
+
 def union_point_sources(sources: dict[str, DataFrame], tag_col: str = "source") -> tuple[DataFrame, list[str]]:
     """Union-all of inputs with differently named coordinate columns.
 

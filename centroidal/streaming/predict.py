@@ -8,6 +8,7 @@ sink's checkpoint in the shared checkpoint folder.
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Sequence
 
@@ -52,7 +53,9 @@ def write_assignment_stream(assigned: DataFrame, path: str, checkpoint: str | No
     spark = assigned.sparkSession
     if checkpoint is None:
         base = ensure_checkpoint_dir(spark)
-        checkpoint = os.path.join(base, "assign-stream-" + os.path.basename(path.rstrip("/")))
+        # one checkpoint per sink path: a hash of the whole path, as sinks may share their last folder name
+        name = hashlib.sha256(path.rstrip("/").encode()).hexdigest()[:16]
+        checkpoint = os.path.join(base, f"assign-stream-{name}")
     w = assigned.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start(path)

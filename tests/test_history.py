@@ -135,3 +135,46 @@ def test_analyze_main_on_parquet_runs(spark, runs, tmpdir_run, capsys):
     assert main([f"{tmpdir_run}/runs", "--format", "parquet"]) == 0
     out = capsys.readouterr().out
     assert "STRONG SCALING" in out and "Threads" in out and "3.43x" in out
+
+
+def test_run_ids_follow_the_files_and_lines(spark, tmpdir_run):
+    from centroidal.sources.history import HEADER, read_run_history
+    row = "serial,8,1,{n},3,{ms},1.0e+00,1"
+    # The second file is longer; splits are packed by size, ids must still follow names and lines.
+    for name, times in (("a.csv", [111]), ("b.csv", range(222, 262))):
+        with open(f"{tmpdir_run}/{name}", "w") as f:
+            f.write("\n".join([HEADER, *(row.format(n=100, ms=ms) for ms in times)]) + "\n")
+    got = [r["elapsed_ms"] for r in read_run_history(spark, tmpdir_run).orderBy("run_id").collect()]
+    assert got == [111.0, *map(float, range(222, 262))]
+    assert H.baseline_run(read_run_history(spark, tmpdir_run)).first()["base_ms"] == 111.0
+    listed = read_run_history(spark, [f"{tmpdir_run}/b.csv", f"{tmpdir_run}/a.csv"])
+    assert H.baseline_run(listed).first()["base_ms"] == 222.0
+
+
+def test_zero_times_and_odd_threads(spark, runs):
+    odd = spark.createDataFrame([(90, "openmp", 8, "0", 36830903, 3, None, None, None, 0.0, 1.0, 1.0),
+                                 (91, "openmp", 8, "many", 36830903, 3, None, None, None, 5.0, 1.0, 1.0)], runs.schema)
+    every = runs.unionByName(odd)
+    weak = {r["run_id"]: r["efficiency"] for r in H.weak_scaling(every).collect()}
+    assert weak[90] is None and weak[91] is not None
+    strong = {r["threads"]: r for r in H.strong_scaling(every).collect()}
+    assert strong["0"]["efficiency"] is None and strong["0"]["throughput"] is None and strong["many"]["efficiency"] == 0
+    assert "many" not in {r["threads"] for r in H.strong_scaling(every, same_n=False).collect()}
+
+
+def test_serial_row_stands_without_runs_at_its_size(runs):
+    rows = H.strong_scaling(runs.filter("impl = 'serial' or n_points < 36830903")).collect()
+    assert [r["threads"] for r in rows] == ["1 (serial)"]
+
+
+def test_job_records_feed_the_analysis(spark, tmpdir_run):
+    from centroidal.operators.lloyd import fit_kmeans
+    from centroidal.sinks.writers import append_run_records, run_record
+    df = spark.createDataFrame([(-74.0 + i / 100, 40.0 + i / 50) for i in range(20)], "pickup_longitude double, pickup_latitude double")
+    model = fit_kmeans(df, 2, 20, initial_centres=[(-74.0, 40.0), (-73.8, 40.4)])
+    for impl, threads in (("serial", "1"), ("spark", "4"), ("spark", "8")):
+        append_run_records(run_record(spark, model, impl, threads), f"{tmpdir_run}/runs")
+    recorded = spark.read.parquet(f"{tmpdir_run}/runs")
+    assert recorded.filter("run_id is null").count() == 0 and recorded.select("run_id").distinct().count() == 3
+    table = H.strong_scaling(recorded, "serial", "spark").orderBy("row_order").collect()
+    assert [r["threads"] for r in table] == ["1 (serial)", "4", "8"]

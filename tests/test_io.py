@@ -4,6 +4,7 @@ import glob
 import json
 import os
 
+from pyspark.sql import functions as F
 
 from centroidal.operators.lloyd import fit_kmeans
 from centroidal.operators.prepare import clean_points, zone_lookup, zone_unmatched
@@ -12,7 +13,7 @@ from centroidal.sinks import writers as W
 from centroidal.sources import fixtures as FX
 from centroidal.sources.history import read_run_history
 from centroidal.sources.points import (
-    find_coordinate_columns, read_points, read_positional_csv, union_point_sources,
+    find_coordinate_columns, read_point_directory, read_points, read_positional_csv, union_point_sources,
 )
 from centroidal.sources.zones import read_zones
 
@@ -55,19 +56,44 @@ def test_coordinate_discovery_and_union(spark):
     assert skipped == ["c"] and out.count() == 2
 
 
-def test_zone_lookup_broadcasts_only_a_bounded_side(spark):
+def test_zone_lookup_is_a_keyed_lookup(spark):
     trips, zones = FX.fx_trips(spark, SF0001), FX.fx_zones(spark)
-    small = zone_lookup(trips, zones)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in small
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        big = zone_lookup(trips, zones, max_broadcast_rows=10)
-        plan = big._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plan
-        assert big.count() == zone_lookup(trips, zones).count()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert zone_unmatched(trips, zones).count() + zone_lookup(trips, zones).count() == trips.count()
+    n = zone_lookup(trips, zones).count()
+    twice = zones.unionByName(zones.withColumn("longitude", F.col("longitude") + 1))
+    assert zone_lookup(trips, twice).count() == n
+    assert sorted(zone_lookup(trips, twice).select("longitude").distinct().collect()) == \
+        sorted(zone_lookup(trips, zones).select("longitude").distinct().collect())
+    text = trips.withColumn("LocationID", F.col("LocationID").cast("string")).unionByName(
+        trips.limit(3).withColumn("LocationID", F.lit("abc"))).unionByName(trips.limit(2).withColumn("LocationID", F.lit("")))
+    assert zone_lookup(text, zones).count() == n and zone_unmatched(text, zones).count() == trips.count() - n + 5
+    assert zone_unmatched(trips, zones).count() + n == trips.count()
+
+
+def test_directory_with_differing_schemas(spark, tmpdir_run):
+    d = os.path.join(tmpdir_run, "trips")
+    spark.createDataFrame([(-74.0, 40.5)] * 5, "pickup_longitude double, pickup_latitude double").write.parquet(f"{d}/a")
+    spark.createDataFrame([("-73.5", "41.0")] * 7, "start_lon string, start_lat string").write.parquet(f"{d}/b")
+    spark.createDataFrame([(1,)], "fare int").write.parquet(f"{d}/c")
+    points, skipped = read_point_directory(spark, d)
+    assert points.count() == 12 and len(skipped) == 1
+    assert {tuple(r) for r in points.select(X, Y).distinct().collect()} == {(-74.0, 40.5), (-73.5, 41.0)}
+
+
+def test_preparation_command(spark, tmpdir_run, capsys):
+    from centroidal.plans import prep
+    d, out = os.path.join(tmpdir_run, "in"), os.path.join(tmpdir_run, "out")
+    spark.createDataFrame([(1,), (2,), (99,)], "PULocationID int").coalesce(1).write.parquet(f"{d}/a")
+    spark.createDataFrame([(2,), (None,)], "PULocationID bigint").coalesce(1).write.parquet(f"{d}/b")
+    spark.createDataFrame([("1",), ("x",)], "PULocationID string").coalesce(1).write.parquet(f"{d}/c")
+    zones = os.path.join(tmpdir_run, "zones.csv")
+    write(zones, "LocationID,longitude,latitude\n1,-74.0,40.7\n2,-73.9,40.8\n2,-73.9,40.8\nx,1,1\n")
+    assert prep.main([d, out, "--zones", zones]) == 0
+    assert "7 rows read, 4 kept, 3 rejected" in capsys.readouterr().out
+    points = read_positional_csv(spark, f"{out}/points").collect()
+    assert sorted(tuple(r) for r in points) == [(-74.0, 40.7), (-74.0, 40.7), (-73.9, 40.8), (-73.9, 40.8)]
+    profile = spark.read.parquet(f"{out}/profile").collect()
+    assert sorted((r["raw_rows"], r["valid_rows"], r["is_total"]) for r in profile) == [
+        (2, 1, False), (2, 1, False), (3, 2, False), (7, 4, True)]
 
 
 def test_zone_reader(spark, tmpdir_run):

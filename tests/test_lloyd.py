@@ -82,7 +82,7 @@ def test_refit_from_converged_moves_nothing(pts, model):
 
 @pytest.mark.parametrize("parts", [1, 3, 7])
 def test_partition_independent(pts, model, parts):
-    m = fit_kmeans(pts.repartition(parts), 4, 30, key="id", init="kmeans++", min_partitions=0)
+    m = fit_kmeans(pts.repartition(parts), 4, 30, key="id", init="kmeans++")
     assert m.centres == model.centres and m.counts == model.counts and m.seeds == model.seeds
 
 
@@ -148,9 +148,42 @@ def test_weighted_draw_follows_weights(spark):
     assert counts[2] > counts[1] > counts[0] > 5
 
 
-def test_in_task_seeding_equals_distributed(pts):
-    from centroidal.operators.seed import kmeanspp, kmeanspp_in_task
-    assert kmeanspp(pts, 5, key="id") == kmeanspp_in_task(pts, 5, key="id")
+def test_seeding_without_a_key_draws_locations(spark):
+    # Three locations, one of them repeated often: all three are drawn, as distinct centres.
+    rows = [(-74.0, 40.0)] * 50 + [(-73.5, 40.5)] * 3 + [(-73.2, 41.0)]
+    df = spark.createDataFrame(rows, f"{X} double, {Y} double")
+    for init in ("kmeans++", "sample"):
+        m = fit_kmeans(df, 3, 20, init=init)
+        assert sorted(m.seeds) == sorted(set(rows)) and sorted(m.counts) == [1, 3, 50] and m.converged
+
+
+def test_seeding_plan_reads_a_cached_fold(spark):
+    from centroidal.operators import lloyd as L
+    seen = []
+    real = L.kmeanspp
+
+    def spy(df, *args):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, *args)
+    L.kmeanspp = spy
+    try:
+        fit_kmeans(spark.createDataFrame([(-74.0, 40.0), (-73.0, 41.0)] * 4, f"{X} double, {Y} double"), 2, 5, init="kmeans++")
+    finally:
+        L.kmeanspp = real
+    assert "InMemoryTableScan" in seen[0]
+
+
+def test_large_weights_sum_exactly(spark):
+    rows = [(-74.0, 40.0, 2 * 10 ** 11), (-74.000003, 40.1, 2 * 10 ** 11 + 7), (-73.9, 41.25, 3)]
+    df = spark.createDataFrame(rows, f"{X} double, {Y} double, weight bigint")
+    units = [(round(a * 10 ** 6), round(b * 10 ** 6), w) for a, b, w in rows]
+    want = (sum(a * w for a, _, w in units), sum(b * w for _, b, w in units), sum(w for _, _, w in units))
+    from centroidal.operators.lloyd import lloyd_aggregate
+    for method in ("partials", "arrow", "expr"):
+        [r] = lloyd_aggregate(df, [(-74.0, 40.5)], weight="weight", method=method).collect()
+        assert (int(r["sx"]), int(r["sy"]), r["n"]) == want, method
+    with pytest.raises(Exception, match="negative"):
+        lloyd_aggregate(df.selectExpr(X, Y, "-weight AS weight"), [(-74.0, 40.5)], weight="weight").collect()
 
 
 def test_assignment_of_null_coordinates_is_null(spark):
@@ -161,20 +194,6 @@ def test_assignment_of_null_coordinates_is_null(spark):
         assert got == {0: None, 1: 0}
 
 
-def test_driver_merge_equals_spark_merge(pts, model, monkeypatch):
-    import centroidal.operators.lloyd as L
-    monkeypatch.setattr(L, "DRIVER_MERGE_MAX_ROWS", 0)
-    m = fit_kmeans(pts, 4, 30, key="id", initial_centres=model.seeds)
-    assert m.centres == model.centres and m.counts == model.counts
-    assert [h["n_moved"] for h in m.history] == [h["n_moved"] for h in model.history]
-
-
-def test_in_task_seeding_refuses_an_oversized_sample(pts):
-    from centroidal.operators.seed import kmeanspp_in_task
-    with pytest.raises(Exception, match="bounded sample"):
-        kmeanspp_in_task(pts, 3, key="id", max_rows=10)
-
-
 def test_checkpoint_storage_gives_the_same_fit(pts, model):
     m = fit_kmeans(pts, 4, 30, key="id", initial_centres=model.seeds, storage="checkpoint")
     assert m.centres == model.centres and m.counts == model.counts

@@ -53,7 +53,7 @@ def reference_lloyd(points, centres, max_iter):
 def test_fit_equals_sequential_lloyd(spark, points, centres, max_iter, parts, method):
     df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(points)],
                                "id bigint, pickup_longitude double, pickup_latitude double").repartition(parts)
-    m = fit_kmeans(df, len(centres), max_iter, key="id", initial_centres=centres, method=method, min_partitions=0)
+    m = fit_kmeans(df, len(centres), max_iter, key="id", initial_centres=centres, method=method)
     expected, history = reference_lloyd(points, centres, max_iter)
     assert m.centres == expected
     assert [h["n_moved"] for h in m.history] == history

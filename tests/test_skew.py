@@ -32,7 +32,7 @@ def test_hot_zone_join_paths_agree(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        shuffled = zone_lookup(trips, zones, max_broadcast_rows=10).select(*cols)
+        shuffled = zone_lookup(trips, zones).select(*cols)
         rows = shuffled.collect()
         final = shuffled._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in final

@@ -42,7 +42,7 @@ def test_profile_per_input_file(spark, tmpdir_run):
     files = [os.path.join(d, s) for s in ("a", "b")]
     tagged = tag_files(read_points(spark, files))
     prof = prep_profile(tagged, "file_tag", in_box()).collect()
-    total = [r for r in prof if r["file_tag"] is None][0]
+    [total] = [r for r in prof if r["is_total"]]
     assert total["raw_rows"] == pts.count()
     assert total["valid_rows"] == catalog.points(spark, SF0001).count()
     assert len(prof) == 3
