@@ -27,12 +27,23 @@ def fresh(df: DataFrame, base: str) -> str:
     return name
 
 
+#: Bytes of a batch that the operators work on at a time; a larger row makes a piece of its own.
+PIECE_BYTES = 8_000_000
+
+
+def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut into pieces of about PIECE_BYTES, so that memory is bounded by bytes, not rows."""
+    for batch in batches:
+        n = -(-batch.num_rows * PIECE_BYTES // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, max(1, n)):
+            yield batch.slice(start, max(1, n))
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema) -> DataFrame:
-    """Apply ``fn`` to every Arrow batch of ``df`` (bounded memory: one batch at a time)."""
+    """Apply ``fn`` to every piece of the Arrow batches of ``df``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
+        for batch in pieces(batches):
+            yield fn(batch)
     return df.mapInArrow(run, schema)
 
 

@@ -9,7 +9,8 @@ up to collisions of 64-bit hashes.
 2. A global token order puts shingles of rarer cells first (ties by a hash), so passages that many
    documents share come last. Sets that link must share a token among the first ``n - ceil(t n) + 1``
    of each under any global order; the first order's prefixes are the join keys.
-3. In each token's bucket the first set is compared with the others (wave 1); links join sets into
+3. In each token's bucket the most central set - the one with the least share of rarer tokens of its own,
+   as the original among edited copies - is compared with the others (wave 1); links join sets into
    components, and every pair of a bucket that is not yet in one component follows (wave 2). Pairs in
    one component are known to be connected, so no group of copies is expanded into all its pairs,
    and no pair that could join two components is left out. Lengths and token positions bound the
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from centroidal.llm.components import components
-from centroidal.llm.frames import as_bytes, fresh, mix64, written
+from centroidal.llm.frames import as_bytes, fresh, mix64, pieces, written
 
 WORDS = 5
 #: Similarity as a ratio of whole numbers: 80/100.
@@ -160,7 +161,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
         cells = np.zeros(1 << CELL_BITS, np.int64)
         ids = None
         names = ["id", "n", "s", "s2", "bits", "slice", "counts"]
-        for b in batches:
+        for b in pieces(batches):
             ids = b.column(0).type
             sets = list(shingles(as_bytes(b.column(1))))
             if any(map(len, sets)):
@@ -208,7 +209,7 @@ def _prefix_rows(docs: DataFrame, sent) -> DataFrame:
     task."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, seen = sent.value, set()
-        for b in batches:
+        for b in pieces(batches):
             t, s, n, q = [], [], [], []
             sets = list(shingles(as_bytes(b.column(0))))
             for x, d in zip(sets, digests(sets)[:, 0].tolist()):
@@ -230,7 +231,7 @@ def _set_rows(docs: DataFrame, sent) -> DataFrame:
     """Full sets with their prefixes under the filtering orders, each set once a task."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, seen = sent.value, set()
-        for b in batches:
+        for b in pieces(batches):
             rows = []
             sets = list(shingles(as_bytes(b.column(0))))
             for x, d in zip(sets, digests(sets)[:, 0].tolist()):
@@ -257,8 +258,10 @@ def _may_link(n_a, q_a, n_b, q_b):
 def _bucket_pairs(s, n, q, c, hubs_only: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Candidates of one bucket (rows sorted by set)."""
     if hubs_only:
-        ok = _may_link(n[0], q[0], n[1:], q[1:])
-        yield np.full(int(ok.sum()), s[0]), s[1:][ok]
+        hub = int(np.argmax(q / n))
+        ok = _may_link(n[hub], q[hub], n, q)
+        ok[hub] = False
+        yield np.full(int(ok.sum()), s[hub]), s[ok]
         return
     if (c == c[0]).all():
         return
