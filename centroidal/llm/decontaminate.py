@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from centroidal.llm.frames import as_bytes, scan_words
+from centroidal.llm.frames import fresh, pieces, scan_words
 
 WINDOW = 10
 BLOCK_BYTES = 16_000_000
@@ -198,18 +198,19 @@ def benchmark_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: st
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                item_text_col: str = "text", window: int = WINDOW, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` of ``docs`` (as they are; default all) with one more, ``found``: a struct of
-    ``FOUND_SCHEMA``. One row per input row.
+    """The columns ``keep`` of ``docs`` (as they are; default all) with one more, ``found`` (underscores
+    in front where ``docs`` has that name): a struct of ``FOUND_SCHEMA``. One row per input row.
 
     ``found.hits``: alternating start and end words of the hit stretches; ``found.items``: sorted ids of
     items with an occurring window; ``found.longest*``: longest verbatim match, its first word in the
     document and its item (ties: the first in the document).
     """
     spark = docs.sparkSession
+    text_name, found_name = fresh(docs, "leak_text"), fresh(docs, "found")
     rows = docs.select(*[F.col(f"`{c}`") for c in (keep if keep is not None else docs.columns)],
-                       F.encode(F.col(text_col), "UTF-8").alias("leak text"),
+                       F.encode(F.col(text_col), "UTF-8").alias(text_name),
                        F.lit(None).cast(f"struct<{', '.join(x.replace(' ', ':', 1) for x in FOUND_SCHEMA.split(', '))}>")
-                       .alias("leak found"))
+                       .alias(found_name))
     schema = rows.schema
     width = len(schema) - 2
     kind = pa.struct(_FOUND)
@@ -217,7 +218,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     def one_block(sent):
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tests = sent.value
-            for b in batches:
+            for b in pieces(batches):
                 texts, before = b.column(width).to_pylist(), b.column(width + 1).to_pylist()
                 found = search_batch(texts, tests)
                 found = [f if a is None else _joined(tuple(a[n] for n, _ in _FOUND), f) for a, f in zip(before, found)]
@@ -233,8 +234,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
         blocks += 1
     if not blocks:  # no benchmark: words are counted all the same
         rows = rows.mapInArrow(one_block(spark.sparkContext.broadcast(TestSuffixes([], window))), schema)
-    return rows.drop("leak text").withColumnRenamed("leak found", "found") if "found" not in {c.lower() for c in docs.columns} \
-        else rows.drop("leak text")
+    return rows.drop(text_name)
 
 
 def n_hit(found) -> F.Column:

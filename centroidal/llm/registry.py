@@ -16,6 +16,7 @@ from centroidal.llm.pages import extract_pages, fit_page_weights
 from centroidal.llm.pii import pii_spans
 from centroidal.llm.quality import fit_quality, score_quality
 from centroidal.llm.sentencepieces import encode_texts
+from centroidal.llm.statements import OP1_SQL, OP2_SQL, OP6_SQL
 
 #: The tokenizer model; its place is a parameter of the operator.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -29,25 +30,6 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", "perspective", "part", "n_turns", "rendered", spans.alias("mask_spans"), "n_masked")
 
 
-OP1_SQL = """
-WITH t AS (SELECT conv_id, turn, role AS who, coalesce(text, '') AS text,
-                  coalesce(CAST(floor(turn / 512.0) AS BIGINT), -1) AS part FROM conversations),
- p AS (SELECT DISTINCT conv_id, who AS perspective FROM t WHERE who <> 'system'),
- v AS (SELECT t.*, p.perspective, coalesce(who = perspective, false) AS mine,
-         '<|im_start|>' || CASE WHEN who = 'system' THEN 'system' WHEN who = perspective THEN 'assistant'
-           ELSE 'user name=' || replace(replace(coalesce(who, 'unknown'), '<|', '< '), '|>', ' >') END || chr(10) AS head,
-         replace(replace(text, '<|', '< '), '|>', ' >') || '<|im_end|>' || chr(10) AS body
-       FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
- n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, perspective, part
-                                    ORDER BY turn NULLS FIRST, who NULLS FIRST, text) AS k FROM v),
- c AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective, part ORDER BY k) AS upto FROM n)
-SELECT conv_id, perspective, part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY k) AS rendered,
-       coalesce(string_agg(CAST(upto - length(body) AS BIGINT) || '-' || CAST(upto AS BIGINT), ',' ORDER BY k) FILTER (mine), '') AS mask_spans,
-       CAST(coalesce(sum(length(body)) FILTER (mine), 0) AS BIGINT) AS n_masked
-FROM c GROUP BY ALL
-"""
-
-
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document under word-5-gram Jaccard similarity of 0.8 or more."""
     out = jaccard_components(table(spark, sf_dir, "documents"))
@@ -113,4 +95,4 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_chat, op2_jaccard, op3_licences, op4_pii, op5_language, op6_decontaminate, op7_main_text, op8_pieces,
     op9_embeddings, op10_quality)}
-ORACLES = {"op1_chat": OP1_SQL}
+ORACLES = {"op1_chat": OP1_SQL, "op2_jaccard": OP2_SQL, "op6_decontaminate": OP6_SQL}
