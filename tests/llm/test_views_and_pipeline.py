@@ -140,3 +140,24 @@ def test_run_applies_all_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "jaccard_join", "decontaminate", "pii", "sentencepiece"]
     out = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "ids", "n_tokens"} <= set(out.columns) and 100 < out.count() <= 200
+
+
+def test_run_equals_brute_force(spark):
+    import sentencepiece
+    from test_pair_operators import brute_components, brute_hits
+    from test_text_operators import brute_spans
+
+    rows = {r["doc_id"]: r["text"] for r in table(spark, SF, "documents").collect()}
+    bench = [(str(r["item_id"]), r["text"].encode()) for r in table(spark, SF, "benchmark").collect()]
+    group, _ = brute_components(list(rows.items()))
+    kept = [i for i in rows if group[i] == i]
+    clean = [i for i, (_, hit, _) in zip(kept, brute_hits([rows[i].encode() for i in kept], bench, 10)) if not hit]
+    lib = sentencepiece.SentencePieceProcessor(model_file=registry.MODEL_PATH)
+    want = {}
+    for i in clean:
+        text, at = "", 0
+        for start, kind, end in brute_spans(rows[i]):
+            text += rows[i][at:start] + f"[{('EMAIL', 'IP', 'CARD', 'PHONE')[kind]}]"
+            at = end
+        want[i] = lib.encode(text + rows[i][at:])
+    assert {r["doc_id"]: r["ids"] for r in corpus_pipeline.run(spark, SF).collect()} == want
