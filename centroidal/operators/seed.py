@@ -14,8 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from centroidal.functions.geometry import Centre, min_sq_dist
+from centroidal.functions.geometry import Centre
 from centroidal.functions.hashing import exponential_key, hash_uniform
+from centroidal.operators.assign import nearest_struct
 
 X, Y = "pickup_longitude", "pickup_latitude"
 
@@ -58,7 +59,8 @@ def weighted_draw(df: DataFrame, weight, key: str = "id", seed: int = DEFAULT_SE
 
 def kmeanspp_round_weight(centres: Sequence[Centre], x=X, y=Y, multiplicity=None) -> Column:
     """Weight of a point in the next K-Means++ round: (multiplicity x) least squared distance."""
-    w = F.lit(1.0) if not centres else min_sq_dist(x, y, centres)
+    # The vectorised scan: an expression over r centres would be compiled anew, and longer, every round.
+    w = F.lit(1.0) if not centres else nearest_struct(centres, x, y)["sq_dist"]
     if multiplicity is not None:
         w = w * (F.col(multiplicity) if isinstance(multiplicity, str) else multiplicity)
     return w
