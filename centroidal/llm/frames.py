@@ -28,7 +28,7 @@ def fresh(df: DataFrame, base: str) -> str:
 
 
 #: Bytes of a batch that the operators work on at a time; a larger row makes a piece of its own.
-PIECE_BYTES = 8_000_000
+PIECE_BYTES = 2_000_000
 
 
 def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from centroidal.llm.frames import map_batches
 
 BLANK = "▁"
-CACHE_CHUNKS, CACHE_PAIRS, CACHE_CHARS = 800_000, 1_000_000, 64
+CACHE_CHUNKS, CACHE_PAIRS, CACHE_CHARS = 200_000, 300_000, 64
 #: An arc for an unknown character weighs this much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
 
