@@ -13,6 +13,12 @@ Copies (equal label and embedding) are one vector with a count throughout. Vecto
 zero, or hold null or non-finite numbers, and vectors without a label, link with nothing; vectors of
 different lengths never link. A null id takes part; the least id ignores it.
 
+Two vectors agree on a hyperplane bit with chance ``p = 1 - angle / pi``, and sorted neighbours among N
+spread vectors share about ``log2(N / window)`` bits. A group therefore takes as many passes as leave a
+pair at the threshold unseen with chance ``MISS``, whatever its size (``passes_for``); ``PASSES`` of them
+are sorted at a time, so a large group costs more rounds, not larger ones. Vectors that crowd together
+share more bits than that: one link between two dense groups is found less surely.
+
 What windows can miss is measured by the tests (recall against brute force). Completing a component
 compares all its pairs: its cost grows with the square of a component's distinct vectors, spread over
 blocks of ``BLOCK``; copies add nothing to it.
@@ -20,12 +26,13 @@ blocks of ``BLOCK``; copies add nothing to it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from centroidal.llm.components import components
@@ -33,6 +40,7 @@ from centroidal.llm.frames import map_batches, written
 
 THRESHOLD = 0.93
 PASSES, WINDOW, BITS = 6, 32, 62
+MISS = 0.01
 BLOCK = 1024
 SEED = 20
 
@@ -42,6 +50,17 @@ def _planes(dim: int, k: int) -> np.ndarray:
     return np.random.default_rng(SEED + k).standard_normal((dim, BITS))
 
 
+def passes_for(rows: Column, threshold: float = THRESHOLD, least: int = PASSES, window: int = WINDOW,
+               miss: float = MISS) -> Column:
+    """Passes for a group of so many spread vectors, ``least`` or more: a pair at the threshold stays out
+    of every window with chance ``miss``."""
+    same = max(0.5, 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi)
+    met = F.pow(F.lit(same), F.greatest(F.lit(0.0), F.log2(rows / F.lit(window))))
+    # a window that holds the whole group meets every pair in any pass
+    more = F.when(met < 1, F.ceil(F.lit(math.log(miss)) / F.log1p(-met)).cast("int"))
+    return F.greatest(F.lit(least), more)
+
+
 def unit(rows: list) -> tuple[np.ndarray, np.ndarray]:
     """Unit vectors in double precision and which rows are vectors at all; all rows of one length."""
     x = np.array([[np.nan if v is None else v for v in r] for r in rows], dtype=np.float64)
@@ -54,11 +73,13 @@ def unit(rows: list) -> tuple[np.ndarray, np.ndarray]:
 _ROW = "g long, pass int, h long, k long, v binary, scale double, err double"
 
 
-def _pass_rows(passes: int):
-    """Every vector once a pass: its group, sort key, rounded form and rounding error."""
+def _pass_rows(start: int, stop: int):
+    """Every vector once a pass from ``start`` up to ``stop`` or its own number of passes (the fourth
+    column): its group, sort key, rounded form and rounding error."""
     def fn(b: pa.RecordBatch) -> pa.RecordBatch:
         g, k = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         rows = b.column(2).to_pylist()
+        own = b.column(3).to_numpy(zero_copy_only=False)
         lengths = np.array([len(r) for r in rows])
         out: list[list] = [[] for _ in range(7)]
         for dim in np.unique(lengths):
@@ -69,10 +90,12 @@ def _pass_rows(passes: int):
             v = np.rint(x / scale[:, None]).astype(np.int8)
             err = np.sqrt(((x - v * scale[:, None]) ** 2).sum(axis=1))
             blobs = [r.tobytes() for r in v]
-            for p in range(passes):
-                bits = x @ _planes(int(dim), p) > 0
+            for p in range(start, stop):
+                in_pass = np.flatnonzero(own[at] > p)
+                bits = x[in_pass] @ _planes(int(dim), p) > 0
                 h = (bits * (np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64))).sum(axis=1)
-                for col, values in zip(out, (g[at], np.full(len(at), p), h, k[at], blobs, scale, err)):
+                for col, values in zip(out, (g[at][in_pass], np.full(len(in_pass), p), h, k[at][in_pass], [blobs[i] for i in in_pass],
+                                             scale[in_pass], err[in_pass])):
                     col.append(values)
         cols = [sum(map(list, c), []) if i == 4 else np.concatenate(c) if c else [] for i, c in enumerate(out)]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.float64(), pa.float64()]
@@ -240,9 +263,11 @@ def _complete(members: DataFrame, threshold: float, block: int) -> DataFrame:
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-                    threshold: float = THRESHOLD, passes: int = PASSES, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
+                    threshold: float = THRESHOLD, passes: int = PASSES, window: int = WINDOW, block: int = BLOCK,
+                    miss: float = MISS) -> DataFrame:
     """``id, n_links, component_id`` for every row of ``vectors``: how many other rows it links to, and
-    the least id that links reach, itself included."""
+    the least id that links reach, itself included. ``passes`` is the least number of passes of a group
+    and the number sorted at a time; larger groups take as many as ``miss`` asks for."""
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("embedding"), F.col(label_col).alias("label"))
     usable = F.col("label").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(
@@ -252,8 +277,18 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     distinct = written(spark, keyed.filter("k is not null").groupBy("k", "label", "embedding")
                        .agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
                        .withColumn("g", F.xxhash64("label", F.size("embedding"))), "vectors")
-    spread = map_batches(distinct.select("g", "k", "embedding"), _pass_rows(passes), _ROW)
-    links = written(spark, _pass_links(spread, window, threshold), "window-links")
+    # only groups of many rows take more than the least number of passes, so there are few of them
+    large = distinct.groupBy("g").agg(F.count(F.lit(1)).alias("n")) \
+        .select("g", passes_for(F.col("n"), threshold, passes, window, miss).alias("own")).filter(F.col("own") > passes)
+    large = written(spark, large, "large-groups")
+    most = large.agg(F.max("own")).first()[0] or passes
+    sorted_in = distinct.select("g", "k", "embedding").join(F.broadcast(large), "g", "left") \
+        .select("g", "k", "embedding", F.coalesce("own", F.lit(passes)).alias("own"))
+    rounds = []
+    for start in range(0, most, passes):
+        spread = map_batches(sorted_in.filter(F.col("own") > start), _pass_rows(start, start + passes), _ROW)
+        rounds.append(written(spark, _pass_links(spread, window, threshold), "window-links"))
+    links = reduce(DataFrame.unionByName, rounds).distinct()
     exact = _exact(links.filter("kind = 1"), distinct, threshold)
     linked = written(spark, components(links.filter("kind = 0").select("a", "b").union(exact), "a", "b"), "vector-components")
     members = distinct.join(linked.withColumnRenamed("node", "k"), "k")

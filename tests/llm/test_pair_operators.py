@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from centroidal.llm import decontaminate as D
 from centroidal.llm import embeddings as V
@@ -227,6 +228,30 @@ def test_embeddings_recall_and_edges(spark):
     assert V.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_isolated_pairs_are_found_in_a_large_group(spark):
+    """Six passes find about 0.9 of these pairs."""
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((6000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.standard_normal((600, 24))
+    side -= (side * x[:600]).sum(axis=1, keepdims=True) * x[:600]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    x = np.concatenate([x, 0.932 * x[:600] + np.sqrt(1 - 0.932 ** 2) * side])
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int")
+    got = {r["id"]: r["component_id"] for r in V.near_duplicates(df, window=4).collect()}
+    assert sum(got[6000 + i] == i for i in range(600)) >= 0.97 * 600
+
+
+def test_passes_grow_with_the_group(spark):
+    sizes = [1, 32, 33, 1000, 10 ** 4, 10 ** 5, 10 ** 6, 10 ** 7]
+    got = [r[0] for r in spark.createDataFrame([(n,) for n in sizes], "n long").select(V.passes_for(F.col("n"))).collect()]
+    p = 1 - np.arccos(0.93) / np.pi
+    for n, passes in zip(sizes, got):
+        seen = p ** max(0.0, np.log2(n / 32))
+        assert passes >= 6 and (1 - seen) ** passes <= 0.01 and (passes == 6 or (1 - seen) ** (passes - 1) > 0.01)
+    assert got == sorted(got)
+
+
 @pytest.mark.parametrize("window", [1, 4])
 def test_window_links_span_what_all_pairs_connect(window):
     rng = np.random.default_rng(6)
