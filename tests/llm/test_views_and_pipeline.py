@@ -49,6 +49,27 @@ def test_perspectives_equal_brute_force(spark):
     assert perspectives(df.limit(0)).count() == 0
 
 
+def test_large_parts_are_cut_into_pieces(spark):
+    rows = [(None, None, ("ann", "bob", None, "system")[k % 4], f"t{k % 37}é" * (k % 5)) for k in range(900)]  # null ids and turns
+    rows += [(1, 3, "ann", "again and again")] * 500 + [(1, 3, "bob", "x" * 5000), (1, 3, "cy", "")]  # one turn number, one row
+    rows += [(2, k, ("ann", "bob")[k % 2], "short") for k in range(5)]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(5)
+    got = {}
+    for r in perspectives(df, piece_bytes=4096).collect():
+        got.setdefault((r["conv_id"], r["perspective"], r["part"]), {})[r["piece"]] = r
+    assert {k[0]: len(v) > 20 for k, v in got.items()} == {None: True, 1: True, 2: False}
+    assert set(got) == {(c, w, p) for c, p, ws in ((None, -1, "ann bob"), (1, 0, "ann bob cy"), (2, 0, "ann bob")) for w in ws.split()}
+    for (conv, me, _), cut in got.items():
+        text, mask = brute_view([r[1:] for r in rows if r[0] == conv], me)
+        at, spans = 0, []
+        for piece in sorted(cut):
+            r = cut[piece]
+            assert r["n_turns"] <= 16 and r["n_masked"] == sum(b - a for a, b in r["mask"])
+            spans += [(at + a, at + b) for a, b in r["mask"]]
+            at += len(r["rendered"])
+        assert "".join(cut[p]["rendered"] for p in sorted(cut)) == text and spans == mask
+
+
 def test_chat_plan_is_native(spark):
     plan = registry.op1_chat(spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
