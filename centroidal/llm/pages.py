@@ -88,8 +88,9 @@ def _key(name: str, attributes: str) -> tuple[str, bool]:
     return (f"{name}.{first}" if first else name), out
 
 
-def tokenize(html: str | None) -> Page:
-    """Split a page into text, tags and block edges, without the dropped elements."""
+def tokenize(html: str | None, until_marked: bool = False) -> Page:
+    """Split a page into text, tags and block edges, without the dropped elements; ``until_marked``: only
+    as far as it takes to see that the page marks its main text."""
     page, at, stack = Page(), 0, []
     html = html or ""
     tokens = page.tokens
@@ -149,6 +150,8 @@ def tokenize(html: str | None) -> Page:
                     name in MARKS_MAIN or bool(inside and inside.main))
         if name in MARKS_MAIN and not e.dropped:
             page.marked = True
+            if until_marked:
+                return page
         edge(e)
         if name in RAW:
             end = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(html, at)
@@ -207,13 +210,21 @@ def _count_batch(b: pa.RecordBatch) -> pa.RecordBatch:
         names=["kind", "key", "n_in", "n_out"])
 
 
+def _marked_batch(b: pa.RecordBatch) -> pa.RecordBatch:
+    n = sum(tokenize(html, until_marked=True).marked for html in b.column(0).to_pylist())
+    return pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+
 def fit_page_weights(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAGES,
                      max_keys: int = MAX_KEYS) -> PageWeights:
-    """Learn the weights from marked pages. ``sample_pages``: expected most pages learned from (chosen by
-    a hash of the html); ``max_keys``: most contexts kept, the commonest."""
+    """Learn the weights from marked pages. ``sample_pages``: expected most marked pages learned from, out
+    of all that are marked (chosen by a hash of the html); ``max_keys``: most contexts kept, the commonest."""
     rows = pages.select(F.col(html_col).alias("html")).filter("html is not null")
     unit = F.xxhash64("html").bitwiseAND(F.lit((1 << 52) - 1)).cast("double") / float(1 << 52)
-    sample = rows.filter(unit < min(1.0, sample_pages / max(1, rows.count())))
+    # others cannot be marked
+    rows = rows.filter(F.col("html").rlike(f"(?i)<({'|'.join(sorted(MARKS_MAIN))})"))
+    marked = map_batches(rows, _marked_batch, "n long").agg(F.sum("n")).first()[0] or 0
+    sample = rows.filter(unit < min(1.0, sample_pages / max(1, marked)))
     counted = map_batches(sample, _count_batch, "kind string, key string, n_in long, n_out long") \
         .groupBy("kind", "key").agg(F.sum("n_in").alias("n_in"), F.sum("n_out").alias("n_out")) \
         .orderBy(F.desc(F.col("n_in") + F.col("n_out")), "kind", "key").limit(max_keys).collect()

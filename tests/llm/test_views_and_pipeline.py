@@ -132,6 +132,13 @@ def test_given_pages(spark):
     assert extract_pages(odd.limit(0), fit_page_weights(odd.limit(0))).count() == 0
 
 
+def test_weights_come_from_the_marked_pages_of_many(spark):
+    marked = [(f"<div class=c{k}>menu {k}</div><{m}><p class=k{k}>the text {k}</p></{m}>",) for k in "abcdefghijklmnopqrst" for m in ("article", "MAIN")]
+    other = [(f"<div class=article><p>other {k} article</p></div><!-- <main> -->",) for k in range(600)]
+    fit = fit_page_weights(spark.createDataFrame(marked + other, "html string"), sample_pages=40)
+    assert fit == fit_page_weights(spark.createDataFrame(marked, "html string")) and len(fit.words) >= 40
+
+
 # --- pipeline ---------------------------------------------------------------------------------------
 
 def test_stages_keep_the_columns_and_take_effect(spark, tmp_path):
