@@ -12,6 +12,7 @@ from centroidal.llm.frames import crc_mod, table
 from centroidal.llm.jaccard import jaccard_components
 from centroidal.llm.language import fit_languages, identify_languages, training_rows
 from centroidal.llm.licences import scan_licences
+from centroidal.llm.packing import pack_documents
 from centroidal.llm.pages import extract_pages, fit_page_weights
 from centroidal.llm.pii import pii_spans
 from centroidal.llm.quality import fit_quality, score_quality
@@ -20,6 +21,8 @@ from centroidal.llm.statements import OP1_SQL, OP2_SQL, OP6_SQL
 
 #: The tokenizer model; its place is a parameter of the operator.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
+#: Tokenizer file and end id of packed sequences.
+PACK_TOKENIZER, PACK_END = "/opt/tokenizers/word_bpe_49k.json", 2
 
 
 def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +95,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a packed sequence, its tier and its step group."""
+    out = pack_documents(table(spark, sf_dir, "documents"), PACK_TOKENIZER, PACK_END)
+    return out.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                      "offset", "tier", "step_group")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat, op2_jaccard, op3_licences, op4_pii, op5_language, op6_decontaminate, op7_main_text, op8_pieces,
-    op9_embeddings, op10_quality)}
+    op9_embeddings, op10_quality, op13_packing)}
 ORACLES = {"op1_chat": OP1_SQL, "op2_jaccard": OP2_SQL, "op6_decontaminate": OP6_SQL}
