@@ -18,6 +18,7 @@ from centroidal.llm.pii import pii_spans
 from centroidal.llm.quality import fit_quality, score_quality
 from centroidal.llm.sentencepieces import encode_texts
 from centroidal.llm.statements import OP1_SQL, OP2_SQL, OP6_SQL
+from centroidal.llm.trie import prefix_trie, turn_sequences, with_borrowed_heads
 
 #: The tokenizer model; its place is a parameter of the operator.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -95,6 +96,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations: the first turns are those of the conversation whose
+    id is the next lower multiple of five, as many as the id's checksum says."""
+    own = turn_sequences(table(spark, sf_dir, "conversations"))
+    rebuilt = with_borrowed_heads(own, F.col("id") - F.col("id") % 5, crc_mod("id", 9), longest=8)
+    return prefix_trie(rebuilt).select(
+        F.col("id").alias("conv_id"), F.col("depth").cast("long").alias("depth"), F.col("parent_id").alias("parent_conv_id"),
+        F.col("n_members").alias("n_convs"), "n_children", "n_leaves", F.col("saved_bytes").alias("saved_tokens"), "ends_sha256")
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a packed sequence, its tier and its step group."""
     out = pack_documents(table(spark, sf_dir, "documents"), PACK_TOKENIZER, PACK_END)
@@ -104,5 +115,6 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_chat, op2_jaccard, op3_licences, op4_pii, op5_language, op6_decontaminate, op7_main_text, op8_pieces,
-    op9_embeddings, op10_quality, op13_packing)}
+    op9_embeddings, op10_quality, op12_prefix_trie,
+    op13_packing)}
 ORACLES = {"op1_chat": OP1_SQL, "op2_jaccard": OP2_SQL, "op6_decontaminate": OP6_SQL}
