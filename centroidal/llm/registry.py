@@ -17,8 +17,9 @@ from centroidal.llm.pages import extract_pages, fit_page_weights
 from centroidal.llm.pii import pii_spans
 from centroidal.llm.quality import fit_quality, score_quality
 from centroidal.llm.sentencepieces import encode_texts
-from centroidal.llm.statements import OP1_SQL, OP2_SQL, OP6_SQL
+from centroidal.llm.statements import OP1_SQL, OP2_SQL, OP6_SQL, OP12_SQL
 from centroidal.llm.trie import prefix_trie, turn_sequences, with_borrowed_heads
+from centroidal.llm.whitening import whiten
 
 #: The tokenizer model; its place is a parameter of the operator.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -96,6 +97,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened components of every embedding, fitted on the distinct vectors in steps of 1/256. ``deviation``
+    is null where it does not fit into a long; ``deviation_exact`` has it as text."""
+    out = whiten(table(spark, sf_dir, "embeddings"))
+    return out.select(F.col("id").alias("vec_id"), "component", "n", F.col("deviation").try_cast("long").alias("deviation"), "whitened",
+                      "explained", "identity_error", F.col("deviation").cast("string").alias("deviation_exact"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix trie of the rebuilt conversations: the first turns are those of the conversation whose
     id is the next lower multiple of five, as many as the id's checksum says."""
@@ -115,6 +124,7 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_chat, op2_jaccard, op3_licences, op4_pii, op5_language, op6_decontaminate, op7_main_text, op8_pieces,
-    op9_embeddings, op10_quality, op12_prefix_trie,
-    op13_packing)}
-ORACLES = {"op1_chat": OP1_SQL, "op2_jaccard": OP2_SQL, "op6_decontaminate": OP6_SQL}
+    op9_embeddings, op10_quality, op11_whitening,
+    op12_prefix_trie, op13_packing)}
+ORACLES = {"op1_chat": OP1_SQL, "op2_jaccard": OP2_SQL, "op6_decontaminate": OP6_SQL,
+           "op12_prefix_trie": OP12_SQL}

@@ -60,3 +60,39 @@ SELECT d.id AS doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) A
        b.start AS longest_start, b.item AS longest_item
 FROM docs AS d LEFT JOIN hit ON hit.doc = d.id LEFT JOIN its ON its.doc = d.id LEFT JOIN best AS b ON b.doc = d.id
 """
+
+#: The checksum is computed bit by bit over the digits of the id.
+OP12_SQL = """
+WITH ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+bits AS (SELECT c, list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ascii(substr(c::VARCHAR, i::INT, 1))::BIGINT) AS bytes FROM ids),
+heads AS (
+  SELECT c, c - c % 5 AS base, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda a, b: list_reduce(
+    list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT) % 9 AS h
+  FROM bits),
+toks AS (
+  SELECT conv_id AS c, turn, strlen(coalesce(text, ''))::BIGINT AS b,
+         sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), ':', coalesce(text, '')))[1:32] AS tok
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, tok, b) AS k, tok, b FROM toks),
+built AS (
+  SELECT heads.c, k, tok, b FROM heads JOIN own ON own.c = heads.base WHERE k <= h
+  UNION ALL
+  SELECT heads.c, k + 1000 AS k, tok, b FROM heads JOIN own ON own.c = heads.c WHERE k > h),
+steps AS (
+  SELECT c, row_number() OVER w AS d, string_agg(tok, '') OVER (w ROWS UNBOUNDED PRECEDING) AS node, b FROM built WINDOW w AS (PARTITION BY c ORDER BY k)),
+paths AS (
+  SELECT c, d, node, coalesce(lag(node) OVER (PARTITION BY c ORDER BY d), '') AS parent, b FROM steps
+  UNION ALL SELECT c, 0, '', NULL, 0 FROM ids),
+nodes AS (SELECT node, any_value(d) AS d, any_value(parent) AS parent, any_value(b) AS b, min(c) AS conv_id, count(*) AS n FROM paths GROUP BY node),
+sizes AS (SELECT c, max(d) AS len FROM paths GROUP BY c),
+ends AS (SELECT node, string_agg(c::VARCHAR, ',' ORDER BY c) AS cs FROM paths JOIN sizes USING (c) WHERE d = len GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+under AS (SELECT DISTINCT a.node, z.node AS inner_node FROM paths a JOIN paths z ON a.c = z.c AND z.d >= a.d),
+sums AS (
+  SELECT under.node, sum((n - 1) * b) AS saved, count(*) FILTER (WHERE kids.node IS NULL) AS n_leaves
+  FROM under JOIN nodes ON nodes.node = under.inner_node LEFT JOIN kids ON kids.node = under.inner_node GROUP BY under.node)
+SELECT nodes.conv_id, nodes.d::BIGINT AS depth, up.conv_id AS parent_conv_id, nodes.n AS n_convs, coalesce(kids.n_children, 0)::BIGINT AS n_children,
+       sums.n_leaves::BIGINT AS n_leaves, sums.saved::BIGINT AS saved_tokens, sha256(coalesce(ends.cs, '')) AS ends_sha256
+FROM nodes JOIN sums USING (node) LEFT JOIN nodes up ON up.node = nodes.parent LEFT JOIN kids ON kids.node = nodes.node
+LEFT JOIN ends ON ends.node = nodes.node
+"""
