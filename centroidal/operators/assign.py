@@ -3,16 +3,18 @@
 Physical forms of the same operator, chosen with ``method``:
 
 * ``"arrow"`` - a scalar ``pandas_udf``: each Arrow batch is scanned against the K centres with
-  vectorised NumPy, keeping the first strict minimum (ties to the lowest id, V4). It costs one pass
-  per centre over the batch, so it stays fast for K in the hundreds.
+  vectorised NumPy, keeping the first strict minimum (ties to the lowest id, V4). Up to 100 centres it is
+  one pass per centre; for more, boxes of neighbouring points rule most centres out first
+  (``nearest_filtered``), with the same results.
 * ``"expr"``  - ``least`` + ``CASE`` over K distance columns, all built-in expressions inside
   whole-stage codegen (``with_nearest_expr``; ``functions.geometry.nearest_centre`` is the
   single-Column version for small K). New centres are new literals, so each iteration compiles
   new code. Measured on 7.7 M cached rows (local[8]) it is no faster than ``partials`` for K <= 16
   and about 10x slower from K = 24 (the generated methods grow too large to be JIT-compiled), so
   the fit loop defaults to ``partials``.
-* ``"partials"`` (fit loop only, ``operators.lloyd``) - ``mapInArrow`` that assigns each Arrow batch
-  of a partition and returns the partition's per-cluster partial sums, at most K rows.
+* ``"partials"`` (Lloyd steps, ``operators.lloyd``) - ``mapInArrow`` that assigns each Arrow batch
+  of a partition and returns the partition's per-cluster partial sums, at most K rows. The fit loop packs its
+  points into boxes instead (``operators.blocks``).
 
 The centres are a handful of Python floats captured in the closure (K x 2 doubles), so nothing grows
 with the data. Both forms give bit-identical distances (``dx*dx + dy*dy`` in IEEE doubles).
@@ -53,6 +55,120 @@ def nearest_numpy(x: np.ndarray, y: np.ndarray, cx: np.ndarray, cy: np.ndarray):
     return idx, best
 
 
+def box_candidates(boxes: np.ndarray, cx: np.ndarray, cy: np.ndarray) -> np.ndarray:
+    """Boolean matrix (boxes x centres): the centres that can be nearest to some point of a box ``x0, x1, y0, y1``.
+
+    A centre is out if its least distance to the box is above some centre's greatest. Both are computed with the
+    operations of a point's distance, and rounding is monotonic, so no point's computed minimum is lost.
+    """
+    def sides(low: np.ndarray, high: np.ndarray, c: np.ndarray):
+        a, b = low[:, None] - c[None, :], high[:, None] - c[None, :]
+        near = np.maximum(np.maximum(a, -b), 0.0)  # 0 where the centre lies between both sides
+        far = np.maximum(np.abs(a), np.abs(b))
+        return near * near, far * far
+    nx, fx = sides(boxes[:, 0], boxes[:, 1], cx)
+    ny, fy = sides(boxes[:, 2], boxes[:, 3], cy)
+    return nx + ny <= (fx + fy).min(axis=1, keepdims=True)
+
+
+def z_order(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Interleaved bits of both coordinates, each in 2^16 steps of its range."""
+    def spread(v: np.ndarray) -> np.ndarray:
+        low, high = v.min(), v.max()
+        step = np.zeros(len(v)) if high == low else (v - low) * (65535.0 / (high - low))
+        bits = np.nan_to_num(step).astype(np.uint64) & np.uint64(0xFFFF)
+        for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+            bits = (bits | (bits << np.uint64(shift))) & np.uint64(mask)
+        return bits
+    with np.errstate(invalid="ignore", over="ignore"):
+        return spread(x) | (spread(y) << np.uint64(1))
+
+
+#: Up to so many centres a scan of all is as fast; points that share a box at first and in the end; pairs that are
+#: measured at a time.
+FEW_CENTRES, BLOCK_POINTS, LEAF_POINTS, PAIRS_AT_ONCE = 100, 256, 16, 1 << 20
+
+
+def _ranges(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``first[i] .. first[i] + counts[i] - 1`` for all i, one after another."""
+    return np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
+def nearest_in_blocks(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, candidates: np.ndarray, cx: np.ndarray, cy: np.ndarray):
+    """Nearest centre of the points of consecutive blocks, each against its own candidates (a row of the boolean
+    matrix): ids, squared distances and how many were computed.
+
+    Blocks of neighbours are cut into four again and again, and each part keeps only the candidates that can be nearest
+    to one of its points, until parts are small or have a single candidate; then points are measured.
+    """
+    ids, best, pairs = np.zeros(len(x), np.int32), np.full(len(x), np.inf), 0
+    if not len(x):
+        return ids, best, pairs
+    start, size = np.cumsum(sizes) - sizes, np.asarray(sizes)
+    _, centre = np.nonzero(candidates)
+    count = candidates.sum(axis=1)
+    while len(centre) > len(start) and (size.max() > LEAF_POINTS or size.max() > 4 and len(centre) > LEAF_POINTS * len(start)):
+        quarter = -(-size // 4)
+        cuts = -(-size // quarter)
+        part = np.repeat(np.arange(len(start)), cuts)
+        nth = _ranges(np.zeros(len(cuts), np.int64), cuts)
+        centre = centre[_ranges((np.cumsum(count) - count)[part], count[part])]
+        of = np.repeat(np.arange(len(part)), count[part])
+        end, start = (start + size)[part], start[part] + nth * quarter[part]
+        size = np.minimum(quarter[part], end - start)
+        # the pairs of parts and centres that stay, by the rule of box_candidates
+        near, far = np.zeros(len(of)), np.zeros(len(of))
+        for v, c in ((x, cx), (y, cy)):
+            low, high = np.minimum.reduceat(v, start)[of] - c[centre], np.maximum.reduceat(v, start)[of] - c[centre]
+            side = np.maximum(np.maximum(low, -high), 0.0)
+            near += side * side
+            side = np.maximum(np.abs(low), np.abs(high))
+            far += side * side
+        first = np.cumsum(count[part]) - count[part]
+        keep = near <= np.minimum.reduceat(far, first)[of]
+        centre, count = centre[keep], np.add.reduceat(keep.astype(np.int64), first)
+    at, todo = 0, size * count
+    first = np.cumsum(count) - count
+    while at < len(start):  # parts whose pairs fit, one part at least
+        upto = max(at + 1, int(np.searchsorted(np.cumsum(todo[at:]), PAIRS_AT_ONCE, side="right")) + at)
+        rows = _ranges(start[at:upto], size[at:upto])
+        each = np.repeat(count[at:upto], size[at:upto])
+        c = centre[_ranges(np.repeat(first[at:upto], size[at:upto]), each)]
+        dx, dy = np.repeat(x[rows], each) - cx[c], np.repeat(y[rows], each) - cy[c]
+        d = dx * dx + dy * dy
+        begin = np.cumsum(each) - each
+        least = np.minimum.reduceat(d, begin)
+        hits = np.flatnonzero(d == np.repeat(least, each))
+        ids[rows], best[rows] = c[hits[np.searchsorted(hits, begin)]], least  # the first; centres are in order
+        pairs, at = pairs + len(d), upto
+    return ids, best, pairs
+
+
+def nearest_filtered(x: np.ndarray, y: np.ndarray, cx: np.ndarray, cy: np.ndarray):
+    """``nearest_numpy`` for many centres, and the number of distances computed: the points go in Z-order, in blocks of
+    neighbours, and boxes tell which centres to measure."""
+    order = np.argsort(z_order(x, y), kind="stable")
+    px, py = x[order], y[order]
+    starts = np.arange(0, len(x), BLOCK_POINTS)
+    boxes = np.stack([side.reduceat(v, starts) for v in (px, py) for side in (np.minimum, np.maximum)], axis=1)
+    ids, d, pairs = nearest_in_blocks(px, py, np.diff(np.append(starts, len(x))), box_candidates(boxes, cx, cy), cx, cy)
+    idx, best = np.empty_like(ids), np.empty_like(d)
+    idx[order], best[order] = ids, d
+    return idx, best, pairs
+
+
+def nearest_any(x: np.ndarray, y: np.ndarray, cx: np.ndarray, cy: np.ndarray):
+    """Index and squared distance of the nearest centre per point, the lowest id on ties, for any K; 0 and infinity
+    where a coordinate is missing."""
+    if len(cx) <= FEW_CENTRES or not len(x):
+        return nearest_numpy(x, y, cx, cy)
+    ok = ~(np.isnan(x) | np.isnan(y))
+    idx, best = np.zeros(len(x), np.int32), np.full(len(x), np.inf)
+    if ok.any():
+        idx[ok], best[ok], _ = nearest_filtered(x[ok], y[ok], cx, cy)
+    return idx, best
+
+
 def _as_arrays(centres: Sequence[Centre]):
     if len(centres) == 0:
         raise ValueError("at least one centre is needed")
@@ -79,7 +195,7 @@ def nearest_udf(centres: Sequence[Centre], prev_centres: Sequence[Centre] | None
         def nearest(x: pd.Series, y: pd.Series) -> pd.DataFrame:
             xv, yv = x.to_numpy(dtype=np.float64, na_value=np.nan), y.to_numpy(dtype=np.float64, na_value=np.nan)
             invalid = np.isnan(xv) | np.isnan(yv)
-            idx, best = nearest_numpy(xv, yv, cx, cy)
+            idx, best = nearest_any(xv, yv, cx, cy)
             best[invalid] = np.nan
             return pd.DataFrame({"cluster_id": _ids(idx, invalid), "sq_dist": best})
         return nearest
@@ -90,8 +206,8 @@ def nearest_udf(centres: Sequence[Centre], prev_centres: Sequence[Centre] | None
     def nearest_pair(x: pd.Series, y: pd.Series) -> pd.DataFrame:
         xv, yv = x.to_numpy(dtype=np.float64, na_value=np.nan), y.to_numpy(dtype=np.float64, na_value=np.nan)
         invalid = np.isnan(xv) | np.isnan(yv)
-        idx, best = nearest_numpy(xv, yv, cx, cy)
-        pidx, _ = nearest_numpy(xv, yv, px, py)
+        idx, best = nearest_any(xv, yv, cx, cy)
+        pidx, _ = nearest_any(xv, yv, px, py)
         best[invalid] = np.nan
         return pd.DataFrame({"cluster_id": _ids(idx, invalid), "sq_dist": best,
                              "prev_cluster": _ids(pidx, invalid)})
@@ -198,7 +314,7 @@ def lloyd_partials_fn(centres: Sequence[Centre], prev_centres: Sequence[Centre]
         n, sx, sy, mv = ([0] * k for _ in range(4))
 
         def add(total, values):
-            return [t + int(v) for t, v in zip(total, values)]
+            return [t + int(v) if v else t for t, v in zip(total, values)]
 
         sse = np.zeros(k, np.float64)
         for batch in batches:
@@ -210,8 +326,8 @@ def lloyd_partials_fn(centres: Sequence[Centre], prev_centres: Sequence[Centre]
                 xv, yv = xv[ok], yv[ok]
             if xv.shape[0] == 0:
                 continue
-            idx, d = nearest_numpy(xv, yv, cx, cy)
-            moved = None if pc is None else nearest_numpy(xv, yv, pc[0], pc[1])[0] != idx
+            idx, d = nearest_any(xv, yv, cx, cy)
+            moved = None if pc is None else nearest_any(xv, yv, pc[0], pc[1])[0] != idx
             # Integer-valued doubles (|units| < 2^53), so unweighted bincount sums below are exact.
             ux = np.floor(xv * unit + 0.5)
             uy = np.floor(yv * unit + 0.5)
@@ -258,7 +374,7 @@ def register_nearest_centre(spark, centres: Sequence[Centre], name: str = "neare
     @F.pandas_udf("int")
     def nearest_id(x: pd.Series, y: pd.Series) -> pd.Series:
         xv, yv = x.to_numpy(dtype=np.float64, na_value=np.nan), y.to_numpy(dtype=np.float64, na_value=np.nan)
-        idx, _ = nearest_numpy(xv, yv, cx, cy)
+        idx, _ = nearest_any(xv, yv, cx, cy)
         return _ids(idx, np.isnan(xv) | np.isnan(yv))
 
     spark.udf.register(name, nearest_id)

@@ -2,11 +2,12 @@
 
 One Spark job per iteration. Every point is assigned to the current centres *and* to the previous
 ones in the same pass (no cached assignment); per cluster the job computes exact coordinate sums, the
-count, the sum of squared distances and the number of points that moved. By default each partition
+count, the sum of squared distances and the number of points that moved. Each partition
 is reduced to at most K partial rows inside its task (``mapInArrow``) and one ``groupBy(cluster_id)``
 merges them, so the shuffle carries at most K rows per partition whatever the data size or skew. The
 centres go out as K pairs of floats in the next plan, so the plan and the lineage do not grow with
-the number of iterations.
+the number of iterations. The fit loop packs its points once into small boxes (``operators.blocks``); a pass then
+measures only the points whose box more than one centre can be nearest to.
 
 Exact sums: coordinates are summed as integers of 10^-scale units (``functions.geometry.micro_units``)
 - Python integers inside a task, ``decimal(38,0)`` across tasks - so the centres are
@@ -17,9 +18,9 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from contextlib import ExitStack
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,10 +28,11 @@ from centroidal.functions.geometry import Centre, exact_sum
 from centroidal.operators.assign import (
     PARTIALS_SCHEMA, X, Y, assign_nearest, lloyd_partials_fn, nearest_struct, with_nearest_expr,
 )
+from centroidal.operators.blocks import block_pass, pack_points
 from centroidal.operators.seed import (
-    DEFAULT_SAMPLE_TARGET, DEFAULT_SEED, hash_sample, kmeanspp, sample_fraction,
+    DEFAULT_SAMPLE_TARGET, DEFAULT_SEED, hash_sample, kmeans_parallel, kmeanspp, sample_fraction,
 )
-from centroidal.session import ensure_checkpoint_dir
+from centroidal.session import kept
 
 
 def lloyd_partials(points: DataFrame, centres: Sequence[Centre], prev_centres: Sequence[Centre] | None = None,
@@ -41,6 +43,12 @@ def lloyd_partials(points: DataFrame, centres: Sequence[Centre], prev_centres: S
         lloyd_partials_fn(centres, prev_centres, x, y, weight, scale), PARTIALS_SCHEMA)
 
 
+def merged(partials: DataFrame) -> DataFrame:
+    """Partial rows of one pass added up by cluster."""
+    sums = [c for c in partials.columns if c != "cluster_id"]
+    return partials.groupBy("cluster_id").agg(*[F.sum(c).alias(c) for c in sums])
+
+
 def lloyd_aggregate(points: DataFrame, centres: Sequence[Centre], prev_centres: Sequence[Centre] | None = None,
                     x: str = X, y: str = Y, weight: str | None = None, method: str = "partials",
                     scale: int = 6) -> DataFrame:
@@ -58,13 +66,8 @@ def lloyd_aggregate(points: DataFrame, centres: Sequence[Centre], prev_centres:
     All three give identical results; each is one job whose shuffle carries at most K rows per task.
     """
     if method == "partials":
-        # At most K partial rows per partition: hash them into min(K, 200) partitions (a fixed count,
-        # independent of spark.sql.shuffle.partitions and AQE) and merge each cluster in one task.
-        part = lloyd_partials(points, centres, prev_centres, x, y, weight, scale)
-        part = part.repartition(max(1, min(len(centres), 200)), "cluster_id")
-        return (part.groupBy("cluster_id")
-                .agg(F.sum("sx").alias("sx"), F.sum("sy").alias("sy"),
-                     F.sum("n").alias("n"), F.sum("sse").alias("sse"), F.sum("moved").alias("moved")))
+        # At most K partial rows per partition; AQE reads the few merged rows in as few tasks as they need.
+        return merged(lloyd_partials(points, centres, prev_centres, x, y, weight, scale))
     if method == "arrow":
         a = (points.withColumn("_a", nearest_struct(centres, x, y, prev_centres))
              .withColumn("_k", F.col("_a.cluster_id")).withColumn("_d", F.col("_a.sq_dist")))
@@ -98,6 +101,8 @@ class StepResult:
     n_moved: int
     wcss_before: float
     wcss_after: float
+    #: Distances computed between a point and a centre, where the form counts them.
+    pairs: int | None = None
 
 
 def apply_update(rows, centres: Sequence[Centre], scale: int = 6) -> StepResult:
@@ -114,6 +119,7 @@ def apply_update(rows, centres: Sequence[Centre], scale: int = 6) -> StepResult:
     moved = 0
     before = 0.0
     after = 0.0
+    pairs = sum(r["pairs"] for r in rows) if rows and "pairs" in rows[0] else None
     for r in sorted(rows, key=lambda r: r["cluster_id"]):
         c = int(r["cluster_id"])
         n = int(r["n"])
@@ -127,7 +133,7 @@ def apply_update(rows, centres: Sequence[Centre], scale: int = 6) -> StepResult:
             after += sse - n * ((ox - nx) * (ox - nx) + (oy - ny) * (oy - ny))
             new[c] = (nx, ny)
             counts[c] = n
-    return StepResult(new, counts, moved, before, after)
+    return StepResult(new, counts, moved, before, after, pairs)
 
 
 def lloyd_step(points: DataFrame, centres: Sequence[Centre], prev_centres: Sequence[Centre] | None = None,
@@ -138,21 +144,9 @@ def lloyd_step(points: DataFrame, centres: Sequence[Centre], prev_centres: Seque
     return apply_update(rows, centres, scale)
 
 
-def materialize(df: DataFrame, mode: str = "persist") -> DataFrame:
-    """Keep the cleaned points for the iterations.
-
-    ``persist``: ``MEMORY_AND_DISK`` (spills instead of failing; a lost executor's blocks are
-    recomputed from the short scan-and-filter lineage). ``checkpoint``: written to the reliable
-    ``spark.checkpoint.dir`` of the session, for inputs whose lineage is expensive (joins).
-    """
-    if mode == "persist":
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    if mode == "checkpoint":
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    if mode == "none":
-        return df
-    raise ValueError(f"unknown materialize mode {mode!r}")
+def packed_step(packed: DataFrame, centres: Sequence[Centre], prev_centres: Sequence[Centre] | None = None, scale: int = 6) -> StepResult:
+    """``lloyd_step`` over points packed by ``pack_points``; the same centres, counts and moved points."""
+    return apply_update(merged(block_pass(packed, centres, prev_centres, scale)).collect(), centres, scale)
 
 
 @dataclass
@@ -197,11 +191,11 @@ class KMeansModel:
         return spark.createDataFrame(rows, "cluster_id int, cx double, cy double, cnt bigint")
 
     def history_frame(self, spark: SparkSession) -> DataFrame:
-        """``iteration int, n_moved bigint, wcss double, wcss_after double, iter_time_sec double``."""
+        """``iteration int, n_moved bigint, wcss double, wcss_after double, iter_time_sec double, pairs bigint``."""
         rows = [(int(h["iteration"]), int(h["n_moved"]), float(h["wcss"]), float(h["wcss_after"]),
-                 float(h["iter_time_sec"])) for h in self.history]
+                 float(h["iter_time_sec"]), h.get("pairs")) for h in self.history]
         return spark.createDataFrame(
-            rows, "iteration int, n_moved bigint, wcss double, wcss_after double, iter_time_sec double")
+            rows, "iteration int, n_moved bigint, wcss double, wcss_after double, iter_time_sec double, pairs bigint")
 
     def predict(self, df: DataFrame, out: str = "cluster_id", method: str = "arrow",
                 dist_col: str | None = None) -> DataFrame:
@@ -216,8 +210,8 @@ def location_key(x: str = X, y: str = Y):
 
 def choose_seeds(points: DataFrame, k: int, init: str, n_rows: int, x: str, y: str, key: str | None,
                  weight: str | None, seed: int, sample_target: int) -> list[Centre]:
-    """Starting centres: ``kmeans++`` over all points (X3) or ``sample``: the same K distributed rounds over
-    a cached hash sample of about ``sample_target`` rows (X1 + X2).
+    """Starting centres: ``kmeans++`` over all points (X3), ``kmeans||`` over all points in a fixed number of passes,
+    or ``sample``: K distributed rounds over a cached hash sample of about ``sample_target`` rows (X1 + X2).
 
     Without a row key, duplicate rows cannot be told apart, so whole *locations* are sampled (hash of
     the coordinates, fraction from an approximate distinct count) and folded with their multiplicity;
@@ -225,11 +219,12 @@ def choose_seeds(points: DataFrame, k: int, init: str, n_rows: int, x: str, y: s
     repeatedly is cached, so a fold or a sample is computed once. ``n_rows`` is the number of rows (the
     sampling units), not the weighted total.
     """
-    if init not in ("sample", "kmeans++"):
-        raise ValueError(f"unknown init {init!r}; use 'sample', 'kmeans++' or pass initial_centres")
+    if init not in ("sample", "kmeans++", "kmeans||"):
+        raise ValueError(f"unknown init {init!r}; use 'sample', 'kmeans++', 'kmeans||' or pass initial_centres")
+    draw = kmeans_parallel if init == "kmeans||" else kmeanspp
     if key is not None:
-        if init == "kmeans++" or sample_fraction(n_rows, sample_target) >= 1.0:
-            return kmeanspp(points, k, x, y, key, seed, weight)
+        if init != "sample" or sample_fraction(n_rows, sample_target) >= 1.0:
+            return draw(points, k, x, y, key, seed, weight)
         base, mult = hash_sample(points, sample_target, key, seed, n_rows=n_rows), weight
     else:
         key, mult = "_key", "_m"
@@ -239,18 +234,15 @@ def choose_seeds(points: DataFrame, k: int, init: str, n_rows: int, x: str, y: s
             base = hash_sample(base, sample_target, "_key", seed, n_rows=max(int(n_loc), 1))
         total = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
         base = base.groupBy("_key", x, y).agg(total.cast("double").alias("_m"))
-    base = materialize(base)
-    try:
-        return kmeanspp(base, k, x, y, key, seed, mult)
-    finally:
-        base.unpersist()
+    with kept(base) as cached:
+        return draw(cached, k, x, y, key, seed, mult)
 
 
 def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X, y: str = Y,
                key: str | None = None, weight: str | None = None,
                initial_centres: Sequence[Centre] | None = None, init: str = "sample",
                seed: int = DEFAULT_SEED, sample_target: int = DEFAULT_SAMPLE_TARGET,
-               method: str = "partials", scale: int = 6, storage: str = "persist",
+               method: str = "blocks", scale: int = 6, storage: str = "persist",
                min_partitions: int | None = None, log=None) -> KMeansModel:
     """Fit K-Means with Lloyd iterations until no point moves or ``max_iter`` passes ran.
 
@@ -259,19 +251,21 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
     is an optional integer multiplicity column (duplicate folding). The final counts always come from
     the assignment to the final centres (V10). ``min_partitions`` repartitions the points before they
     are cached (for a small file that would be one partition); with ``storage="none"`` the caller
-    keeps ``points`` cached itself and nothing is repartitioned.
+    keeps ``points`` cached itself and nothing is repartitioned. ``method``: ``"blocks"`` packs the points
+    once more (``operators.blocks``), the others run ``lloyd_aggregate``; results are the same. Cached
+    points and tables are released at the end.
     """
     t0 = time.perf_counter()
     cols = [c for c in (key, x, y, weight) if c]
     pts = points.select(*cols)
-    if storage != "none":
-        pts = materialize(pts.repartition(min_partitions) if min_partitions else pts, storage)
-    try:
-        if weight:
-            totals = pts.agg(F.sum(F.col(weight).cast("long")).alias("w"), F.count(F.lit(1)).alias("r")).first()
-            n_points, n_rows = int(totals["w"] or 0), int(totals["r"])
-        else:
-            n_points = n_rows = pts.count()
+    if storage != "none" and min_partitions:
+        pts = pts.repartition(min_partitions)
+    with ExitStack() as held:
+        pts = held.enter_context(kept(pts, storage, "points"))
+        per_part = pts.groupBy(F.spark_partition_id()).agg(
+            F.count(F.lit(1)).alias("r"), F.sum(F.col(weight).cast("long") if weight else F.lit(1)).alias("w"))
+        totals = per_part.agg(F.sum("w").alias("w"), F.sum("r").alias("r"), F.count(F.lit(1)).alias("parts")).first()
+        n_points, n_rows, n_parts = int(totals["w"] or 0), int(totals["r"] or 0), int(totals["parts"])
         if n_points == 0:
             raise ValueError("no valid points to cluster")
         load_time = time.perf_counter() - t0
@@ -285,17 +279,25 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
             seeds = choose_seeds(pts, k, init, n_rows, x, y, key, weight, seed, sample_target)
         seed_time = time.perf_counter() - t1
 
-        n_parts = pts.rdd.getNumPartitions()  # of what the passes read: cached and counted by now
+        if method == "blocks":
+            packed = held.enter_context(kept(pack_points(pts, x, y, weight, scale), "persist" if storage == "none" else storage, "packed"))
+
+            def one_pass(now, before):
+                return packed_step(packed, now, before, scale)
+        else:
+            def one_pass(now, before):
+                return lloyd_step(pts, now, before, x, y, weight, method, scale)
+
         centres, prev = list(seeds), None
         counts: list[int] | None = None
         history: list[dict] = []
         converged = False
         for it in range(max_iter):
             ts = time.perf_counter()
-            step = lloyd_step(pts, centres, prev, x, y, weight, method, scale)
+            step = one_pass(centres, prev)
             elapsed = time.perf_counter() - ts
-            history.append({"iteration": it, "n_moved": step.n_moved, "wcss": step.wcss_before,
-                            "wcss_after": step.wcss_after, "iter_time_sec": elapsed})
+            history.append({"iteration": it, "n_moved": step.n_moved, "wcss": step.wcss_before, "wcss_after": step.wcss_after,
+                            "iter_time_sec": elapsed, "pairs": step.pairs})
             if log:
                 log(f"pass {it}: {step.n_moved} points changed cluster, sse {step.wcss_before:.6g}, {elapsed * 1e3:.0f} ms")
             prev, centres = centres, step.centres
@@ -304,24 +306,10 @@ def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X
                 converged, counts = True, step.counts
                 break
         if counts is None:
-            counts = final_counts(pts, centres, x, y, weight, method, scale)
+            counts = one_pass(centres, None).counts
         return KMeansModel(centres=centres, counts=counts, seeds=seeds, history=history,
                            n_points=n_points, converged=converged, load_time_sec=load_time,
                            seed_time_sec=seed_time, n_partitions=n_parts, x=x, y=y)
-    finally:
-        if storage == "persist":
-            pts.unpersist()
-
-
-def final_counts(points: DataFrame, centres: Sequence[Centre], x: str = X, y: str = Y,
-                 weight: str | None = None, method: str = "partials", scale: int = 6) -> list[int]:
-    """Cluster sizes of the assignment to ``centres`` (one aggregate job)."""
-    rows = lloyd_aggregate(points, centres, None, x, y, weight, method, scale).collect()
-    counts = [0] * len(centres)
-    for r in rows:
-        if r["cluster_id"] is not None:
-            counts[int(r["cluster_id"])] = int(r["n"])
-    return counts
 
 
 def moved_points(points: DataFrame, centres: Sequence[Centre], prev_centres: Sequence[Centre],

@@ -15,9 +15,9 @@ import argparse
 import logging
 import sys
 
-from centroidal.operators.lloyd import fit_kmeans, materialize
+from centroidal.operators.lloyd import fit_kmeans
 from centroidal.operators.prepare import clean_points, fold_duplicates, limit_points, repartition_points, zone_lookup
-from centroidal.session import get_session
+from centroidal.session import get_session, kept
 from centroidal.sinks.writers import (
     append_run_records, run_record, write_assignments, write_centroid_record, write_experiment_record,
     write_history,
@@ -45,9 +45,9 @@ def parse_args(argv=None):
     p.add_argument("--key", default=None, help="unique row key column (reproducible seeding)")
     p.add_argument("--zones", default=None, help="zone table (LocationID, longitude, latitude); input then "
                                                   "needs a PULocationID column")
-    p.add_argument("--init", default="sample", choices=["sample", "kmeans++"])
+    p.add_argument("--init", default="sample", choices=["sample", "kmeans++", "kmeans||"])
     p.add_argument("--seed", type=int, default=42)
-    p.add_argument("--method", default="partials", choices=["partials", "arrow", "expr"])
+    p.add_argument("--method", default="blocks", choices=["blocks", "partials", "arrow", "expr"])
     p.add_argument("--scale", type=int, default=6, help="decimals of the exact coordinate sums")
     p.add_argument("--fold", action="store_true", help="fold duplicate locations (exact, weighted Lloyd)")
     p.add_argument("--storage", default="persist", choices=["persist", "checkpoint"],
@@ -83,8 +83,7 @@ def run(args, spark=None):
     pts = repartition_points(pts, args.n_parts)
     # Cache the cleaned points once: the fit iterates over them and the final assignment reads them
     # again, so the source is scanned and cleaned a single time.
-    pts = materialize(pts, args.storage)
-    try:
+    with kept(pts, args.storage, "points") as pts:
         if args.fold:
             model = fit_kmeans(fold_duplicates(pts), args.k, args.max_iter, weight="weight", init=args.init,
                                seed=args.seed, method=args.method, scale=args.scale, log=log.info)
@@ -98,9 +97,6 @@ def run(args, spark=None):
         append_run_records(run_record(spark, model), f"{out}/metrics")
         write_history(spark, model, f"{out}/history")
         return model
-    finally:
-        if args.storage == "persist":
-            pts.unpersist()
 
 
 def report(model) -> list[str]:

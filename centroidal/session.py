@@ -8,9 +8,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark import SparkConf, StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every run of this library relies on; applied only where the submitted configuration
 # (spark-submit, spark-defaults.conf) leaves them unset.
@@ -22,6 +26,8 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # files of a checkpoint go when its frame does
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -76,3 +82,55 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="centroidal-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint directory (never a machine-local one)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store, through the file system that Spark writes it with."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+_FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def materialize(df: DataFrame, mode: str = "persist", name: str = "kept") -> DataFrame:
+    """Keep a frame that several jobs read (X8); ``release`` lets it go.
+
+    ``persist``: ``MEMORY_AND_DISK`` (spills instead of failing; a lost executor's blocks are
+    recomputed from the lineage). ``checkpoint``: written as a table to the session's
+    ``spark.checkpoint.dir`` and read back, for inputs whose lineage is expensive (joins). ``none``: as it is.
+    """
+    if mode == "persist":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if mode == "checkpoint":
+        path = scratch_path(df.sparkSession, name)
+        df.write.parquet(path)
+        kept = df.sparkSession.read.schema(df.schema).parquet(path)
+        _FOLDERS[kept] = path
+        return kept
+    if mode == "none":
+        return df
+    raise ValueError(f"unknown materialize mode {mode!r}")
+
+
+def release(df: DataFrame, mode: str = "persist") -> None:
+    """Undo ``materialize``: free the cached blocks, or delete the table. With ``none`` the frame is the caller's."""
+    if mode == "persist":
+        df.unpersist()
+    elif df in _FOLDERS:
+        remove(df.sparkSession, _FOLDERS.pop(df))
+
+
+@contextmanager
+def kept(df: DataFrame, mode: str = "persist", name: str = "kept") -> Iterator[DataFrame]:
+    """``materialize`` for the time of a ``with`` block."""
+    frame = materialize(df, mode, name)
+    try:
+        yield frame
+    finally:
+        release(frame, mode)
