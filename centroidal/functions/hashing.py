@@ -7,6 +7,9 @@ same sample and the same seeds, and any engine with ``md5`` can reproduce them.
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,6 +32,17 @@ def hash_uniform_sql(key_sql: str, seed: int, stream: str) -> str:
             f"::BIGINT)::DOUBLE + 1.0::DOUBLE) / {DENOMINATOR!r}::DOUBLE")
 
 
+def uniform_value(key, seed: int, stream: str) -> float:
+    """``hash_uniform`` of one key, on the driver."""
+    top = int(hashlib.md5(f"{seed}:{stream}:{key}".encode()).hexdigest()[:HEX_DIGITS], 16)
+    return (float(top) + 1.0) / DENOMINATOR
+
+
+def exponential_value(key, weight: float, seed: int, stream: str) -> float | None:
+    """``exponential_key`` of one key, on the driver."""
+    return -math.log(uniform_value(key, seed, stream)) / weight if weight > 0 else None
+
+
 def exponential_key(key, weight, seed: int, stream: str) -> Column:
     """``-ln(u) / w``: the row with the least key is a draw with probability proportional to ``w``.
 

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from centroidal.functions.geometry import Centre
+from centroidal.functions.numeric import exact_double_sum
 from centroidal.operators.assign import X, Y, assign_nearest
+from centroidal.operators.prefix import running_sum
 
 
 def centres_frame(spark: SparkSession, centres: Sequence[Centre]) -> DataFrame:
@@ -18,16 +20,17 @@ def centres_frame(spark: SparkSession, centres: Sequence[Centre]) -> DataFrame:
 
 
 def wcss(points: DataFrame, centres: Sequence[Centre], x: str = X, y: str = Y, method: str = "arrow") -> DataFrame:
-    """Within-cluster sum of squares and point count: one row ``wcss double, n_points bigint`` (A3, A4)."""
+    """Within-cluster sum of squares and point count: one row ``wcss double, n_points bigint`` (A3, A4). The sum is
+    the same for any partitioning (``exact_double_sum``)."""
     a = assign_nearest(points, centres, x, y, dist_col="sq_dist", method=method)
-    return a.agg(F.sum("sq_dist").alias("wcss"), F.count(F.lit(1)).alias("n_points"))
+    return a.agg(exact_double_sum("sq_dist").alias("wcss"), F.count(F.lit(1)).alias("n_points"))
 
 
 def wcss_per_cluster(points: DataFrame, centres: Sequence[Centre], x: str = X, y: str = Y,
                      method: str = "arrow") -> DataFrame:
     """Per cluster: ``cluster_id, n bigint, sse double`` (non-empty clusters)."""
     a = assign_nearest(points, centres, x, y, dist_col="sq_dist", method=method)
-    return a.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"), F.sum("sq_dist").alias("sse"))
+    return a.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"), exact_double_sum("sq_dist").alias("sse"))
 
 
 def cluster_sizes(assigned: DataFrame, centres: DataFrame, cluster_col: str = "cluster_id") -> DataFrame:
@@ -41,6 +44,12 @@ def cluster_sizes(assigned: DataFrame, centres: DataFrame, cluster_col: str = "c
             .select(*centres.columns, F.coalesce(F.col("cnt"), F.lit(0).cast("bigint")).alias("cnt")))
 
 
+def order_by_cluster(assigned: DataFrame, order: Sequence[str], cluster_col: str = "cluster_id", out: str = "position") -> DataFrame:
+    """Rows ordered by cluster id, then by ``order`` (T1), with their place from 1: a running count over a range sort."""
+    placed = running_sum(assigned, F.lit(1), [cluster_col, *order], out)
+    return placed.withColumn(out, F.col(out).cast("bigint"))
+
+
 def result_rows(assigned: DataFrame, centres: DataFrame, x: str = X, y: str = Y,
                 cluster_col: str = "cluster_id") -> DataFrame:
     """Each point with its cluster and that cluster's centre: ``x, y, cluster, centroid_x, centroid_y``.

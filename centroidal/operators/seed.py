@@ -4,18 +4,23 @@ The reference draws a centre by walking a running sum of weights until it passes
 That needs one ordered pass over all rows in one task. Here a draw is the row with the least
 exponential key ``-ln(u)/w`` (probability proportional to ``w``), found by ``orderBy(key).limit(1)``:
 Spark plans it as ``TakeOrderedAndProject`` (a top-1 per partition, then a merge of one row per
-partition), so a draw is one pass with no shuffle of the data and no single-task bottleneck.
+partition), so a draw is one pass with no shuffle of the data and no single-task bottleneck. The literal
+walk exists too, as a distributed running sum (``operators.prefix``).
+
+K-Means++ over all points takes a pass per centre. ``kmeans_parallel`` (Bahmani et al., 2012) takes a fixed number of
+rounds whatever K is, each drawing about ``2 K`` candidates at once, and reclusters the weighted candidates.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from centroidal.functions.geometry import Centre
-from centroidal.functions.hashing import exponential_key, hash_uniform
+from centroidal.functions.geometry import Centre, exact_sum
+from centroidal.functions.hashing import exponential_key, exponential_value, hash_uniform
 from centroidal.operators.assign import nearest_struct
 
 X, Y = "pickup_longitude", "pickup_latitude"
@@ -23,6 +28,8 @@ X, Y = "pickup_longitude", "pickup_latitude"
 # The reference seeds every draw with 42 and samples about 10,000 points.
 DEFAULT_SEED = 42
 DEFAULT_SAMPLE_TARGET = 10_000
+#: Rounds of ``kmeans_parallel``, candidates of a round over K, and decimals of the summed cost.
+ROUNDS, OVERSAMPLING, COST_SCALE = 5, 2.0, 9
 
 
 def sample_fraction(n_rows: int, target: int) -> float:
@@ -91,6 +98,58 @@ def kmeanspp(df: DataFrame, k: int, x: str = X, y: str = Y, key: str = "id",
     return centres
 
 
+def recluster(candidates: Sequence[tuple], weights: Sequence[float], k: int, seed: int) -> list[Centre]:
+    """Weighted K-Means++ over a few candidates ``(key, x, y)`` on the driver, with the draws of ``kmeanspp``."""
+    x, y = (np.array([c[i] for c in candidates]) for i in (1, 2))
+    cost, chosen = np.ones(len(candidates)), []
+    for r in range(k):
+        keyed = [(exponential_value(c[0], float(w) * float(m), seed, f"kmeanspp:{r}"), c[0], i)
+                 for i, (c, w, m) in enumerate(zip(candidates, cost, weights))]
+        keyed = [t for t in keyed if t[0] is not None]
+        if not keyed:
+            raise ValueError(f"only {r} distinct points; cannot choose K={k} distinct centres")
+        _, _, at = min(keyed)
+        chosen.append((float(x[at]), float(y[at])))
+        dx, dy = x - x[at], y - y[at]
+        d = dx * dx + dy * dy
+        cost = d if r == 0 else np.minimum(cost, d)
+    return chosen
+
+
+def kmeans_parallel(df: DataFrame, k: int, x: str = X, y: str = Y, key: str = "id", seed: int = DEFAULT_SEED,
+                    multiplicity: str | None = None, rounds: int = ROUNDS, oversampling: float = OVERSAMPLING) -> list[Centre]:
+    """K-Means‖ seeds (X3 for large K): two passes a round, whatever K is.
+
+    Round 0 draws one point uniformly. Each further round takes every point independently with probability
+    ``min(1, oversampling * K * cost / total cost)``, its cost being (multiplicity x) the least squared distance to the
+    candidates so far. Candidates, in the order of their round and key, are weighted by the points nearest to them and
+    reduced to K by weighted K-Means++. The driver holds about ``rounds * oversampling * K`` candidates. More rounds
+    follow while there are fewer than K; fewer distinct points than K raise ``ValueError`` (V12).
+    """
+    if k < 1:
+        raise ValueError("K must be at least 1")
+    base = df.select(key, x, y, *([multiplicity] if multiplicity else []))
+    first = weighted_draw(base.withColumn("_w", kmeanspp_round_weight([], x, y, multiplicity)), "_w", key, seed, "parallel:0").select(key, x, y).first()
+    if first is None:
+        raise ValueError("no points to seed from")
+    candidates, r = [tuple(first)], 0
+    while r < rounds or len(candidates) < k:
+        r += 1
+        costed = base.withColumn("_w", kmeanspp_round_weight([c[1:] for c in candidates], x, y, multiplicity))
+        total = float(costed.agg(exact_sum("_w", COST_SCALE).alias("t")).first()["t"] or 0) / float(10 ** COST_SCALE)
+        if total <= 0:
+            break
+        share = F.lit(oversampling * k) * F.col("_w") / F.lit(total)
+        picked = costed.filter(hash_uniform(key, seed, f"parallel:{r}") < share).select(key, x, y).collect()
+        candidates += sorted(tuple(p) for p in picked)
+    near = base.withColumn("_c", nearest_struct([c[1:] for c in candidates], x, y)["cluster_id"])
+    weights = [0.0] * len(candidates)
+    counted = F.sum(F.col(multiplicity).cast("double")) if multiplicity else F.count(F.lit(1)).cast("double")
+    for row in near.filter(F.col("_c").isNotNull()).groupBy("_c").agg(counted.alias("m")).collect():
+        weights[row["_c"]] = row["m"]
+    return recluster(candidates, weights, k, seed)
+
+
 def seeds_frame(spark, centres: Sequence[Centre]) -> DataFrame:
     """K seeds as ``(cluster_id int, cx double, cy double)``; K rows built on the driver."""
     rows = [(i, float(cx), float(cy)) for i, (cx, cy) in enumerate(centres)]
