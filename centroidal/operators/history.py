@@ -3,7 +3,8 @@
 Input: the typed run table of ``sources.history`` (``run_id, impl, K, threads, n_points, iterations,
 h2d_ms, kmeans_ms, d2h_ms, elapsed_ms, wcss, throughput_pts_sec``). Every operator is a grouped
 aggregate or an equi-join against an aggregate of a few rows; scalars such as the baseline time are
-scalar subqueries (``DataFrame.scalar()``) evaluated by Spark, never loops over collected rows.
+scalar subqueries (``DataFrame.scalar()``) evaluated by Spark, never loops over collected rows. The scaling tables
+(H1, H4, F8) scan the runs once, into ``run_groups``, and read that small table several times.
 Mean and total times are exact sums at microsecond resolution (``exact_mean``), so they do not depend
 on partitioning or summation order.
 """
@@ -13,11 +14,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from centroidal.functions.geometry import exact_mean, exact_total
+from centroidal.functions.geometry import exact_mean, exact_sum, exact_total, mean_from_exact
 from centroidal.functions.metrics import (
     amdahl_limit, amdahl_parallel_fraction, is_digits, parallel_efficiency, speedup, threads_numeric,
     throughput, weak_efficiency,
 )
+from centroidal.session import ensure_checkpoint_dir
 
 # Implementation names and the label of the baseline row in the strong-scaling table.
 SERIAL = "serial"
@@ -25,18 +27,29 @@ PARALLEL = "openmp"
 SERIAL_LABEL = "1 (serial)"
 
 
+def run_groups(runs: DataFrame) -> DataFrame:
+    """One row per ``impl, n_points, threads``: exact time sum and count, run count and the first run. The reports that
+    need several views of the history build on it, so they scan the run table once."""
+    return runs.groupBy("impl", "n_points", "threads").agg(
+        exact_sum("elapsed_ms").alias("units"), F.count("elapsed_ms").alias("timed"), F.count(F.lit(1)).alias("n_runs"),
+        F.min_by(F.struct("run_id", "elapsed_ms", "iterations"), "run_id").alias("first"))
+
+
 def baseline_run(runs: DataFrame, impl: str = SERIAL) -> DataFrame:
     """The run of ``impl`` with the greatest N; the first in file order (least ``run_id``) on ties.
 
     One row: ``base_n, base_ms, base_iterations``. A global ``min_by`` aggregate, so each task sends
     one partial row.
     """
-    best = F.min_by(F.struct("n_points", "elapsed_ms", "iterations"),
-                    F.struct((-F.col("n_points")).alias("neg_n"), F.col("run_id")))
-    return (runs.filter(F.col("impl") == impl).agg(best.alias("b"))
+    return _baseline(run_groups(runs), impl)
+
+
+def _baseline(groups: DataFrame, impl: str) -> DataFrame:
+    best = F.min_by(F.struct("n_points", "first"), F.struct((-F.col("n_points")).alias("neg_n"), F.col("first.run_id")))
+    return (groups.filter(F.col("impl") == impl).agg(best.alias("b"))
             .filter(F.col("b").isNotNull())
-            .select(F.col("b.n_points").alias("base_n"), F.col("b.elapsed_ms").alias("base_ms"),
-                    F.col("b.iterations").alias("base_iterations")))
+            .select(F.col("b.n_points").alias("base_n"), F.col("b.first.elapsed_ms").alias("base_ms"),
+                    F.col("b.first.iterations").alias("base_iterations")))
 
 
 def mean_by_threads(runs: DataFrame, impl: str = PARALLEL) -> DataFrame:
@@ -57,13 +70,15 @@ def strong_scaling(runs: DataFrame, serial: str = SERIAL, parallel: str = PARALL
     serial row comes first (U2). Columns: ``row_order, threads, mean_ms, speedup, efficiency,
     throughput``; ``row_order`` is 0 for the serial row, then the numeric thread count (T4).
     """
-    base = baseline_run(runs, serial)
-    every = runs.filter(F.col("impl") == parallel)
+    ensure_checkpoint_dir(runs.sparkSession)
+    groups = run_groups(runs).checkpoint()  # the only scan of the runs; its files go with the frame
+    base = _baseline(groups, serial)
+    every = groups.filter(F.col("impl") == parallel)
     if same_n:
         par = every.join(base.select(F.col("base_n").alias("n_points")), on="n_points", how="left_semi")
     else:
         par = every.filter(is_digits("threads"))
-    grouped = par.groupBy("threads").agg(exact_mean("elapsed_ms").alias("mean_ms"))
+    grouped = par.groupBy("threads").agg(mean_from_exact(F.sum("units"), F.sum("timed")).alias("mean_ms"))
     # The baseline is one row: attach it as one scalar subquery (no join, no cross product).
     b = base.select(F.struct("base_ms", "base_n", "base_iterations")).scalar()
     base_ms, base_n, base_it = b["base_ms"], b["base_n"], b["base_iterations"]

@@ -8,35 +8,40 @@ engines add in different orders); centres, counts and ids are compared exactly.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from centroidal.functions.geometry import mean_from_exact, min_sq_dist, sq_dist
-from centroidal.functions.numeric import round_half_up, round_half_up_sql
+from centroidal.functions.geometry import mean_from_exact, micro_units, min_sq_dist, sq_dist
+from centroidal.functions.formatting import fixed, percent, scientific, thousands, times
+from centroidal.functions.hashing import hash_uniform_sql
+from centroidal.functions.numeric import exact_double_sum_sql, round_half_up, round_half_up_sql
 from centroidal.operators import history as H
 from centroidal.operators.assign import assign_nearest
-from centroidal.operators.evaluate import centres_frame, cluster_sizes, result_rows, wcss, wcss_per_cluster
+from centroidal.operators.evaluate import (
+    centres_frame, cluster_sizes, order_by_cluster, result_rows, wcss, wcss_per_cluster,
+)
 from centroidal.operators.lloyd import fit_kmeans, lloyd_aggregate, lloyd_step, moved_points
+from centroidal.operators.prefix import running_draw, running_sum
 from centroidal.operators.prepare import (
     bbox_filter, clean_points, drop_missing, fold_duplicates, in_box, limit_points, pad_columns,
     partition_profile, prep_profile, repartition_points, select_coordinates, zone_lookup, zone_unmatched,
 )
-from centroidal.operators.seed import hash_sample, kmeanspp, weighted_draw
+from centroidal.operators.seed import COST_SCALE, hash_sample, kmeans_parallel, kmeanspp, weighted_draw
 from centroidal.plans import kmeans_sql as KS
 from centroidal.plans.prep import prepare
 from centroidal.sources import fixtures as FX
-from centroidal.sources.history import parse_run_lines
+from centroidal.sources.history import parse_run_lines, read_run_history
 from centroidal.sources.points import (
     parse_point_lines, read_point_directory, read_points, read_positional_csv, union_point_sources,
 )
 from centroidal.sources.zones import read_zones
 from centroidal.sinks.writers import (
     append_run_records, centroid_record, write_assignments, write_experiment_record, write_prepared_csv,
+    write_result_rows,
 )
-from centroidal.session import ensure_checkpoint_dir
+from centroidal.session import scratch_path
 
 X, Y = "pickup_longitude", "pickup_latitude"
 
@@ -49,6 +54,8 @@ SAMPLED_K = 8
 SEED_SAMPLE_TARGET = 10_000   # the reference's sample size for seeding
 SAMPLE_TARGET = 2000
 LIMIT_ROWS = 1000
+PARALLEL_ROUNDS, PARALLEL_OVERSAMPLING = 3, 2.0
+MANY_CENTRES = [(-75.0 + (i % 40) * 0.05, 40.0 + (i // 40) * 0.06 + (i % 3) * 0.01) for i in range(1000)]
 SSE_DIGITS = 4          # sums of squared distances
 RATIO_DIGITS = 6        # times, speedups, efficiencies
 TPUT_DIGITS = 1         # throughputs (about 1e9 points/s)
@@ -185,11 +192,6 @@ TRIPS_SQL = (f"SELECT t.*, z.longitude, z.latitude FROM ({FX.FX_TRIPS_SQL}) AS t
              f"JOIN ({FX.FX_ZONES_SQL}) AS z ON t.LocationID = z.LocationID")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the session's shared checkpoint directory (never a machine-local one)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def q_assignments_roundtrip(spark, sf_dir):
     """Assignments to FX7 written as Parquet (K1) and read back (S2): pickup_longitude, pickup_latitude,
     cluster_id."""
@@ -263,6 +265,13 @@ def q_prepare_profile(spark, sf_dir):
         .select((F.col("n_files") > 0).alias("has_files"), "raw_rows", "valid_rows", "rejected_rows")
 
 
+def q_prepare_counts(spark, sf_dir):
+    """The preparation command's counts by folder of its input, added up from those of the files."""
+    profile, _ = _prepared(spark, sf_dir)
+    return profile.filter(~F.col("is_total")).groupBy(F.substring_index("file_tag", "/", 1).alias("folder")).agg(
+        *[F.sum(c).alias(c) for c in ("raw_rows", "valid_rows", "rejected_rows")])
+
+
 def q_partition_profile(spark, sf_dir):
     """Rows per partition after a repartition on request (X7): how many partitions, and all rows."""
     parts = partition_profile(repartition_points(points(spark, sf_dir), 7))
@@ -294,6 +303,12 @@ def q_assign_nearest_expr(spark, sf_dir):
     return a.select("id", "cluster_id", "sq_dist")
 
 
+def q_assign_many(spark, sf_dir):
+    """Nearest of a thousand centres per point, ties to the lowest id (J2, T3 for large K)."""
+    a = assign_nearest(points(spark, sf_dir), MANY_CENTRES, dist_col="sq_dist")
+    return a.select("id", "cluster_id", "sq_dist")
+
+
 # --- evaluation (A1, A3, A4, A6, J3) ----------------------------------------------------------------
 
 def q_centroid_update(spark, sf_dir):
@@ -308,15 +323,13 @@ def q_cluster_sizes(spark, sf_dir):
 
 
 def q_wcss(spark, sf_dir):
-    """WCSS and point count for the FX7 centres (A3, A4)."""
-    w = wcss(points(spark, sf_dir), CENTRES)
-    return w.select(_r(F.col("wcss"), SSE_DIGITS).alias("wcss"), "n_points")
+    """WCSS and point count for the FX7 centres (A3, A4); the sum is exact, so nothing is rounded."""
+    return wcss(points(spark, sf_dir), CENTRES)
 
 
 def q_wcss_per_cluster(spark, sf_dir):
     """Per-cluster size and squared-distance sum for FX7 (A3 per cluster)."""
-    w = wcss_per_cluster(points(spark, sf_dir), CENTRES)
-    return w.select("cluster_id", "n", _r(F.col("sse"), SSE_DIGITS).alias("sse"))
+    return wcss_per_cluster(points(spark, sf_dir), CENTRES)
 
 
 def q_result_rows(spark, sf_dir):
@@ -325,6 +338,19 @@ def q_result_rows(spark, sf_dir):
     return result_rows(a, centres_frame(spark, CENTRES))
 
 
+def q_result_text(spark, sf_dir):
+    """The text of the result rows as written, six decimals, without the header lines."""
+    path = scratch_path(spark, "result-rows")
+    write_result_rows(q_result_rows(spark, sf_dir), path)
+    return spark.read.text(path).filter(~F.col("value").startswith("x,"))
+
+
+def q_order_by_cluster(spark, sf_dir):
+    """Points in the order of their cluster and id, with their place."""
+    a = assign_nearest(points(spark, sf_dir), CENTRES)
+    return order_by_cluster(a, ["id"]).select("position", "cluster_id", "id")
+
+
 # --- Lloyd step pieces (P10, A5, X4) ----------------------------------------------------------------
 
 def q_moved_points(spark, sf_dir):
@@ -363,6 +389,28 @@ def q_weighted_draw(spark, sf_dir):
     return weighted_draw(pts, "w", "id", SEED, "draw").select("id", X, Y)
 
 
+def _least_cost(spark, sf_dir):
+    return points(spark, sf_dir).withColumn("w", min_sq_dist(X, Y, CENTRES))
+
+
+def q_running_sum(spark, sf_dir):
+    """Running sum of the least squared distances to FX7 in id order, in units of 10^-9."""
+    out = running_sum(_least_cost(spark, sf_dir), micro_units("w", COST_SCALE), ["id"])
+    return out.select("id", F.col("running").cast("bigint").alias("running"))
+
+
+def q_running_draw(spark, sf_dir):
+    """The point at which the running sum reaches a uniform share of its total."""
+    out = running_draw(_least_cost(spark, sf_dir), "w", ["id"], SEED, scale=COST_SCALE)
+    return out.select("id", X, Y, F.col("running").cast("bigint").alias("running"))
+
+
+def q_seed_parallel(spark, sf_dir):
+    """K-Means‖ seeds over all points: rounds of oversampled draws, weighted candidates, reclustering."""
+    pts = points(spark, sf_dir)
+    return centres_frame(spark, kmeans_parallel(pts, SEED_K, key="id", seed=SEED, rounds=PARALLEL_ROUNDS, oversampling=PARALLEL_OVERSAMPLING))
+
+
 def q_seed_kmeanspp(spark, sf_dir):
     """K-Means++ seeds over all points."""
     seeds = kmeanspp(points(spark, sf_dir), SEED_K, key="id", seed=SEED)
@@ -452,6 +500,48 @@ def q_run_records_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def _history_files(spark, sf_dir) -> list[str]:
+    """The run-record lines in three files, each with a header line."""
+    path, lines = scratch_path(spark, "run-files"), FX.fx_run_lines(spark, sf_dir)
+    for k in range(3):
+        mine = lines.filter((F.col("line_no") == 1) | (F.col("line_no") % 3 == k))
+        mine.repartition(1).sortWithinPartitions("line_no").select("value").write.text(f"{path}/{k}")
+    return [f"{path}/{k}" for k in (2, 0, 1)]
+
+
+def q_history_files(spark, sf_dir):
+    """Run records of several files in the order of the files and lines."""
+    return read_run_history(spark, _history_files(spark, sf_dir))
+
+
+def q_history_baseline(spark, sf_dir):
+    """The baseline over several files, where many runs tie in N: the first of the first file wins."""
+    return H.baseline_run(read_run_history(spark, _history_files(spark, sf_dir)))
+
+
+def _text_runs(spark, sf_dir):
+    """Run records whose values the text layout keeps."""
+    runs = FX.fx_runs(spark, sf_dir)
+    quarter = {c: F.floor(F.col(c)).cast("double") + F.lit(0.25) for c in ("h2d_ms", "kmeans_ms", "d2h_ms", "elapsed_ms")}
+    return runs.withColumns(quarter).withColumns({
+        "wcss": F.floor(F.col("wcss")).cast("double"), "throughput_pts_sec": F.floor("throughput_pts_sec").cast("double")})
+
+
+def q_run_text_roundtrip(spark, sf_dir):
+    """Run records appended as text, with a header in every file, and read back."""
+    path = scratch_path(spark, "run-text")
+    append_run_records(_text_runs(spark, sf_dir), path, fmt="csv")
+    return read_run_history(spark, path).drop("run_id")
+
+
+def q_number_formats(spark, sf_dir):
+    """Numbers as the text sinks and reports print them."""
+    return FX.fx_runs(spark, sf_dir).select(
+        "run_id", fixed("elapsed_ms", 4).alias("fixed"), scientific(F.col("n_points").cast("double")).alias("scientific"),
+        thousands("n_points").alias("thousands"), times(F.col("iterations") / F.lit(4.0)).alias("times"),
+        percent(F.col("iterations") * F.lit(12.5)).alias("percent"))
+
+
 def q_run_summary(spark, sf_dir):
     """Run count, implementations, points processed, total time."""
     runs = FX.fx_runs(spark, sf_dir)
@@ -570,6 +660,15 @@ def _oracles() -> dict[str, str]:
     kept = f"(SELECT count(*) FROM ({by_zone} UNION ALL {by_name}))"
     o["q_prepare_profile"] = (f"SELECT true AS has_files, ({raw})::BIGINT AS raw_rows, ({kept})::BIGINT AS valid_rows, "
                               f"({raw} - {kept})::BIGINT AS rejected_rows")
+    counts = []
+    for folder, raw_sql, valid_sql in [
+            ("a", "SELECT 1 FROM orders", f"SELECT 1 FROM ({PTS_SQL})"),
+            ("b", "SELECT 1 FROM lineitem", f"SELECT 1 FROM ({line_xy}) WHERE {box_sql()}"),
+            *[(f"z{k}", f"SELECT 1 FROM lineitem WHERE l_linenumber % 3 = {k}", f"SELECT 1 FROM ({TRIPS_SQL}) WHERE l_linenumber % 3 = {k}") for k in range(3)],
+            ("n", "SELECT 1 FROM customer", "SELECT 1 FROM customer WHERE false")]:
+        counts.append(f"SELECT '{folder}' AS folder, (SELECT count(*) FROM ({raw_sql}))::BIGINT AS raw_rows, "
+                      f"(SELECT count(*) FROM ({valid_sql}))::BIGINT AS valid_rows")
+    o["q_prepare_counts"] = f"SELECT *, raw_rows - valid_rows AS rejected_rows FROM ({' UNION ALL '.join(counts)}) WHERE raw_rows > 0"
     o["q_partition_profile"] = f"SELECT 7::BIGINT AS n_partitions, count(*) AS n_rows FROM ({PTS_SQL})"
     o["q_assignments_roundtrip"] = (W(a7) + f" SELECT {X}, {Y}, k AS cluster_id FROM a")
     o["q_prepared_roundtrip"] = f"SELECT {X}, {Y} FROM ({PTS_SQL})"
@@ -583,15 +682,26 @@ def _oracles() -> dict[str, str]:
     o["q_assign_nearest"] = W(a7) + " SELECT id, k AS cluster_id, d AS sq_dist FROM a"
     o["q_assign_nearest_expr"] = o["q_assign_nearest"]
 
+    many = ", ".join(f"({i}, {KS.lit(cx)}, {KS.lit(cy)})" for i, (cx, cy) in enumerate(MANY_CENTRES))
+    o["q_assign_many"] = (
+        f"WITH pts AS ({PTS_SQL}), c(k, cx, cy) AS (VALUES {many}), "
+        f"n AS (SELECT id, min({{'d': {KS.dist(X, Y, 'cx', 'cy')}, 'k': k}}) AS m FROM pts, c GROUP BY id) "
+        f"SELECT id, m.k::INTEGER AS cluster_id, m.d AS sq_dist FROM n")
+
     c1 = W(_c1_ctes())
     o["q_centroid_update"] = c1 + " SELECT cluster_id, cx, cy, cnt FROM (" + merged_step_sql("g0", "c0", K7) + ")"
     o["q_cluster_sizes"] = W(a7) + " " + _sizes_sql("a", "c0", K7)
-    o["q_wcss"] = W(a7) + f" SELECT {_rs('sum(d)', SSE_DIGITS)} AS wcss, count(*) AS n_points FROM a"
-    o["q_wcss_per_cluster"] = (W(a7) + f" SELECT k AS cluster_id, count(*) AS n, {_rs('sum(d)', SSE_DIGITS)} AS sse "
+    o["q_wcss"] = W(a7) + f" SELECT {exact_double_sum_sql('d')} AS wcss, count(*) AS n_points FROM a"
+    o["q_wcss_per_cluster"] = (W(a7) + f" SELECT k AS cluster_id, count(*) AS n, {exact_double_sum_sql('d')} AS sse "
                                f"FROM a GROUP BY k")
     o["q_result_rows"] = (W(a7) + f" SELECT a.{X} AS x, a.{Y} AS y, a.k AS cluster, o.cx AS centroid_x, "
                           f"o.cy AS centroid_y FROM a JOIN ({KS.long_centres('c0', K7)}) AS o ON o.cluster_id = a.k")
 
+    six = [f"printf('%.6f', floor({c} * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE)" for c in ("x", "y", "centroid_x", "centroid_y")]
+    o["q_result_text"] = (f"SELECT concat_ws(',', {six[0]}, {six[1]}, cluster::VARCHAR, {six[2]}, {six[3]}) AS value "
+                          f"FROM ({o['q_result_rows']})")
+    o["q_order_by_cluster"] = W(a7) + " SELECT row_number() OVER (ORDER BY k, id) AS position, k AS cluster_id, id FROM a"
+
     step2 = _c1_ctes() + [("a1", KS.assign("pts", K7, "c1", "c0")), ("g1", KS.group_step("a1", False))]
     o["q_moved_points"] = W(step2) + " SELECT id, k AS cluster_id, kp AS prev_cluster FROM a1 WHERE k <> kp"
     o["q_moved_count"] = W(step2) + " SELECT CAST(sum(moved) AS BIGINT) AS n_moved FROM g1"
@@ -603,6 +713,15 @@ def _oracles() -> dict[str, str]:
     o["q_weighted_draw"] = (
         f"SELECT id, {X}, {Y} FROM (SELECT *, CASE WHEN w > 0 THEN -ln({KS.hash_uniform_sql('id', SEED, 'draw')}) / w END"
         f" AS _key FROM (SELECT *, least({dists}) AS w FROM ({PTS_SQL}))) WHERE _key IS NOT NULL ORDER BY _key, id LIMIT 1")
+    running = (f"r AS (SELECT *, (sum(CAST(floor(least({dists}) * 1e9::DOUBLE + 0.5::DOUBLE) AS BIGINT)) OVER (ORDER BY id))::BIGINT AS running "
+               f"FROM ({PTS_SQL}))")
+    o["q_running_sum"] = f"WITH {running} SELECT id, running FROM r"
+    share = hash_uniform_sql("''", SEED, "running")
+    o["q_running_draw"] = (f"WITH {running} SELECT id, {X}, {Y}, running FROM r WHERE running >= "
+                           f"(SELECT floor({share} * max(running)::DOUBLE)::BIGINT + 1 FROM r) ORDER BY id LIMIT 1")
+    parallel = ([("pts", PTS_SQL)] + KS.kmeans_parallel_ctes("pts", SEED_K, SEED, PARALLEL_ROUNDS, PARALLEL_OVERSAMPLING, COST_SCALE)
+                + KS.kmeanspp_ctes("weighted", SEED_K, SEED, mult="m"))
+    o["q_seed_parallel"] = W(parallel) + " " + KS.long_centres("c0", SEED_K)
     seeds = [("pts", PTS_SQL)] + KS.kmeanspp_ctes("pts", SEED_K, SEED)
     o["q_seed_kmeanspp"] = W(seeds) + " " + KS.long_centres("c0", SEED_K)
 
@@ -634,7 +753,7 @@ def _oracles() -> dict[str, str]:
     o["q_kmeans_fit_folded"] = (W(folded) + f", fin AS ({KS.assign('tp', K7, 'last')}) "
                                 + _sizes_sql("fin", "last", K7))
 
-    o["q_history_load"] = (
+    typed = (
         "SELECT line_no::BIGINT AS run_id, p[1] AS impl, TRY_CAST(p[2] AS INTEGER) AS K, p[3] AS threads, "
         "TRY_CAST(p[4] AS BIGINT) AS n_points, TRY_CAST(p[5] AS INTEGER) AS iterations, "
         "CASE WHEN len(p) = 11 THEN TRY_CAST(p[6] AS DOUBLE) END AS h2d_ms, "
@@ -643,11 +762,25 @@ def _oracles() -> dict[str, str]:
         "TRY_CAST(CASE WHEN len(p) = 11 THEN p[9] ELSE p[6] END AS DOUBLE) AS elapsed_ms, "
         "TRY_CAST(CASE WHEN len(p) = 11 THEN p[10] ELSE p[7] END AS DOUBLE) AS wcss, "
         "TRY_CAST(CASE WHEN len(p) = 11 THEN p[11] ELSE p[8] END AS DOUBLE) AS throughput_pts_sec "
-        f"FROM (SELECT line_no, string_split(trim(value), ',') AS p FROM ({FX.FX_RUN_LINES_SQL})) "
+        "FROM (SELECT line_no, string_split(trim(value), ',') AS p FROM (@LINES@)) "
         "WHERE len(p) IN (8, 11) AND p[1] <> 'impl'")
+    o["q_history_load"] = typed.replace("@LINES@", FX.FX_RUN_LINES_SQL)
+    files = " UNION ALL ".join(
+        f"SELECT {n} * 4294967296::BIGINT + row_number() OVER (ORDER BY line_no) - 1 AS line_no, value FROM ({FX.FX_RUN_LINES_SQL}) "
+        f"WHERE line_no = 1 OR line_no % 3 = {k}" for n, k in enumerate((2, 0, 1)))
+    o["q_history_files"] = typed.replace("@LINES@", files)
+    o["q_history_baseline"] = (f"SELECT n_points AS base_n, elapsed_ms AS base_ms, iterations AS base_iterations FROM ({o['q_history_files']}) "
+                               f"WHERE impl = 'serial' ORDER BY n_points DESC, run_id LIMIT 1")
 
     runs = f"runs AS ({FX.FX_RUNS_SQL})"
     o["q_run_records_roundtrip"] = FX.FX_RUNS_SQL
+    quarter = ", ".join(f"floor({c}) + 0.25::DOUBLE AS {c}" for c in ("h2d_ms", "kmeans_ms", "d2h_ms", "elapsed_ms"))
+    o["q_run_text_roundtrip"] = (f"SELECT impl, K, threads, n_points, iterations, {quarter}, floor(wcss) AS wcss, "
+                                 f"floor(throughput_pts_sec) AS throughput_pts_sec FROM ({FX.FX_RUNS_SQL})")
+    o["q_number_formats"] = (
+        f"WITH {runs} SELECT run_id, printf('%.4f', elapsed_ms) AS fixed, printf('%.4e', n_points::DOUBLE) AS scientific, "
+        f"format('{{:,}}', n_points) AS thousands, printf('%.2f', iterations / 4.0::DOUBLE) || 'x' AS times, "
+        f"printf('%.1f', iterations * 12.5::DOUBLE) || '%' AS percent FROM runs")
     o["q_run_summary"] = (f"WITH {runs} SELECT count(*) AS n_runs, count(DISTINCT impl) AS n_impls, "
                           f"sum(n_points * iterations)::BIGINT AS points_processed, "
                           f"sum({KS.micro('elapsed_ms')})::DOUBLE / 1000000.0::DOUBLE AS total_elapsed_ms FROM runs")

@@ -86,8 +86,29 @@ def update(groups: str, old: str, k: int) -> str:
     return f"SELECT {', '.join(cols)} FROM {old}"
 
 
-def kmeanspp_ctes(pts: str, k: int, seed: int, key: str = "id", x: str = X, y: str = Y) -> list[tuple[str, str]]:
-    """CTEs ``s0..s{k-1}`` (one chosen point each) and ``c0`` (the wide seeds)."""
+def kmeans_parallel_ctes(pts: str, k: int, seed: int, rounds: int, oversampling: float, scale: int, key: str = "id",
+                         x: str = X, y: str = Y) -> list[tuple[str, str]]:
+    """K-Means‖ unrolled: ``k0..k{rounds}`` (the candidates after each round) and ``weighted`` (key, coordinates and
+    the points nearest to each candidate, ``m``)."""
+    first = hash_uniform_sql(key, seed, "parallel:0")
+    ctes = [("k0", f"SELECT 0 AS r, {key}, {x}, {y} FROM {pts} ORDER BY -ln({first}) / 1.0::DOUBLE, {key} LIMIT 1")]
+    unit = float(10 ** scale)
+    for r in range(1, rounds + 1):
+        u = hash_uniform_sql(f"w{r}.{key}", seed, f"parallel:{r}")
+        d = dist(f"p.{x}", f"p.{y}", f"c.{x}", f"c.{y}")
+        ctes.append((f"w{r}", f"SELECT p.{key}, p.{x}, p.{y}, min({d}) AS w FROM {pts} AS p, k{r - 1} AS c GROUP BY ALL"))
+        ctes.append((f"t{r}", f"SELECT sum({micro('w', scale)})::DOUBLE / {unit!r}::DOUBLE AS total FROM w{r}"))
+        ctes.append((f"k{r}", f"SELECT * FROM k{r - 1} UNION ALL SELECT {r} AS r, {key}, {x}, {y} FROM w{r}, t{r} "
+                              f"WHERE total > 0 AND {u} < {lit(oversampling * k)} * w / total"))
+    d = dist(f"p.{x}", f"p.{y}", f"c.{x}", f"c.{y}")
+    ctes.append(("cands", f"SELECT *, row_number() OVER (ORDER BY r, {key}) AS j FROM k{rounds}"))
+    ctes.append(("near", f"SELECT m.j AS j FROM (SELECT p.{key}, min({{'d': {d}, 'j': j}}) AS m FROM {pts} AS p, cands AS c GROUP BY ALL)"))
+    ctes.append(("weighted", f"SELECT c.{key}, c.{x}, c.{y}, count(n.j) AS m FROM cands AS c LEFT JOIN near AS n ON n.j = c.j GROUP BY c.j, c.{key}, c.{x}, c.{y}"))
+    return ctes
+
+
+def kmeanspp_ctes(pts: str, k: int, seed: int, key: str = "id", x: str = X, y: str = Y, mult: str | None = None) -> list[tuple[str, str]]:
+    """CTEs ``s0..s{k-1}`` (one chosen point each) and ``c0`` (the wide seeds); ``mult`` names a multiplicity."""
     ctes = []
     for r in range(k):
         u = hash_uniform_sql(key, seed, f"kmeanspp:{r}")
@@ -98,6 +119,8 @@ def kmeanspp_ctes(pts: str, k: int, seed: int, key: str = "id", x: str = X, y: s
             ds = [dist(x, y, f"s{j}.sx{j}", f"s{j}.sy{j}") for j in range(r)]
             w = ds[0] if r == 1 else f"least({', '.join(ds)})"
             src = f"{pts}, " + ", ".join(f"s{j}" for j in range(r))
+        if mult:
+            w = f"({w}) * {pts}.{mult}::DOUBLE"
         body = (f"SELECT {x} AS sx{r}, {y} AS sy{r} FROM ("
                 f"SELECT {key}, {x}, {y}, CASE WHEN _w > 0 THEN -ln({u}) / _w END AS _key FROM ("
                 f"SELECT {pts}.{key}, {pts}.{x}, {pts}.{y}, {w} AS _w FROM {src})) "

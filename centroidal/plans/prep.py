@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from centroidal.operators.prepare import in_box, pad_columns, prep_profile, zone_lookup
-from centroidal.session import get_session
+from centroidal.session import get_session, kept
 from centroidal.sinks.writers import write_prepared_csv
 from centroidal.sources.points import X, Y, canonical_points, schema_groups
 from centroidal.sources.zones import read_zones
@@ -56,17 +56,18 @@ def trip_points(spark: SparkSession, path: str, zones: DataFrame | None = None,
 def prepare(spark: SparkSession, path: str, output: str, zones: DataFrame | None = None, fmt: str = "parquet",
             layout: str = "parquet", key: str = ZONE_KEY) -> DataFrame:
     """Write the prepared points and the profile under ``output``; returns the profile as written."""
-    out = output.rstrip("/")
-    rows = trip_points(spark, path, zones, fmt, key)
-    valid = rows.filter("valid").select(X, Y)
-    if layout == "csv":
-        write_prepared_csv(valid, f"{out}/points")
-    elif layout == "parquet":
-        pad_columns(valid).write.mode("overwrite").parquet(f"{out}/points")
-    else:
+    if layout not in ("csv", "parquet"):
         raise ValueError(f"unknown layout {layout!r}; use 'parquet' or 'csv'")
-    profile = prep_profile(rows, "file_tag", F.col("valid"))
-    profile.withColumn("rejected_rows", F.col("raw_rows") - F.col("valid_rows")).write.mode("overwrite").parquet(f"{out}/profile")
+    out = output.rstrip("/")
+    # Files and zones are read and joined once: into a table of tagged rows, from which points and counts come.
+    with kept(trip_points(spark, path, zones, fmt, key), "checkpoint", "prepared") as rows:
+        valid = rows.filter("valid").select(X, Y)
+        if layout == "csv":
+            write_prepared_csv(valid, f"{out}/points")
+        else:
+            pad_columns(valid).write.mode("overwrite").parquet(f"{out}/points")
+        profile = prep_profile(rows, "file_tag", F.col("valid"))
+        profile.withColumn("rejected_rows", F.col("raw_rows") - F.col("valid_rows")).write.mode("overwrite").parquet(f"{out}/profile")
     return spark.read.parquet(f"{out}/profile")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from centroidal.functions.formatting import fixed
+from centroidal.functions.numeric import round_half_up
 from centroidal.operators.lloyd import KMeansModel
 from centroidal.operators.prepare import pad_columns
 from centroidal.sources.history import HEADER, RUN_COLUMNS, run_record_lines
@@ -26,14 +27,14 @@ def write_assignments(assigned: DataFrame, path: str, mode: str = "overwrite") -
 def write_result_rows(rows: DataFrame, path: str, decimals: int = 6, mode: str = "overwrite") -> None:
     """Result rows ``x, y, cluster, centroid_x, centroid_y`` as CSV with a header, fixed decimals.
 
-    ``%.6f`` is Java's formatter: it rounds the shortest decimal form of the double half up, where a C
-    stream rounds the exact binary value. The texts can differ when that decimal form has a 5 right
-    after the sixth decimal (e.g. ``-74.1234565``); the doubles behind them are the same.
+    Coordinates are first rounded by the rule of ``functions.numeric`` (``floor(v * 10^decimals + 0.5)``), so that any
+    formatter prints the same text; a C stream, which rounds the exact binary value half to even, can differ from it in
+    the last digit only where the value lies exactly between two texts.
     """
-    out = rows.select(fixed("x", decimals).alias("x"), fixed("y", decimals).alias("y"),
-                      F.col("cluster").cast("string").alias("cluster"),
-                      fixed("centroid_x", decimals).alias("centroid_x"),
-                      fixed("centroid_y", decimals).alias("centroid_y"))
+    def text(c: str):
+        return fixed(round_half_up(c, decimals), decimals).alias(c)
+
+    out = rows.select(text("x"), text("y"), F.col("cluster").cast("string").alias("cluster"), text("centroid_x"), text("centroid_y"))
     out.write.mode(mode).option("header", True).csv(path)
 
 
@@ -41,9 +42,8 @@ def append_run_records(runs: DataFrame, path: str, fmt: str = "parquet") -> None
     """Append run records (K3, K4).
 
     ``parquet``: the typed run table (nullable GPU timing columns), one schema for every run kind.
-    ``csv``: the text layout of the reference - 8 fields, or 11 for rows with GPU timings - one part
-    file per append that starts with the header, so each file reads on its own. Run records are one
-    row per run, so the single part file is bounded by the number of runs appended.
+    ``csv``: the text layout of the reference - 8 fields, or 11 for rows with GPU timings. Each part file starts with
+    the header, so each reads on its own, and a table of runs is written by as many tasks as it has partitions.
     """
     cols = [c for c in RUN_COLUMNS if c in runs.columns]
     if fmt == "parquet":
@@ -51,9 +51,9 @@ def append_run_records(runs: DataFrame, path: str, fmt: str = "parquet") -> None
         return
     if fmt != "csv":
         raise ValueError(f"unknown format {fmt!r}")
-    spark = runs.sparkSession
-    header = spark.createDataFrame([(HEADER,)], "value string")
-    header.unionByName(run_record_lines(runs)).coalesce(1).write.mode("append").text(path)
+    # One text column named by the header line; the separator stands in neither, so nothing is quoted.
+    lines = run_record_lines(runs).withColumnRenamed("value", HEADER)
+    lines.write.mode("append").option("header", True).option("sep", "\u0001").option("quote", "\u0000").csv(path)
 
 
 def centroid_record(spark: SparkSession, model: KMeansModel) -> DataFrame:

@@ -10,10 +10,13 @@ split and typed by their field count.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from centroidal.sources.points import csv_fields
+
 # The header of the run-record file and the two row layouts.
 HEADER = "impl,K,threads,n_points,iterations,elapsed_ms,wcss,throughput_pts_sec"
 SHORT_FIELDS = 8
@@ -31,12 +34,14 @@ def parse_run_lines(lines: DataFrame, line_col: str = "value", order_col: str |
 
     ``order_col`` (file order) becomes ``run_id``, the tie-breaker of "first run wins" rules.
     """
-    rid_src = [F.col(order_col).alias("_order")] if order_col else []
-    staged = lines.select(*rid_src, F.split(F.trim(F.col(line_col)), ",", -1).alias("_parts"))
-    n = F.size("_parts")
+    order = [F.col(order_col).alias("_order")] if order_col else []
+    text = F.trim(F.col(line_col))
+    width = F.length(text) - F.length(F.replace(text, F.lit(","))) + 1
+    staged = lines.select(*order, width.alias("_n"), csv_fields(text, LONG_FIELDS))
+    n = F.col("_n")
 
     def at(i: int):
-        return F.element_at("_parts", i + 1)
+        return F.col(f"_f{i}")
 
     long_row = n == F.lit(LONG_FIELDS)
     # Positions of elapsed/wcss/throughput depend on the layout.
@@ -44,7 +49,7 @@ def parse_run_lines(lines: DataFrame, line_col: str = "value", order_col: str |
         return F.when(long_row, at(long_i)).otherwise(at(short_i)).try_cast("double")
 
     rid = F.col("_order").cast("bigint") if order_col else F.lit(None).cast("bigint")
-    typed = staged.filter(n.isin(SHORT_FIELDS, LONG_FIELDS) & (at(0) != F.lit("impl"))).select(
+    typed = staged.filter(n.isin(SHORT_FIELDS, LONG_FIELDS) & ~at(0).eqNullSafe(F.lit("impl"))).select(
         rid.alias("run_id"),
         at(0).alias("impl"),
         at(1).try_cast("int").alias("K"),
@@ -61,22 +66,35 @@ def parse_run_lines(lines: DataFrame, line_col: str = "value", order_col: str |
     return typed
 
 
+def numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``file_no, line_no, value`` of text files, read in splits: lines count from 0 in their file, files in the order
+    of the given paths and then of their names.
+
+    A line's number is the lines of the file's earlier splits and its place in its split; Spark reads the lines of a
+    split in order, in one task. Lines with neither text nor a comma still count.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    parts = [spark.read.text(p).select(
+        F.lit(i).alias("given"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"), "value") for i, p in enumerate(paths)]
+    lines = reduce(DataFrame.unionByName, parts)
+    counts = lines.groupBy("given", "file", "start").agg(F.count(F.lit(1)).alias("n"))
+    # one row a split; files by number, splits by the lines before them
+    earlier = Window.partitionBy("given", "file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    files = counts.select("given", "file").distinct().withColumn("file_no", F.row_number().over(Window.orderBy("given", "file")) - 1)
+    splits = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(files, ["given", "file"])
+    place = F.row_number().over(Window.partitionBy("given", "file", "start").orderBy("at")) - 1
+    return lines.withColumn("place", place).join(splits.select("given", "file", "start", "file_no", "before"), ["given", "file", "start"]) \
+        .select("file_no", (F.col("before") + F.col("place")).alias("line_no"), "value")
+
+
 def read_run_history(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Read run-record CSV files (8- and 11-field rows) into the typed run table.
 
-    ``run_id`` follows the order of the given paths, then of the file names in a folder, then of the
-    lines, which is what the reference's "first row wins" tie rule needs. A file of run records (one
-    line a run) is read as one value, so its line numbers do not depend on splits.
+    ``run_id`` (file number x 2^32 + line number) follows the order of the given paths, then of the file names in a
+    folder, then of the lines, which is what the reference's "first row wins" tie rule needs.
     """
-    paths = [path] if isinstance(path, str) else list(path)
-    texts = None
-    for i, p in enumerate(paths):
-        one = spark.read.text(p, wholetext=True).select(F.lit(i).alias("given"), F.col("_metadata.file_path").alias("file"), "value")
-        texts = one if texts is None else texts.unionByName(one)
-    files = sorted((r["given"], r["file"]) for r in texts.select("given", "file").distinct().collect())
-    order = spark.createDataFrame([(g, f, i) for i, (g, f) in enumerate(files)], "given int, file string, file_no long")
-    lines = texts.join(order, ["given", "file"]).select(
-        "file_no", F.posexplode(F.split("value", "\\r?\\n")).alias("line_no", "value"))
+    lines = numbered_lines(spark, path)
     return parse_run_lines(lines.select("value", (F.col("file_no") * F.lit(1 << 32) + F.col("line_no")).alias("_at")), "value", "_at")
 
 

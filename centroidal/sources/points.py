@@ -7,12 +7,22 @@ becomes NULL and the row is dropped instead of failing the job (Spark 4 runs wit
 
 from __future__ import annotations
 
+import io
+import re
+import sys
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Shipped by value, so executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 X, Y = "pickup_longitude", "pickup_latitude"
 POINT_SCHEMA = T.StructType([T.StructField(X, T.DoubleType()), T.StructField(Y, T.DoubleType())])
 
@@ -45,8 +55,15 @@ def read_points(spark: SparkSession, path: str | Sequence[str], fmt: str = "parq
 
 
 def tag_files(df: DataFrame, col: str = "file_tag") -> DataFrame:
-    """Add the source file name of every row (S6: the per-file tag of the preparation profile)."""
-    return df.withColumn(col, F.col("_metadata.file_name"))
+    """Add the source of every row, its folder and file name (S6: the per-file tag of the preparation profile)."""
+    return df.withColumn(col, F.substring_index(F.col("_metadata.file_path"), "/", -2))
+
+
+def csv_fields(line: Column | str, width: int) -> Column:
+    """The first ``width`` fields of a comma line as columns ``_f0, _f1, ...`` (a generator, so that a filter on a field
+    stays above it and a line is parsed once); fields that are missing or empty are NULL, quotes are ordinary characters."""
+    schema = ", ".join(f"_f{i} string" for i in range(width))
+    return F.inline(F.array(F.from_csv(line if isinstance(line, Column) else F.col(line), schema, {"quote": "\u0000", "mode": "PERMISSIVE"})))
 
 
 def parse_point_lines(lines: DataFrame, line_col: str = "value", col_x: int = DEFAULT_COL_X,
@@ -57,17 +74,9 @@ def parse_point_lines(lines: DataFrame, line_col: str = "value", col_x: int = DE
     result with ``operators.prepare.clean_points``. Unlike ``std::stod`` a numeric prefix such as
     ``-73.9abc`` is not accepted.
     """
-    # Split once into a column; the field extractions then read that column (Catalyst keeps the split
-    # in its own projection because it is used more than once).
-    staged = lines.select(*keep, F.split(F.col(line_col), ",", -1).alias("_parts"))
-    n = F.size("_parts")
-
-    def field(i: int):
-        return F.when(n > i, F.element_at("_parts", i + 1))
-
-    return staged.select(*keep,
-                         field(col_x).try_cast("double").alias(X),
-                         field(col_y).try_cast("double").alias(Y))
+    fields = csv_fields(line_col, max(col_x, col_y) + 1)
+    return lines.select(*keep, fields).select(
+        *keep, F.col(f"_f{col_x}").try_cast("double").alias(X), F.col(f"_f{col_y}").try_cast("double").alias(Y))
 
 
 def read_positional_csv(spark: SparkSession, path: str | Sequence[str], col_x: int = DEFAULT_COL_X,
@@ -107,17 +116,46 @@ def canonical_points(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame | Non
     return df.select(*keep, F.col(lon).try_cast("double").alias(X), F.col(lat).try_cast("double").alias(Y))
 
 
-def schema_groups(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet") -> list[DataFrame]:
-    """One frame per file schema of a directory (S6): files are listed by Spark, their schemas read one by
-    one (footers or header lines only), and files of the same schema are read together. Every frame
-    has ``file_tag``, the file's name. The driver holds one entry per file, not rows."""
+def _schema_reader(fmt: str):
+    """Reads schemas in a task: Parquet footers, or CSV header lines, of a batch of paths. A file in a store that Arrow
+    does not know gives NULL."""
+    def schema_of(path: str) -> str | None:
+        uri = re.sub(r"^file:/+", "file:///", path)
+        try:
+            store, inner = pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
+        except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+            return None
+        if fmt == "parquet":
+            with store.open_input_file(inner) as f:
+                return "\n".join(f"{field.name}: {field.type}" for field in pq.read_schema(f))
+        with store.open_input_stream(inner) as f:
+            line = io.TextIOWrapper(f, "utf-8", errors="replace").readline()
+        return line.rstrip("\r\n")
+
+    def run(batches):
+        for batch in batches:
+            paths = batch.column("path").to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array([schema_of(p) for p in paths], pa.string())], names=["path", "schema"])
+    return run
+
+
+def file_schemas(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet") -> DataFrame:
+    """``path, schema`` of every file (S6): Spark lists the files, tasks read their footers or header lines, so a
+    directory of any size is one job."""
     paths = [path] if isinstance(path, str) else list(path)
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{fmt}").option("recursiveFileLookup", True) \
-        .load(paths).select("path").collect()
-    groups: dict[str, list[str]] = {}
-    for file in sorted(r["path"] for r in listed):
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{fmt}").option("recursiveFileLookup", True).load(paths).select("path")
+    return listed.mapInArrow(_schema_reader(fmt), "path string, schema string")
+
+
+def schema_groups(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet") -> list[DataFrame]:
+    """One frame per file schema of a directory (S6): files of the same schema are read together. Every frame
+    has ``file_tag``, the file's folder and name. The driver holds one path per file, as Spark's own file index does;
+    only files in a store that tasks cannot open with Arrow have their schema read by Spark one by one."""
+    found = file_schemas(spark, path, fmt).groupBy("schema").agg(F.sort_array(F.collect_list("path")).alias("files")).collect()
+    groups = {r["schema"]: list(r["files"]) for r in found if r["schema"] is not None}
+    for file in (f for r in found if r["schema"] is None for f in r["files"]):
         groups.setdefault(read_points(spark, file, fmt).schema.json(), []).append(file)
-    return [tag_files(read_points(spark, files, fmt)) for files in groups.values()]
+    return [tag_files(read_points(spark, files, fmt)) for _, files in sorted(groups.items())]
 
 
 def read_point_directory(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet") -> tuple[DataFrame, list[str]]:
