@@ -22,12 +22,12 @@ table gives no row. Long texts are encoded word by word: only a text without whi
 from __future__ import annotations
 
 import os
+import re
 from bisect import bisect_right, insort
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -36,7 +36,7 @@ from centroidal.llm.frames import pieces
 
 TIERS = (512, 1024, 2048, 4096)
 UNIT_TOKENS, STEP_TOKENS = 1 << 20, 1 << 16
-#: Entries that an encoder remembers before it starts anew.
+#: Entries of each of an encoder's memories; as many older ones are kept besides.
 CACHE_WORDS = 400_000
 
 Piece = tuple[int, int, int]  # document, start, length
@@ -51,30 +51,40 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class _Memo(dict):
+    """What ``make`` gave for the keys of late. When the memory is full it becomes the old one, where keys are still
+    found until the next is full, so frequent keys stay."""
+
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= CACHE_WORDS:
+            self.old = dict(self)
             self.clear()
-        value = self.make(key)
         if len(key) <= 64:
             self[key] = value
         return value
 
 
+#: Letters (lower case) and numbers of ASCII and Latin-1, and what a text of these and other signs of both does not hold.
+LETTERS, NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
+ODD = re.compile(r"[^ \n\t\r!-~¡-¿À-ÖØ-öø-ÿ]|<\|")
+
+
 class WordEncoder:
     """Ids of texts, as little-endian 32-bit bytes, by a tokenizer file that drops white space and knows word ends.
 
-    No id spans white space there, so a text is the concatenation of its words. Words of ASCII and Latin-1 need no
-    normalising but lower case; they go to the model part by part, any other word goes through the whole tokenizer.
+    No id spans white space there, so a text is the concatenation of its words. Text of ASCII and Latin-1 needs no
+    normalising but lower case; its parts go to the model one by one and are remembered. A word with any other
+    character, or with the beginning of a mark of special ids, goes through the whole tokenizer.
     """
 
-    #: Fixed value: the parts that the tokenizer's file splits words into.
-    PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    PLAIN = regex.compile("[!-~¡-¿À-ÖØ-öø-ÿ]*")
-    BREAKS = str.maketrans("\n\t\r", "   ")
+    #: Fixed value: the parts that the tokenizer's file splits text into, for the characters above.
+    PARTS = re.compile(rf"[{LETTERS}]+|[{NUMBERS}]|'(?:[stmd]|re|ve|ll)|[^ \n\t\r{LETTERS}{NUMBERS}]+")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task is the unit of parallel work
@@ -88,13 +98,20 @@ class WordEncoder:
         tokens = self.model.tokenize(part.encode().decode("latin-1").translate(self.alphabet))
         return np.array([t.id for t in tokens], "<u4").tobytes()
 
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, self.PARTS.findall(text.lower())))
+
     def _word(self, word: str) -> bytes:
-        if self.PLAIN.fullmatch(word) and "<|" not in word:  # marks of special ids begin so
-            return b"".join(map(self.parts.__getitem__, self.PARTS.findall(word.lower())))
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        if ODD.search(word):
+            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return self._plain(word)
 
     def __call__(self, text: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, text.translate(self.BREAKS).split(" ")))
+        if not ODD.search(text):
+            return self._plain(text)
+        for white in "\n\t\r":
+            text = text.replace(white, " ")
+        return b"".join(map(self.words.__getitem__, text.split(" ")))
 
 
 def cut_powers(items: list[Piece]) -> list[list[Piece]]:
