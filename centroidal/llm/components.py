@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from centroidal.llm.frames import written
+from centroidal.llm.frames import dropped, written
 
 MAX_ROUNDS = 60
 
@@ -36,7 +36,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         small = large.join(low, "hi").select(
             F.explode(F.array(F.struct("hi", F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e")) \
             .select("e.hi", "e.lo").filter("hi <> lo").distinct()
-        edges = written(spark, small, "links")
+        before, edges = edges, written(spark, small, "links")
+        dropped(before)
         now = _mark(edges)
         if now == mark:
             break

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from centroidal.session import ensure_checkpoint_dir
+from centroidal.session import materialize, release
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,16 +52,15 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder that the session names in ``spark.checkpoint.dir``."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors. ``dropped`` deletes it."""
+    return materialize(df, "checkpoint", f"llm-{name}")
 
 
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def dropped(*frames: DataFrame) -> None:
+    """Delete tables that ``written`` made, when nothing reads them any more."""
+    for frame in frames:
+        release(frame, "checkpoint")
 
 
 def crc_mod(column, mod: int):

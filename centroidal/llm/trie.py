@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from centroidal.llm.frames import written
+from centroidal.llm.frames import dropped, written
 
 TOKEN = 16
 BLOCK_TURNS = 200_000
@@ -374,6 +374,7 @@ def prefix_trie(sequences: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFra
     ordered = rows.repartitionByRange(blocks, "key", "id").sortWithinPartitions("key", "id") \
         .mapInArrow(_lcps, "id long, sizes array<int>, lcp int, edge binary")
     ordered = written(spark, ordered.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")), "trie-sorted")
+    dropped(rows)
 
     # blocks are numbered without gaps; a block's first lcp is that of its first key and the last key before it
     edges = ordered.filter(F.col("edge").isNotNull()).groupBy("part").agg(
@@ -393,6 +394,7 @@ def prefix_trie(sequences: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFra
     summaries = _by_block(members, numbers, lambda rows, number: _summary(rows, number, bounds), SUMMARY)
     shared = spark.sparkContext.broadcast(_outline(summaries.orderBy("block").collect(), bounds))
     found = written(spark, _by_block(members, numbers, lambda rows, number: _nodes(rows, number, shared.value), NODE), "trie-nodes")
+    dropped(ordered)
 
     hashed = found.filter("kind = 'part'").repartition("first", "depth").sortWithinPartitions("first", "depth", "place") \
         .select("first", "depth", "ends").mapInArrow(_hash_parts, "first long, depth int, ends string")

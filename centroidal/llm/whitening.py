@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from centroidal.llm.frames import pieces, written
+from centroidal.llm.frames import dropped, pieces, written
 
 COMPONENTS, SCALE = 4, 256
 BLOCK_ROWS, BLOCK_BYTES = 1024, 2 << 20
@@ -217,6 +217,7 @@ def whiten(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
 
     cells = projected.join(fit, "block").select("w", "fit").mapInArrow(_moments(k), "cell int, total double") \
         .groupBy("cell").agg(F.sum("total").alias("total")).orderBy("cell").collect()
+    dropped(fit)
     moments = np.array([r["total"] for r in cells]).reshape(k + 1, k) / n
     off = np.abs(moments[1:] - np.outer(moments[0], moments[0]) - np.eye(k))[np.ix_(live, live)]
     error = float(off.max()) if off.size else None
