@@ -16,8 +16,13 @@ different lengths never link. A null id takes part; the least id ignores it.
 Two vectors agree on a hyperplane bit with chance ``p = 1 - angle / pi``, and sorted neighbours among N
 spread vectors share about ``log2(N / window)`` bits. A group therefore takes as many passes as leave a
 pair at the threshold unseen with chance ``MISS``, whatever its size (``passes_for``); ``PASSES`` of them
-are sorted at a time, so a large group costs more rounds, not larger ones. Vectors that crowd together
-share more bits than that: one link between two dense groups is found less surely.
+are sorted at a time, so a large group costs more rounds, not larger ones.
+
+A link between two dense groups can stand among thousands of pairs that only just miss the threshold, where no
+order of the vectors makes it stand out. Windows therefore also report near misses (``NEAR`` below the threshold) of
+vectors that have links. Components that a near miss joins are then compared in full, in blocks (``_bridges``): a
+component meets all vectors of its smaller neighbours at once. Two unlinked vectors need none of this; the window
+has compared them.
 
 What windows can miss is measured by the tests (recall against brute force). Completing a component
 compares all its pairs: its cost grows with the square of a component's distinct vectors, spread over
@@ -36,11 +41,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from centroidal.llm.components import components
-from centroidal.llm.frames import map_batches, written
+from centroidal.llm.frames import dropped, map_batches, written
 
 THRESHOLD = 0.93
 PASSES, WINDOW, BITS = 6, 32, 62
 MISS = 0.01
+NEAR = 0.1
 BLOCK = 1024
 SEED = 20
 
@@ -105,11 +111,12 @@ def _pass_rows(start: int, stop: int):
 
 
 def _window_links(g, p, k, v, scale, err, window: int, first: int, threshold: float):
-    """Links among sorted rows, each from ``first`` on with up to ``window`` rows before it: (a, b, sure).
-    Sure links that earlier ones of these rows already connect are left out."""
+    """Links among sorted rows, each from ``first`` on with up to ``window`` rows before it: the sure ones, those to
+    be decided, and near misses. Sure links that earlier ones of these rows already connect are left out, and so are
+    near misses between rows without links and all but one between the same two trees of links."""
     n = len(k)
     x = v.astype(np.float32) * scale[:, None].astype(np.float32)
-    sure_at, open_pairs = [], []
+    sure_at, open_pairs, near = [], [], []
     parent = np.arange(n)
     for d in range(1, min(window, n - 1) + 1):
         i = np.arange(max(d, first), n)
@@ -126,8 +133,10 @@ def _window_links(g, p, k, v, scale, err, window: int, first: int, threshold: fl
         new = s[parent[s] == s]
         parent[new] = new - d
         open_pairs.append(np.stack([i[between], i[between] - d], axis=1))
+        close = ~sure & ~between & (dots >= threshold - NEAR)
+        near.append(np.stack([i[close], i[close] - d], axis=1))
     if not sure_at:
-        return np.zeros((0, 2), np.int64), np.zeros((0, 2), np.int64)
+        return (np.zeros((0, 2), np.int64),) * 3
     tree = np.flatnonzero(parent != np.arange(n))
     pairs = [np.stack([tree, parent[tree]], axis=1)]
     root = parent
@@ -138,7 +147,11 @@ def _window_links(g, p, k, v, scale, err, window: int, first: int, threshold: fl
     # one link for each pair of trees is enough
     _, once = np.unique(np.stack([root[rest[:, 0]], root[rest[:, 1]]], axis=1), axis=0, return_index=True)
     pairs.append(rest[once])
-    return k[np.concatenate(pairs)], k[np.concatenate(open_pairs)]
+    linked = np.bincount(root, minlength=n)[root] > 1
+    near = np.concatenate(near)
+    near = near[(root[near[:, 0]] != root[near[:, 1]]) & (linked[near[:, 0]] | linked[near[:, 1]])]
+    _, once = np.unique(np.stack([root[near[:, 0]], root[near[:, 1]]], axis=1), axis=0, return_index=True)
+    return k[np.concatenate(pairs)], k[np.concatenate(open_pairs)], k[near[once]]
 
 
 def _arrays(b) -> list[np.ndarray]:
@@ -152,23 +165,25 @@ def _arrays(b) -> list[np.ndarray]:
 def _links_of(cols, window, first, threshold):
     """Window links of rows whose vectors may differ in length (never within one group)."""
     g, p, k, v, scale, err = cols
-    sure, between = [np.zeros((0, 2), np.int64)], [np.zeros((0, 2), np.int64)]
+    found = tuple([np.zeros((0, 2), np.int64)] for _ in range(3))
     width = np.array([len(x) for x in v])
     for a, b in zip(*(lambda e: (e[:-1], e[1:]))(np.concatenate([[0], np.flatnonzero(np.diff(width)) + 1, [len(v)]]))):
         if b - a > 1:
-            s, o = _window_links(g[a:b], p[a:b], k[a:b], np.stack(v[a:b]), scale[a:b], err[a:b], window,
-                                 max(0, first - a), threshold)
-            sure.append(s)
-            between.append(o)
-    return np.concatenate(sure), np.concatenate(between)
+            for kind, pairs in zip(found, _window_links(g[a:b], p[a:b], k[a:b], np.stack(v[a:b]), scale[a:b], err[a:b], window,
+                                                        max(0, first - a), threshold)):
+                kind.append(pairs)
+    return tuple(np.concatenate(kind) for kind in found)
 
 
+#: Kinds of rows that the passes give: links, pairs to be decided on the full vectors, near misses; and, for the next
+#: partition, the tail of a partition and the head of the one after.
+SURE, OPEN, CLOSE, TAIL, HEAD = range(5)
 _LINK = f"kind int, a long, b long, part long, {_ROW}"
 
 
 def _pass_links(rows: DataFrame, window: int, threshold: float) -> DataFrame:
-    """Links of all passes (kind 0 sure, 1 to be decided on the full vectors). Rows that neighbouring
-    partitions must compare come along as kind 2 (tail of partition ``part``) and 3 (head of ``part + 1``)."""
+    """``kind, a, b`` of all passes. Rows that neighbouring partitions must compare come along first, as TAIL of
+    partition ``part`` and HEAD of ``part + 1``. Written; nothing is read from its own tables afterwards."""
     ordered = rows.repartitionByRange("g", "pass", "h", "k").sortWithinPartitions("g", "pass", "h", "k") \
         .select(F.spark_partition_id().cast("long").alias("part"), "*")
     names = ["kind", "a", "b", "part", "g", "pass", "h", "k", "v", "scale", "err"]
@@ -201,27 +216,28 @@ def _pass_links(rows: DataFrame, window: int, threshold: float) -> DataFrame:
                 head = t.slice(0, window)
             elif len(head) < window:
                 head = pa.concat_tables([head, t.slice(first, window - len(head))])
-            sure, between = _links_of(_arrays(t), window, first, threshold)
-            yield link_batch(0, sure)
-            yield link_batch(1, between)
+            for kind, pairs in enumerate(_links_of(_arrays(t), window, first, threshold)):
+                yield link_batch(kind, pairs)
             kept = t.slice(max(0, len(t) - window))
         if kept is not None:
-            yield from edge_batch(2, part, kept)
-            yield from edge_batch(3, part - 1, head)
+            yield from edge_batch(TAIL, part, kept)
+            yield from edge_batch(HEAD, part - 1, head)
 
     found = written(rows.sparkSession, ordered.mapInArrow(run, _LINK), "pass-links")
 
     def across(group: pa.Table) -> pa.Table:
         order = np.lexsort([group.column(c).to_numpy() for c in ("k", "h", "pass", "g", "kind")])
         group = group.take(pa.array(order))
-        tail = int((group.column("kind").to_numpy() == 2).sum())
-        sure, between = _links_of(_arrays(group), window, tail, threshold) if 0 < tail < len(group) else (np.zeros((0, 2), np.int64),) * 2
-        both = np.concatenate([sure, between])
-        return pa.table({"kind": pa.array(np.repeat([0, 1], [len(sure), len(between)]), pa.int32()),
-                         "a": pa.array(both[:, 0], pa.int64()), "b": pa.array(both[:, 1], pa.int64())})
+        tail = int((group.column("kind").to_numpy() == TAIL).sum())
+        kinds = _links_of(_arrays(group), window, tail, threshold) if 0 < tail < len(group) else (np.zeros((0, 2), np.int64),) * 3
+        pairs = np.concatenate(kinds)
+        return pa.table({"kind": pa.array(np.repeat([SURE, OPEN, CLOSE], [len(x) for x in kinds]), pa.int32()),
+                         "a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
-    edges = found.filter("kind >= 2").groupBy("part").applyInArrow(across, "kind int, a long, b long")
-    return found.filter("kind < 2").select("kind", "a", "b").unionByName(edges).distinct()
+    edges = found.filter(F.col("kind") >= TAIL).groupBy("part").applyInArrow(across, "kind int, a long, b long")
+    links = written(rows.sparkSession, found.filter(F.col("kind") < TAIL).select("kind", "a", "b").unionByName(edges).distinct(), "window-links")
+    dropped(found)
+    return links
 
 
 def _exact(links: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
@@ -235,6 +251,52 @@ def _exact(links: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
     return map_batches(links.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "x", "y"), ok, "a long, b long")
 
 
+def _bridges(near: DataFrame, linked: DataFrame, vectors: DataFrame, threshold: float, block: int) -> DataFrame:
+    """``a, b``: links between components that near misses join, one at least for each vector that has any. ``linked``:
+    ``k, root``; vectors without a link are components of their own. Of two components the larger one meets the
+    vectors of the smaller, together with those of its other smaller neighbours, in blocks of both."""
+    sizes = linked.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    ends = near.select("a", "b")
+    for end in ("a", "b"):
+        of = linked.select(F.col("k").alias(end), F.col("root").alias(f"root_{end}"))
+        size = sizes.select(F.col("root").alias(f"root_{end}"), F.col("size").alias(f"size_{end}"))
+        ends = ends.join(of, end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end)) \
+            .join(size, f"root_{end}", "left").withColumn(f"size_{end}", F.coalesce(f"size_{end}", F.lit(1)))
+    first = F.struct("size_a", "root_a") > F.struct("size_b", "root_b")
+    pairs = ends.filter("root_a <> root_b").select(
+        F.when(first, F.col("root_a")).otherwise(F.col("root_b")).alias("big"),
+        F.when(first, F.col("root_b")).otherwise(F.col("root_a")).alias("root"), F.greatest("size_a", "size_b").alias("size")).distinct()
+    pairs = written(near.sparkSession, pairs.filter("size > 1"), "near-components")
+    every = vectors.select("k", "embedding").join(linked, "k", "left").withColumn("root", F.coalesce("root", "k"))
+    partners = pairs.join(every, "root").select("big", "k", "embedding")
+    shape = pairs.groupBy("big").agg(F.ceil(F.max("size") / block).cast("int").alias("rows_in")) \
+        .join(partners.groupBy("big").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("cols_in")), "big")
+
+    def part(n: str) -> Column:
+        return F.pmod(F.xxhash64("k", F.lit(SEED)), F.col(n)).cast("int")
+
+    rows = every.join(shape, F.col("root") == F.col("big")).select(
+        "big", "k", "embedding", part("rows_in").alias("i"), F.explode(F.sequence(F.lit(0), F.col("cols_in") - 1)).alias("j"), F.lit(0).alias("side"))
+    cols = partners.join(shape, "big").select(
+        "big", "k", "embedding", F.explode(F.sequence(F.lit(0), F.col("rows_in") - 1)).alias("i"), part("cols_in").alias("j"), F.lit(1).alias("side"))
+
+    def meet(group: pa.Table) -> pa.Table:
+        side, k = group.column("side").to_numpy(), group.column("k").to_numpy()
+        out = [np.zeros((0, 2), np.int64)]
+        if 0 < side.sum() < len(side):
+            x, _ = unit(group.column("embedding").to_pylist())
+            big, small = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            for s in range(0, len(small), block):
+                c = small[s:s + block]
+                hit = x[c] @ x[big].T >= threshold
+                has = hit.any(axis=1)
+                out.append(np.stack([k[c[has]], k[big[hit[has].argmax(axis=1)]]], axis=1))
+        pairs = np.concatenate(out)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    return rows.unionByName(cols).repartition("big", "i", "j").groupBy("big", "i", "j").applyInArrow(meet, "a long, b long")
+
+
 def _complete(members: DataFrame, threshold: float, block: int) -> DataFrame:
     """``k, linked``: for each distinct vector of a component the rows that it links to, its own copies
     left out. Blocks of a component meet pairwise; a group holds two blocks at most."""
@@ -258,7 +320,8 @@ def _complete(members: DataFrame, threshold: float, block: int) -> DataFrame:
             linked[s:s + block] = hit @ copies[cols]
         return pa.table({"k": pa.array(k[rows], pa.int64()), "linked": pa.array(linked)})
 
-    return left.unionByName(right).groupBy("root", "i", "j").applyInArrow(meet, "k long, linked long") \
+    # dealt by block: the rows come from a join on the root, whose partitioning a grouping by (root, i, j) would keep
+    return left.unionByName(right).repartition("root", "i", "j").groupBy("root", "i", "j").applyInArrow(meet, "k long, linked long") \
         .groupBy("k").agg(F.sum("linked").alias("linked"))
 
 
@@ -287,14 +350,19 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rounds = []
     for start in range(0, most, passes):
         spread = map_batches(sorted_in.filter(F.col("own") > start), _pass_rows(start, start + passes), _ROW)
-        rounds.append(written(spark, _pass_links(spread, window, threshold), "window-links"))
+        rounds.append(_pass_links(spread, window, threshold))
     links = reduce(DataFrame.unionByName, rounds).distinct()
-    exact = _exact(links.filter("kind = 1"), distinct, threshold)
-    linked = written(spark, components(links.filter("kind = 0").select("a", "b").union(exact), "a", "b"), "vector-components")
-    members = distinct.join(linked.withColumnRenamed("node", "k"), "k")
+    exact = _exact(links.filter(F.col("kind") == OPEN), distinct, threshold)
+    found = links.filter(F.col("kind") == SURE).select("a", "b").union(exact)
+    linked = written(spark, components(found, "a", "b").withColumnRenamed("node", "k"), "vector-components")
+    bridges = written(spark, _bridges(links.filter(F.col("kind") == CLOSE), linked, distinct, threshold, block), "bridges")
+    whole = components(linked.select(F.col("k").alias("a"), F.col("root").alias("b")).union(bridges), "a", "b")
+    linked = written(spark, whole.withColumnRenamed("node", "k"), "joined-components")
+    dropped(*rounds, large)
+    members = distinct.join(linked, "k")
     degrees = _complete(members.select("root", "k", "copies", "embedding"), threshold, block)
     least = members.groupBy("root").agg(F.min("least").alias("component"))
-    of_linked = linked.withColumnRenamed("node", "k").join(least, "root").join(degrees, "k", "left").select("k", "component", "linked")
+    of_linked = linked.join(least, "root").join(degrees, "k", "left").select("k", "component", "linked")
     known = distinct.select("k", "least", "copies").join(of_linked, "k", "left").select(
         "k", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("component", "least").alias("component_id"))
