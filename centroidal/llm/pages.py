@@ -6,13 +6,16 @@ stand outside main text. One linear scan finds the contiguous region of greatest
 its words are the text. The weights come from labelled pages: those that mark their main text with
 ``article`` or ``main`` (a sample bounded by ``sample_pages``; the bound is the parameter).
 
-Elements that never are main text (menus, headers, footers, asides, forms, scripts, styles, and
-elements whose class, id or role names an advert, notice, sidebar or reader comments) are left out
-before scoring, so they neither add to the region nor cut it in two. Character references are
-decoded once, white space inside a block becomes one blank, blocks are joined by one blank.
+Elements that never are main text (menus, headers, footers, asides, forms, scripts, styles, hidden ones) are left
+out before scoring, so they neither add to the region nor cut it in two. So are elements whose class, id or role names
+an advert, notice, sidebar or reader comments, unless the main text must lie inside: an element that holds the
+page's largest ``article`` or ``main`` stays, and on a page without either (or whose only ones are named so
+themselves) an element stays that holds two thirds of the words left. What is named so inside it is judged again.
+Character references are decoded once, white space inside a block becomes one blank, blocks are joined by one blank.
 
 Null or empty html gives an empty text. Unclosed elements end with their parent or the page; end
-tags without a start are ignored; a comment, script or style that never ends takes the rest.
+tags without a start are ignored; a comment, script or style that never ends takes the rest. The parser is linear in the
+page: names of open elements are counted, and each element knows its nearest block.
 """
 
 from __future__ import annotations
@@ -28,7 +31,8 @@ from pyspark.sql import functions as F
 from centroidal.llm.frames import map_batches
 
 SAMPLE_PAGES = 20_000
-MAX_KEYS = 20_000
+#: Share of a page's words from which an unmarked element with a telling name counts as a wrapper of the page.
+WRAPPER = 2 / 3
 
 # --- fixed values: HTML's own element kinds ---
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -52,14 +56,23 @@ _MARKUP = re.compile(r"<!--|<!|<\?|</?[a-zA-Z]")
 _TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.IGNORECASE)
 _NAME_WORD = re.compile(r"[A-Za-z]+")
+_RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE) for name in RAW}
 
 
 @dataclass
 class Element:
+    """An element with its place among the page's elements and those that it is asked for all the time: its parent,
+    the innermost one that is no formatting (the context of its words) and the innermost block."""
     name: str
     key: str
-    dropped: bool
+    place: int
+    parent: Element | None
+    context: Element | None
+    block: Element | None
+    gone: bool
+    named: bool
     main: bool
+    words: int = 0
 
 
 @dataclass
@@ -71,44 +84,72 @@ class Page:
     marked: bool = False
 
 
-def _key(name: str, attributes: str) -> tuple[str, bool]:
-    """Context key of an element, and whether its attributes name something that is not main text."""
+def _key(name: str, attributes: str) -> tuple[str, bool, bool]:
+    """Context key of an element, whether its attributes name something that is not main text, and whether they hide it."""
     if not attributes or attributes.isspace():
-        return name, False
-    first, out = "", False
+        return name, False, False
+    first, out, hidden = "", False, False
     for a, value in _ATTR.findall(attributes):
         a = a.lower()
         words = [w.lower() for w in _NAME_WORD.findall(entities.unescape(value))]
         if a in ("hidden", "aria-hidden"):
-            out = out or (a == "hidden" or "true" in words)
+            hidden = hidden or (a == "hidden" or "true" in words)
             continue
         out = out or any(w in NOT_MAIN for w in words)
         if a == "class" and words:
             first = words[0]
-    return (f"{name}.{first}" if first else name), out
+    return (f"{name}.{first}" if first else name), out, hidden
+
+
+def _left_out(elements: list[Element]) -> set[int]:
+    """Places of the elements that are left out: those of a dropped kind, and those with a telling name unless the main
+    text must lie inside. Elements stand in document order, parents first."""
+    for e in reversed(elements):
+        if e.parent is not None and not e.gone:
+            e.parent.words += e.words
+    marks = [e for e in elements if e.name in MARKS_MAIN and not e.gone and not e.named]
+    mark = max(marks, key=lambda e: e.words, default=None)
+    holds: set[int] = set()
+    while mark is not None:
+        holds.add(mark.place)
+        mark = mark.parent
+    left = sum(e.words for e in elements if e.parent is None and not e.gone)
+    out: set[int] = set()
+    for e in elements:
+        if e.gone or (e.parent is not None and e.parent.place in out):
+            out.add(e.place)
+        elif e.named and e.place not in holds and (marks or e.words < WRAPPER * left or not e.words):
+            out.add(e.place)
+            left -= e.words
+    return out
 
 
 def tokenize(html: str | None, until_marked: bool = False) -> Page:
-    """Split a page into text, tags and block edges, without the dropped elements; ``until_marked``: only
+    """Split a page into text, tags and block edges, without the elements left out; ``until_marked``: only
     as far as it takes to see that the page marks its main text."""
-    page, at, stack = Page(), 0, []
+    page, at, stack, elements = Page(), 0, [], []
     html = html or ""
-    tokens = page.tokens
+    found: list[tuple[str, str, str, Element | None]] = []  # tokens with the element that they belong to
+    opened: dict[str, int] = {}
 
     def text(piece: str) -> None:
-        if piece and not (stack and stack[-1].dropped):
-            context = next((e for e in reversed(stack) if e.name not in FORMATTING), None)
-            tokens.append(("w", context.key if context else "", entities.unescape(piece), bool(stack and stack[-1].main)))
+        inside = stack[-1] if stack else None
+        if piece and not (inside and inside.gone):
+            context = inside.context if inside else None
+            piece = entities.unescape(piece)
+            if inside:
+                inside.words += len(piece.split())
+            found.append(("w", context.key if context else "", piece, inside))
 
     def edge(e: Element) -> None:
-        if e.name not in INLINE and not (stack and stack[-1].dropped):
-            tokens.append(("b", "", "", False))
-        if not e.dropped:
-            tokens.append(("t", e.name, "", e.main))
+        if e.name not in INLINE:
+            found.append(("b", "", "", e.parent))
+        found.append(("t", e.name, "", e))
 
     def close(name: str) -> None:
         while stack:
             e = stack.pop()
+            opened[e.name] -= 1
             edge(e)
             if e.name == name:
                 return
@@ -134,30 +175,37 @@ def tokenize(html: str | None, until_marked: bool = False) -> Page:
             continue
         at, name = tag.end(), tag[1].lower()
         if m[0].startswith("</"):
-            if any(e.name == name for e in stack):
+            if opened.get(name):
                 close(name)
             continue
         if name in CLOSES_P:
             # a paragraph ends where a block begins, together with the formatting opened in it
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].name not in FORMATTING and stack[k].name != "a"), -1)
-            if k >= 0 and stack[k].name == "p":
+            if stack and stack[-1].block is not None and stack[-1].block.name == "p":
                 close("p")
         elif name in ("li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1].name == name:
             close(name)
-        key, out = _key(name, tag[2])
+        key, named, hidden = _key(name, tag[2])
         inside = stack[-1] if stack else None
-        e = Element(name, key, name in DROPPED or out or bool(inside and inside.dropped),
-                    name in MARKS_MAIN or bool(inside and inside.main))
-        if name in MARKS_MAIN and not e.dropped:
+        e = Element(name, key, len(elements), inside, inside.context if inside else None, inside.block if inside else None,
+                    name in DROPPED or hidden or bool(inside and inside.gone), named, name in MARKS_MAIN or bool(inside and inside.main))
+        if name not in FORMATTING:
+            e.context = e
+            if name != "a":
+                e.block = e
+        elements.append(e)
+        if name in MARKS_MAIN and not e.gone and not named:
             page.marked = True
             if until_marked:
                 return page
         edge(e)
         if name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(html, at)
+            end = _RAW_END[name].search(html, at)
             at = end.end() if end else len(html)
         elif name not in VOID and not tag[2].rstrip().endswith("/"):
             stack.append(e)
+            opened[name] = opened.get(name, 0) + 1
+    out = _left_out(elements)
+    page.tokens = [(kind, key, piece, kind != "b" and bool(e and e.main)) for kind, key, piece, e in found if e is None or e.place not in out]
     return page
 
 
@@ -215,10 +263,9 @@ def _marked_batch(b: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
 
-def fit_page_weights(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAGES,
-                     max_keys: int = MAX_KEYS) -> PageWeights:
+def fit_page_weights(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> PageWeights:
     """Learn the weights from marked pages. ``sample_pages``: expected most marked pages learned from, out
-    of all that are marked (chosen by a hash of the html); ``max_keys``: most contexts kept, the commonest."""
+    of all that are marked (chosen by a hash of the html); every context of theirs gets a weight."""
     rows = pages.select(F.col(html_col).alias("html")).filter("html is not null")
     unit = F.xxhash64("html").bitwiseAND(F.lit((1 << 52) - 1)).cast("double") / float(1 << 52)
     # others cannot be marked
@@ -226,8 +273,7 @@ def fit_page_weights(pages: DataFrame, html_col: str = "html", sample_pages: int
     marked = map_batches(rows, _marked_batch, "n long").agg(F.sum("n")).first()[0] or 0
     sample = rows.filter(unit < min(1.0, sample_pages / max(1, marked)))
     counted = map_batches(sample, _count_batch, "kind string, key string, n_in long, n_out long") \
-        .groupBy("kind", "key").agg(F.sum("n_in").alias("n_in"), F.sum("n_out").alias("n_out")) \
-        .orderBy(F.desc(F.col("n_in") + F.col("n_out")), "kind", "key").limit(max_keys).collect()
+        .groupBy("kind", "key").agg(F.sum("n_in").alias("n_in"), F.sum("n_out").alias("n_out")).collect()
     words, tags = {}, {}
     for r in counted:
         share = (r["n_in"] + 0.5) / (r["n_in"] + r["n_out"] + 1)

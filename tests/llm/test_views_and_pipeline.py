@@ -1,5 +1,8 @@
 """Chat formatting, main text of pages, the pipeline, and the queries against their statements."""
 
+import random
+import time
+
 import duckdb
 import pytest
 
@@ -116,6 +119,38 @@ def test_region_is_the_best_contiguous_one():
     assert main_text("<p>a b c</p><ul><li>n</li></ul><p>c d e</p>", w) == "a b c n c d e"
 
 
+@pytest.mark.parametrize("page", [
+    '<body class="single right-sidebar">{}</body>', '<div class="content-with-sidebar">{}</div>', '<article class="post no-comments">{}</article>',
+    '<div id="page" class="header-fixed">{}</div>', '<main class="search-results-none related">{}</main>',
+    '<body class="has-sidebar"><article>{}</article><div class="comments"><p>nice post</p></div></body>',
+    '<div class="sidebar-left-layout"><div class="sidebar"><p>see also</p></div>{}<div class="comment"><p>short one</p></div></div>',
+    '<article>{}</article><div class="comments"><article class="comment">' + "<p>a long answer by a reader</p>" * 20 + "</article></div>"])
+def test_names_do_not_drop_what_holds_the_main_text(page):
+    text = " ".join(f"word{k} soup" for k in range(15))
+    weights = PageWeights({"p": 0.9, "div": 0.2, "article": 0.3, "main": 0.3, "body": 0.1}, {"p": -0.02, "div": -0.05})
+    assert main_text(page.format(f"<p>{text}</p>"), weights) == text
+
+
+def test_region_equals_brute_force_over_all_regions():
+    rnd = random.Random(4)
+    weights = PageWeights({"p": 0.7, "li": -0.6, "div": 0.1, "h2": 0.4}, {"p": -0.3, "li": -0.2, "div": -0.1, "h2": -0.1})
+    for _ in range(300):
+        page = "".join(f"<{t}>" + "w " * rnd.randint(0, 4) + (f"</{t}>" if rnd.random() < 0.8 else "") for t in rnd.choices(["p", "li", "div", "h2"], k=8))
+        tokens = tokenize(page).tokens
+        value = [weights.word(k) * len(x.split()) if kind == "w" else weights.tag(k) if kind == "t" else 0.0 for kind, k, x, _ in tokens]
+        best = max((sum(value[a:b]) for a in range(len(value)) for b in range(a + 1, len(value) + 1)), default=0.0)
+        regions = {" ".join("".join(x if kind == "w" else " " for kind, _, x, _ in tokens[a:b]).split())
+                   for a in range(len(value)) for b in range(a + 1, len(value) + 1) if sum(value[a:b]) >= best - 1e-9} if best > 1e-9 else {""}
+        assert main_text(page, weights) in regions
+
+
+@pytest.mark.parametrize("page", ["<b>" * 40_000 + "</i>" * 40_000, "<div>" * 40_000 + "</p>" * 40_000, "<div><p><b>x" * 30_000, "<a><b><i>" * 60_000])
+def test_parsing_open_tags_is_linear(page):
+    start = time.perf_counter()
+    tokenize(page)
+    assert time.perf_counter() - start < 12  # seconds here; minutes for a scan of the open elements at each tag
+
+
 def test_long_and_deep_pages():
     assert main_text("<p>" + "w " * 100_000, WEIGHTS).count("w") == 100_000
     assert main_text("<div>" * 20_000 + "<p>x y</p>", WEIGHTS) == "x y"
