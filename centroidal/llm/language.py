@@ -175,17 +175,18 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(id_col).alias("id")) \
         .filter("text is not null and lang is not null")
-    per_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted_rows = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    per_lang = {r["lang"]: r["rows"] for r in counted_rows.collect()}
     if not per_lang:
         return None
-    share = F.lit(1.0)
-    for lang, n in per_lang.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample_rows / n))).otherwise(share)
+    # one row a language, joined, so that any number of languages does
+    shares = counted_rows.select("lang", F.least(F.lit(1.0), F.lit(float(sample_rows)) / F.col("rows")).alias("share"))
     unit = (F.xxhash64("id").bitwiseAND(F.lit((1 << 52) - 1))).cast("double") / float(1 << 52)
-    counted = map_batches(rows.filter(unit < share).select("text", "lang"), _gram_counts, "lang string, gram long, n long") \
+    sample = rows.join(shares, "lang").filter(unit < F.col("share")).select("text", "lang")
+    counted = map_batches(sample, _gram_counts, "lang string, gram long, n long") \
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     total = F.sum(F.when(F.col("gram") != 0, F.col("n"))).alias("total")
-    kept = counted.filter("gram != 0").join(F.broadcast(counted.groupBy("lang").agg(total)), "lang") \
+    kept = counted.filter("gram != 0").join(counted.groupBy("lang").agg(total), "lang") \
         .filter(F.col("n") >= MIN_RATE * F.col("total")).select("lang", "gram", (F.col("n") / F.col("total")).alias("rate")) \
         .toPandas()
     langs = sorted(per_lang)
@@ -193,7 +194,7 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     top = kept.groupby("gram")["rate"].transform("max")
     kept = kept[kept["rate"] >= MIN_SHARE * top]
     return LanguageFilters.build(langs, kept["gram"].to_numpy(np.int64).astype(np.uint64),
-                                 kept["lang"].map(langs.index).to_numpy(np.int64), default)
+                                 kept["lang"].map({lang: i for i, lang in enumerate(langs)}).to_numpy(np.int64), default)
 
 
 def identify_languages(docs: DataFrame, model: LanguageFilters | None, id_col: str = "doc_id",

@@ -36,6 +36,16 @@ NOTICES = {
     "isc license": "isc",
     "boost software license": "bsl",
     "creative commons attribution": "cc-by",
+    "creative commons attribution noncommercial": "cc-by-nc",
+    "creative commons attribution sharealike": "cc-by-sa",
+    "gnu general public license": "gpl",
+    "gnu free documentation license": "gfdl",
+    "common development and distribution license": "cddl",
+    "european union public licence": "eupl",
+    "sil open font license": "ofl",
+    "the unlicense": "unlicense",
+    "without warranty of any kind": "no-warranty",
+    "provided as is": "no-warranty",
     "cc by nc": "cc-by-nc",
     "cc by nd": "cc-by-nd",
     "cc by sa": "cc-by-sa",
@@ -53,6 +63,12 @@ RESTRICTS = {
     "gpl-2.0": 2, "gpl-2.0-only": 2, "gpl-2.0-or-later": 2, "gpl-3.0": 2, "gpl-3.0-only": 2,
     "gpl-3.0-or-later": 2, "agpl-3.0": 2, "agpl-3.0-only": 2, "agpl-3.0-or-later": 2,
     "cc-by-nc-4.0": 3, "cc-by-nd-4.0": 3,
+    "mit-0": 0, "bsd-4-clause": 0, "artistic-2.0": 0, "ecl-2.0": 0, "postgresql": 0, "python-2.0": 0, "psf-2.0": 0, "wtfpl": 0, "ncsa": 0,
+    "openssl": 0, "x11": 0, "hpnd": 0, "afl-3.0": 0, "ms-pl": 0, "upl-1.0": 0, "apache-1.1": 0, "cc-by-3.0": 0, "cc-by-2.0": 0, "pddl-1.0": 0,
+    "ofl-1.1": 1, "cddl-1.0": 1, "cddl-1.1": 1, "epl-1.0": 1, "mpl-1.1": 1, "lgpl-2.0": 1, "lgpl-2.0-only": 1, "lgpl-2.0-or-later": 1,
+    "cc-by-sa-3.0": 1, "odbl-1.0": 1, "ms-rl": 1,
+    "gpl-1.0": 2, "gpl-1.0-only": 2, "gpl-1.0-or-later": 2, "eupl-1.2": 2, "osl-3.0": 2, "agpl-1.0": 2, "cecill-2.1": 2,
+    "cc-by-nc-3.0": 3, "cc-by-nc-sa-4.0": 3, "cc-by-nc-nd-4.0": 3, "sspl-1.0": 3, "busl-1.1": 3,
 }
 UNKNOWN_RESTRICTS = 3
 GRADES = ("permissive", "weak-copyleft", "copyleft", "restricted")
@@ -91,6 +107,12 @@ def tag_automaton() -> ahocorasick.Automaton:
     return auto
 
 
+def identifier(word: str) -> str:
+    """An identifier as it is graded: a plus sign behind a version means that one or any later."""
+    plain = word.rstrip("+")
+    return word if plain == word else f"{plain}-or-later" if f"{plain}-or-later" in RESTRICTS else plain
+
+
 _TOKEN = re.compile(r"[ \t]*(?:(\()|(\))|([a-z0-9][a-z0-9.+-]*))", re.IGNORECASE)
 _RANK = {"or": 1, "and": 2, "with": 3}
 
@@ -122,6 +144,7 @@ def parse_expression(text: str, start: int = 0) -> tuple[list[str], list[str]] |
             stack.append(word)
             want = True
         elif word and word not in _RANK and want:
+            word = identifier(word)
             out.append(word)
             ids.append(word)
             want = False

@@ -29,10 +29,11 @@ PACK_TOKENIZER, PACK_END = "/opt/tokenizers/word_bpe_49k.json", 2
 
 def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every participant's rendering of every conversation with its mask. The mask's spans are given as
-    text ``start-end`` joined by commas. A part too large for a row is several rows, its pieces."""
+    text ``start-end`` joined by commas. A part too large for a row is several rows, its pieces, numbered
+    from 0."""
     out = perspectives(table(spark, sf_dir, "conversations"))
     spans = F.array_join(F.transform("mask", lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
-    return out.select("conv_id", "perspective", "part", "n_turns", "rendered", spans.alias("mask_spans"), "n_masked")
+    return out.select("conv_id", "perspective", "part", "piece", "n_turns", "rendered", spans.alias("mask_spans"), "n_masked")
 
 
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ WITH t AS (SELECT conv_id, turn, role AS who, coalesce(text, '') AS text,
  n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, perspective, part
                                     ORDER BY turn NULLS FIRST, who NULLS FIRST, text) AS k FROM v),
  c AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective, part ORDER BY k) AS upto FROM n)
-SELECT conv_id, perspective, part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY k) AS rendered,
+SELECT conv_id, perspective, part, 0::BIGINT AS piece, count(*) AS n_turns, string_agg(head || body, '' ORDER BY k) AS rendered,
        coalesce(string_agg(CAST(upto - length(body) AS BIGINT) || '-' || CAST(upto AS BIGINT), ',' ORDER BY k) FILTER (mine), '') AS mask_spans,
        CAST(coalesce(sum(length(body)) FILTER (mine), 0) AS BIGINT) AS n_masked
 FROM c GROUP BY ALL
