@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from centroidal.llm.decontaminate import remove_leaks
-from centroidal.llm.frames import table, written
+from centroidal.llm.frames import dropped, table, written
 from centroidal.llm.jaccard import keep_one_of_each
 from centroidal.llm.language import fit_languages, keep_known_languages, training_rows
 from centroidal.llm.pii import redact_docs
@@ -59,5 +59,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the last stage's rows."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, written(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
+        dropped(before)  # a stage's table has one reader, the next stage
     return docs
