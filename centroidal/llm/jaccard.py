@@ -17,6 +17,7 @@ up to collisions of 64-bit hashes.
    overlap before a pair is emitted, small bitmaps of the sets after that.
 4. Full sets are fetched for the pairs left. A pair must also share prefix tokens under two more global
    orders; only pairs that pass all the filters are verified on their full sets.
+5. On request (``count_links``) every document's links are counted, those inside components too, which 3 leaves out.
 
 Null ids: a document without id has the least id of its copies and links, null if there is none.
 Repeated rows are copies of each other. Sketch, thresholds and filters are the same at every size.
@@ -46,6 +47,8 @@ CELL_BITS, SLICES = 21, 64
 GROUP_WORDS = 100_000
 #: Bits of the filter for wanted documents: 2^FILTER_BITS / 64 rows at most are broadcast.
 FILTER_BITS = 26
+#: Counting links: sets and tokens of a block, and tokens of a matrix.
+LINK_BLOCK, LINK_BLOCK_TOKENS, LINK_TOKENS = 512, 1 << 20, 4096
 #: Seeds of the token orders: the join order, then the orders that only filter.
 ORDERS = (11, 12, 13)
 
@@ -356,9 +359,58 @@ def _fetch_sets(rows: DataFrame, reps: DataFrame, pairs: DataFrame, sent) -> Dat
     return _set_rows(texts, sent)
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """Tokens that each pair of sets has in common, from products of incidence matrices, some thousand tokens at a time."""
+    sizes = np.array([len(x) for x in sets])
+    tokens, number, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.cumsum(times > 1) - 1  # only tokens of two sets or more count
+    row, column = np.repeat(np.arange(len(sets)), sizes)[times[number] > 1], rank[number[times[number] > 1]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(sets), len(sets)), np.float64)
+    for start in range(0, int(rank[-1]) + 1, LINK_TOKENS):
+        a, b = np.searchsorted(column, [start, start + LINK_TOKENS])
+        x = np.zeros((len(sets), LINK_TOKENS), np.float32)
+        x[row[a:b], column[a:b] - start] = 1
+        both += x @ x.T
+    both[np.arange(len(sets)), np.arange(len(sets))] = sizes
+    return both
+
+
+def _link_counts(rows: DataFrame, reps: DataFrame, linked: DataFrame, sent, block: int, block_tokens: int) -> DataFrame:
+    """``s, links``: documents of other sets that link to each set of a component. A component's sets are dealt to blocks of
+    at most about ``block`` sets and ``block_tokens`` tokens; every two blocks meet in one task, which compares all."""
+    spark = rows.sparkSession
+    members = reps.join(linked.withColumnRenamed("node", "s"), "s").select("s", "root", "n", "copies")
+    sets = written(spark, _fetch_sets(rows, reps, members.select(F.col("s").alias("a"), F.col("s").alias("b")), sent).select("s", "tokens")
+                   .dropDuplicates(["s"]), "member-sets")
+    shape = members.groupBy("root").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / block_tokens)).cast("int").alias("blocks"))
+    dealt = members.join(sets, "s").join(shape, "root").withColumn("own", F.pmod(F.xxhash64("s", F.lit(ORDERS[0])), "blocks").cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("root", "s", "copies", "tokens", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def meet(group: pa.Table) -> pa.Table:
+        tokens = [_u64(t) for t in group.column("tokens").to_pylist()]
+        n, copies = np.array([len(t) for t in tokens]), group.column("copies").to_numpy()
+        own, s = group.column("own").to_numpy(), group.column("s").to_numpy()
+        both = _shared(tokens)
+        hit = DEN * both >= NUM * (n[:, None] + n[None, :] - both)
+        if group.column("i")[0].as_py() != group.column("j")[0].as_py():
+            hit &= own[:, None] != own[None, :]  # pairs within a block meet in a group of their own
+        np.fill_diagonal(hit, False)
+        return pa.table({"s": pa.array(s), "links": pa.array(hit @ copies)})
+
+    return dealt.repartition("root", "i", "j").groupBy("root", "i", "j").applyInArrow(meet, "s long, links long") \
+        .groupBy("s").agg(F.sum("links").alias("links"))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_links: bool = False,
+                       link_block: int = LINK_BLOCK, link_block_tokens: int = LINK_BLOCK_TOKENS) -> DataFrame:
     """``id, n, s, component`` per document: its id, set size, set digest (copies have the same) and the
-    least id that links reach (its own id for an empty set)."""
+    least id that links reach (its own id for an empty set). With ``count_links`` also ``n_links``: the other documents
+    that it links to, copies included. That compares all different sets of a component, in blocks, so its cost grows
+    with the square of a component's different sets."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     signatures = written(spark, _signatures(rows), "signatures")
@@ -388,8 +440,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     named = reps.select("s", "s2", "rep").join(linked.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
     least = named.groupBy("root").agg(F.min("rep").alias("component"))
     of_set = named.join(least, "root").select("s", "s2", "component")
-    full = own.filter("n > 0").join(of_set, ["s", "s2"]).select("id", "n", "s", "component")
-    return full.unionByName(own.filter("n = 0").select("id", "n", "s", F.col("id").alias("component")))
+    none = own.filter("n = 0").select("id", "n", "s", F.col("id").alias("component"))
+    if count_links:
+        copies = own.filter("n > 0").groupBy("s", "s2").agg(F.count(F.lit(1)).alias("copies"))
+        links = written(spark, _link_counts(rows, reps.join(copies, ["s", "s2"]), linked, sent, link_block, link_block_tokens), "link-counts")
+        of_set = of_set.join(copies, ["s", "s2"]).join(links, "s", "left") \
+            .select("s", "s2", "component", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        none = none.withColumn("n_links", F.lit(0).cast("long"))
+    full = own.filter("n > 0").join(of_set, ["s", "s2"]).select("id", "n", "s", *[c for c in of_set.columns if c not in ("s", "s2")])
+    return full.unionByName(none)
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -81,6 +81,18 @@ def test_jaccard_equals_brute_force(spark):
     assert len(set(comps.values())) < len(rows) - 60  # there is something to find
 
 
+@pytest.mark.parametrize("block,tokens", [(512, 1 << 20), (5, 1 << 20), (100, 300)])
+def test_links_are_counted_in_full(spark, monkeypatch, block, tokens):
+    monkeypatch.setattr(J, "LINK_TOKENS", 64)
+    rows = list(enumerate(planted(random.Random(3))))
+    sets = {i: word_sets(t) for i, t in rows}
+    want = {i: sum(1 for j, b in sets.items() if i != j and a and b and 100 * len(a & b) >= 80 * len(a | b)) for i, a in sets.items()}
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, s string, copies int").repartition(3)
+    got = J.jaccard_components(df, count_links=True, link_block=block, link_block_tokens=tokens).collect()
+    assert {r["id"]: r["n_links"] for r in got} == want and sum(want.values()) > 400
+    assert J.jaccard_components(df.limit(0), count_links=True).count() == 0
+
+
 def test_jaccard_on_given_documents(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     comps, sets = brute_components([(r["doc_id"], r["text"]) for r in docs.filter("doc_id < 400").collect()])
