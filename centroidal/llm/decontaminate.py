@@ -1,17 +1,17 @@
 """Benchmark decontamination with suffix arrays over the training text.
 
-Every shard (some documents of one Spark task) gets an array of its word suffixes in sorted order,
-and each suffix of every benchmark item is searched in it by bisection. A document's words that lie
-in an occurrence of an item's window (``window`` consecutive words; a shorter item is one window)
-are hit; neighbouring occurrences along one item join into its longest verbatim match.
-
-The array is sparse: only suffixes that can begin an occurrence are sorted, that is, those that
-start with enough benchmark words in a row and with two words that begin some window. Keys are the
-first ``window`` words, which is what an occurrence takes; longer matches come from joining.
-
-The benchmark is sent to the tasks in blocks of at most about ``BLOCK_BYTES`` of text, a pass per block
-in one chain without a shuffle; documents never move. Null texts have no words and are never hit.
-A null item id takes part and is listed as ``null``; items that repeat an id count once.
+Every shard (the documents of a piece of about 2 MB) gets the sorted array of its word suffixes, from every
+position that holds a benchmark word, and each suffix of every benchmark item is bisected in it. Between which
+items' suffixes a training suffix falls tells its longest match of up to ``window`` words; at the few places that reach
+that length the match is followed on through the sorted suffixes of the items, word by word, to its true end. A
+document's words that lie in an occurrence of an item's window (``window`` consecutive words; a shorter item is one
+window) are hit. The longest verbatim match of a document and its place are reported down to a single word.
+
+The benchmark is sent to the tasks in blocks of at most about ``BLOCK_BYTES`` of text (64 bytes a word there), a pass per
+block in one chain without a shuffle; documents never move. Nothing is expanded per place of a window in the benchmark: an
+instruction that thousands of items share is one window with thousands of owners. Null texts have no words and are never hit.
+A null item id takes part and is listed as ``null``; items that repeat an id count once; a document longer than a piece
+makes a shard of its own.
 """
 
 from __future__ import annotations
@@ -32,75 +32,168 @@ BLOCK_BYTES = 16_000_000
 SHARD_WORDS = 1_000_000
 
 
+def suffix_order(x: np.ndarray, depth: int) -> np.ndarray:
+    """Positions of ``x`` in the order of the words that follow from there on, right at least for the first ``depth``
+    (doubling: ranks by one word, then by 2, 4, 8 ...)."""
+    rank = np.unique(x, return_inverse=True)[1].astype(np.int64)
+    done = 1
+    while done < depth and len(x) and rank.max() + 1 < len(x):
+        after = np.concatenate([rank[done:] + 1, np.zeros(min(done, len(x)), np.int64)])
+        rank = np.unique(rank * (len(x) + 1) + after, return_inverse=True)[1].astype(np.int64)
+        done *= 2
+    return np.argsort(rank, kind="stable")
+
+
+def _rows(x: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
+    """The ``window`` words from each position on, zeros behind the end."""
+    padded = np.concatenate([x, np.zeros(window, x.dtype)])
+    return np.stack([padded[at + k] for k in range(window)], axis=1).astype(">u4") if len(at) else np.zeros((0, window), ">u4")
+
+
+def _keys(rows: np.ndarray) -> np.ndarray:
+    """Rows of big-endian words as byte strings that sort like them."""
+    return np.ascontiguousarray(rows).view(f"S{rows.shape[1] * 4}").ravel() if len(rows) else np.zeros(0, "S4")
+
+
 class TestSuffixes:
-    """The windows of a block of benchmark items, ready for bisection."""
+    """The sorted suffixes and the windows of a block of benchmark items, ready for bisection."""
 
     def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
         self.ids = sorted({i for i, _ in items})
         number = {i: k for k, i in enumerate(self.ids)}
-        places: dict[tuple[int, ...], list[tuple[int, int]]] = {}
-        # A window's places are (item text, offset); items are told apart by text for the diagonals.
-        self.owner: list[int] = []
+        texts, owners, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
         for item, text in items:
             words = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in scan_words(text)]
-            if not words:
-                continue
-            for k in range(max(1, len(words) - window + 1)):
-                places.setdefault(tuple(words[k:k + window]), []).append((len(self.owner), k))
-            self.owner.append(number[item])
-        self.length = np.array([len(w) for w in places], dtype=np.int64)
-        low = np.zeros((len(places), window), dtype=">u4")
-        high = np.full((len(places), window), 0xFFFFFFFF, dtype=">u4")
-        for k, w in enumerate(places):
-            low[k, :len(w)] = high[k, :len(w)] = w
-        self.low, self.high = _keys(low), _keys(high)
-        self.first = np.concatenate([[0], np.cumsum([len(p) for p in places.values()])]).astype(np.int64)
-        self.places = np.array([p for ps in places.values() for p in ps], dtype=np.int64).reshape(-1, 2)
-        self.shortest = int(self.length.min()) if len(places) else 0
-        self.starts = np.unique([w[0] * (len(self.vocabulary) + 1) + w[1] for w in places if len(w) > 1]).astype(np.int64)
+            if words:
+                texts.append(np.array([*words, 0]))  # a 0 behind each item
+                owners.append(np.full(len(words) + 1, number[item]))
+                sizes.append(len(words))
+        self.words, owner = np.concatenate(texts), np.concatenate(owners)
+        gaps = np.flatnonzero(self.words == 0)
+        begins = np.concatenate([[0], gaps + 1])[:len(gaps)]
+        left = gaps[np.searchsorted(gaps, np.arange(len(self.words)))] - np.arange(len(self.words)) if len(gaps) else gaps
+        order = suffix_order(self.words, max(sizes, default=0) + 1)
+        self.at = order[self.words[order] > 0]
+        self.owner = owner[self.at]
+        self.rows = _rows(self.words, self.at, window)
+        self.keys = _keys(self.rows)
+        # windows: equal beginnings stand together in the array; shorter items are windows as a whole
+        full = np.flatnonzero(left[self.at] >= window)
+        new = np.concatenate([[True], self.keys[full][1:] != self.keys[full][:-1]]) if len(full) else np.zeros(0, bool)
+        short = begins[left[begins] < window] if len(begins) else begins
+        low = _rows(self.words, short, window)
+        ends = np.arange(window) >= left[short][:, None]
+        self.low = np.concatenate([self.keys[full][new], _keys(np.where(ends, 0, low).astype(">u4"))]) if len(self.at) else self.keys
+        self.high = np.concatenate([self.keys[full][new], _keys(np.where(ends, 0xFFFFFFFF, low).astype(">u4"))]) if len(self.at) else self.keys
+        self.length = np.concatenate([np.full(int(new.sum()), window), left[short]]).astype(np.int64)
+        self.owners = np.concatenate([self.owner[full], owner[short]])
+        self.first = np.concatenate([np.flatnonzero(new), len(full) + np.arange(len(short) + 1)]).astype(np.int64)
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """Words as vocabulary numbers, 0 for words of no item."""
         return np.fromiter(map(self.vocabulary.get, words, repeat(0)), dtype=np.int64, count=len(words))
 
-
-def _keys(rows: np.ndarray) -> np.ndarray:
-    """Rows of big-endian words as byte strings that sort like them."""
-    return np.ascontiguousarray(rows).view(f"S{rows.shape[1] * 4}").ravel() if len(rows) else np.zeros(0, "S4")
+    def owners_of(self, windows: np.ndarray) -> np.ndarray:
+        """Items that hold any of the windows."""
+        return np.unique(np.concatenate([self.owners[self.first[w]:self.first[w + 1]] for w in windows]))
+
+
+def _lexicographic(rows: np.ndarray, vocabulary: int) -> np.ndarray:
+    """The order of rows of words: as many words to an integer as fit, then one sort by those."""
+    per = max(1, 62 // max(1, int(vocabulary).bit_length()))
+    columns = []
+    for k in range(0, rows.shape[1], per):
+        key = np.zeros(len(rows), np.int64)
+        for column in rows[:, k:k + per].T:
+            key = key * (vocabulary + 1) + column
+        columns.append(key)
+    return np.lexsort(columns[::-1])
+
+
+def _common(rows: np.ndarray, tests: np.ndarray, pick: np.ndarray) -> np.ndarray:
+    """Benchmark words that each row has in common with the beginning of its picked row of ``tests`` (none if -1 or
+    beyond the last)."""
+    alive = (pick >= 0) & (pick < len(tests))
+    pick = np.clip(pick, 0, max(0, len(tests) - 1))
+    out = np.zeros(len(rows), np.int64)
+    for k in range(rows.shape[1]):
+        alive = alive & (rows[:, k] == tests[pick, k]) & (rows[:, k] != 0)
+        out += alive
+    return out
 
 
-def occurrences(x: np.ndarray, tests: TestSuffixes) -> tuple[np.ndarray, np.ndarray]:
-    """All places of all windows in a shard: (position, window number). ``x``: word numbers of the
-    shard's documents, a 0 after each."""
-    none = np.zeros(0, np.int64)
-    if not len(tests.low) or not len(x):
-        return none, none
-    # benchmark words in a row from each position on
-    gaps = np.flatnonzero(x == 0)
-    row = gaps[np.searchsorted(gaps, np.arange(len(x)))] - np.arange(len(x)) if x[-1] == 0 else none
-    at = np.flatnonzero(row >= tests.shortest)
-    if tests.shortest > 1:
-        pair = x[at] * (len(tests.vocabulary) + 1) + x[at + 1]
-        k = np.minimum(np.searchsorted(tests.starts, pair), len(tests.starts) - 1)
-        at = at[tests.starts[k] == pair]
-    if not len(at):
-        return none, none
-    padded = np.concatenate([x, np.zeros(tests.window, np.int64)]).astype(">u4")
-    keys = _keys(padded[at[:, None] + np.arange(tests.window)])
-    order = np.argsort(keys, kind="stable")  # the shard's sparse suffix array
-    keys, at = keys[order], at[order]
+def _followed(x: np.ndarray, at: np.ndarray, keys: np.ndarray, tests: TestSuffixes) -> np.ndarray:
+    """Length of the longest match at each of the places whose first ``window`` words stand in the benchmark: the range
+    of items' suffixes that go on like the document is narrowed word by word."""
+    lo, hi = np.searchsorted(tests.keys, keys, "left"), np.searchsorted(tests.keys, keys, "right")
+    length = np.full(len(at), tests.window)
+    going, depth = np.arange(len(at)), tests.window
+    while len(going):
+        word = x[np.minimum(at[going] + depth, len(x) - 1)]
+
+        def bound(after: bool) -> np.ndarray:
+            a, b = lo[going].copy(), hi[going].copy()
+            while (a < b).any():
+                mid = (a + b) // 2
+                there = tests.words[np.minimum(tests.at[np.minimum(mid, len(tests.at) - 1)] + depth, len(tests.words) - 1)]
+                right = ((there <= word) if after else (there < word)) & (a < b)
+                a, b = np.where(right, mid + 1, a), np.where(right | (a >= b), b, mid)
+            return a
+
+        left, right = bound(False), bound(True)
+        on = (right > left) & (word > 0)
+        going = going[on]
+        lo[going], hi[going] = left[on], right[on]
+        length[going] += 1
+        depth += 1
+    return length
+
+
+def occurrences(x: np.ndarray, tests: TestSuffixes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All places of all windows in a shard (position, window number), and the longest match at each position. ``x``:
+    word numbers of the shard's documents, a 0 after each."""
+    none, matched = np.zeros(0, np.int64), np.zeros(len(x), np.int64)
+    at = np.flatnonzero(x)
+    if not len(tests.at) or not len(at):
+        return none, none, matched
+    rows = _rows(x, at, tests.window)
+    order = _lexicographic(rows, len(tests.vocabulary))  # the shard's suffix array
+    rows, at = rows[order], at[order]
+    keys = _keys(rows)
+    # every suffix of the items is bisected; the two around a training suffix share most words with it
+    below = np.searchsorted(np.searchsorted(keys, tests.keys, "left"), np.arange(len(keys)), "right") - 1
+    best = np.maximum(_common(rows, tests.rows, below), _common(rows, tests.rows, below + 1))
+    deep = np.flatnonzero(best == tests.window)
+    best[deep] = _followed(x, at[deep], keys[deep], tests)
+    matched[at] = best
     lo, hi = np.searchsorted(keys, tests.low, "left"), np.searchsorted(keys, tests.high, "right")
     n = np.maximum(0, hi - lo)
     hit = np.flatnonzero(n)
     n = n[hit]
     windows = np.repeat(hit, n)
     inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    return at[np.repeat(lo[hit], n) + inside], windows
+    return at[np.repeat(lo[hit], n) + inside], windows, matched
+
+
+def _least_owners(x: np.ndarray, at: np.ndarray, length: np.ndarray, tests: TestSuffixes) -> np.ndarray:
+    """For a match at each place the least item that holds it."""
+    short = np.minimum(length, tests.window)
+    rows = _rows(x, at, tests.window)
+    behind = np.arange(tests.window) >= short[:, None]
+    lo = np.searchsorted(tests.keys, _keys(np.where(behind, 0, rows).astype(">u4")), "left")
+    hi = np.searchsorted(tests.keys, _keys(np.where(behind, 0xFFFFFFFF, rows).astype(">u4")), "right")
+    out = np.empty(len(at), np.int64)
+    for k, (a, b) in enumerate(zip(lo, hi)):
+        for depth in range(tests.window, int(length[k])):  # longer matches: those of the range that go on
+            there = tests.words[tests.at[a:b] + depth]
+            a, b = a + np.searchsorted(there, x[at[k] + depth], "left"), a + np.searchsorted(there, x[at[k] + depth], "right")
+        out[k] = tests.owner[a:b].min()
+    return out
 
 
-def search_shard(docs: list[np.ndarray], tests: TestSuffixes) -> tuple[list[np.ndarray], list[set[int]], list[tuple]]:
+def search_shard(docs: list[np.ndarray], tests: TestSuffixes) -> tuple[list[np.ndarray], list[np.ndarray], list[tuple]]:
     """Per document: hit word intervals (n x 2), item numbers, and the longest match (words, start word,
     item number) or (0, None, None)."""
     sizes = np.array([len(d) + 1 for d in docs])
@@ -108,10 +201,17 @@ def search_shard(docs: list[np.ndarray], tests: TestSuffixes) -> tuple[list[np.n
     x = np.zeros(starts[-1], np.int64)
     for d, s in zip(docs, starts):
         x[s:s + len(d)] = d
-    at, windows = occurrences(x, tests)
+    at, windows, matched = occurrences(x, tests)
     hits = [np.zeros((0, 2), np.int64)] * len(docs)
-    items: list[set[int]] = [set() for _ in docs]
+    items: list[np.ndarray] = [np.zeros(0, np.int64)] * len(docs)
     longest: list[tuple] = [(0, None, None)] * len(docs)
+    most = np.maximum.reduceat(matched, starts[:-1])
+    some = np.flatnonzero(most)
+    if len(some):
+        top = np.flatnonzero((matched == np.repeat(most, sizes)) & (matched > 0))
+        place = top[np.searchsorted(top, starts[some])]
+        for d, p, n, item in zip(some, place, most[some], _least_owners(x, place, most[some], tests)):
+            longest[d] = int(n), int(p - starts[d]), int(item)
     if not len(at):
         return hits, items, longest
     covered = np.zeros(len(x) + 1, np.int64)
@@ -123,22 +223,11 @@ def search_shard(docs: list[np.ndarray], tests: TestSuffixes) -> tuple[list[np.n
     for d in np.unique(of):
         mine = of == d
         hits[d] = np.stack([begin[mine], end[mine]], axis=1) - starts[d]
-    # occurrences one by one: a window may stand at several places of the benchmark
-    n = tests.first[windows + 1] - tests.first[windows]
-    place = tests.places[np.repeat(tests.first[windows], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-    p, size = np.repeat(at, n), np.repeat(tests.length[windows], n)
-    order = np.lexsort((p, p - place[:, 1], place[:, 0]))
-    p, size, text, diagonal = p[order], size[order], place[order, 0], (p - place[:, 1])[order]
-    new = np.concatenate([[True], (text[1:] != text[:-1]) | (diagonal[1:] != diagonal[:-1]) | (p[1:] != p[:-1] + 1)])
-    first = np.flatnonzero(new)
-    last = np.concatenate([first[1:], [len(p)]]) - 1
-    for a, b in zip(first, last):
-        d = int(np.searchsorted(starts, p[a], "right") - 1)
-        item = tests.owner[text[a]]
-        items[d].add(item)
-        found = (int(p[b] + size[b] - p[a]), int(p[a] - starts[d]), item)
-        if found[0] > longest[d][0] or (found[0] == longest[d][0] and found[1:] < longest[d][1:]):
-            longest[d] = found
+    of = np.searchsorted(starts, at, "right") - 1
+    pairs = np.unique(np.stack([of, windows]), axis=1)
+    cuts = np.flatnonzero(np.diff(pairs[0])) + 1
+    for d, mine in zip(pairs[0][np.concatenate([[0], cuts])], np.split(pairs[1], cuts)):
+        items[d] = tests.owners_of(mine)
     return hits, items, longest
 
 
@@ -154,7 +243,7 @@ def search_batch(texts: list[bytes | None], tests: TestSuffixes) -> list[tuple]:
 
     def flush() -> None:
         for d, h, i, (n, start, item) in zip(shard, *search_shard(shard, tests)):
-            out.append((len(d), h.ravel().tolist(), [tests.ids[k] for k in sorted(i)], n, start,
+            out.append((len(d), h.ravel().tolist(), [tests.ids[k] for k in i], n, start,
                         None if item is None else tests.ids[item]))
 
     for t in texts:
@@ -179,7 +268,7 @@ def _joined(a: tuple, b: tuple) -> tuple:
             spans[-1][1] = max(e, spans[-1][1])
         else:
             spans.append([s, e])
-    best = max(a, b, key=lambda r: (r[3], -(r[4] or 0), r is a))
+    best = min(a, b, key=lambda r: (-r[3], r[4] or 0, r[5] or ""))
     return a[0], [x for s in spans for x in s], sorted({*a[2], *b[2]}), *best[3:]
 
 

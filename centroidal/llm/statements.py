@@ -50,9 +50,12 @@ WITH words AS (
  hit AS (SELECT doc, count(DISTINCT pos) AS n_hit FROM (SELECT doc, unnest(range(p0, p0 + size)) AS pos FROM occ) GROUP BY doc),
  its AS (SELECT doc, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
          FROM (SELECT DISTINCT doc, item::VARCHAR AS item FROM occ) GROUP BY doc),
- runs AS (SELECT doc, item, min(p0) AS start, max(p0) + max(size) - min(p0) AS n FROM (
-            SELECT *, p0 - row_number() OVER (PARTITION BY doc, item, p0 - q0 ORDER BY p0) AS island FROM occ)
-          GROUP BY doc, item, p0 - q0, island),
+ dt AS (SELECT id AS doc, unnest(w) AS t, unnest(range(len(w))) AS p FROM docs),
+ it AS (SELECT id AS item, unnest(w) AS t, unnest(range(len(w))) AS q FROM items),
+ same AS (SELECT DISTINCT doc, item, p, p - q AS diagonal FROM dt JOIN it USING (t)),
+ runs AS (SELECT doc, item, min(p) AS start, count(*) AS n FROM (
+            SELECT *, p - row_number() OVER (PARTITION BY doc, item, diagonal ORDER BY p) AS island FROM same)
+          GROUP BY doc, item, diagonal, island),
  best AS (SELECT * FROM (SELECT doc, n, start, item::VARCHAR AS item, row_number() OVER (PARTITION BY doc ORDER BY n DESC, start, item::VARCHAR) AS k FROM runs)
           WHERE k = 1)
 SELECT d.id AS doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,

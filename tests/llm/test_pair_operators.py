@@ -1,6 +1,7 @@
 """Jaccard join, decontamination and embedding near-duplicates against brute force."""
 
 import random
+import time
 import re
 
 import numpy as np
@@ -144,6 +145,24 @@ def brute_hits(docs, items, window):
     return out
 
 
+def brute_longest(docs, items):
+    """The longest run of words of a document that some item holds: (words, start, item), the first and least on ties."""
+    out = []
+    for t in docs:
+        w, best = scan_words(t or b""), (0, None, None)
+        for i, text in items:
+            v = scan_words(text)
+            for a in range(len(w)):
+                for b in range(len(v)):
+                    n = 0
+                    while a + n < len(w) and b + n < len(v) and w[a + n] == v[b + n]:
+                        n += 1
+                    if n and (best[0] == 0 or (-n, a, i) < (-best[0], best[1], best[2])):
+                        best = n, a, i
+        out.append(best)
+    return out
+
+
 def hit_words(row):
     return sum(row[1][1::2]) - sum(row[1][::2])
 
@@ -161,6 +180,24 @@ def test_search_equals_brute_force(monkeypatch):
         window = rnd.choice([2, 3, 4])
         got = D.search_batch(docs, D.TestSuffixes(items, window))
         assert [(r[0], hit_words(r), r[2]) for r in got] == brute_hits(docs, items, window)
+        assert [tuple(r[3:]) for r in got] == brute_longest(docs, items)
+
+
+def test_an_instruction_of_many_items_is_one_window():
+    shared = b"please read the text below with care and then answer this question in full"
+    tests = D.TestSuffixes([(f"{k:05d}", shared + b" item %d" % k) for k in range(20_000)])
+    docs = [b"some words before " + shared + b" and after %d" % k for k in range(300)] + [shared + b" item 77"]
+    start = time.perf_counter()
+    got = D.search_batch(docs, tests)
+    assert time.perf_counter() - start < 20
+    assert all(len(r[2]) == 20_000 and r[3:] == (14, 3, "00000") for r in got[:-1]) and got[-1][3:] == (16, 0, "00077")
+
+
+def test_suffix_order_sorts_suffixes():
+    rnd = random.Random(5)
+    for _ in range(30):
+        x = np.array([rnd.randint(0, 2) for _ in range(rnd.randint(1, 40))])
+        assert D.suffix_order(x, 50).tolist() == sorted(range(len(x)), key=lambda i: x[i:].tolist())
 
 
 def test_longest_match_and_place():
