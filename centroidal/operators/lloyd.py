@@ -30,7 +30,8 @@ from centroidal.operators.assign import (
 )
 from centroidal.operators.blocks import block_pass, pack_points
 from centroidal.operators.seed import (
-    DEFAULT_SAMPLE_TARGET, DEFAULT_SEED, hash_sample, kmeans_parallel, kmeanspp, sample_fraction,
+    DEFAULT_SAMPLE_TARGET, DEFAULT_SEED, hash_sample, kmeans_parallel, kmeanspp, recluster,
+    sample_fraction,
 )
 from centroidal.session import kept
 
@@ -211,21 +212,23 @@ def location_key(x: str = X, y: str = Y):
 def choose_seeds(points: DataFrame, k: int, init: str, n_rows: int, x: str, y: str, key: str | None,
                  weight: str | None, seed: int, sample_target: int) -> list[Centre]:
     """Starting centres: ``kmeans++`` over all points (X3), ``kmeans||`` over all points in a fixed number of passes,
-    or ``sample``: K distributed rounds over a cached hash sample of about ``sample_target`` rows (X1 + X2).
+    or ``sample``: K-Means++ over a hash sample of about ``sample_target`` rows (X1 + X2), which one job brings to
+    the driver; its rounds draw like those over all points.
 
     Without a row key, duplicate rows cannot be told apart, so whole *locations* are sampled (hash of
     the coordinates, fraction from an approximate distinct count) and folded with their multiplicity;
-    each location's draw probability stays proportional to its row count. What the rounds read
-    repeatedly is cached, so a fold or a sample is computed once. ``n_rows`` is the number of rows (the
+    each location's draw probability stays proportional to its row count. ``n_rows`` is the number of rows (the
     sampling units), not the weighted total.
     """
     if init not in ("sample", "kmeans++", "kmeans||"):
         raise ValueError(f"unknown init {init!r}; use 'sample', 'kmeans++', 'kmeans||' or pass initial_centres")
     draw = kmeans_parallel if init == "kmeans||" else kmeanspp
     if key is not None:
-        if init != "sample" or sample_fraction(n_rows, sample_target) >= 1.0:
+        if init != "sample":
             return draw(points, k, x, y, key, seed, weight)
-        base, mult = hash_sample(points, sample_target, key, seed, n_rows=n_rows), weight
+        base, mult = points, weight
+        if sample_fraction(n_rows, sample_target) < 1.0:
+            base = hash_sample(points, sample_target, key, seed, n_rows=n_rows)
     else:
         key, mult = "_key", "_m"
         base = points.withColumn("_key", location_key(x, y))
@@ -234,8 +237,11 @@ def choose_seeds(points: DataFrame, k: int, init: str, n_rows: int, x: str, y: s
             base = hash_sample(base, sample_target, "_key", seed, n_rows=max(int(n_loc), 1))
         total = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
         base = base.groupBy("_key", x, y).agg(total.cast("double").alias("_m"))
-    with kept(base) as cached:
-        return draw(cached, k, x, y, key, seed, mult)
+        if init != "sample":
+            with kept(base) as cached:
+                return draw(cached, k, x, y, key, seed, mult)
+    rows = base.select(F.col(key).cast("string"), x, y, F.col(mult).cast("double") if mult else F.lit(1.0)).collect()
+    return recluster([tuple(r)[:3] for r in rows], [r[3] for r in rows], k, seed)
 
 
 def fit_kmeans(points: DataFrame, k: int = 8, max_iter: int = 100, *, x: str = X, y: str = Y,

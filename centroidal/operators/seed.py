@@ -99,20 +99,21 @@ def kmeanspp(df: DataFrame, k: int, x: str = X, y: str = Y, key: str = "id",
 
 
 def recluster(candidates: Sequence[tuple], weights: Sequence[float], k: int, seed: int) -> list[Centre]:
-    """Weighted K-Means++ over a few candidates ``(key, x, y)`` on the driver, with the draws of ``kmeanspp``."""
-    x, y = (np.array([c[i] for c in candidates]) for i in (1, 2))
-    cost, chosen = np.ones(len(candidates)), []
+    """Weighted K-Means++ over a few thousand candidates ``(key, x, y)`` on the driver, with the draws of ``kmeanspp``.
+    A candidate that is drawn, or has weight 0, is not drawn again."""
+    x, y = (np.array([c[i] for c in candidates], float) for i in (1, 2))
+    keys, w = [str(c[0]) for c in candidates], np.array(weights, float)
+    cost, chosen = w, []
     for r in range(k):
-        keyed = [(exponential_value(c[0], float(w) * float(m), seed, f"kmeanspp:{r}"), c[0], i)
-                 for i, (c, w, m) in enumerate(zip(candidates, cost, weights))]
-        keyed = [t for t in keyed if t[0] is not None]
+        keyed = [(exponential_value(keys[i], cost[i], seed, f"kmeanspp:{r}"), candidates[i][0], i) for i in np.flatnonzero(cost > 0).tolist()]
         if not keyed:
             raise ValueError(f"only {r} distinct points; cannot choose K={k} distinct centres")
         _, _, at = min(keyed)
         chosen.append((float(x[at]), float(y[at])))
         dx, dy = x - x[at], y - y[at]
         d = dx * dx + dy * dy
-        cost = d if r == 0 else np.minimum(cost, d)
+        least = d if r == 0 else np.minimum(least, d)
+        cost = least * w
     return chosen
 
 
