@@ -175,18 +175,19 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(id_col).alias("id")) \
         .filter("text is not null and lang is not null")
-    counted_rows = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
-    per_lang = {r["lang"]: r["rows"] for r in counted_rows.collect()}
+    per_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not per_lang:
         return None
-    # one row a language, joined, so that any number of languages does
-    shares = counted_rows.select("lang", F.least(F.lit(1.0), F.lit(float(sample_rows)) / F.col("rows")).alias("share"))
+    # One row a language, as the model itself holds and sends; joined, so that any number of languages does. Without the
+    # hint Spark would shuffle whole texts by language before it knows how few rows these are.
+    shares = F.broadcast(docs.sparkSession.createDataFrame(
+        [(lang, min(1.0, sample_rows / n)) for lang, n in per_lang.items()], "lang string, share double"))
     unit = (F.xxhash64("id").bitwiseAND(F.lit((1 << 52) - 1))).cast("double") / float(1 << 52)
     sample = rows.join(shares, "lang").filter(unit < F.col("share")).select("text", "lang")
     counted = map_batches(sample, _gram_counts, "lang string, gram long, n long") \
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     total = F.sum(F.when(F.col("gram") != 0, F.col("n"))).alias("total")
-    kept = counted.filter("gram != 0").join(counted.groupBy("lang").agg(total), "lang") \
+    kept = counted.filter("gram != 0").join(F.broadcast(counted.groupBy("lang").agg(total)), "lang") \
         .filter(F.col("n") >= MIN_RATE * F.col("total")).select("lang", "gram", (F.col("n") / F.col("total")).alias("rate")) \
         .toPandas()
     langs = sorted(per_lang)
