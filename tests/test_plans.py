@@ -5,6 +5,7 @@ import os
 from centroidal.operators.evaluate import centres_frame, cluster_sizes, result_rows
 from centroidal.operators.assign import assign_nearest
 from centroidal.operators.prepare import clean_points
+from centroidal.operators.seed import kmeanspp_round_weight, weighted_draw
 from centroidal.plans import catalog
 from centroidal.sources.points import read_points
 
@@ -45,3 +46,16 @@ def test_reports_join_only_k_rows(spark):
     sizes = plan(cluster_sizes(a, centres_frame(spark, catalog.CENTRES)))
     # The points are aggregated before the join.
     assert sizes.index("HashAggregate") > 0
+
+
+def test_a_draw_computes_the_weight_once(spark):
+    # a filter below the sort would run the UDF a second time, in a second Python worker of each task
+    pts = catalog.points(spark, SF0001).withColumn("w", kmeanspp_round_weight(catalog.CENTRES))
+    p = plan(weighted_draw(pts, "w").select(catalog.X, catalog.Y))
+    assert p.count("ArrowEvalPython") == 1 and "TakeOrderedAndProject" in p
+
+
+def test_a_draw_leaves_out_rows_without_weight_or_key(spark):
+    df = spark.createDataFrame([(1, 0.0), (2, -1.0), (3, None), (None, 2.0), (4, 1.0)], "id long, w double")
+    assert [r["id"] for r in weighted_draw(df, "w").collect()] == [4]
+    assert weighted_draw(df.filter("id is null or id < 4"), "w").collect() == []
